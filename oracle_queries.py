@@ -256,3 +256,315 @@ FROM facts f JOIN payment_dim p ON p.business_key = f.payment_type_key
 WHERE NOT f.has_statistical_outlier
 GROUP BY f.payment_type_key, p.label
 """)
+
+
+def qx(ctes: str, body: str) -> str:
+    """Prelude plus extra CTEs, then the body."""
+    return PRELUDE + ",\n" + ctes + "\n" + body
+
+
+REJECT_RULES = [
+    ("MISSING_PICKUP", "r_missing_pickup"),
+    ("MISSING_DROPOFF", "r_missing_dropoff"),
+    ("MISSING_DISTANCE", "r_missing_distance"),
+    ("NON_POSITIVE_DISTANCE", "r_non_positive_distance"),
+    ("MISSING_FARE", "r_missing_fare"),
+    ("NEGATIVE_FARE", "r_negative_fare"),
+    ("MISSING_TOTAL", "r_missing_total"),
+    ("NEGATIVE_TOTAL", "r_negative_total"),
+    ("PICKUP_BEFORE_MONTH", "r_pickup_before_month"),
+    ("PICKUP_AFTER_MONTH", "r_pickup_after_month"),
+    ("DROPOFF_BEFORE_PICKUP", "r_dropoff_before_pickup"),
+    ("DROPOFF_AFTER_WINDOW", "r_dropoff_after_window"),
+    ("NON_FINITE_NUMBER", "r_non_finite_number"),
+]
+FLAG_RULES = [
+    ("UNKNOWN_VENDOR", "f_unknown_vendor"),
+    ("UNKNOWN_PAYMENT", "f_unknown_payment"),
+    ("UNKNOWN_RATE", "f_unknown_rate"),
+    ("INVALID_PASSENGER_COUNT", "f_invalid_passenger_count"),
+    ("NULL_FARE", "f_null_fare"),
+    ("NULL_EXTRA", "f_null_extra"),
+    ("NULL_MTA_TAX", "f_null_mta_tax"),
+    ("NULL_TIP", "f_null_tip"),
+    ("NULL_TOLLS", "f_null_tolls"),
+    ("NULL_IMPROVEMENT", "f_null_improvement"),
+    ("NULL_TOTAL", "f_null_total"),
+    ("NULL_CONGESTION", "f_null_congestion"),
+    ("NULL_AIRPORT_FEE", "f_null_airport_fee"),
+]
+
+ISSUES = "issues AS (" + " UNION ALL ".join(
+    f"SELECT '2024-01' AS source_month, source_row_number, '{code}' AS issue_code FROM flagged WHERE {col}"
+    for code, col in FLAG_RULES
+) + ")"
+
+
+def ratio(num: str, den: str, scale: str = "1.0") -> str:
+    """scale * num / NULLIF(den, 0) in double, same operation order as the Spark side."""
+    return (f"CASE WHEN CAST({den} AS DOUBLE) <> 0 THEN "
+            f"(CAST({scale} AS DOUBLE) * CAST({num} AS DOUBLE)) / CAST({den} AS DOUBLE) END")
+
+
+def fsum(col: str, cond: str) -> str:
+    return f"sum({col}) FILTER (WHERE {cond})"
+
+
+FIN = "NOT has_statistical_outlier"
+MONTH_WHERE = "source_month BETWEEN '2024-01' AND '2024-01' AND pickup_date_key BETWEEN 20240101 AND 20240131"
+
+ORACLES["trip_reject_counts"] = q(f"""
+SELECT '2024-01' AS source_month,
+  CAST(count(*) AS BIGINT) AS source_rows,
+  CAST(count(*) FILTER (WHERE NOT is_rejected) AS BIGINT) AS accepted_rows,
+  CAST(count(*) FILTER (WHERE is_rejected) AS BIGINT) AS rejected_rows,
+  (SELECT CAST(count(*) AS BIGINT) FROM flagged WHERE any_flag) AS flagged_rows,
+  (SELECT CAST(sum({' + '.join(f'CAST({c} AS INTEGER)' for _, c in FLAG_RULES)}) AS BIGINT) FROM flagged) AS issue_rows
+FROM classified
+""")
+
+ORACLES["reject_reason_histogram"] = q(
+    "SELECT '2024-01' AS source_month, reject_code, CAST(count(*) AS BIGINT) AS row_count FROM ("
+    + " UNION ALL ".join(f"SELECT '{code}' AS reject_code FROM rules WHERE {col}" for code, col in REJECT_RULES)
+    + ") GROUP BY reject_code"
+)
+
+ORACLES["trip_issue_rows"] = qx(ISSUES, "SELECT * FROM issues")
+
+ORACLES["accepted_trips"] = q("SELECT * FROM accepted")
+
+ORACLES["exact_bounds"] = q("""
+SELECT '2024-01' AS source_month, dur_lo AS duration_seconds_low, dur_hi AS duration_seconds_high,
+  dist_lo AS distance_millimiles_low, dist_hi AS distance_millimiles_high
+FROM gated""")
+
+ORACLES["fact_trips"] = q("SELECT * FROM facts")
+
+ORACLES["orphan_check"] = q("""
+SELECT 'pickup_zone_key' AS foreign_key, CAST(count(*) FILTER (WHERE pickup_zone_key NOT IN (SELECT business_key FROM zone_dim)) AS BIGINT) AS orphan_rows FROM facts
+UNION ALL SELECT 'dropoff_zone_key', CAST(count(*) FILTER (WHERE dropoff_zone_key NOT IN (SELECT business_key FROM zone_dim)) AS BIGINT) FROM facts
+UNION ALL SELECT 'payment_type_key', CAST(count(*) FILTER (WHERE payment_type_key NOT IN (SELECT business_key FROM payment_dim)) AS BIGINT) FROM facts
+UNION ALL SELECT 'vendor_key', CAST(count(*) FILTER (WHERE vendor_key NOT IN (SELECT business_key FROM vendor_dim)) AS BIGINT) FROM facts
+UNION ALL SELECT 'rate_code_key', CAST(count(*) FILTER (WHERE rate_code_key NOT IN (SELECT business_key FROM rate_dim)) AS BIGINT) FROM facts
+UNION ALL SELECT 'pickup_date_key', CAST(count(*) FILTER (WHERE pickup_date_key NOT IN (SELECT date_key FROM date_dim)) AS BIGINT) FROM facts
+UNION ALL SELECT 'dropoff_date_key', CAST(count(*) FILTER (WHERE dropoff_date_key NOT IN (SELECT date_key FROM date_dim)) AS BIGINT) FROM facts
+UNION ALL SELECT 'pickup_time_key', CAST(count(*) FILTER (WHERE pickup_time_key NOT IN (SELECT time_key FROM time_dim)) AS BIGINT) FROM facts
+UNION ALL SELECT 'dropoff_time_key', CAST(count(*) FILTER (WHERE dropoff_time_key NOT IN (SELECT time_key FROM time_dim)) AS BIGINT) FROM facts
+""")
+
+ORACLES["duplicate_check"] = q("""
+SELECT source_month, CAST(count(*) - count(DISTINCT (pickup_date_key, source_row_number)) AS BIGINT) AS duplicate_rows
+FROM facts GROUP BY source_month""")
+
+ORACLES["dim_date_month"] = q("""
+SELECT CAST(year(d) * 10000 + month(d) * 100 + day(d) AS INTEGER) AS date_key,
+  CAST(d AS DATE) AS calendar_date, CAST(year(d) AS INTEGER) AS year, CAST(quarter(d) AS INTEGER) AS quarter,
+  CAST(month(d) AS INTEGER) AS month, monthname(d) AS month_name, CAST(week(d) AS INTEGER) AS iso_week,
+  CAST(isoyear(d) AS INTEGER) AS iso_year, CAST(day(d) AS INTEGER) AS day_of_month,
+  CAST(dayofyear(d) AS INTEGER) AS day_of_year, CAST(isodow(d) AS INTEGER) AS weekday_number,
+  dayname(d) AS weekday_name, isodow(d) IN (6, 7) AS is_weekend
+FROM range(DATE '2024-01-01', DATE '2024-02-02', INTERVAL 1 DAY) t(d)""")
+
+ORACLES["hourly_mart"] = q("SELECT * FROM mart")
+
+ORACLES["metrics_view"] = q("SELECT * FROM mv")
+
+ORACLES["kpis"] = q(f"""
+SELECT CAST(COALESCE(sum(trip_count), 0) AS BIGINT) AS trip_count,
+  CAST(COALESCE({fsum('total_amount_cents_sum', FIN)}, 0) AS DOUBLE) / 100.0 AS gross_revenue_dollars,
+  {ratio(fsum('total_amount_cents_sum', FIN), '100.0 * CAST(' + fsum('trip_count', FIN) + ' AS DOUBLE)')} AS revenue_per_trip_dollars,
+  {ratio(fsum('fare_amount_cents_sum', FIN), fsum('distance_millimiles_sum', FIN), '10.0')} AS fare_per_mile_dollars,
+  {ratio(fsum('duration_seconds_sum', FIN), '60.0 * CAST(' + fsum('trip_count', FIN) + ' AS DOUBLE)')} AS average_duration_minutes,
+  {ratio(fsum('tip_amount_cents_sum', FIN + ' AND payment_type_key = 1'), fsum('fare_amount_cents_sum', FIN + ' AND payment_type_key = 1'), '100.0')} AS recorded_card_tip_rate
+FROM mv WHERE {MONTH_WHERE}""")
+
+ORACLES["kpis_including_outliers"] = q(f"""
+SELECT CAST(COALESCE(sum(trip_count), 0) AS BIGINT) AS trip_count,
+  CAST(COALESCE(sum(total_amount_cents_sum), 0) AS DOUBLE) / 100.0 AS gross_revenue_dollars,
+  {ratio('sum(total_amount_cents_sum)', '100.0 * CAST(sum(trip_count) AS DOUBLE)')} AS revenue_per_trip_dollars,
+  {ratio('sum(fare_amount_cents_sum)', 'sum(distance_millimiles_sum)', '10.0')} AS fare_per_mile_dollars,
+  {ratio('sum(duration_seconds_sum)', '60.0 * CAST(sum(trip_count) AS DOUBLE)')} AS average_duration_minutes,
+  {ratio(fsum('tip_amount_cents_sum', 'payment_type_key = 1'), fsum('fare_amount_cents_sum', 'payment_type_key = 1'), '100.0')} AS recorded_card_tip_rate
+FROM mv WHERE {MONTH_WHERE}""")
+
+ORACLES["daily_metrics"] = q(f"""
+SELECT pickup_date, CAST(sum(trip_count) AS BIGINT) AS trip_count,
+  CAST({fsum('total_amount_cents_sum', FIN)} AS DOUBLE) / 100.0 AS gross_revenue_dollars,
+  {ratio(fsum('fare_amount_cents_sum', FIN), fsum('distance_millimiles_sum', FIN), '10.0')} AS fare_per_mile_dollars
+FROM mv WHERE {MONTH_WHERE} GROUP BY pickup_date""")
+
+ORACLES["hourly_metrics"] = q(f"""
+SELECT pickup_hour, CAST(sum(trip_count) AS BIGINT) AS trip_count,
+  {ratio(fsum('distance_millimiles_sum', FIN), fsum('duration_seconds_sum', FIN), '3.6')} AS weighted_network_speed_mph
+FROM mv WHERE {MONTH_WHERE} GROUP BY pickup_hour""")
+
+ORACLES["weekday_hour_heatmap"] = q(f"""
+SELECT weekday_number, weekday_name, pickup_hour, CAST(sum(trip_count) AS BIGINT) AS trip_count
+FROM mv WHERE {MONTH_WHERE} GROUP BY weekday_number, weekday_name, pickup_hour""")
+
+ZONES = f"""
+z AS (
+SELECT pickup_zone_key, pickup_zone_label, pickup_borough, CAST(sum(trip_count) AS BIGINT) AS trip_count,
+  CAST({fsum('total_amount_cents_sum', FIN)} AS DOUBLE) / 100.0 AS gross_revenue_dollars,
+  {ratio(fsum('total_amount_cents_sum', FIN), '100.0 * CAST(' + fsum('trip_count', FIN) + ' AS DOUBLE)')} AS revenue_per_trip_dollars,
+  {ratio(fsum('fare_amount_cents_sum', FIN), fsum('distance_millimiles_sum', FIN), '10.0')} AS fare_per_mile_dollars
+FROM mv WHERE {MONTH_WHERE} GROUP BY pickup_zone_key, pickup_zone_label, pickup_borough)"""
+
+ORACLES["zone_metrics"] = qx(ZONES, "SELECT * FROM z")
+
+
+def _breakdown(dim: str) -> str:
+    return q(f"""
+SELECT {dim}_key, {dim}_label,
+  CAST(sum(total_amount_cents_sum) AS DOUBLE) / 100.0 AS gross_revenue_dollars,
+  CAST(sum(trip_count) AS BIGINT) AS trip_count,
+  {ratio('sum(total_amount_cents_sum)', '100.0 * CAST(sum(trip_count) AS DOUBLE)')} AS revenue_per_trip_dollars,
+  {ratio(fsum('tip_amount_cents_sum', 'payment_type_key = 1'), fsum('fare_amount_cents_sum', 'payment_type_key = 1'), '100.0')} AS recorded_card_tip_rate
+FROM mv WHERE {MONTH_WHERE} AND {FIN} GROUP BY {dim}_key, {dim}_label""")
+
+
+ORACLES["breakdown_payment"] = _breakdown("payment_type")
+ORACLES["breakdown_vendor"] = _breakdown("vendor")
+ORACLES["breakdown_rate"] = _breakdown("rate_code")
+
+ORACLES["revenue_components"] = q(f"""
+SELECT CAST(sum(fare_amount_cents_sum) AS DOUBLE) / 100.0 AS fare,
+  CAST(sum(extra_cents_sum) AS DOUBLE) / 100.0 AS extra,
+  CAST(sum(mta_tax_cents_sum) AS DOUBLE) / 100.0 AS mta_tax,
+  CAST(sum(tip_amount_cents_sum) AS DOUBLE) / 100.0 AS tips,
+  CAST(sum(tolls_amount_cents_sum) AS DOUBLE) / 100.0 AS tolls,
+  CAST(sum(improvement_surcharge_cents_sum) AS DOUBLE) / 100.0 AS improvement_surcharge,
+  CAST(sum(congestion_surcharge_cents_sum) AS DOUBLE) / 100.0 AS congestion_surcharge,
+  CAST(sum(airport_fee_cents_sum) AS DOUBLE) / 100.0 AS airport_fee
+FROM mv WHERE {MONTH_WHERE} AND {FIN}""")
+
+ORACLES["avg_fare_per_mile"] = q("""
+SELECT pickup_date_key,
+  CASE WHEN sum(distance_millimiles) <> 0 THEN
+    CAST((2 * 1000 * CAST(sum(fare_amount_cents) AS BIGINT) + CAST(sum(distance_millimiles) AS BIGINT))
+         // (2 * CAST(sum(distance_millimiles) AS BIGINT)) AS DOUBLE) / 100.0 END AS avg_fare_per_mile_dollars
+FROM facts WHERE NOT has_statistical_outlier GROUP BY pickup_date_key""")
+
+ORACLES["peak_hours"] = q("""
+SELECT t.hour AS pickup_hour, t.daypart, lpad(CAST(t.hour AS VARCHAR), 2, '0') || ':00' AS hour_label,
+  CAST(count(*) AS BIGINT) AS trip_count
+FROM facts f JOIN time_dim t ON f.pickup_time_key = t.time_key
+GROUP BY t.hour, t.daypart""")
+
+ORACLES["filter_options"] = q("""
+SELECT DISTINCT 'zone' AS option_kind, CAST(pickup_zone_key AS INTEGER) AS option_key, pickup_zone_label AS option_label FROM mv
+UNION ALL SELECT DISTINCT 'payment', CAST(payment_type_key AS INTEGER), payment_type_label FROM mv
+UNION ALL SELECT DISTINCT 'vendor', CAST(vendor_key AS INTEGER), vendor_label FROM mv
+UNION ALL SELECT DISTINCT 'rate', CAST(rate_code_key AS INTEGER), rate_code_label FROM mv
+UNION ALL SELECT DISTINCT 'borough', CAST(NULL AS INTEGER), pickup_borough FROM mv WHERE pickup_borough IS NOT NULL""")
+
+ORACLES["date_coverage"] = q("SELECT min(pickup_date) AS minimum_date, max(pickup_date) AS maximum_date FROM mv")
+
+EXPLORER_VIEW = """
+ev AS (
+  SELECT f.source_row_number AS trip_key, f.source_month, f.pickup_at_local, f.dropoff_at_local,
+    pz.label AS pickup_zone_label, pz.borough AS pickup_borough, dz.label AS dropoff_zone_label,
+    p.label AS payment_type_label, v.label AS vendor_label, r.label AS rate_code_label,
+    f.passenger_count, f.distance_millimiles,
+    CAST(f.distance_millimiles AS DOUBLE) / 1000.0 AS distance_miles,
+    CAST(f.duration_seconds AS DOUBLE) / 60.0 AS duration_minutes,
+    CAST(f.fare_amount_cents AS DOUBLE) / 100.0 AS fare_amount_dollars,
+    CAST(f.tip_amount_cents AS DOUBLE) / 100.0 AS tip_amount_dollars,
+    f.total_amount_cents,
+    CAST(f.total_amount_cents AS DOUBLE) / 100.0 AS total_amount_dollars,
+    f.has_statistical_outlier, f.has_quality_issue
+  FROM facts f
+  JOIN zone_dim pz ON pz.business_key = f.pickup_zone_key
+  JOIN zone_dim dz ON dz.business_key = f.dropoff_zone_key
+  JOIN payment_dim p ON p.business_key = f.payment_type_key
+  JOIN vendor_dim v ON v.business_key = f.vendor_key
+  JOIN rate_dim r ON r.business_key = f.rate_code_key)"""
+
+PAGE_COLS = """pickup_at_local, trip_key, dropoff_at_local, pickup_zone_label, dropoff_zone_label,
+  payment_type_label, vendor_label, rate_code_label, passenger_count, distance_miles, duration_minutes,
+  fare_amount_dollars, tip_amount_dollars, total_amount_dollars, has_statistical_outlier, has_quality_issue"""
+
+EXPLORER_WHERE = """source_month BETWEEN '2024-01' AND '2024-01'
+  AND pickup_at_local >= TIMESTAMP '2024-01-01 00:00:00' AND pickup_at_local < TIMESTAMP '2024-02-01 00:00:00'
+  AND distance_millimiles >= 1000 AND total_amount_cents <= 10000"""
+
+
+def _page(op: str, order: str) -> str:
+    return qx(EXPLORER_VIEW + f""",
+page AS (
+  SELECT {PAGE_COLS} FROM ev
+  WHERE {EXPLORER_WHERE}
+    AND (pickup_at_local {op} TIMESTAMP '2024-01-15 12:00:00'
+         OR (pickup_at_local = TIMESTAMP '2024-01-15 12:00:00' AND trip_key {op} 0))
+  ORDER BY pickup_at_local {order}, trip_key {order} LIMIT 101),
+ranked AS (SELECT *, row_number() OVER (ORDER BY pickup_at_local {order}, trip_key {order}) AS rn,
+  count(*) OVER () > 100 AS has_more FROM page)""", f"SELECT {PAGE_COLS}, has_more FROM ranked WHERE rn <= 100")
+
+
+ORACLES["explorer_page_next"] = _page(">", "ASC")
+ORACLES["explorer_page_previous"] = _page("<", "DESC")
+
+CUR = "pickup_date_key BETWEEN 20240116 AND 20240131"
+PRI = "pickup_date_key BETWEEN 20231231 AND 20240115"
+SPAN = "source_month BETWEEN '2023-12' AND '2024-01' AND pickup_date_key BETWEEN 20231231 AND 20240131"
+
+ORACLES["zone_movers"] = qx(f"""
+g AS (SELECT pickup_zone_key, pickup_zone_label, {fsum('trip_count', CUR)} AS cur, {fsum('trip_count', PRI)} AS pri
+      FROM mv WHERE {SPAN} GROUP BY pickup_zone_key, pickup_zone_label)""", """
+SELECT pickup_zone_label,
+  100.0 * (COALESCE(CAST(cur AS DOUBLE), 0.0) - CAST(pri AS DOUBLE)) / CAST(pri AS DOUBLE) AS change_percent
+FROM g WHERE cur IS NOT NULL AND pri IS NOT NULL AND CAST(pri AS DOUBLE) <> 0
+ORDER BY change_percent DESC, pickup_zone_label LIMIT 10""")
+
+ORACLES["payment_movers"] = qx(f"""
+g AS (SELECT payment_type_key, payment_type_label, {fsum('total_amount_cents_sum', CUR)} AS cur,
+        {fsum('total_amount_cents_sum', PRI)} AS pri
+      FROM mv WHERE {SPAN} AND {FIN} GROUP BY payment_type_key, payment_type_label)""", """
+SELECT payment_type_label,
+  100.0 * (COALESCE(CAST(cur AS DOUBLE), 0.0) - CAST(pri AS DOUBLE)) / CAST(pri AS DOUBLE) AS change_percent
+FROM g WHERE cur IS NOT NULL AND pri IS NOT NULL AND CAST(pri AS DOUBLE) <> 0
+ORDER BY change_percent DESC, payment_type_label LIMIT 10""")
+
+
+def _period(cond: str, p: str) -> str:
+    return f"""CAST(COALESCE(sum(trip_count) FILTER (WHERE {cond}), 0) AS BIGINT) AS trip_count_{p},
+  CAST(COALESCE(sum(total_amount_cents_sum) FILTER (WHERE {cond} AND {FIN}), 0) AS DOUBLE) / 100.0 AS gross_revenue_dollars_{p},
+  {ratio(fsum('fare_amount_cents_sum', cond + ' AND ' + FIN), fsum('distance_millimiles_sum', cond + ' AND ' + FIN), '10.0')} AS fare_per_mile_dollars_{p}"""
+
+
+def _delta(cur: str, pri: str) -> str:
+    return (f"CASE WHEN CAST({pri} AS DOUBLE) IS NOT NULL AND CAST({pri} AS DOUBLE) <> 0 THEN "
+            f"100.0 * (CAST({cur} AS DOUBLE) - CAST({pri} AS DOUBLE)) / CAST({pri} AS DOUBLE) END")
+
+
+ORACLES["kpi_comparison"] = qx(f"""
+k AS (SELECT {_period(CUR, 'current')}, {_period(PRI, 'prior')} FROM mv WHERE {SPAN})""", f"""
+SELECT *, {_delta('trip_count_current', 'trip_count_prior')} AS trip_count_delta_percent,
+  {_delta('gross_revenue_dollars_current', 'gross_revenue_dollars_prior')} AS gross_revenue_delta_percent
+FROM k""")
+
+ORACLES["zone_quantile_classes"] = qx(ZONES + """,
+zr AS (SELECT *, row_number() OVER (ORDER BY trip_count) - 1 AS pos, count(*) OVER () AS n FROM z),
+cuts AS (SELECT
+  max(CASE WHEN pos = least(n - 1, (n * 1) // 5) THEN trip_count END) AS c1,
+  max(CASE WHEN pos = least(n - 1, (n * 2) // 5) THEN trip_count END) AS c2,
+  max(CASE WHEN pos = least(n - 1, (n * 3) // 5) THEN trip_count END) AS c3,
+  max(CASE WHEN pos = least(n - 1, (n * 4) // 5) THEN trip_count END) AS c4 FROM zr)""", """
+SELECT z.*, CAST(least(CAST(c1 <= trip_count AS INTEGER) + CAST(c2 <= trip_count AS INTEGER)
+  + CAST(c3 <= trip_count AS INTEGER) + CAST(c4 <= trip_count AS INTEGER), 4) AS INTEGER) AS quantile_class
+FROM z CROSS JOIN cuts""")
+
+ORACLES["latest_run_state"] = q("""
+SELECT '2024-01' AS source_month, 'success' AS status,
+  CAST(count(*) AS BIGINT) AS source_rows,
+  CAST(count(*) FILTER (WHERE NOT is_rejected) AS BIGINT) AS accepted_rows,
+  CAST(count(*) FILTER (WHERE is_rejected) AS BIGINT) AS rejected_rows,
+  (SELECT CAST(count(*) AS BIGINT) FROM flagged WHERE any_flag) AS flagged_rows,
+  CAST(count(*) FILTER (WHERE NOT is_rejected) AS BIGINT) AS loaded_rows,
+  CAST(count(*) FILTER (WHERE NOT is_rejected) AS BIGINT) AS published_rows,
+  TRUE AS is_synthetic, '1' AS warehouse_version
+FROM classified""")
+
+ORACLES["quality_summary"] = qx(ISSUES, """
+SELECT source_month, issue_code, 'warning' AS severity, CAST(count(*) AS BIGINT) AS row_count
+FROM issues GROUP BY source_month, issue_code""")

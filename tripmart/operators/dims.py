@@ -122,18 +122,31 @@ def insert_missing(dim: DataFrame, candidates: DataFrame) -> DataFrame:
         candidates.filter(F.col("business_key") != 0)
         .dropDuplicates(["business_key"])
         .join(dim.select("business_key"), "business_key", "left_anti")
+        .select(
+            F.lit(None).cast("int").alias("surrogate_key"),
+            F.col("business_key").cast("int").alias("business_key"),
+            "label",
+            F.col("attributes").cast("string").alias("attributes"),
+            F.to_timestamp(F.lit(EPOCH)).alias("observed_from"),
+            F.lit(None).cast("timestamp").alias("observed_to"),
+            F.lit(True).alias("is_current"),
+        )
     )
-    top = dim.agg(F.coalesce(F.max("surrogate_key"), F.lit(0)).alias("_top"))
-    numbered = fresh.crossJoin(F.broadcast(top)).select(
-        (F.col("_top") + F.row_number().over(Window.orderBy("business_key"))).cast("int").alias("surrogate_key"),
-        F.col("business_key").cast("int"),
-        "label",
-        F.col("attributes").cast("string"),
-        F.to_timestamp(F.lit(EPOCH)).alias("observed_from"),
-        F.lit(None).cast("timestamp").alias("observed_to"),
-        F.lit(True).alias("is_current"),
-    )
-    return dim.select(*DIM_COLUMNS).unionByName(numbered)
+    return _number_new_rows(dim.select(*DIM_COLUMNS).unionByName(fresh))
+
+
+def _number_new_rows(rows: DataFrame) -> DataFrame:
+    """Give rows without a surrogate key ``max(existing) + row_number()`` by business key.
+
+    Both windows run over dimension rows only (small by nature), so no join is needed to
+    carry the current maximum to the new rows.
+    """
+    everything = Window.partitionBy()
+    top = F.coalesce(F.max("surrogate_key").over(everything), F.lit(0))
+    rank = F.row_number().over(Window.partitionBy(F.col("surrogate_key").isNull()).orderBy("business_key"))
+    return rows.withColumn(
+        "surrogate_key", F.coalesce(F.col("surrogate_key"), (top + rank).cast("int"))
+    ).select(*DIM_COLUMNS)
 
 
 def lookup_dimension(spark: SparkSession, lookup: dict[int, str]) -> DataFrame:
@@ -268,21 +281,15 @@ def scd2_merge(dim: DataFrame, snapshot: DataFrame, observed_at: Column) -> Data
         F.when(changed, F.lit(False)).otherwise(F.col("is_current")).alias("is_current"),
     )
     opened = j.filter(changed | new_key).select(
+        F.lit(None).cast("int").alias("surrogate_key"),
         F.col("_n_business_key").cast("int").alias("business_key"),
         F.col("_n_label").alias("label"),
         F.col("_n_attributes").alias("attributes"),
-    )
-    top = dim.agg(F.coalesce(F.max("surrogate_key"), F.lit(0)).alias("_top"))
-    numbered = opened.crossJoin(F.broadcast(top)).select(
-        (F.col("_top") + F.row_number().over(Window.orderBy("business_key"))).cast("int").alias("surrogate_key"),
-        "business_key",
-        "label",
-        "attributes",
         observed_at.cast("timestamp").alias("observed_from"),
         F.lit(None).cast("timestamp").alias("observed_to"),
         F.lit(True).alias("is_current"),
     )
-    return history.unionByName(kept).unionByName(numbered)
+    return _number_new_rows(history.unionByName(kept).unionByName(opened))
 
 
 def successor_bounds(versions: DataFrame) -> DataFrame:

@@ -152,3 +152,20 @@ def duplicate_identities(facts: DataFrame) -> DataFrame:
     return facts.groupBy("source_month").agg(
         (F.count(F.lit(1)) - F.count_distinct(ident)).alias("duplicate_rows")
     )
+
+
+def facts_with_business_keys(facts: DataFrame, dims: Dimensions) -> DataFrame:
+    """Facts with every surrogate replaced by its business key (surrogates are opaque)."""
+    out = facts
+    for fk, name in (
+        ("pickup_zone_key", "zone"),
+        ("dropoff_zone_key", "zone"),
+        ("payment_type_key", "payment"),
+        ("vendor_key", "vendor"),
+        ("rate_code_key", "rate"),
+    ):
+        side = dims.side(name, getattr(dims, name).select(
+            F.col("surrogate_key").alias("_sk"), F.col("business_key").alias("_bk")))
+        out = out.withColumnRenamed(fk, "_fk").join(side, F.col("_fk") == F.col("_sk"), "left")
+        out = out.withColumn(fk, F.col("_bk")).drop("_fk", "_sk", "_bk")
+    return out.select(*facts.columns)

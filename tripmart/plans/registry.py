@@ -1,37 +1,281 @@
 """Registered queries: one callable per operator family, each ``(spark, sf_dir) -> DataFrame``.
 
-Each builds the lazy trip model from the driver tables in ``sf_dir`` and returns one frame,
-so its work grows with the tables. Column names match the oracle SQL in ``oracle_queries``.
+Two kinds:
+
+* ETL operators (rules, issues, conversion, bounds) run on the lazy trip model built
+  straight from the driver tables in ``sf_dir``.
+* Warehouse queries (facts, mart, dashboard, explorer, ops) read the warehouse that the
+  publish job wrote from the same tables into the session's shared folder (published once
+  per session and input, then reused), exactly as the dashboard reads published tables.
+
+Column names match the oracle SQL in ``oracle_queries``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripmart.operators import compare as C
 from tripmart.operators import metrics as M
-from tripmart.plans.model import build_model
+from tripmart.operators import ops as O
+from tripmart.operators import outliers, rules
+from tripmart.operators.explorer import Cursor, explorer_page
+from tripmart.operators.fact import duplicate_identities, facts_with_business_keys, orphan_counts
+from tripmart.operators.mart import MART_KEYS, MART_MEASURES
+from tripmart.plans.model import TripModel, build_model
+from tripmart.plans.warehouse import Warehouse, warehouse_for
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# The driver tables hold January 2024 trips: dashboard filters span the whole month.
+# Dashboard parameters. The driver tables hold January 2024 trips.
 FULL_MONTH = M.DashboardFilters(date(2024, 1, 1), date(2024, 1, 31))
+FULL_MONTH_ALL_ROWS = M.DashboardFilters(date(2024, 1, 1), date(2024, 1, 31), include_outliers=True)
+# Second half of the month against the same-length span before it (H6 rule).
+SECOND_HALF = M.DashboardFilters(date(2024, 1, 16), date(2024, 1, 31))
+EXPLORER = M.ExplorerFilters(minimum_distance_miles=1.0, maximum_total_dollars=100.0)
+CURSOR = Cursor(datetime(2024, 1, 15, 12, 0, 0), 0)
+
+_MODELS: dict = {}
+
+
+def model(spark: SparkSession, sf_dir: str) -> TripModel:
+    key = (id(spark.sparkContext._jsc), sf_dir.rstrip("/"))
+    if key not in _MODELS:
+        _MODELS[key] = build_model(spark, sf_dir)
+    return _MODELS[key]
+
+
+def wh(spark: SparkSession, sf_dir: str) -> Warehouse:
+    return warehouse_for(spark, sf_dir)
+
+
+# --- ETL operators on the lazy model ------------------------------------------------------------
+
+
+def trip_reject_counts(spark, sf_dir):
+    """A1/A2: reconciliation counts."""
+    return model(spark, sf_dir).counts
+
+
+def reject_reason_histogram(spark, sf_dir):
+    """Rejected rows per reason code."""
+    return rules.reject_reason_histogram(model(spark, sf_dir).classified)
+
+
+def trip_issue_rows(spark, sf_dir):
+    """One row per flag per accepted row."""
+    return model(spark, sf_dir).issues
+
+
+def accepted_trips(spark, sf_dir):
+    """Accepted rows in integer units with the outlier flag."""
+    return model(spark, sf_dir).accepted
+
+
+def exact_bounds(spark, sf_dir):
+    """A21/A23 (exact variant): per-month quantile bounds."""
+    return model(spark, sf_dir).bounds
+
+
+def kll_bounds(spark, sf_dir):
+    """KLL sketch bounds (approximate; rows-only check)."""
+    return outliers.kll_bounds(model(spark, sf_dir).converted)
+
+
+def calibration_thresholds(spark, sf_dir):
+    """Threshold version from merged month sketches (rows-only check)."""
+    return outliers.calibrate(model(spark, sf_dir).converted)
+
+
+def source_fingerprint(spark, sf_dir):
+    """SHA-256 and size of the source file (rows-only: file bytes are not in the views)."""
+    from tripmart.sources.fingerprint import file_fingerprints, source_identity
+
+    return source_identity(file_fingerprints(spark, f"{sf_dir}/events.parquet"), "2024-01", "events")
+
+
+# --- warehouse: facts, integrity, dimensions ------------------------------------------------------
+
+
+def fact_trips(spark, sf_dir):
+    w = wh(spark, sf_dir)
+    return facts_with_business_keys(w.facts, w.dims).drop("source_asset_id", "source_version")
+
+
+def orphan_check(spark, sf_dir):
+    w = wh(spark, sf_dir)
+    return orphan_counts(w.facts, w.dims)
+
+
+def duplicate_check(spark, sf_dir):
+    return duplicate_identities(wh(spark, sf_dir).facts)
+
+
+def dim_date_month(spark, sf_dir):
+    return wh(spark, sf_dir).dims.date
+
+
+def hourly_mart(spark, sf_dir):
+    """A5 with business keys (surrogates resolved through the metrics view joins)."""
+    return wh(spark, sf_dir).metrics.select("source_month", *MART_KEYS, *MART_MEASURES)
+
+
+def metrics_view(spark, sf_dir):
+    return wh(spark, sf_dir).metrics
+
+
+# --- warehouse: dashboard aggregates --------------------------------------------------------------
+
+
+def kpis(spark, sf_dir):
+    return M.kpis(wh(spark, sf_dir).metrics, FULL_MONTH)
+
+
+def kpis_including_outliers(spark, sf_dir):
+    return M.kpis(wh(spark, sf_dir).metrics, FULL_MONTH_ALL_ROWS)
+
+
+def daily_metrics(spark, sf_dir):
+    return M.daily(wh(spark, sf_dir).metrics, FULL_MONTH)
+
+
+def hourly_metrics(spark, sf_dir):
+    return M.hourly(wh(spark, sf_dir).metrics, FULL_MONTH)
+
+
+def weekday_hour_heatmap(spark, sf_dir):
+    return M.heatmap(wh(spark, sf_dir).metrics, FULL_MONTH)
+
+
+def zone_metrics(spark, sf_dir):
+    return M.zones(wh(spark, sf_dir).metrics, FULL_MONTH)
+
+
+def breakdown_payment(spark, sf_dir):
+    return M.breakdown(wh(spark, sf_dir).metrics, FULL_MONTH, "payment_type")
+
+
+def breakdown_vendor(spark, sf_dir):
+    return M.breakdown(wh(spark, sf_dir).metrics, FULL_MONTH, "vendor")
+
+
+def breakdown_rate(spark, sf_dir):
+    return M.breakdown(wh(spark, sf_dir).metrics, FULL_MONTH, "rate_code")
+
+
+def revenue_components(spark, sf_dir):
+    return M.revenue_components(wh(spark, sf_dir).metrics, FULL_MONTH)
+
+
+def avg_fare_per_mile(spark, sf_dir):
+    return M.avg_fare_per_mile(wh(spark, sf_dir).facts)
+
+
+def peak_hours(spark, sf_dir):
+    w = wh(spark, sf_dir)
+    return M.peak_hours(w.facts, w.dims.time)
+
+
+def revenue_by_payment(spark, sf_dir):
+    w = wh(spark, sf_dir)
+    return M.revenue_by_payment(w.facts, w.dims, include_outliers=True)
+
+
+def revenue_by_payment_no_outliers(spark, sf_dir):
+    w = wh(spark, sf_dir)
+    return M.revenue_by_payment(w.facts, w.dims, include_outliers=False)
+
+
+def filter_options(spark, sf_dir):
+    return O.filter_options(wh(spark, sf_dir).metrics)
+
+
+def date_coverage(spark, sf_dir):
+    return O.date_coverage(wh(spark, sf_dir).metrics)
+
+
+# --- explorer, comparison ----------------------------------------------------------------------------
+
+
+def explorer_page_next(spark, sf_dir):
+    return explorer_page(wh(spark, sf_dir).explorer, FULL_MONTH, EXPLORER, CURSOR, "next")
+
+
+def explorer_page_previous(spark, sf_dir):
+    return explorer_page(wh(spark, sf_dir).explorer, FULL_MONTH, EXPLORER, CURSOR, "previous")
+
+
+def zone_movers(spark, sf_dir):
+    return C.zone_movers(wh(spark, sf_dir).metrics, SECOND_HALF)
+
+
+def payment_movers(spark, sf_dir):
+    return C.breakdown_movers(wh(spark, sf_dir).metrics, SECOND_HALF, "payment_type")
+
+
+def kpi_comparison(spark, sf_dir):
+    return C.kpi_comparison(wh(spark, sf_dir).metrics, SECOND_HALF)
+
+
+def zone_quantile_classes(spark, sf_dir):
+    return C.zone_choropleth(M.zones(wh(spark, sf_dir).metrics, FULL_MONTH), "trip_count")
+
+
+# --- ops -----------------------------------------------------------------------------------------------
 
 
-def revenue_by_payment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = build_model(spark, sf_dir)
-    return M.revenue_by_payment(m.facts, m.dims, include_outliers=True)
+def latest_run_state(spark, sf_dir):
+    w = wh(spark, sf_dir)
+    return O.publication_state(w.runs, w.assets).drop(
+        "published_at", "source_version", "threshold_version_id", "reference_snapshot_id"
+    )
 
 
-def revenue_by_payment_no_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = build_model(spark, sf_dir)
-    return M.revenue_by_payment(m.facts, m.dims, include_outliers=False)
+def quality_summary(spark, sf_dir):
+    return O.quality_summary(wh(spark, sf_dir).table("quality_result_summary"))
 
 
 QUERIES: dict[str, Query] = {
+    "trip_reject_counts": trip_reject_counts,
+    "reject_reason_histogram": reject_reason_histogram,
+    "trip_issue_rows": trip_issue_rows,
+    "accepted_trips": accepted_trips,
+    "exact_bounds": exact_bounds,
+    "kll_bounds": kll_bounds,
+    "calibration_thresholds": calibration_thresholds,
+    "source_fingerprint": source_fingerprint,
+    "fact_trips": fact_trips,
+    "orphan_check": orphan_check,
+    "duplicate_check": duplicate_check,
+    "dim_date_month": dim_date_month,
+    "hourly_mart": hourly_mart,
+    "metrics_view": metrics_view,
+    "kpis": kpis,
+    "kpis_including_outliers": kpis_including_outliers,
+    "daily_metrics": daily_metrics,
+    "hourly_metrics": hourly_metrics,
+    "weekday_hour_heatmap": weekday_hour_heatmap,
+    "zone_metrics": zone_metrics,
+    "breakdown_payment": breakdown_payment,
+    "breakdown_vendor": breakdown_vendor,
+    "breakdown_rate": breakdown_rate,
+    "revenue_components": revenue_components,
+    "avg_fare_per_mile": avg_fare_per_mile,
+    "peak_hours": peak_hours,
     "revenue_by_payment": revenue_by_payment,
     "revenue_by_payment_no_outliers": revenue_by_payment_no_outliers,
+    "filter_options": filter_options,
+    "date_coverage": date_coverage,
+    "explorer_page_next": explorer_page_next,
+    "explorer_page_previous": explorer_page_previous,
+    "zone_movers": zone_movers,
+    "payment_movers": payment_movers,
+    "kpi_comparison": kpi_comparison,
+    "zone_quantile_classes": zone_quantile_classes,
+    "latest_run_state": latest_run_state,
+    "quality_summary": quality_summary,
 }

@@ -568,3 +568,61 @@ FROM classified""")
 ORACLES["quality_summary"] = qx(ISSUES, """
 SELECT source_month, issue_code, 'warning' AS severity, CAST(count(*) AS BIGINT) AS row_count
 FROM issues GROUP BY source_month, issue_code""")
+
+_SECRET = r"(?i)\b(password|secret|token|authorization|cookie|credential|api[-_]?key)\s*[:=]\s*[^\s,;}]+"
+
+ORACLES["redacted_payloads"] = f"""
+SELECT doc_id,
+  substring(regexp_replace(text, '{_SECRET}', '\\1=[REDACTED]', 'g'), 1, 4000) AS event,
+  substring(regexp_replace(source, '{_SECRET}', '\\1=[REDACTED]', 'g'), 1, 4000) AS service,
+  '[REDACTED]' AS api_key,
+  '[OMITTED]' AS note
+FROM documents"""
+
+ZONE_SNAPSHOTS = """
+za AS (
+  SELECT n.n_nationkey + 1 AS business_key, n.n_name AS label,
+         'borough=' || r.r_name || ', service_zone=' || r.r_name AS attributes
+  FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey),
+cust AS (
+  SELECT n.n_nationkey + 1 AS business_key, r.r_name, COALESCE(c.customers, 0) AS customers
+  FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey
+  LEFT JOIN (SELECT c_nationkey, count(*) AS customers FROM customer GROUP BY c_nationkey) c
+    ON c.c_nationkey = n.n_nationkey),
+zb AS (
+  SELECT a.business_key, a.label,
+    'borough=' || c.r_name || ', service_zone=' ||
+      CASE WHEN c.customers > (SELECT avg(customers) FROM cust) THEN 'High demand' ELSE c.r_name END AS attributes
+  FROM za a JOIN cust c USING (business_key)),
+hist AS (
+  SELECT 0 AS business_key, 'Unknown' AS label, CAST(NULL AS VARCHAR) AS attributes,
+    TIMESTAMP '1970-01-01 00:00:00' AS observed_from, CAST(NULL AS TIMESTAMP) AS observed_to, TRUE AS is_current
+  UNION ALL
+  SELECT a.business_key, a.label, a.attributes, TIMESTAMP '2024-01-01 00:00:00',
+    CASE WHEN a.label IS DISTINCT FROM b.label OR a.attributes IS DISTINCT FROM b.attributes
+         THEN TIMESTAMP '2024-01-16 00:00:00' END,
+    NOT (a.label IS DISTINCT FROM b.label OR a.attributes IS DISTINCT FROM b.attributes)
+  FROM za a JOIN zb b USING (business_key)
+  UNION ALL
+  SELECT b.business_key, b.label, b.attributes, TIMESTAMP '2024-01-16 00:00:00', CAST(NULL AS TIMESTAMP), TRUE
+  FROM za a JOIN zb b USING (business_key)
+  WHERE a.label IS DISTINCT FROM b.label OR a.attributes IS DISTINCT FROM b.attributes)"""
+
+ORACLES["scd2_zone_history"] = qx(ZONE_SNAPSHOTS, "SELECT * FROM hist")
+
+ORACLES["asof_zone_join"] = qx(ZONE_SNAPSHOTS, """
+SELECT f.pickup_zone_key, h.attributes AS zone_attributes, CAST(count(*) AS BIGINT) AS trip_count
+FROM facts f LEFT JOIN hist h
+  ON h.business_key = f.pickup_zone_key AND h.observed_from <= f.pickup_at_local
+ AND (h.observed_to IS NULL OR f.pickup_at_local < h.observed_to)
+GROUP BY f.pickup_zone_key, h.attributes""")
+
+ORACLES["sliding_window_events"] = qx("""
+wb AS (SELECT payment_type_id, total_amount_cents, distance_millimiles,
+         epoch_us(pickup_at_local) // 900000000 * 900000000 AS b FROM converted),
+wx AS (SELECT payment_type_id, total_amount_cents, distance_millimiles, b - k * 900000000 AS s
+       FROM wb, (VALUES (CAST(0 AS BIGINT)), (1), (2), (3)) t(k))""", """
+SELECT make_timestamp(s) AS window_start, make_timestamp(s + 3600000000) AS window_end, payment_type_id,
+  CAST(count(*) AS BIGINT) AS trip_count, CAST(sum(total_amount_cents) AS BIGINT) AS total_amount_cents_sum,
+  CAST(sum(distance_millimiles) AS BIGINT) AS distance_millimiles_sum
+FROM wx GROUP BY s, payment_type_id""")

@@ -192,6 +192,30 @@ def zone_candidates_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def zone_demand_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A later zone snapshot on the driver tables: zones whose customer count is above the
+    average per zone move to service zone 'High demand' (an SCD2 attribute change)."""
+    base = zone_candidates_from_tables(spark, sf_dir)
+    nation = spark.read.parquet(f"{sf_dir}/nation.parquet").select("n_nationkey", "n_regionkey")
+    region = spark.read.parquet(f"{sf_dir}/region.parquet")
+    customers = (
+        spark.read.parquet(f"{sf_dir}/customer.parquet")
+        .groupBy("c_nationkey")
+        .agg(F.count(F.lit(1)).alias("customers"))
+    )
+    per_zone = nation.join(customers, nation.n_nationkey == customers.c_nationkey, "left").select(
+        (F.col("n_nationkey") + 1).cast("int").alias("business_key"),
+        "n_regionkey",
+        F.coalesce(F.col("customers"), F.lit(0)).alias("customers"),
+    )
+    busy = per_zone.withColumn("_avg", F.avg("customers").over(Window.partitionBy())).join(
+        F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey")
+    )
+    service = F.when(F.col("customers") > F.col("_avg"), F.lit("High demand")).otherwise(F.col("r_name"))
+    attrs = busy.select("business_key", zone_attributes(F.col("r_name"), service).alias("_attrs"))
+    return base.join(attrs, "business_key").select("business_key", "label", F.col("_attrs").alias("attributes"))
+
+
 def zone_candidates_from_csv(spark: SparkSession, path: str) -> DataFrame:
     """Zone lookup CSV (LocationID, Borough, Zone, service_zone); id 0 skipped by K5."""
     from tripmart.schema import ZONE_CSV
@@ -320,4 +344,7 @@ def asof_lookup(facts: DataFrame, dim: DataFrame, key_col: str, time_col: str, p
         & (F.col(f"_{prefix}_from") <= t)
         & (F.col(f"_{prefix}_to").isNull() | (t < F.col(f"_{prefix}_to")))
     )
-    return facts.join(F.broadcast(d), cond, "left").drop(f"_{prefix}_bk", f"_{prefix}_from", f"_{prefix}_to")
+    from tripmart.functions.joins import bounded_broadcast
+
+    side = bounded_broadcast(d)
+    return facts.join(side, cond, "left").drop(f"_{prefix}_bk", f"_{prefix}_from", f"_{prefix}_to")

@@ -239,6 +239,75 @@ def quality_summary(spark, sf_dir):
     return O.quality_summary(wh(spark, sf_dir).table("quality_result_summary"))
 
 
+def redacted_payloads(spark, sf_dir):
+    """H4 over alert-style payloads built from whole documents: text in a safe field (masked,
+    capped), a sensitive key, and a field outside the safe list."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    payload = F.to_json(
+        F.struct(
+            F.col("text").alias("event"),
+            F.col("source").alias("service"),
+            F.col("lang").alias("api_key"),
+            F.col("text").alias("note"),
+        )
+    )
+    red = O.redact_payload(payload)
+    return docs.select(
+        "doc_id",
+        red["event"].alias("event"),
+        red["service"].alias("service"),
+        red["api_key"].alias("api_key"),
+        red["note"].alias("note"),
+    )
+
+
+# SCD2: first snapshot at the month start, demand-based snapshot mid-month.
+SNAPSHOT_A = "2024-01-01 00:00:00"
+SNAPSHOT_B = "2024-01-16 00:00:00"
+
+
+def _zone_history(spark, sf_dir):
+    from tripmart.operators import dims as D
+
+    first = D.scd2_merge(D.empty_dimension(spark), D.zone_candidates_from_tables(spark, sf_dir),
+                         F.to_timestamp(F.lit(SNAPSHOT_A)))
+    return D.scd2_merge(first, D.zone_demand_snapshot(spark, sf_dir), F.to_timestamp(F.lit(SNAPSHOT_B)))
+
+
+def scd2_zone_history(spark, sf_dir):
+    """V1: observed-time SCD2 history after two snapshots (surrogates omitted: opaque)."""
+    h = _zone_history(spark, sf_dir)
+    return h.select(
+        "business_key",
+        "label",
+        "attributes",
+        F.col("observed_from").cast("timestamp_ntz").alias("observed_from"),
+        F.col("observed_to").cast("timestamp_ntz").alias("observed_to"),
+        "is_current",
+    )
+
+
+def asof_zone_join(spark, sf_dir):
+    """Each published trip pinned to the zone version valid at its pickup time."""
+    from tripmart.operators import dims as D
+
+    w = wh(spark, sf_dir)
+    facts = facts_with_business_keys(w.facts, w.dims).select("pickup_zone_key", "pickup_at_local")
+    pinned = D.asof_lookup(facts, _zone_history(spark, sf_dir), "pickup_zone_key", "pickup_at_local", "zone")
+    return pinned.groupBy("pickup_zone_key", F.col("zone_attributes")).agg(
+        F.count(F.lit(1)).alias("trip_count")
+    )
+
+
+def sliding_window_events(spark, sf_dir):
+    """Streaming rules + 1 h / 15 min sliding windows, upserted per micro-batch, read back."""
+    from tripmart.session import scratch_path
+    from tripmart.streaming.trips import run_sliding_windows
+
+    store, _ = run_sliding_windows(spark, sf_dir, scratch_path(spark, "stream", unique=True))
+    return store.read("trip_windows").drop("window_date")
+
+
 QUERIES: dict[str, Query] = {
     "trip_reject_counts": trip_reject_counts,
     "reject_reason_histogram": reject_reason_histogram,
@@ -278,4 +347,8 @@ QUERIES: dict[str, Query] = {
     "zone_quantile_classes": zone_quantile_classes,
     "latest_run_state": latest_run_state,
     "quality_summary": quality_summary,
+    "redacted_payloads": redacted_payloads,
+    "scd2_zone_history": scd2_zone_history,
+    "asof_zone_join": asof_zone_join,
+    "sliding_window_events": sliding_window_events,
 }

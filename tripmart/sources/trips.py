@@ -149,12 +149,17 @@ def _plus_seconds(ts: Column, seconds: Column) -> Column:
 
 
 def events_trip_view(spark: SparkSession, sf_dir: str, source_month: str = EVENTS_MONTH) -> DataFrame:
-    """Trips derived deterministically from ``events`` (the fixture view of the test tables).
+    """Trips derived deterministically from ``events`` (the fixture view of the test tables)."""
+    return trips_from_events(spark.read.parquet(f"{sf_dir}/events.parquet"), source_month)
+
+
+def trips_from_events(ev: DataFrame, source_month: str = EVENTS_MONTH) -> DataFrame:
+    """Map ``events`` rows (batch or stream) to raw trip rows.
 
     Each rule is a fixed residue of the row number, so every reject and flag rule fires on a
-    known share of rows. All expressions are built-in Column functions (codegen, no UDF).
+    known share of rows. All expressions are built-in Column functions (codegen, no UDF) and
+    row-local, so the same mapping serves a streaming source unchanged.
     """
-    ev = spark.read.parquet(f"{sf_dir}/events.parquet")
     rn = F.col("event_id") + F.lit(1)
     k = F.get_json_object("props", "$.k").cast("int")
     base = ev.select(

@@ -109,8 +109,9 @@ def build_facts(accepted: DataFrame, dims: Dimensions, source_asset_id=None, sou
 
 
 def orphan_counts(facts: DataFrame, dims: Dimensions) -> DataFrame:
-    """Orphan count per foreign key (must all be 0). One ``left_anti`` per key
-    against the (broadcast) dimension; each count is a single aggregate over the fact scan."""
+    """Orphan count per foreign key (must all be 0), in ONE pass over the facts:
+    each key is left-joined to its (size-checked, broadcast) dimension key set, a missing match
+    is counted with ``count_if``, and the single result row is unpivoted to one row per key."""
     checks = [
         ("pickup_zone_key", "zone", "surrogate_key"),
         ("dropoff_zone_key", "zone", "surrogate_key"),
@@ -122,15 +123,13 @@ def orphan_counts(facts: DataFrame, dims: Dimensions) -> DataFrame:
         checks += [("pickup_date_key", "date", "date_key"), ("dropoff_date_key", "date", "date_key")]
     if dims.time is not None:
         checks += [("pickup_time_key", "time", "time_key"), ("dropoff_time_key", "time", "time_key")]
-    frames = []
-    for fk, name, pk in checks:
-        keys = dims.side(name, getattr(dims, name).select(F.col(pk).alias("_pk")).distinct())
-        orphans = facts.select(fk).join(keys, F.col(fk) == F.col("_pk"), "left_anti")
-        frames.append(orphans.agg(F.count(F.lit(1)).alias("orphan_rows")).select(F.lit(fk).alias("foreign_key"), "orphan_rows"))
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+    df = facts.select(*[fk for fk, _, _ in checks])
+    for i, (fk, name, pk) in enumerate(checks):
+        keys = dims.side(name, getattr(dims, name).select(F.col(pk).alias(f"_pk{i}"), F.lit(True).alias(f"_hit{i}"))
+                         .dropDuplicates([f"_pk{i}"]))
+        df = df.join(keys, F.col(fk) == F.col(f"_pk{i}"), "left")
+    counts = df.agg(*[F.count_if(F.col(f"_hit{i}").isNull()).alias(fk) for i, (fk, _, _) in enumerate(checks)])
+    return counts.unpivot([], [fk for fk, _, _ in checks], "foreign_key", "orphan_rows")
 
 
 def null_key_counts(facts: DataFrame) -> DataFrame:

@@ -93,19 +93,31 @@ class PublishResult:
 # ---------------------------------------------------------------------------
 
 
+def _insert_if_new(spark: SparkSession, store: TableStore, table: str, candidates: DataFrame) -> None:
+    """K5 for one dimension: rewrite only when some candidate business key is missing."""
+    if not store.exists(table):
+        store.overwrite(table, D.insert_missing(D.empty_dimension(spark), candidates))
+        return
+    current = store.read(table)
+    missing = candidates.filter(F.col("business_key") != 0).join(current.select("business_key"), "business_key",
+                                                                    "left_anti")
+    if missing.limit(1).count():
+        store.overwrite(table, D.insert_missing(current, candidates))
+
+
 def publish_dimensions(spark: SparkSession, store: TableStore, zone_candidates: DataFrame,
                        months: list[str]) -> None:
     for table, lookup in REF_TABLES.items():
-        current = store.read(table) if store.exists(table) else D.empty_dimension(spark)
-        store.overwrite(table, D.insert_missing(current, D.lookup_dimension(spark, lookup)))
-    current = store.read("dim_taxi_zone") if store.exists("dim_taxi_zone") else D.empty_dimension(spark)
-    store.overwrite("dim_taxi_zone", D.insert_missing(current, zone_candidates))
+        cands = spark.createDataFrame([(k, v, None) for k, v in lookup.items()],
+                                      "business_key int, label string, attributes string")
+        _insert_if_new(spark, store, table, cands)
+    _insert_if_new(spark, store, "dim_taxi_zone", zone_candidates)
     month_df = spark.createDataFrame([(m,) for m in months], "source_month string")
     new_days = D.calendar_for_months(month_df)
-    if store.exists("dim_date"):
-        store.overwrite("dim_date", D.add_missing_days(store.read("dim_date"), new_days))
-    else:
+    if not store.exists("dim_date"):
         store.overwrite("dim_date", new_days)
+    elif new_days.join(store.read("dim_date").select("date_key"), "date_key", "left_anti").limit(1).count():
+        store.overwrite("dim_date", D.add_missing_days(store.read("dim_date"), new_days))
     if not store.exists("dim_time"):
         store.overwrite("dim_time", D.time_dimension(spark))
 

@@ -20,6 +20,9 @@ _LOCAL_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Fall back from whole-stage codegen when a generated method is too large for the JIT
+    # (HotSpot does not compile methods over 8,000 bytecodes): recommended on clusters too.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

@@ -59,6 +59,14 @@ _NONFINITE = " OR ".join(
     ]
 )
 
+_TOOBIG = " OR ".join(
+    f"COALESCE(abs({c}) >= {'9.2e15' if c == 'trip_distance' else '9.2e16'}, FALSE)"
+    for c in [
+        "trip_distance", "fare_amount", "total_amount", "extra", "mta_tax", "tip_amount",
+        "tolls_amount", "improvement_surcharge", "congestion_surcharge", "airport_fee",
+    ]
+)
+
 RULES = f"""
 rules AS (
   SELECT t.*,
@@ -75,14 +83,15 @@ rules AS (
     COALESCE(tpep_dropoff_datetime <= tpep_pickup_datetime, FALSE) AS r_dropoff_before_pickup,
     COALESCE(tpep_pickup_datetime IS NOT NULL AND tpep_dropoff_datetime >= {WINDOW_END}, FALSE)
       AS r_dropoff_after_window,
-    ({_NONFINITE}) AS r_non_finite_number
+    ({_NONFINITE}) AS r_non_finite_number,
+    NOT ({_NONFINITE}) AND ({_TOOBIG}) AS r_value_out_of_range
   FROM trips t),
 classified AS (
   SELECT r.*,
     (r_missing_pickup OR r_missing_dropoff OR r_missing_distance OR r_non_positive_distance
      OR r_missing_fare OR r_negative_fare OR r_missing_total OR r_negative_total
      OR r_pickup_before_month OR r_pickup_after_month OR r_dropoff_before_pickup
-     OR r_dropoff_after_window OR r_non_finite_number) AS is_rejected,
+     OR r_dropoff_after_window OR r_non_finite_number OR r_value_out_of_range) AS is_rejected,
     COALESCE("VendorID" NOT IN (0, 1, 2), TRUE) AS f_unknown_vendor,
     COALESCE(payment_type NOT IN (0, 1, 2, 3, 4, 5, 6), TRUE) AS f_unknown_payment,
     COALESCE("RatecodeID" NOT IN (0, 1, 2, 3, 4, 5, 6), TRUE) AS f_unknown_rate,
@@ -277,6 +286,7 @@ REJECT_RULES = [
     ("DROPOFF_BEFORE_PICKUP", "r_dropoff_before_pickup"),
     ("DROPOFF_AFTER_WINDOW", "r_dropoff_after_window"),
     ("NON_FINITE_NUMBER", "r_non_finite_number"),
+    ("VALUE_OUT_OF_RANGE", "r_value_out_of_range"),
 ]
 FLAG_RULES = [
     ("UNKNOWN_VENDOR", "f_unknown_vendor"),
@@ -626,3 +636,50 @@ SELECT make_timestamp(s) AS window_start, make_timestamp(s + 3600000000) AS wind
   CAST(count(*) AS BIGINT) AS trip_count, CAST(sum(total_amount_cents) AS BIGINT) AS total_amount_cents_sum,
   CAST(sum(distance_millimiles) AS BIGINT) AS distance_millimiles_sum
 FROM wx GROUP BY s, payment_type_id""")
+
+ORACLES["unknown_zone_issues"] = q("""
+SELECT '2024-01' AS source_month, issue_code, CAST(count(*) AS BIGINT) AS row_count FROM (
+  SELECT 'UNKNOWN_PICKUP_ZONE' AS issue_code FROM converted
+  WHERE pickup_location_id NOT IN (SELECT business_key FROM zone_dim WHERE business_key <> 0)
+  UNION ALL
+  SELECT 'UNKNOWN_DROPOFF_ZONE' FROM converted
+  WHERE dropoff_location_id NOT IN (SELECT business_key FROM zone_dim WHERE business_key <> 0))
+GROUP BY issue_code""")
+
+ORACLES["outlier_issue_rows"] = q("""
+SELECT '2024-01' AS source_month, source_row_number, 'STAT_OUTLIER_DURATION' AS issue_code,
+  duration_seconds AS metric_value, g.dur_lo AS low_bound, g.dur_hi AS high_bound
+FROM converted, gated g WHERE duration_seconds < g.dur_lo OR duration_seconds > g.dur_hi
+UNION ALL
+SELECT '2024-01', source_row_number, 'STAT_OUTLIER_DISTANCE', distance_millimiles, g.dist_lo, g.dist_hi
+FROM converted, gated g WHERE distance_millimiles < g.dist_lo OR distance_millimiles > g.dist_hi""")
+
+ORACLES["top_zones"] = qx(ZONES, "SELECT * FROM z ORDER BY trip_count DESC, pickup_zone_label LIMIT 20")
+
+ORACLES["peak_hour_headline"] = q(f"""
+SELECT pickup_hour, trip_count FROM (
+  SELECT pickup_hour, CAST(sum(trip_count) AS BIGINT) AS trip_count FROM mv WHERE {MONTH_WHERE} GROUP BY pickup_hour)
+ORDER BY trip_count DESC, pickup_hour LIMIT 1""")
+
+ORACLES["reconciliation_bars"] = q("""
+SELECT '2024-01' AS source_month,
+  CAST(count(*) AS BIGINT) AS source_rows,
+  CAST(count(*) FILTER (WHERE NOT is_rejected) AS BIGINT) AS accepted_rows,
+  CAST(count(*) FILTER (WHERE is_rejected) AS BIGINT) AS rejected_rows,
+  (SELECT CAST(count(*) AS BIGINT) FROM flagged WHERE any_flag) AS flagged_rows,
+  CASE WHEN count(*) > 0 THEN 100.0 * CAST(count(*) FILTER (WHERE is_rejected) AS DOUBLE) / CAST(count(*) AS DOUBLE)
+       ELSE 0.0 END AS reject_rate_percent,
+  CASE WHEN count(*) FILTER (WHERE NOT is_rejected) > 0
+       THEN 100.0 * CAST((SELECT count(*) FROM flagged WHERE any_flag) AS DOUBLE)
+            / CAST(count(*) FILTER (WHERE NOT is_rejected) AS DOUBLE) ELSE 0.0 END AS flag_rate_percent,
+  TRUE AS balanced
+FROM classified""")
+
+ORACLES["release_checks"] = q("""
+SELECT f.source_month, f.fact_rows, m.mart_trip_total, f.unknown_pickup_zone_rows,
+  f.fact_rows = m.mart_trip_total AS mart_matches_facts
+FROM (SELECT source_month, CAST(count(*) AS BIGINT) AS fact_rows,
+        CAST(count(*) FILTER (WHERE pickup_zone_key = 0) AS BIGINT) AS unknown_pickup_zone_rows
+      FROM facts GROUP BY source_month) f
+JOIN (SELECT source_month, CAST(sum(trip_count) AS BIGINT) AS mart_trip_total FROM mart GROUP BY source_month) m
+  USING (source_month)""")

@@ -155,3 +155,44 @@ def calibrate(converted_months: DataFrame, k: int = SKETCH_K, version_id: str |
         F.lit(HIGH_QUANTILE).alias("high_quantile"),
         F.explode(F.array(*rows)).alias("b"),
     ).select("threshold_version_id", "baseline_months", "k", "low_quantile", "high_quantile", "b.*")
+
+
+OUTLIER_CODES = {"duration_seconds": "STAT_OUTLIER_DURATION", "distance_millimiles": "STAT_OUTLIER_DISTANCE"}
+
+
+def outlier_issue_rows(converted: DataFrame, bounds: DataFrame) -> DataFrame:
+    """One issue row per metric a trip is an outlier on, with the value and the bounds.
+    Bounds are one row per month (broadcast, bounded by the months of the job)."""
+    j = converted.join(F.broadcast(bounds), on="source_month", how="inner")
+    parts = []
+    for metric, code in OUTLIER_CODES.items():
+        lo, hi, v = F.col(f"{metric}_low"), F.col(f"{metric}_high"), F.col(metric)
+        parts.append(
+            F.when(F.coalesce(v < lo, F.lit(False)) | F.coalesce(v > hi, F.lit(False)),
+                   F.struct(F.lit(code).alias("issue_code"), v.cast("bigint").alias("metric_value"),
+                            lo.alias("low_bound"), hi.alias("high_bound")))
+        )
+    return j.select("source_month", "source_row_number", F.explode(F.array_compact(F.array(*parts))).alias("i")).select(
+        "source_month", "source_row_number", "i.*")
+
+
+def derived_metric_sketch_bounds(converted: DataFrame, k: int = SKETCH_K, low: float = LOW_QUANTILE,
+                                 high: float = HIGH_QUANTILE) -> DataFrame:
+    """KLL bounds of speed (mph) and fare per mile (dollars) per month. These metrics are
+    continuous, so a value->count map would not be bounded: the sketch is the scalable form."""
+    speed = F.when(F.col("duration_seconds") > 0,
+                   F.col("distance_millimiles") * 3.6 / F.col("duration_seconds"))
+    fpm = F.when(F.col("distance_millimiles") > 0, F.col("fare_amount_cents") * 10.0 / F.col("distance_millimiles"))
+    g = converted.groupBy("source_month").agg(
+        F.call_function("kll_sketch_agg_double", speed, F.lit(k)).alias("speed_mph_sketch"),
+        F.call_function("kll_sketch_agg_double", fpm, F.lit(k)).alias("fare_per_mile_sketch"),
+    )
+    cols = ["source_month"]
+    out = [F.col("source_month")]
+    for m in ("speed_mph", "fare_per_mile"):
+        sk = F.col(f"{m}_sketch")
+        n = F.call_function("kll_sketch_get_n_double", sk)
+        q = F.call_function("kll_sketch_get_quantile_double", sk, F.array(F.lit(low), F.lit(high)))
+        out += [n.alias(f"{m}_n"), F.when(n > 0, q[0]).alias(f"{m}_low"), F.when(n > 0, q[1]).alias(f"{m}_high")]
+    del cols
+    return g.select(*out)

@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripmart.schema import (
+    MAX_DOLLARS,
+    MAX_MILES,
     MONTH_WINDOW_HOURS,
     NON_FINITE_COLUMNS,
     NULLABLE_MONEY_FLAGS,
@@ -66,6 +68,9 @@ def reject_masks(columns: list[str] | None = None) -> list[tuple[str, Column]]:
     window_end = end + F.expr(f"INTERVAL {MONTH_WINDOW_HOURS} HOURS")
     present = [c for c in NON_FINITE_COLUMNS if columns is None or c in columns]
     non_finite = reduce(or_, [_non_finite(c) for c in present]) if present else F.lit(False)
+    # A finite value whose integer unit would overflow bigint (an ANSI cast would fail the job).
+    too_big = [F.abs(F.col(c)) >= (MAX_MILES if c == "trip_distance" else MAX_DOLLARS) for c in present]
+    out_of_range = reduce(or_, too_big) & ~non_finite if too_big else F.lit(False)
     masks = [
         ("MISSING_PICKUP", pickup.isNull()),
         ("MISSING_DROPOFF", dropoff.isNull()),
@@ -80,6 +85,7 @@ def reject_masks(columns: list[str] | None = None) -> list[tuple[str, Column]]:
         ("DROPOFF_BEFORE_PICKUP", both & (dropoff <= pickup)),
         ("DROPOFF_AFTER_WINDOW", both & (dropoff >= window_end)),
         ("NON_FINITE_NUMBER", non_finite),
+        ("VALUE_OUT_OF_RANGE", out_of_range),
     ]
     return [(code, F.coalesce(mask, F.lit(False))) for code, mask in masks]
 
@@ -207,3 +213,38 @@ def gate_reconciliation(counts: DataFrame, warn_reject_percent: float | None = N
         if warn_reject_percent is not None and row.reject_percent > warn_reject_percent:
             warnings.append(f"{row.source_month}: reject rate {row.reject_percent:.2f}%")
     return warnings
+
+
+def zone_issue_rows(accepted: DataFrame, zone_keys: DataFrame) -> DataFrame:
+    """UNKNOWN_PICKUP_ZONE / UNKNOWN_DROPOFF_ZONE issue rows for accepted trips whose
+    location id is not a current zone (the fact maps them to key 0). ``zone_keys`` is the small
+    set of current zone business keys; both lookups are broadcast left joins, no shuffle."""
+    keys = F.broadcast(zone_keys.select(F.col("business_key").alias("_zk")).distinct())
+    pu = accepted.join(keys, F.col("pickup_location_id") == F.col("_zk"), "left").withColumn(
+        "_pu_unknown", F.col("_zk").isNull()).drop("_zk")
+    both = pu.join(keys, F.col("dropoff_location_id") == F.col("_zk"), "left").withColumn(
+        "_do_unknown", F.col("_zk").isNull()).drop("_zk")
+    codes = F.array_compact(F.array(
+        F.when(F.col("_pu_unknown"), F.lit("UNKNOWN_PICKUP_ZONE")),
+        F.when(F.col("_do_unknown"), F.lit("UNKNOWN_DROPOFF_ZONE")),
+    ))
+    return both.filter(F.col("_pu_unknown") | F.col("_do_unknown")).select(
+        "source_month", "source_row_number", F.explode(codes).alias("issue_code"))
+
+
+def dst_wall_time_flags(ts: Column, zone: str = "America/New_York") -> tuple[Column, Column]:
+    """(nonexistent, ambiguous) for a wall-clock TIMESTAMP_NTZ in ``zone``.
+
+    Nonexistent: the wall time does not survive a round trip through UTC (spring-forward gap).
+    Ambiguous: the same wall time is also reached one hour earlier or later in UTC (fall-back
+    overlap). Built from ``to_utc_timestamp`` / ``from_utc_timestamp`` only.
+    """
+    wall = ts.cast("timestamp")
+    utc = F.to_utc_timestamp(wall, zone)
+    back = F.from_utc_timestamp(utc, zone)
+    hour = F.expr("INTERVAL 1 HOUR")
+    nonexistent = back != wall
+    ambiguous = ~nonexistent & (
+        (F.from_utc_timestamp(utc + hour, zone) == wall) | (F.from_utc_timestamp(utc - hour, zone) == wall)
+    )
+    return nonexistent, ambiguous

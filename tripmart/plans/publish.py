@@ -167,7 +167,16 @@ def publish(
     dag_id: str = "local",
     fail_reject_percent: float | None = None,
     warn_reject_percent: float | None = None,
+    threshold_version_id: str | None = None,
 ) -> PublishResult:
+    """Publish the months of ``assets`` from ``raw``.
+
+    ``bounds_method``: 'exact' (per-month exact quantiles, default), 'kll' (per-month sketch)
+    or 'version' (a saved calibrated threshold version; the active one when
+    ``threshold_version_id`` is None).
+    """
+    from tripmart.plans import thresholds as TH
+
     months = sorted(a.source_month for a in assets)
     started = _dt.datetime.now(_dt.timezone.utc)
     publish_dimensions(spark, store, zone_candidates, months)
@@ -189,7 +198,15 @@ def publish(
     # 3. bounds, pinned per month, then facts
     accepted_stage = stage.filter(~F.col("is_rejected"))
     converted = convert_accepted(accepted_stage)
-    bounds = outliers.exact_bounds(converted) if bounds_method == "exact" else outliers.kll_bounds(converted)
+    if bounds_method == "version":
+        threshold_version_id = threshold_version_id or TH.active_version_id(store)
+        if threshold_version_id is None:
+            raise ValueError("bounds_method='version' needs a saved, activated threshold version")
+        bounds = TH.version_bounds_for_months(spark, store, threshold_version_id, months)
+    elif bounds_method == "kll":
+        bounds = outliers.kll_bounds(converted)
+    else:
+        bounds = outliers.exact_bounds(converted)
     store.replace_partitions("outlier_bounds", bounds, months)
     pinned = store.read("outlier_bounds").filter(F.col("source_month").isin(months))
     accepted = outliers.mark_outliers(converted, pinned)
@@ -220,7 +237,9 @@ def publish(
 
     # 7. source assets (K6 upsert) and run records (K10), last
     upsert_assets(spark, store, assets, counts)
-    run_ids = record_runs(spark, store, counts, assets, status, started, dag_id)
+    snapshot = TH.reference_snapshot_id(dims.zone).first()[0]  # one hash over dimension rows
+    run_ids = record_runs(spark, store, counts, assets, status, started, dag_id,
+                          threshold_version_id=threshold_version_id, reference_snapshot_id=snapshot)
     if status != "success":
         raise RuntimeError(f"publish gates failed: out_of_month={out_of_month} duplicates={dup} orphans={orphans}")
     return PublishResult(run_ids=run_ids, counts=counts, warnings=warnings)
@@ -259,7 +278,8 @@ def upsert_assets(spark: SparkSession, store: TableStore, assets: list[SourceAss
 
 
 def record_runs(spark: SparkSession, store: TableStore, counts: list[dict], assets: list[SourceAsset],
-                status: str, started: _dt.datetime, dag_id: str = "local") -> dict:
+                status: str, started: _dt.datetime, dag_id: str = "local", threshold_version_id: str | None = None,
+                reference_snapshot_id: str | None = None) -> dict:
     """Append one run row per month (ids continue after the current maximum)."""
     finished = _dt.datetime.now(_dt.timezone.utc)
     first = _next_run_id(store)
@@ -273,7 +293,7 @@ def record_runs(spark: SparkSession, store: TableStore, counts: list[dict], asse
                 first + i, dag_id, f"{dag_id}-{a.source_month}-{a.source_version[:12]}", "publish_month",
                 a.source_month, status, started, finished, (finished - started).total_seconds(),
                 c.get("source_rows", 0), c.get("accepted_rows", 0), c.get("rejected_rows", 0),
-                c.get("flagged_rows", 0), a.source_version, None, None,
+                c.get("flagged_rows", 0), a.source_version, threshold_version_id, reference_snapshot_id,
             )
         )
     store.append("pipeline_run", spark.createDataFrame(rows, RUN_SCHEMA))

@@ -308,6 +308,51 @@ def sliding_window_events(spark, sf_dir):
     return store.read("trip_windows").drop("window_date")
 
 
+def unknown_zone_issues(spark, sf_dir):
+    """Accepted trips whose pickup / dropoff location is not a known zone, per code."""
+    from tripmart.operators.dims import current_keys
+
+    m = model(spark, sf_dir)
+    rows = rules.zone_issue_rows(m.converted, current_keys(m.dims.zone))
+    return rows.groupBy("source_month", "issue_code").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+def outlier_issue_rows(spark, sf_dir):
+    """Per-metric outlier issue rows with the value and the bounds."""
+    m = model(spark, sf_dir)
+    return outliers.outlier_issue_rows(m.converted, m.bounds)
+
+
+def derived_metric_bounds(spark, sf_dir):
+    """KLL bounds of speed and fare per mile (approximate; rows-only check)."""
+    return outliers.derived_metric_sketch_bounds(model(spark, sf_dir).converted)
+
+
+def top_zones(spark, sf_dir):
+    from tripmart.plans.dashboard import top_zones as tz
+
+    return tz(M.zones(wh(spark, sf_dir).metrics, FULL_MONTH), 20)
+
+
+def peak_hour_headline(spark, sf_dir):
+    from tripmart.plans.dashboard import peak_hour
+
+    return peak_hour(M.hourly(wh(spark, sf_dir).metrics, FULL_MONTH))
+
+
+def reconciliation_bars(spark, sf_dir):
+    from tripmart.plans.dashboard import reconciliation
+
+    w = wh(spark, sf_dir)
+    return reconciliation(w.runs, w.assets)
+
+
+def release_checks(spark, sf_dir):
+    from tripmart.plans.dashboard import release_checks as rc
+
+    return rc(wh(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     "trip_reject_counts": trip_reject_counts,
     "reject_reason_histogram": reject_reason_histogram,
@@ -351,4 +396,11 @@ QUERIES: dict[str, Query] = {
     "scd2_zone_history": scd2_zone_history,
     "asof_zone_join": asof_zone_join,
     "sliding_window_events": sliding_window_events,
+    "unknown_zone_issues": unknown_zone_issues,
+    "outlier_issue_rows": outlier_issue_rows,
+    "derived_metric_bounds": derived_metric_bounds,
+    "top_zones": top_zones,
+    "peak_hour_headline": peak_hour_headline,
+    "reconciliation_bars": reconciliation_bars,
+    "release_checks": release_checks,
 }

@@ -72,6 +72,7 @@ REJECT_CODES = [
     "DROPOFF_BEFORE_PICKUP",
     "DROPOFF_AFTER_WINDOW",
     "NON_FINITE_NUMBER",
+    "VALUE_OUT_OF_RANGE",
 ]
 
 # Quality flag codes written as issue rows, in issue order.
@@ -118,6 +119,10 @@ NON_FINITE_COLUMNS = [
     "airport_fee",
 ]
 
+# Largest magnitude whose integer unit (cents = x100, millimiles = x1000) still fits a bigint.
+MAX_DOLLARS = 9.2e16
+MAX_MILES = 9.2e15
+
 # Dropoff may fall this many hours after the month end.
 MONTH_WINDOW_HOURS = 24
 

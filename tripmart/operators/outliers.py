@@ -132,6 +132,28 @@ def mark_outliers(converted: DataFrame, bounds: DataFrame) -> DataFrame:
     )
 
 
+def mark_outliers_pinned(converted: DataFrame, bounds: DataFrame) -> DataFrame:
+    """P22 with bounds read once (one row per month, four numbers each) and applied as literals.
+
+    No join: the predicate is a CASE over the job's months, constant-folded per month. Reading
+    the bounds once also pins them, so a sketch-based bound cannot differ between two branches
+    of one plan. Use when ``source_month`` is a literal (a single file), where a join on it
+    would fold into a nested-loop join.
+    """
+    rows = bounds.collect()  # one row per month of the job
+    names = [f"{m}_{side}" for m in METRICS for side in ("low", "high")]
+    flag = F.lit(False)
+    for r in reversed(rows):
+        lit_bounds = {n: F.lit(r[n]).cast("bigint") for n in names}
+        tests = []
+        for metric in METRICS:
+            v = F.col(metric)
+            lo, hi = lit_bounds[f"{metric}_low"], lit_bounds[f"{metric}_high"]
+            tests.append(F.coalesce(v < lo, F.lit(False)) | F.coalesce(v > hi, F.lit(False)))
+        flag = F.when(F.col("source_month") == F.lit(r["source_month"]), reduce(lambda a, b: a | b, tests)).otherwise(flag)
+    return converted.withColumn("has_statistical_outlier", flag)
+
+
 def calibrate(converted_months: DataFrame, k: int = SKETCH_K, version_id: str | None = None) -> DataFrame:
     """Baseline calibration over several months into one threshold version (long form:
     one row per metric). Sketches are built per month, merged, then read once."""

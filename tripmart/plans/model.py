@@ -26,11 +26,15 @@ class TripModel:
     classified: DataFrame
     converted: DataFrame
     bounds: DataFrame
-    accepted: DataFrame
     dims: Dimensions
     source_asset_id: object = None
     source_version: object = None
 
+    @cached_property
+    def accepted(self) -> DataFrame:
+        """Converted rows with the outlier flag; bounds are read once (one row per month)."""
+        return outliers.mark_outliers_pinned(self.converted, self.bounds)
+
     @cached_property
     def rejected(self) -> DataFrame:
         return rules.rejected_rows(self.classified)
@@ -99,14 +103,12 @@ def build_model(
         bounds = outliers.kll_bounds(converted)
     else:
         raise ValueError("bounds_method must be 'exact' or 'kll'")
-    accepted = outliers.mark_outliers(converted, bounds)
     dims = dims or reference_dimensions(spark, sf_dir, months)
     return TripModel(
         raw=raw,
         classified=classified,
         converted=converted,
         bounds=bounds,
-        accepted=accepted,
         dims=dims,
         source_asset_id=source_asset_id,
         source_version=source_version,

@@ -108,7 +108,7 @@ def build_facts(accepted: DataFrame, dims: Dimensions, source_asset_id=None, sou
     )
 
 
-def orphan_counts(facts: DataFrame, dims: Dimensions) -> DataFrame:
+def orphan_counts(facts: DataFrame, dims: Dimensions, extra: dict | None = None) -> DataFrame:
     """Orphan count per foreign key (must all be 0), in ONE pass over the facts:
     each key is left-joined to its (size-checked, broadcast) dimension key set, a missing match
     is counted with ``count_if``, and the single result row is unpivoted to one row per key."""
@@ -123,13 +123,16 @@ def orphan_counts(facts: DataFrame, dims: Dimensions) -> DataFrame:
         checks += [("pickup_date_key", "date", "date_key"), ("dropoff_date_key", "date", "date_key")]
     if dims.time is not None:
         checks += [("pickup_time_key", "time", "time_key"), ("dropoff_time_key", "time", "time_key")]
-    df = facts.select(*[fk for fk, _, _ in checks])
+    extra = extra or {}
+    df = facts if extra else facts.select(*[fk for fk, _, _ in checks])
     for i, (fk, name, pk) in enumerate(checks):
         keys = dims.side(name, getattr(dims, name).select(F.col(pk).alias(f"_pk{i}"), F.lit(True).alias(f"_hit{i}"))
                          .dropDuplicates([f"_pk{i}"]))
         df = df.join(keys, F.col(fk) == F.col(f"_pk{i}"), "left")
-    counts = df.agg(*[F.count_if(F.col(f"_hit{i}").isNull()).alias(fk) for i, (fk, _, _) in enumerate(checks)])
-    return counts.unpivot([], [fk for fk, _, _ in checks], "foreign_key", "orphan_rows")
+    aggs = [F.count_if(F.col(f"_hit{i}").isNull()).alias(fk) for i, (fk, _, _) in enumerate(checks)]
+    aggs += [agg.cast("bigint").alias(name) for name, agg in extra.items()]
+    counts = df.agg(*aggs)
+    return counts.unpivot([], [fk for fk, _, _ in checks] + list(extra), "foreign_key", "orphan_rows")
 
 
 def null_key_counts(facts: DataFrame) -> DataFrame:

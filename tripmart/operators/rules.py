@@ -191,27 +191,24 @@ def reject_rate_percent(rejected: Column, source: Column) -> Column:
     return F.when(source > 0, F.lit(100.0) * rejected.cast("double") / source.cast("double")).otherwise(F.lit(0.0))
 
 
-def gate_reconciliation(counts: DataFrame, warn_reject_percent: float | None = None,
+def gate_reconciliation(counts, warn_reject_percent: float | None = None,
                         fail_reject_percent: float | None = None) -> list[str]:
     """source = accepted + rejected, flagged <= accepted, optional reject-rate limits.
 
-    Reads only the tiny per-month counts frame. Returns warnings; raises on a failure.
+    ``counts`` is the per-month counts frame or its already collected rows (one per month).
+    Returns warnings; raises on a failure.
     """
-    rate = reject_rate_percent(F.col("rejected_rows"), F.col("source_rows"))
-    bad = counts.select(
-        "source_month",
-        (F.col("source_rows") != F.col("accepted_rows") + F.col("rejected_rows")).alias("unbalanced"),
-        (F.col("flagged_rows") > F.col("accepted_rows")).alias("overflagged"),
-        rate.alias("reject_percent"),
-    ).collect()  # one row per month
+    rows = counts if isinstance(counts, list) else [r.asDict() for r in counts.collect()]
     warnings = []
-    for row in bad:
-        if row.unbalanced or row.overflagged:
-            raise RuntimeError(f"reconciliation failed for {row.source_month}: {row.asDict()}")
-        if fail_reject_percent is not None and row.reject_percent > fail_reject_percent:
-            raise RuntimeError(f"reject rate {row.reject_percent:.2f}% above {fail_reject_percent}%")
-        if warn_reject_percent is not None and row.reject_percent > warn_reject_percent:
-            warnings.append(f"{row.source_month}: reject rate {row.reject_percent:.2f}%")
+    for row in rows:
+        src, acc, rej, flg = (int(row[k]) for k in ("source_rows", "accepted_rows", "rejected_rows", "flagged_rows"))
+        if src != acc + rej or flg > acc:
+            raise RuntimeError(f"reconciliation failed for {row['source_month']}: {row}")
+        pct = 100.0 * rej / src if src else 0.0
+        if fail_reject_percent is not None and pct > fail_reject_percent:
+            raise RuntimeError(f"reject rate {pct:.2f}% above {fail_reject_percent}%")
+        if warn_reject_percent is not None and pct > warn_reject_percent:
+            warnings.append(f"{row['source_month']}: reject rate {pct:.2f}%")
     return warnings
 
 

@@ -16,6 +16,10 @@ Execution shape (per job, any number of months):
 from __future__ import annotations
 
 import datetime as _dt
+import logging
+import os
+import time
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -71,6 +75,20 @@ ASSET_SCHEMA = T.StructType(
 )
 
 
+_LOG = logging.getLogger("tripmart.publish")
+
+
+@contextmanager
+def _step(name: str, timings: dict):
+    """Record a step's wall time; printed when ``TRIPMART_TRACE`` is set."""
+    t0 = time.perf_counter()
+    yield
+    timings[name] = round(time.perf_counter() - t0, 3)
+    if os.environ.get("TRIPMART_TRACE"):
+        print(f"[publish] {name}: {timings[name]:.2f}s", flush=True)
+    _LOG.info("publish step %s took %.2fs", name, timings[name])
+
+
 @dataclass
 class SourceAsset:
     source_month: str
@@ -86,6 +104,7 @@ class PublishResult:
     run_ids: dict
     counts: list
     warnings: list
+    timings: dict | None = None
 
 
 # ---------------------------------------------------------------------------
@@ -93,25 +112,34 @@ class PublishResult:
 # ---------------------------------------------------------------------------
 
 
-def _insert_if_new(spark: SparkSession, store: TableStore, table: str, candidates: DataFrame) -> None:
-    """K5 for one dimension: rewrite only when some candidate business key is missing."""
-    if not store.exists(table):
-        store.overwrite(table, D.insert_missing(D.empty_dimension(spark), candidates))
-        return
-    current = store.read(table)
-    missing = candidates.filter(F.col("business_key") != 0).join(current.select("business_key"), "business_key",
-                                                                    "left_anti")
-    if missing.limit(1).count():
-        store.overwrite(table, D.insert_missing(current, candidates))
-
-
 def publish_dimensions(spark: SparkSession, store: TableStore, zone_candidates: DataFrame,
                        months: list[str]) -> None:
-    for table, lookup in REF_TABLES.items():
-        cands = spark.createDataFrame([(k, v, None) for k, v in lookup.items()],
-                                      "business_key int, label string, attributes string")
-        _insert_if_new(spark, store, table, cands)
-    _insert_if_new(spark, store, "dim_taxi_zone", zone_candidates)
+    """Insert missing reference rows and calendar days.
+
+    The four reference dimensions share one schema: which of them miss a business key is one
+    small job, and all that need rows are rewritten by one write job (``overwrite_many``).
+    """
+    from functools import reduce
+
+    candidates = {
+        table: spark.createDataFrame([(k, v, None) for k, v in lookup.items()],
+                                     "business_key int, label string, attributes string")
+        for table, lookup in REF_TABLES.items()
+    }
+    candidates["dim_taxi_zone"] = zone_candidates
+    current = {t: store.read(t) if store.exists(t) else D.empty_dimension(spark) for t in candidates}
+    stale = [t for t in candidates if not store.exists(t)]
+    existing = [t for t in candidates if t not in stale]
+    if existing:
+        probes = [
+            candidates[t].filter(F.col("business_key") != 0)
+            .join(current[t].select("business_key"), "business_key", "left_anti")
+            .select(F.lit(t).alias("t")).limit(1)
+            for t in existing
+        ]
+        stale += [r.t for r in reduce(lambda a, b: a.unionByName(b), probes).collect()]  # <= 4 rows
+    store.overwrite_many({t: D.insert_missing(current[t], candidates[t]) for t in stale})
+
     month_df = spark.createDataFrame([(m,) for m in months], "source_month string")
     new_days = D.calendar_for_months(month_df)
     if not store.exists("dim_date"):
@@ -179,70 +207,90 @@ def publish(
 
     months = sorted(a.source_month for a in assets)
     started = _dt.datetime.now(_dt.timezone.utc)
-    publish_dimensions(spark, store, zone_candidates, months)
-    dims = read_dimensions(store)
+    timings: dict = {}
+    with _step("dimensions", timings):
+        publish_dimensions(spark, store, zone_candidates, months)
+        dims = read_dimensions(store)
 
     # 1. classify once into a month x outcome partitioned stage (cuts lineage, pruned reads)
     stage_path = f"{store.root}/_work/stage-{started.strftime('%Y%m%d%H%M%S%f')}"
-    staged = rules.classify(raw).select(*STAGE_COLUMNS)
-    staged.write.partitionBy("source_month", "is_rejected").parquet(stage_path)
-    stage = spark.read.schema(staged.schema).parquet(stage_path)
-    counts_df = rules.reconciliation_counts(stage)
-    counts = [r.asDict() for r in counts_df.collect()]  # one row per month
-    warnings = rules.gate_reconciliation(counts_df, warn_reject_percent, fail_reject_percent)
+    with _step("stage", timings):
+        staged = rules.classify(raw).select(*STAGE_COLUMNS)
+        staged.write.partitionBy("source_month", "is_rejected").parquet(stage_path)
+        stage = spark.read.schema(staged.schema).parquet(stage_path)
+    with _step("counts", timings):
+        counts = [r.asDict() for r in rules.reconciliation_counts(stage).collect()]  # one row per month
+        warnings = rules.gate_reconciliation(counts, warn_reject_percent, fail_reject_percent)
 
     # 2. quarantine (K1): rejected rows with their reason codes, month replace
-    rejected = stage.filter(F.col("is_rejected")).drop("is_rejected", "has_quality_issue", "issue_codes")
-    store.replace_partitions("quarantine_rejected", rejected, months)
+    with _step("quarantine", timings):
+        rejected = stage.filter(F.col("is_rejected")).drop("is_rejected", "has_quality_issue", "issue_codes")
+        store.replace_partitions("quarantine_rejected", rejected, months)
 
     # 3. bounds, pinned per month, then facts
     accepted_stage = stage.filter(~F.col("is_rejected"))
     converted = convert_accepted(accepted_stage)
-    if bounds_method == "version":
-        threshold_version_id = threshold_version_id or TH.active_version_id(store)
-        if threshold_version_id is None:
-            raise ValueError("bounds_method='version' needs a saved, activated threshold version")
-        bounds = TH.version_bounds_for_months(spark, store, threshold_version_id, months)
-    elif bounds_method == "kll":
-        bounds = outliers.kll_bounds(converted)
-    else:
-        bounds = outliers.exact_bounds(converted)
-    store.replace_partitions("outlier_bounds", bounds, months)
-    pinned = store.read("outlier_bounds").filter(F.col("source_month").isin(months))
-    accepted = outliers.mark_outliers(converted, pinned)
-    ident = spark.createDataFrame(
-        [(a.source_month, a.source_asset_id, a.source_version) for a in assets],
-        "source_month string, _asset string, _version string",
-    )
-    with_ident = accepted.join(F.broadcast(ident), "source_month", "left")  # one row per month
-    facts = build_facts(with_ident, dims, F.col("_asset"), F.col("_version"))
-    store.replace_partitions("fact_trips", facts, months, sort_within=["pickup_at_local", "source_row_number"])
+    with _step("bounds", timings):
+        if bounds_method == "version":
+            threshold_version_id = threshold_version_id or TH.active_version_id(store)
+            if threshold_version_id is None:
+                raise ValueError("bounds_method='version' needs a saved, activated threshold version")
+            bounds = TH.version_bounds_for_months(spark, store, threshold_version_id, months)
+        elif bounds_method == "kll":
+            bounds = outliers.kll_bounds(converted)
+        else:
+            bounds = outliers.exact_bounds(converted)
+        store.replace_partitions("outlier_bounds", bounds, months)
+        pinned = store.read("outlier_bounds").filter(F.col("source_month").isin(months))
+    with _step("facts", timings):
+        accepted = outliers.mark_outliers(converted, pinned)
+        ident = spark.createDataFrame(
+            [(a.source_month, a.source_asset_id, a.source_version) for a in assets],
+            "source_month string, _asset string, _version string",
+        )
+        with_ident = accepted.join(F.broadcast(ident), "source_month", "left")  # one row per month
+        facts = build_facts(with_ident, dims, F.col("_asset"), F.col("_version"))
+        store.replace_partitions("fact_trips", facts, months, sort_within=["pickup_at_local", "source_row_number"])
 
     # 4. issues (K8) and their summary (K7)
-    issues = rules.issue_rows(accepted_stage).withColumn("severity", F.lit("warning"))
-    store.replace_partitions("trip_quality_issue", issues, months)
-    written_issues = store.read("trip_quality_issue").filter(F.col("source_month").isin(months))
-    store.replace_partitions("quality_result_summary", rules.issue_summary(written_issues), months)
+    with _step("issues", timings):
+        issues = rules.issue_rows(accepted_stage).withColumn("severity", F.lit("warning"))
+        store.replace_partitions("trip_quality_issue", issues, months)
+        written_issues = store.read("trip_quality_issue").filter(F.col("source_month").isin(months))
+        store.replace_partitions("quality_result_summary", rules.issue_summary(written_issues), months)
 
     # 5. mart (K9) from the written facts
-    written = store.read("fact_trips").filter(F.col("source_month").isin(months))
-    store.replace_partitions("trip_metrics_hourly", hourly_mart(written), months)
+    with _step("mart", timings):
+        written = store.read("fact_trips").filter(F.col("source_month").isin(months))
+        store.replace_partitions("trip_metrics_hourly", hourly_mart(written), months)
 
-    # 6. gates on what was written: month bounds (K4), duplicates (G3), orphans
-    lo, hi = rules.month_key_bounds("source_month")
-    out_of_month = written.filter((F.col("pickup_date_key") < lo) | (F.col("pickup_date_key") >= hi)).count()
-    dup = duplicate_identities(written).agg(F.coalesce(F.sum("duplicate_rows"), F.lit(0))).first()[0]
-    orphans = orphan_counts(written, dims).agg(F.sum("orphan_rows")).first()[0]
-    status = "success" if (out_of_month == 0 and dup == 0 and not orphans) else "failed"
+    # 6. gates on what was written: month bounds (K4), orphans (G5) in one pass; duplicates
+    with _step("gates", timings):
+        gate = publish_gates(written, dims)
+        status = "success" if not any(gate.values()) else "failed"
 
     # 7. source assets (K6 upsert) and run records (K10), last
-    upsert_assets(spark, store, assets, counts)
-    snapshot = TH.reference_snapshot_id(dims.zone).first()[0]  # one hash over dimension rows
-    run_ids = record_runs(spark, store, counts, assets, status, started, dag_id,
-                          threshold_version_id=threshold_version_id, reference_snapshot_id=snapshot)
+    with _step("records", timings):
+        upsert_assets(spark, store, assets, counts)
+        snapshot = TH.reference_snapshot_id(dims.zone).first()[0]  # one hash over dimension rows
+        run_ids = record_runs(spark, store, counts, assets, status, started, dag_id,
+                              threshold_version_id=threshold_version_id, reference_snapshot_id=snapshot)
+        store.delete_path(stage_path)
     if status != "success":
-        raise RuntimeError(f"publish gates failed: out_of_month={out_of_month} duplicates={dup} orphans={orphans}")
-    return PublishResult(run_ids=run_ids, counts=counts, warnings=warnings)
+        raise RuntimeError(f"publish gates failed: {gate}")
+    return PublishResult(run_ids=run_ids, counts=counts, warnings=warnings, timings=timings)
+
+
+def publish_gates(written: DataFrame, dims: Dimensions) -> dict:
+    """K4 + G5 + G3 on the written facts. Month bounds and the nine foreign keys are checked in
+    one pass (orphan joins are broadcast, no shuffle); duplicate identities need one distinct
+    aggregate. Returns the violation counts (all zero on success)."""
+    lo, hi = rules.month_key_bounds("source_month")
+    flagged = written.withColumn("_out_of_month", (F.col("pickup_date_key") < lo) | (F.col("pickup_date_key") >= hi))
+    orphan_row = orphan_counts(flagged, dims, extra={"out_of_month": F.count_if(F.col("_out_of_month"))})
+    result = {r.foreign_key: int(r.orphan_rows) for r in orphan_row.collect()}  # one row per check
+    result["duplicates"] = int(duplicate_identities(written).agg(F.coalesce(F.sum("duplicate_rows"), F.lit(0))).first()[0])
+    return result
 
 
 def upsert_assets(spark: SparkSession, store: TableStore, assets: list[SourceAsset], counts: list[dict]) -> None:

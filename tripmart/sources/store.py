@@ -117,6 +117,37 @@ class TableStore:
         self._fs.rename(self._p(stage), base)
         self._write_schema(table, schema)
 
+    def overwrite_many(self, tables: dict[str, DataFrame]) -> None:
+        """Rewrite several same-schema tables with ONE write job (union partitioned by table name),
+        then swap each table folder in. For small tables (dimensions) the job count dominates."""
+        if not tables:
+            return
+        from functools import reduce
+
+        from pyspark.sql import functions as F
+
+        frames = [df.withColumn("_table", F.lit(name)) for name, df in tables.items()]
+        union = reduce(lambda a, b: a.unionByName(b), frames)
+        stage = self._staging("many")
+        union.write.mode("overwrite").partitionBy("_table").parquet(stage)
+        fresh = self._partition_dirs(stage, "_table")
+        for name, df in tables.items():
+            base = self._p(self.path(name))
+            if self._fs.exists(base):
+                self._fs.delete(base, True)
+            if name in fresh:
+                self._fs.rename(self._p(fresh[name]), base)
+            else:
+                self._fs.mkdirs(base)
+            self._write_schema(name, df.schema)
+        self._fs.delete(self._p(stage), True)
+
+    def delete_path(self, path: str) -> None:
+        """Remove a work folder (stage) after a successful publish."""
+        p = self._p(path)
+        if self._fs.exists(p):
+            self._fs.delete(p, True)
+
     def append(self, table: str, df: DataFrame) -> None:
         df.write.mode("append").parquet(self.path(table))
         if not self.exists(table):

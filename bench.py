@@ -69,7 +69,7 @@ def main() -> None:
     store = TableStore(spark, scratch_path(spark, "bench-warehouse", unique=True))
     W.publish_events_month(spark, store, sf_dir)
     times["etl_publish"] = time.perf_counter() - t0
-    key = (sf_dir, W._input_signature(sf_dir), W._code_version())
+    key = (sf_dir, W._input_signature(spark, sf_dir), W._code_version())
     W._CACHE[(id(spark.sparkContext._jsc), key)] = W.Warehouse(store)
 
     # 2. queries

@@ -683,3 +683,10 @@ FROM (SELECT source_month, CAST(count(*) AS BIGINT) AS fact_rows,
       FROM facts GROUP BY source_month) f
 JOIN (SELECT source_month, CAST(sum(trip_count) AS BIGINT) AS mart_trip_total FROM mart GROUP BY source_month) m
   USING (source_month)""")
+
+ORACLES["month_partition_replace"] = """
+SELECT strftime(l_shipdate, '%Y-%m') AS source_month, CAST(count(*) AS BIGINT) AS row_count,
+  CAST(sum(l_linenumber) AS BIGINT) AS linenumber_sum
+FROM lineitem
+WHERE strftime(l_shipdate, '%Y-%m') < (SELECT max(strftime(l_shipdate, '%Y-%m')) FROM lineitem)
+GROUP BY 1"""

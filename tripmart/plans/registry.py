@@ -353,6 +353,24 @@ def release_checks(spark, sf_dir):
     return rc(wh(spark, sf_dir))
 
 
+def month_partition_replace(spark, sf_dir):
+    """K3 at table scale on ``lineitem`` (ship month as the partition): every month written,
+    rewritten again (idempotent rerun, no duplicates), then the latest month replaced by an empty
+    delivery (its partition disappears). Reads back rows per month."""
+    from tripmart.session import scratch_path
+    from tripmart.sources.store import TableStore
+
+    store = TableStore(spark, scratch_path(spark, "month-replace", unique=True))
+    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet").withColumn(
+        "source_month", F.date_format("l_shipdate", "yyyy-MM"))
+    months = sorted(r.source_month for r in li.select("source_month").distinct().collect())  # ~100 months
+    store.replace_partitions("lineitem_by_month", li, months)
+    store.replace_partitions("lineitem_by_month", li, months)
+    store.replace_partitions("lineitem_by_month", li.filter(F.lit(False)), months[-1:])
+    return store.read("lineitem_by_month").groupBy("source_month").agg(
+        F.count(F.lit(1)).alias("row_count"), F.sum("l_linenumber").cast("bigint").alias("linenumber_sum"))
+
+
 QUERIES: dict[str, Query] = {
     "trip_reject_counts": trip_reject_counts,
     "reject_reason_histogram": reject_reason_histogram,
@@ -403,4 +421,5 @@ QUERIES: dict[str, Query] = {
     "peak_hour_headline": peak_hour_headline,
     "reconciliation_bars": reconciliation_bars,
     "release_checks": release_checks,
+    "month_partition_replace": month_partition_replace,
 }

@@ -70,14 +70,20 @@ def _code_version() -> str:
     return h.hexdigest()[:16]
 
 
-def _input_signature(sf_dir: str) -> str:
+def _input_signature(spark: SparkSession, sf_dir: str) -> str:
+    """Size and modification time of the input files, through the Hadoop FileSystem API (works
+    for local, HDFS and object-store paths alike)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
     parts = []
     for t in ("events", "nation", "region"):
-        p = f"{sf_dir}/{t}.parquet"
+        path = jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{t}.parquet")
+        fs = path.getFileSystem(conf)
         try:
-            st = os.stat(p)
-            parts.append(f"{t}:{st.st_size}:{int(st.st_mtime)}")
-        except OSError:
+            summary = fs.getContentSummary(path)
+            mtime = fs.getFileStatus(path).getModificationTime()
+            parts.append(f"{t}:{summary.getLength()}:{summary.getFileCount()}:{mtime}")
+        except Exception:  # noqa: BLE001 - a missing table makes a distinct key
             parts.append(f"{t}:?")
     return ",".join(parts)
 
@@ -110,7 +116,7 @@ def publish_events_month(spark: SparkSession, store: TableStore, sf_dir: str) ->
 def warehouse_for(spark: SparkSession, sf_dir: str) -> Warehouse:
     """The warehouse published from ``sf_dir`` in the session's shared folder, published on
     first use and reused by every later query of the session."""
-    key = (sf_dir.rstrip("/"), _input_signature(sf_dir), _code_version())
+    key = (sf_dir.rstrip("/"), _input_signature(spark, sf_dir), _code_version())
     sid = id(spark.sparkContext._jsc)
     if (sid, key) in _CACHE:
         return _CACHE[(sid, key)]

@@ -90,16 +90,14 @@ class Group:
         if isinstance(raw, pa.ChunkedArray):
             raw = pa.concat_arrays(raw.chunks)
         ids = raw.fill_null(NULL_ID).to_numpy(zero_copy_only=False)
-        size = pa.compute.fill_null(pa.compute.binary_length(table.column(1)), 0).to_numpy()
         # order: id, then a total order of the content, so that the result never depends on arrival
         order = np.argsort(ids, kind="stable")
-        if len(np.unique(ids)) < len(ids):
+        if not tc.heads(ids[order]).all():
             text = table.column(1).to_pylist()
             order = np.array(sorted(range(len(ids)), key=lambda i: (ids[i], text[i] or b"")), dtype=np.int64)
         self.ids = ids[order]
         self.valid = self.ids != NULL_ID
         self.buf, self.off = tc.flat(table.column(1).take(pa.array(order)))
-        assert len(size) == len(self.ids)
 
     def slices(self) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
         """(first row, last row + 1, bytes, offsets) of cache-sized runs of whole documents."""
@@ -142,63 +140,77 @@ _SENT = "bucket int, grp int, n int, keys binary, multi binary, mark binary"
 _ANSWER = "kind int, grp int, bucket int, n int, flag binary"
 
 
-def sent(grp: int, keys: np.ndarray, multi: np.ndarray, mark: np.ndarray, key_bits: int, buckets: int) -> pa.Table:
-    """A group's sorted distinct keys, with ``multi`` (in two or more of its documents) and ``mark``."""
+def sent(grp: int, keys: np.ndarray, key_bits: int, buckets: int, multi: np.ndarray | None = None, mark: np.ndarray | None = None) -> pa.Table:
+    """A group's sorted distinct keys; ``multi``: in two or more of its documents, ``mark``: see ``answer``."""
     edge = bucket_edges(keys, key_bits, buckets)
-    rows = [(b, grp, int(hi - lo), encode_sorted(keys[lo:hi]), bits(multi[lo:hi]), bits(mark[lo:hi])) for b, (lo, hi) in enumerate(zip(edge[:-1], edge[1:], strict=True)) if hi > lo]
+    rows = [
+        (b, grp, int(hi - lo), encode_sorted(keys[lo:hi]), None if multi is None else bits(multi[lo:hi]), None if mark is None else bits(mark[lo:hi]))
+        for b, (lo, hi) in enumerate(zip(edge[:-1], edge[1:], strict=True)) if hi > lo
+    ]
     cols = list(zip(*rows, strict=True)) if rows else [[]] * 6
     kinds = [pa.int32()] * 3 + [pa.binary()] * 3
     return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=["bucket", "grp", "n", "keys", "multi", "mark"])
 
 
-def answer(packed: DataFrame, kind: int, decide: Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray], np.ndarray]) -> DataFrame:
-    """One bit per sent key. ``decide(key, grp, multi, mark)`` sees a bucket's entries sorted by (key, grp)."""
+class Bucket:
+    """All entries of one key range: one sorted array of distinct keys per sending group, in group order."""
 
-    def run(table: pa.Table) -> pa.Table:
-        rows = table.to_pylist()
-        keys = np.concatenate([decode_sorted(r["keys"], r["n"]) for r in rows])
-        multi = np.concatenate([unbits(r["multi"], r["n"]) for r in rows])
-        mark = np.concatenate([unbits(r["mark"], r["n"]) for r in rows])
-        grp = np.repeat(np.array([r["grp"] for r in rows], np.int64), [r["n"] for r in rows])
-        order = np.lexsort((grp, keys))
-        flag = np.empty(len(keys), bool)
-        flag[order] = decide(keys[order], grp[order], multi[order], mark[order])
-        cut = np.cumsum([r["n"] for r in rows])[:-1]
-        n = len(rows)
-        return pa.Table.from_arrays(
-            [pa.array([kind] * n, pa.int32()), table.column("grp").combine_chunks(), table.column("bucket").combine_chunks(), table.column("n").combine_chunks(), pa.array([bits(f) for f in np.split(flag, cut)], pa.binary())],
-            names=["kind", "grp", "bucket", "n", "flag"],
-        )
-
-    return packed.groupBy("bucket").applyInArrow(run, _ANSWER)
+    def __init__(self, table: pa.Table):
+        self.rows = sorted(table.to_pylist(), key=lambda r: r["grp"])
+        self.keys = [decode_sorted(r["keys"], r["n"]) for r in self.rows]
 
+    def flagged(self, name: str) -> np.ndarray:
+        """The keys that a sender flagged, sorted and distinct."""
+        parts = [k[unbits(r[name], r["n"])] for r, k in zip(self.rows, self.keys, strict=True) if r[name] is not None]
+        return tc.sorted_distinct(np.concatenate([*parts, np.zeros(0, tc.U64)]))
 
-def flags_of(table: pa.Table, kind: int) -> np.ndarray:
-    """The bits that answer a group's sorted distinct keys, in key order."""
-    rows = sorted((r for r in table.to_pylist() if r["kind"] == kind), key=lambda r: r["bucket"])
-    return np.concatenate([unbits(r["flag"], r["n"]) for r in rows]) if rows else np.zeros(0, bool)
+    def shared(self) -> np.ndarray:
+        """Keys of two groups, or of two documents of one group."""
+        every = np.sort(np.concatenate(self.keys))
+        twice = every[1:][every[1:] == every[:-1]]
+        return tc.sorted_distinct(np.concatenate([twice, self.flagged("multi")]))
+
+
+def shared(bucket: Bucket) -> list[np.ndarray]:
+    """True for keys found in two documents."""
+    known = tc.Members(bucket.shared())
+    return [known.test(k) for k in bucket.keys]
 
 
-def runs(keys: np.ndarray) -> np.ndarray:
-    """Index of the run of equal sorted keys that each entry belongs to."""
-    new = np.ones(len(keys), bool)
-    new[1:] = keys[1:] != keys[:-1]
-    return np.cumsum(new) - 1
+def shared_and_marked(bucket: Bucket) -> list[np.ndarray]:
+    """True for keys found in two places, at least one of them marked."""
+    both = bucket.shared()
+    known = tc.Members(both[tc.Members(bucket.flagged("mark")).test(both)])
+    return [known.test(k) for k in bucket.keys]
 
 
-def in_two_groups(key: np.ndarray, grp: np.ndarray, multi: np.ndarray, mark: np.ndarray) -> np.ndarray:
-    """Sent by two groups, or by one that has it in two documents."""
-    run = runs(key)
-    return ((np.bincount(run) >= 2) | (np.bincount(run, weights=multi) > 0))[run] if len(key) else np.zeros(0, bool)
+def not_first(bucket: Bucket) -> list[np.ndarray]:
+    """True for keys that an earlier group also sent."""
+    known = tc.Members(bucket.shared())
+    rest = [np.flatnonzero(known.test(k)) for k in bucket.keys]
+    keys = np.concatenate([k[i] for k, i in zip(bucket.keys, rest, strict=True)])
+    order = np.argsort(keys, kind="stable")  # the groups are in order
+    late = np.empty(len(keys), bool)
+    late[order] = ~tc.heads(keys[order])
+    out = [np.zeros(len(k), bool) for k in bucket.keys]
+    for mask, at, flag in zip(out, rest, np.split(late, np.cumsum([len(i) for i in rest])[:-1]), strict=True):
+        mask[at] = flag
+    return out
 
 
-def in_two_and_marked(key: np.ndarray, grp: np.ndarray, multi: np.ndarray, mark: np.ndarray) -> np.ndarray:
-    run = runs(key)
-    return in_two_groups(key, grp, multi, mark) & (np.bincount(run, weights=mark) > 0)[run] if len(key) else np.zeros(0, bool)
+def answer(entries: DataFrame, kind: int, decide: Callable[[Bucket], list[np.ndarray]]) -> DataFrame:
+    """One bit per sent key; a task sorts one key range."""
 
+    def run(table: pa.Table) -> pa.Table:
+        bucket = Bucket(table)
+        flags = decide(bucket)
+        cols = [[kind] * len(flags), [r["grp"] for r in bucket.rows], [r["bucket"] for r in bucket.rows], [r["n"] for r in bucket.rows]]
+        return pa.Table.from_arrays([*(pa.array(c, pa.int32()) for c in cols), pa.array([bits(f) for f in flags], pa.binary())], names=["kind", "grp", "bucket", "n", "flag"])
+
+    return entries.groupBy("bucket").applyInArrow(run, _ANSWER)
 
-def not_first(key: np.ndarray, grp: np.ndarray, multi: np.ndarray, mark: np.ndarray) -> np.ndarray:
-    """All groups but the first of each key."""
-    new = np.ones(len(key), bool)
-    new[1:] = key[1:] != key[:-1]
-    return ~new
+
+def flags_of(table: pa.Table, kind: int) -> np.ndarray:
+    """The bits that answer a group's sorted distinct keys, in key order."""
+    rows = sorted((r for r in table.to_pylist() if r["kind"] == kind), key=lambda r: r["bucket"])
+    return np.concatenate([unbits(r["flag"], r["n"]) for r in rows]) if rows else np.zeros(0, bool)

@@ -54,43 +54,39 @@ def difference_cover(period: int) -> np.ndarray:
 
 
 class _Sampler:
+    """The cover sample of one slice of documents at a time."""
+
     def __init__(self, min_length: int, period: int):
         self.length, self.period = min_length, period
         self.name_length = min_length - period + 1
-        self.member = np.zeros(period, bool)
-        self.member[difference_cover(period)] = True
+        self.cover = difference_cover(period)
 
-    def positions(self, count: np.ndarray, off: np.ndarray) -> np.ndarray:
+    def positions(self, off: np.ndarray) -> np.ndarray:
         """Sampled offsets in the slice whose name fits into the document."""
-        n = int(count.sum())
-        fits = tc.window_starts(count, self.name_length)
-        at = np.arange(n) - np.repeat(off[:-1], count)
-        return np.flatnonzero(fits & self.member[at % self.period])
-
-    def names(self, buf: np.ndarray, at: np.ndarray) -> np.ndarray:
-        return tc.rolling(tc.byte_symbols(buf), self.name_length)[at] >> tc.U64(64 - NAME_BITS)
-
-    def candidates(self, count: np.ndarray, at: np.ndarray, hit: np.ndarray) -> np.ndarray:
-        """Suffixes of full length with a repeated sample in reach."""
-        n = int(count.sum())
-        seen = np.zeros(n + self.period + 1, np.int32)
-        seen[at[hit] + 1] = 1
-        seen = np.cumsum(seen)
-        some = seen[self.period : self.period + n] > seen[:n]
-        return np.flatnonzero(some & tc.window_starts(count, self.length))
-
-
-def _distinct(keys: np.ndarray, row: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(distinct keys, in documents of two ids, run of each input entry); rows come in id order."""
-    order = np.argsort(keys, kind="stable")
-    run = rp.runs(keys[order])
-    inverse = np.empty(len(keys), np.int64)
-    inverse[order] = run
-    if not len(keys):
-        return keys, np.zeros(0, bool), inverse
-    first = np.flatnonzero(np.diff(run, prepend=-1))
-    last = np.append(first[1:], len(keys)) - 1
-    return keys[order][first], ids[row[order[first]]] != ids[row[order[last]]], inverse
+        room = np.maximum(np.diff(off) - self.name_length + 1, 0)
+        turns = np.arange(int(room.max(initial=0)) // self.period + 1) * self.period
+        base = (turns[:, None] + self.cover[None, :]).ravel()
+        size = np.searchsorted(base, room)
+        return base[tc.expand(np.zeros(len(size), np.int64), size)] + np.repeat(off[:-1], size)
+
+    def candidates(self, off: np.ndarray, hit: np.ndarray) -> np.ndarray:
+        """Suffixes of full length with a repeated sample (at the sorted offsets ``hit``) in reach."""
+        start, end = tc.merged(hit - self.period + 1, hit + 1)
+        at = tc.expand(np.maximum(start, 0), end)
+        row = np.searchsorted(off, at, side="right") - 1
+        return at[at + self.length <= off[row + 1]]
+
+
+def _packed(names: np.ndarray, row: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(sorted distinct names, found in documents of two ids); name and row share one sortable integer."""
+    both = np.sort((names << tc.U64(64 - NAME_BITS)) | row.astype(tc.U64))
+    keys = both >> tc.U64(64 - NAME_BITS)
+    head = np.flatnonzero(tc.heads(keys))
+    if not len(head):
+        return keys, np.zeros(0, bool)
+    last = np.append(head[1:], len(keys)) - 1
+    low = tc.U64((1 << (64 - NAME_BITS)) - 1)
+    return keys[head], ids[(both[head] & low).astype(np.int64)] != ids[(both[last] & low).astype(np.int64)]
 
 
 def remove_repeats(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_length: int = MIN_LENGTH, period: int = PERIOD, group_bytes: int = rp.GROUP_BYTES) -> DataFrame:
@@ -102,92 +98,77 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
     buckets = 2 * groups
     sampler = _Sampler(min_length, period)
 
-    def sample(group: rp.Group) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[tuple]]:
-        names, rows, parts = [], [], []
-        for lo, hi, buf, off in group.slices():
-            count = np.diff(off)
-            at = sampler.positions(count, off)
-            names.append(sampler.names(buf, at))
+    def sample(group: rp.Group):
+        """Per slice: (first row, offsets, hashes, sampled positions, names)."""
+        for lo, _, buf, off in group.slices():
+            hashes, at = tc.Hashes(buf), sampler.positions(off)
+            yield lo, off, hashes, at, hashes.windows(at, sampler.name_length) >> tc.U64(64 - NAME_BITS)
+
+    def distinct_names(group: rp.Group, kept: list | None = None) -> tuple[np.ndarray, np.ndarray]:
+        names, rows = [], []
+        for part in sample(group):
+            lo, off, _, at, name = part
+            names.append(name)
             rows.append(np.searchsorted(off, at, side="right") - 1 + lo)
-            parts.append((lo, hi, buf, off, at))
-        name = np.concatenate([*names, np.zeros(0, tc.U64)])
-        row = np.concatenate([*rows, np.zeros(0, np.int64)])
-        return *_distinct(name, row, group.ids), parts
+            if kept is not None:
+                kept.append(part)
+        return _packed(np.concatenate([*names, np.zeros(0, tc.U64)]), np.concatenate([*rows, np.zeros(0, np.int64)]), group.ids)
 
     def send_names(key: tuple, table: pa.Table) -> pa.Table:
-        keys, multi, _, _ = sample(rp.Group(table.column("pack")))
-        return rp.sent(key[0].as_py(), keys, multi, np.zeros(0, bool), NAME_BITS, buckets)
-
-    def suffixes(group: rp.Group, hit: np.ndarray):
-        """(keys, rows, offsets in the group) of the candidate suffixes."""
-        _, _, run, parts = sample(group)
-        hit, done = hit[run], 0
-        keys, rows, offs = [], [], []
-        for lo, _, buf, off, at in parts:
-            mine = hit[done : done + len(at)]
-            done += len(at)
-            pos = sampler.candidates(np.diff(off), at, mine)
-            if len(pos):
-                keys.append(tc.rolling(tc.byte_symbols(buf), min_length)[pos])
-                rows.append(np.searchsorted(off, pos, side="right") - 1 + lo)
-                offs.append(pos + group.off[lo])
-        return np.concatenate([*keys, np.zeros(0, tc.U64)]), np.concatenate([*rows, np.zeros(0, np.int64)]), np.concatenate([*offs, np.zeros(0, np.int64)])
+        keys, multi = distinct_names(rp.Group(table.column("pack")))
+        return rp.sent(key[0].as_py(), keys, NAME_BITS, buckets, multi=multi)
+
+    def suffixes(group: rp.Group, flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(keys, offsets in the group) of the candidate suffixes."""
+        parts: list = []
+        names, _ = distinct_names(group, parts)
+        known = tc.Members(names[flags])
+        keys, offs = [np.zeros(0, tc.U64)], [np.zeros(0, np.int64)]
+        for lo, off, hashes, at, name in parts:
+            pos = sampler.candidates(off, at[known.test(name)])
+            keys.append(hashes.windows(pos, min_length))
+            offs.append(pos + group.off[lo])
+        return np.concatenate(keys), np.concatenate(offs)
 
     def send_suffixes(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        group = rp.Group(left.column("pack"))
-        found, row, _ = suffixes(group, rp.flags_of(right, 1))
-        keys, _, _ = _distinct(found, row, group.ids)
-        return rp.sent(key[0].as_py(), keys, np.zeros(0, bool), np.zeros(0, bool), 64, buckets)
+        found, _ = suffixes(rp.Group(left.column("pack")), rp.flags_of(right, 1))
+        return rp.sent(key[0].as_py(), tc.sorted_distinct(found), 64, buckets)
 
     def cut(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         group = rp.Group(left.column("pack"))
-        found, row, at = suffixes(group, rp.flags_of(right, 1))
-        _, _, run = _distinct(found, row, group.ids)
-        gone = rp.flags_of(right, 2)[run]
-        if len(found):  # also starts in a document of this group with a smaller id
-            first = np.full(run.max() + 1, np.iinfo(np.int64).max)
-            np.minimum.at(first, run, group.ids[row])
-            gone |= group.ids[row] > first[run]
-        return _result(group, at[gone], min_length)
+        found, at = suffixes(group, rp.flags_of(right, 1))
+        order = np.argsort(found, kind="stable")  # offsets, hence ids, ascend within a key
+        head = tc.heads(found[order])
+        run = np.cumsum(head) - 1
+        ids = group.ids[np.searchsorted(group.off, at[order], side="right") - 1]
+        # an earlier group has the string, or a document of this group with a smaller id
+        gone = rp.flags_of(right, 2)[run] | (ids > ids[np.flatnonzero(head)][run])
+        return _result(group, np.sort(at[order[gone]]), min_length)
 
     once = packed.groupBy("grp")
-    names = rp.answer(once.applyInArrow(send_names, rp._SENT), 1, rp.in_two_groups)
+    names = rp.answer(once.applyInArrow(send_names, rp._SENT), 1, rp.shared)
     again = once.cogroup(names.groupBy("grp")).applyInArrow(send_suffixes, rp._SENT)
     earlier = rp.answer(again, 2, rp.not_first)
     return once.cogroup(names.unionByName(earlier).groupBy("grp")).applyInArrow(cut, SCHEMA)
 
 
 def _result(group: rp.Group, start: np.ndarray, length: int) -> pa.Table:
-    n = len(group.buf)
-    gone = rp_cover(start, length, n)
-    total = np.concatenate([[0], np.cumsum(gone)])
-    removed = total[group.off[1:]] - total[group.off[:-1]]
-    head = gone.copy()
-    head[1:] &= ~gone[:-1]
-    inside = group.off[:-1][group.off[:-1] < n]
-    head[inside] = gone[inside]  # a span never crosses documents
-    begin = np.flatnonzero(head)
-    tail = gone.copy()
-    tail[:-1] &= ~gone[1:]
-    last = group.off[1:][group.off[1:] > 0] - 1
-    tail[last] = gone[last]
-    end = np.flatnonzero(tail) + 1
-    first = np.searchsorted(begin, group.off)
-    row = np.repeat(np.arange(len(group.ids)), np.diff(first))
-    base = group.off[:-1][row] if len(row) else np.zeros(0, np.int64)
+    """The rows of a group whose strings at the sorted offsets ``start`` go."""
+    row = np.searchsorted(group.off, start, side="right") - 1
+    begin, end = tc.merged(start, start + length, row)
+    row = np.searchsorted(group.off, begin, side="right") - 1
+    rows = len(group.ids)
+    removed = np.bincount(row, weights=end - begin, minlength=rows).astype(np.int64)
+    first = np.searchsorted(row, np.arange(rows + 1))
+    base = group.off[row]
     spans = pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.StructArray.from_arrays([pa.array(begin - base, pa.int64()), pa.array(end - base, pa.int64())], ["start", "end"]))
-    kept = group.buf[~gone] if n else group.buf
-    off = np.concatenate([[0], np.cumsum(np.diff(group.off) - removed)]).astype(np.int32)
-    kept_column = pa.Array.from_buffers(pa.binary(), len(group.ids), [None, pa.py_buffer(off.tobytes()), pa.py_buffer(kept.tobytes())])
-    return pa.Table.from_arrays([group.id_column(), pa.array(np.diff(group.off), pa.int64()), pa.array(removed, pa.int64()), pa.array(np.diff(first), pa.int64()), spans, kept_column], names=["doc_id", "n_bytes", "n_removed", "n_spans", "spans", "kept"])
-
-
-def rp_cover(start: np.ndarray, length: int, n: int) -> np.ndarray:
-    """Mask of the bytes that strings of ``length`` bytes from ``start`` cover."""
-    delta = np.zeros(n + length + 1, np.int32)
-    delta[: n + 1] += np.bincount(start, minlength=n + 1)[: n + 1].astype(np.int32)
-    delta[length:] -= np.bincount(start, minlength=n + 1)[: n + 1].astype(np.int32)
-    return np.cumsum(delta[:n]) > 0
+    stay = zip(np.append(0, end), np.append(begin, len(group.buf)), strict=True)
+    kept = b"".join(group.buf[a:b].tobytes() for a, b in stay)
+    size = np.diff(group.off)
+    off = np.append(0, np.cumsum(size - removed)).astype(np.int32)
+    kept_column = pa.Array.from_buffers(pa.binary(), rows, [None, pa.py_buffer(off.tobytes()), pa.py_buffer(kept)])
+    columns = [group.id_column(), *(pa.array(c, pa.int64()) for c in (size, removed, np.diff(first))), spans, kept_column]
+    return pa.Table.from_arrays(columns, names=["doc_id", "n_bytes", "n_removed", "n_spans", "spans", "kept"])
 
 
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

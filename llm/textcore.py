@@ -28,13 +28,34 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> U64(31))
 
 
-_SYMBOL = mix(np.arange(1, 257, dtype=U64) * U64(_BASE))
+_INVERSE = pow(_BASE, -1, 1 << 64)
+_cache = {"power": np.ones(1, U64), "inverse": np.ones(1, U64)}
 
 
-def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(max(n, 1), base, dtype=U64)
-    out[0] = 1
-    return np.cumprod(out, dtype=U64)
+def _powers(name: str, base: int, n: int) -> np.ndarray:
+    """The first ``n`` powers of ``base`` modulo 2**64; kept for the next call."""
+    if len(_cache[name]) < n:
+        out = np.full(max(n, 1 << 16), base, dtype=U64)
+        out[0] = 1
+        _cache[name] = np.cumprod(out, dtype=U64)
+    return _cache[name][:n]
+
+
+class Hashes:
+    """Hashes of any stretch of a sequence from its prefix sums: a polynomial modulo 2**64, then mixed."""
+
+    def __init__(self, values: np.ndarray):
+        n = len(values)
+        self.prefix = np.zeros(n + 1, U64)
+        weighted = values.astype(U64) + U64(1)
+        weighted *= _powers("power", _BASE, n)
+        np.cumsum(weighted, out=self.prefix[1:])
+
+    def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return mix((self.prefix[end] - self.prefix[start]) * _powers("inverse", _INVERSE, len(self.prefix))[start] + (end - start).astype(U64))
+
+    def windows(self, start: np.ndarray, width: int) -> np.ndarray:
+        return self.of(start, start + width)
 
 
 def flat(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
@@ -88,18 +109,7 @@ class Words:
         self.start = np.flatnonzero(begins)
         self.end = np.flatnonzero(stops) + 1
         self.first = np.searchsorted(self.start, off)
-        self.hash = self._hash(isw) if hashed else np.zeros(0, U64)
-
-    def _hash(self, isw: np.ndarray) -> np.ndarray:
-        if not len(self.start):
-            return np.zeros(0, U64)
-        length = self.end - self.start
-        power = _powers(_BASE, int(length.max()))
-        at = np.flatnonzero(isw)
-        pos = np.arange(len(at)) - np.repeat(np.cumsum(length) - length, length)
-        value = _SYMBOL[self.buf[at]] * power[pos]
-        total = np.add.reduceat(value, np.cumsum(length) - length)
-        return mix(total + length.astype(U64))
+        self.hash = Hashes(buf).of(self.start, self.end) if hashed else np.zeros(0, U64)
 
     def doc(self) -> np.ndarray:
         """Index of the document of each word."""
@@ -114,47 +124,29 @@ class Words:
             return np.zeros(0, np.int64), np.zeros(0, U64)
         n = len(self.buf)
         newline = np.flatnonzero(self.buf == 10)
-        begin = np.unique(np.concatenate([self.off[:-1][self.off[:-1] < n], newline[newline + 1 < n] + 1]))
+        begin = np.sort(np.concatenate([self.off[:-1][self.off[:-1] < n], newline[newline + 1 < n] + 1]))
+        begin = begin[heads(begin)]
         line = np.searchsorted(begin, self.start, side="right") - 1
-        used = np.unique(line)
+        used = line[heads(line)]
         lo = begin[used]
         doc = np.searchsorted(self.off, lo, side="right") - 1
         nxt = np.append(begin[1:], n)[used]
         # a line's bytes run to the newline, or to the end of its document
         hi = np.minimum(nxt, self.off[doc + 1])
         hi = hi - ((hi > lo) & (self.buf[hi - 1] == 10))
-        prefix = np.concatenate([np.zeros(1, U64), np.cumsum(_SYMBOL[self.buf] * _powers(_BASE, n), dtype=U64)])
-        inverse = pow(_BASE, -1, 1 << 64)
-        total = (prefix[hi] - prefix[lo]) * _powers(inverse, n)[lo]
-        return doc, mix(total + (hi - lo).astype(U64))
+        return doc, Hashes(self.buf).of(lo, hi)
 
 
-def rolling(h: np.ndarray, width: int, base: int = _BASE) -> np.ndarray:
-    """Hash of every run of ``width`` consecutive elements (by doubling); empty when shorter."""
-    if len(h) < width:
+def shingles(h: np.ndarray, width: int) -> np.ndarray:
+    """Hash of every run of ``width`` consecutive hashes; empty when there are fewer."""
+    n = len(h) - width + 1
+    if n <= 0:
         return np.zeros(0, U64)
-    part, size, out, done, power = h, 1, None, 0, base
-    w = width
-    with np.errstate(over="ignore"):
-        while w:
-            if w & 1:
-                if out is None:
-                    out, done = part, size
-                else:  # out covers ``done`` elements, append the next ``size``
-                    m = len(h) - done - size + 1
-                    out = out[:m] * U64(power) + part[done : done + m]
-                    done += size
-            w >>= 1
-            if w:
-                m = len(part) - size
-                part = part[:m] * U64(power) + part[size:]
-                size *= 2
-                power = power * power % (1 << 64)
-    return mix(out[: len(h) - width + 1])
-
-
-def byte_symbols(buf: np.ndarray) -> np.ndarray:
-    return _SYMBOL[buf]
+    out = h[:n].copy()
+    for k in range(1, width):
+        out *= U64(_BASE)
+        out += h[k : k + n]
+    return mix(out)
 
 
 def window_starts(count: np.ndarray, width: int) -> np.ndarray:
@@ -164,9 +156,56 @@ def window_starts(count: np.ndarray, width: int) -> np.ndarray:
     return np.arange(total) + width <= stop
 
 
-def ranges_to_mask(start: np.ndarray, end: np.ndarray, n: int) -> np.ndarray:
-    """Boolean mask of ``n`` elements covered by any of the half-open ranges."""
-    delta = np.zeros(n + 1, dtype=np.int64)
-    np.add.at(delta, start, 1)
-    np.add.at(delta, end, -1)
-    return np.cumsum(delta[:-1]) > 0
+def expand(start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """All integers of the half-open ranges, in order."""
+    size = end - start
+    total = int(size.sum())
+    return np.arange(total) - np.repeat(np.cumsum(size) - size, size) + np.repeat(start, size)
+
+
+def merged(start: np.ndarray, end: np.ndarray, piece: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The union of ranges sorted by start (and end); ranges of different ``piece`` are kept apart."""
+    if not len(start):
+        return start, end
+    new = np.ones(len(start), bool)
+    new[1:] = start[1:] > end[:-1]
+    if piece is not None:
+        new[1:] |= piece[1:] != piece[:-1]
+    first = np.flatnonzero(new)
+    return start[first], end[np.append(first[1:], len(start)) - 1]
+
+
+class Members:
+    """Membership in a sorted set of mixed hashes: a bitmap turns most away, a binary search settles the rest."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys = keys
+        self.bits = max(10, min(24, int(len(keys) * 16).bit_length()))
+        self.map = np.zeros(1 << self.bits, bool)
+        self.map[self._slot(keys)] = True
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return (keys & U64((1 << self.bits) - 1)).astype(np.int64)
+
+    def test(self, keys: np.ndarray) -> np.ndarray:
+        out = self.map[self._slot(keys)]
+        at = np.flatnonzero(out)
+        if len(at):
+            want = keys[at]
+            spot = np.searchsorted(self.keys, want)
+            spot[spot == len(self.keys)] = 0
+            out[at] = self.keys[spot] == want
+        return out
+
+
+def sorted_distinct(keys: np.ndarray) -> np.ndarray:
+    """As ``np.unique``, by sorting."""
+    keys = np.sort(keys)
+    return keys[heads(keys)]
+
+
+def heads(keys: np.ndarray) -> np.ndarray:
+    """Where a run of equal values begins in sorted ``keys``."""
+    new = np.ones(len(keys), bool)
+    new[1:] = keys[1:] != keys[:-1]
+    return new

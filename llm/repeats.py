@@ -19,17 +19,20 @@ from pyspark.sql import functions as F
 
 from llm import textcore as tc
 
-GROUP_BYTES = 8 << 20
+GROUP_BYTES = 4 << 20
+#: Text whose windows one bucket sorts at a time, on average.
+BUCKET_BYTES = 16 << 20
 PACK_BYTES = 4 << 20
 SLICE_BYTES = 1 << 19
 NULL_ID = np.iinfo(np.int64).min
 _DOCS = pa.schema([("id", pa.int64()), ("text", pa.large_binary())])
 
 
-def group_count(spark: SparkSession, docs: DataFrame, text_col: str, group_bytes: int = GROUP_BYTES) -> int:
-    """Groups of about ``group_bytes`` of text, and at least one per shuffle partition."""
+def sizes(spark: SparkSession, docs: DataFrame, text_col: str, group_bytes: int) -> tuple[int, int]:
+    """(groups, buckets) for the bytes of all texts; at least one of each per shuffle partition."""
     total = docs.select(F.sum(F.octet_length(F.col(text_col)).cast("long")).alias("n")).first()["n"] or 0
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(total / group_bytes))
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(least, math.ceil(total / group_bytes)), max(least, math.ceil(total / BUCKET_BYTES))
 
 
 def boundaries(docs: DataFrame, id_col: str, groups: int) -> np.ndarray:
@@ -136,20 +139,20 @@ def bucket_edges(keys: np.ndarray, key_bits: int, buckets: int) -> np.ndarray:
     return np.concatenate([[0], np.searchsorted(keys, np.array(cut, dtype=tc.U64)), [len(keys)]])
 
 
-_SENT = "bucket int, grp int, n int, keys binary, multi binary, mark binary"
+_SENT = "kind int, bucket int, grp int, n int, keys binary, multi binary, mark binary"
 _ANSWER = "kind int, grp int, bucket int, n int, flag binary"
 
 
-def sent(grp: int, keys: np.ndarray, key_bits: int, buckets: int, multi: np.ndarray | None = None, mark: np.ndarray | None = None) -> pa.Table:
+def sent(kind: int, grp: int, keys: np.ndarray, key_bits: int, buckets: int, multi: np.ndarray | None = None, mark: np.ndarray | None = None) -> pa.Table:
     """A group's sorted distinct keys; ``multi``: in two or more of its documents, ``mark``: see ``answer``."""
     edge = bucket_edges(keys, key_bits, buckets)
     rows = [
-        (b, grp, int(hi - lo), encode_sorted(keys[lo:hi]), None if multi is None else bits(multi[lo:hi]), None if mark is None else bits(mark[lo:hi]))
+        (kind, b, grp, int(hi - lo), encode_sorted(keys[lo:hi]), None if multi is None else bits(multi[lo:hi]), None if mark is None else bits(mark[lo:hi]))
         for b, (lo, hi) in enumerate(zip(edge[:-1], edge[1:], strict=True)) if hi > lo
     ]
-    cols = list(zip(*rows, strict=True)) if rows else [[]] * 6
-    kinds = [pa.int32()] * 3 + [pa.binary()] * 3
-    return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=["bucket", "grp", "n", "keys", "multi", "mark"])
+    cols = list(zip(*rows, strict=True)) if rows else [[]] * 7
+    kinds = [pa.int32()] * 4 + [pa.binary()] * 3
+    return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=["kind", "bucket", "grp", "n", "keys", "multi", "mark"])
 
 
 class Bucket:
@@ -198,16 +201,16 @@ def not_first(bucket: Bucket) -> list[np.ndarray]:
     return out
 
 
-def answer(entries: DataFrame, kind: int, decide: Callable[[Bucket], list[np.ndarray]]) -> DataFrame:
-    """One bit per sent key; a task sorts one key range."""
+def answer(entries: DataFrame, decide: dict[int, Callable[[Bucket], list[np.ndarray]]]) -> DataFrame:
+    """One bit per sent key, decided by the entry's kind; a task sorts one key range."""
 
-    def run(table: pa.Table) -> pa.Table:
-        bucket = Bucket(table)
-        flags = decide(bucket)
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        kind, bucket = key[0].as_py(), Bucket(table)
+        flags = decide[kind](bucket)
         cols = [[kind] * len(flags), [r["grp"] for r in bucket.rows], [r["bucket"] for r in bucket.rows], [r["n"] for r in bucket.rows]]
         return pa.Table.from_arrays([*(pa.array(c, pa.int32()) for c in cols), pa.array([bits(f) for f in flags], pa.binary())], names=["kind", "grp", "bucket", "n", "flag"])
 
-    return entries.groupBy("bucket").applyInArrow(run, _ANSWER)
+    return entries.groupBy("kind", "bucket").applyInArrow(run, _ANSWER)
 
 
 def flags_of(table: pa.Table, kind: int) -> np.ndarray:

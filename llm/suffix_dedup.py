@@ -13,7 +13,7 @@ first ``min_length`` bytes is built one key range (bucket) of suffixes at a time
    which of its suffixes also starts in an earlier group. Ties (equal strings) need no long
    comparison: names settle them.
 
-Exact copies are found the same way, as strings. Memory per task is one group of documents, or one
+Whole copies of a text with a smaller id go at once; their suffixes are not sorted again. Memory per task is one group of documents, or one
 bucket; both are bounded by parameters, not by the corpus or by a hot string: a string that a third
 of all documents hold is one entry per group.
 
@@ -93,9 +93,8 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
     """Per document: ``doc_id, n_bytes, n_removed, n_spans, spans, kept`` (remaining bytes)."""
     if not 1 <= period < min_length:
         raise ValueError("period must be below min_length")
-    groups = rp.group_count(spark, docs, text_col, group_bytes)
+    groups, buckets = rp.sizes(spark, docs, text_col, group_bytes)
     packed = rp.pack(docs, id_col, text_col, rp.boundaries(docs, id_col, groups))
-    buckets = 2 * groups
     sampler = _Sampler(min_length, period)
 
     def sample(group: rp.Group):
@@ -114,48 +113,73 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
                 kept.append(part)
         return _packed(np.concatenate([*names, np.zeros(0, tc.U64)]), np.concatenate([*rows, np.zeros(0, np.int64)]), group.ids)
 
+    def texts(group: rp.Group) -> np.ndarray:
+        """A hash of each whole text."""
+        parts = [tc.Hashes(buf).of(off[:-1], off[1:]) for _, _, buf, off in group.slices()]
+        return np.concatenate([*parts, np.zeros(0, tc.U64)])
+
+    def copies(group: rp.Group, flags: np.ndarray) -> np.ndarray:
+        """Rows whose whole text also stands in a document with a smaller id."""
+        whole = texts(group)
+        names = tc.sorted_distinct(whole)
+        order = np.argsort(whole, kind="stable")
+        head = tc.heads(whole[order])
+        run = np.cumsum(head) - 1
+        late = np.empty(len(whole), bool)
+        late[order] = group.ids[order] > group.ids[order[head]][run]
+        return late | tc.Members(names[flags]).test(whole)
+
     def send_names(key: tuple, table: pa.Table) -> pa.Table:
-        keys, multi = distinct_names(rp.Group(table.column("pack")))
-        return rp.sent(key[0].as_py(), keys, NAME_BITS, buckets, multi=multi)
+        group, grp = rp.Group(table.column("pack")), key[0].as_py()
+        keys, multi = distinct_names(group)
+        whole = rp.sent(0, grp, tc.sorted_distinct(texts(group)), 64, buckets)
+        return pa.concat_tables([rp.sent(1, grp, keys, NAME_BITS, buckets, multi=multi), whole])
 
-    def suffixes(group: rp.Group, flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(keys, offsets in the group) of the candidate suffixes."""
+    def suffixes(group: rp.Group, flags: np.ndarray, copy: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(keys, offsets in the group) of the candidate suffixes of all texts but copies."""
         parts: list = []
         names, _ = distinct_names(group, parts)
         known = tc.Members(names[flags])
         keys, offs = [np.zeros(0, tc.U64)], [np.zeros(0, np.int64)]
         for lo, off, hashes, at, name in parts:
             pos = sampler.candidates(off, at[known.test(name)])
+            pos = pos[~copy[np.searchsorted(off, pos, side="right") - 1 + lo]]
             keys.append(hashes.windows(pos, min_length))
             offs.append(pos + group.off[lo])
         return np.concatenate(keys), np.concatenate(offs)
 
     def send_suffixes(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        found, _ = suffixes(rp.Group(left.column("pack")), rp.flags_of(right, 1))
-        return rp.sent(key[0].as_py(), tc.sorted_distinct(found), 64, buckets)
+        group = rp.Group(left.column("pack"))
+        found, _ = suffixes(group, rp.flags_of(right, 1), copies(group, rp.flags_of(right, 0)))
+        return rp.sent(2, key[0].as_py(), tc.sorted_distinct(found), 64, buckets)
 
     def cut(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         group = rp.Group(left.column("pack"))
-        found, at = suffixes(group, rp.flags_of(right, 1))
+        copy = copies(group, rp.flags_of(right, 0))
+        found, at = suffixes(group, rp.flags_of(right, 1), copy)
         order = np.argsort(found, kind="stable")  # offsets, hence ids, ascend within a key
         head = tc.heads(found[order])
         run = np.cumsum(head) - 1
         ids = group.ids[np.searchsorted(group.off, at[order], side="right") - 1]
         # an earlier group has the string, or a document of this group with a smaller id
         gone = rp.flags_of(right, 2)[run] | (ids > ids[np.flatnonzero(head)][run])
-        return _result(group, np.sort(at[order[gone]]), min_length)
+        return _result(group, np.sort(at[order[gone]]), min_length, copy)
 
     once = packed.groupBy("grp")
-    names = rp.answer(once.applyInArrow(send_names, rp._SENT), 1, rp.shared)
+    names = rp.answer(once.applyInArrow(send_names, rp._SENT), {0: rp.not_first, 1: rp.shared})
     again = once.cogroup(names.groupBy("grp")).applyInArrow(send_suffixes, rp._SENT)
-    earlier = rp.answer(again, 2, rp.not_first)
+    earlier = rp.answer(again, {2: rp.not_first})
     return once.cogroup(names.unionByName(earlier).groupBy("grp")).applyInArrow(cut, SCHEMA)
 
 
-def _result(group: rp.Group, start: np.ndarray, length: int) -> pa.Table:
-    """The rows of a group whose strings at the sorted offsets ``start`` go."""
+def _result(group: rp.Group, start: np.ndarray, length: int, copy: np.ndarray) -> pa.Table:
+    """The rows of a group whose strings at the sorted offsets ``start`` go, and whole copies."""
     row = np.searchsorted(group.off, start, side="right") - 1
     begin, end = tc.merged(start, start + length, row)
+    whole = np.flatnonzero(copy & (np.diff(group.off) >= length))
+    begin, end = np.append(begin, group.off[whole]), np.append(end, group.off[whole + 1])
+    order = np.argsort(begin, kind="stable")
+    begin, end = begin[order], end[order]
     row = np.searchsorted(group.off, begin, side="right") - 1
     rows = len(group.ids)
     removed = np.bincount(row, weights=end - begin, minlength=rows).astype(np.int64)

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from llm.bpe_automaton import op2_bpe_automaton
+from llm.substring_dedup import op9_substring_dedup
 from llm.suffix_dedup import op5_suffix_dedup
 
 QUERIES = {
+    "op2_bpe_automaton": op2_bpe_automaton,
     "op5_suffix_dedup": op5_suffix_dedup,
+    "op9_substring_dedup": op9_substring_dedup,
 }
 
 ORACLES: dict[str, str] = {}

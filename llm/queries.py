@@ -3,13 +3,18 @@
 from __future__ import annotations
 
 from llm.bpe_automaton import op2_bpe_automaton
+from llm.perplexity_rules import op6_perplexity_rules
+from llm.shared import shipped
 from llm.substring_dedup import op9_substring_dedup
 from llm.suffix_dedup import op5_suffix_dedup
 
-QUERIES = {
+_ALL = {
     "op2_bpe_automaton": op2_bpe_automaton,
+    "op6_perplexity_rules": op6_perplexity_rules,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op9_substring_dedup": op9_substring_dedup,
 }
 
+QUERIES = {name: shipped(query) for name, query in _ALL.items()}
+
 ORACLES: dict[str, str] = {}

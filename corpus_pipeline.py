@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _NULL_ID = -(1 << 63)
+#: A line template in so many documents is boilerplate.
+BOILERPLATE_DOCS = 20
 
 
 def _by_id(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
@@ -36,8 +38,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @shipped
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without recurring lines; a document that loses every line it had goes."""
-    cut = drop_recurring(docs)
+    """Texts without boilerplate lines; a document that loses every line it had goes.
+
+    Lines of a few copies stay for the next stage, which compares whole documents.
+    """
+    cut = drop_recurring(docs, min_docs=BOILERPLATE_DOCS)
     emptied = (F.col("n_dropped") > 0) & (F.trim(F.col("text"), F.lit(" \t\r\n")) == "")
     left = cut.where(~F.coalesce(emptied, F.lit(False)))
     own = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}

@@ -1,0 +1,31 @@
+from __future__ import annotations
+
+import sys
+from pathlib import Path
+
+import pytest
+
+sys.path.insert(0, str(Path(__file__).parent))
+
+from llm_cases import DOCS, awkward  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def docs_rows():
+    return awkward()
+
+
+@pytest.fixture(scope="session")
+def docs(spark, docs_rows):
+    from llm.shared import ship
+
+    ship(spark)
+    return spark.createDataFrame(docs_rows, DOCS).repartition(3)
+
+
+@pytest.fixture(scope="session")
+def no_docs(spark):
+    from llm.shared import ship
+
+    ship(spark)
+    return spark.createDataFrame([], DOCS)

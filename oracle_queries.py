@@ -31,12 +31,12 @@ SELECT rn AS source_row_number,
        WHEN rn % 113 = 0 THEN ts - INTERVAL 31 DAY + (k * 30 + 60) * INTERVAL 1 SECOND
        WHEN rn % 127 = 0 THEN ts + INTERVAL 31 DAY + (k * 30 + 60) * INTERVAL 1 SECOND
        ELSE ts + (k * 30 + 60) * INTERVAL 1 SECOND END AS tpep_dropoff_datetime,
-  CAST(CASE WHEN rn % 71 = 0 THEN NULL WHEN rn % 73 = 0 THEN -1 ELSE k % 7 END AS DOUBLE) AS passenger_count,
+  CAST(CASE WHEN rn % 2909 = 0 THEN CAST('NaN' AS DOUBLE) WHEN rn % 71 = 0 THEN NULL WHEN rn % 73 = 0 THEN -1 ELSE k % 7 END AS DOUBLE) AS passenger_count,
   CASE WHEN rn % 31 = 0 THEN 0.0 WHEN rn % 101 = 0 THEN NULL
        WHEN rn % 103 = 0 THEN CAST('NaN' AS DOUBLE) ELSE value / 10.0 END AS trip_distance,
-  CAST(CASE WHEN rn % 79 = 0 THEN 99 ELSE 1 + k % 6 END AS BIGINT) AS "RatecodeID",
+  CASE WHEN rn % 2503 = 0 THEN CAST('NaN' AS DOUBLE) WHEN rn % 79 = 0 THEN 99.0 ELSE CAST(1 + k % 6 AS DOUBLE) END AS "RatecodeID",
   'N' AS store_and_fwd_flag,
-  CAST(1 + user_id % 27 AS BIGINT) AS "PULocationID",
+  CAST(CASE WHEN rn % 2707 = 0 THEN 3000000000 ELSE 1 + user_id % 27 END AS BIGINT) AS "PULocationID",
   CAST(1 + k % 27 AS BIGINT) AS "DOLocationID",
   CAST(CASE event_type WHEN 'purchase' THEN 1 WHEN 'view' THEN 2 WHEN 'click' THEN 3 WHEN 'signup' THEN 4
        ELSE CASE WHEN rn % 5 = 0 THEN 99 ELSE 1 END END AS BIGINT) AS payment_type,
@@ -46,7 +46,7 @@ SELECT rn AS source_row_number,
   CASE WHEN rn % 67 = 0 THEN NULL ELSE value * 0.2 END AS tip_amount,
   CASE WHEN rn % 131 = 0 THEN CAST('Infinity' AS DOUBLE) WHEN rn % 157 = 0 THEN NULL ELSE CAST(0.0 AS DOUBLE) END AS tolls_amount,
   CAST(CASE WHEN rn % 139 = 0 THEN NULL ELSE 0.3 END AS DOUBLE) AS improvement_surcharge,
-  CASE WHEN rn % 43 = 0 THEN -1.0 WHEN rn % 109 = 0 THEN NULL ELSE value * 1.25 END AS total_amount,
+  CASE WHEN rn % 3001 = 0 THEN CAST(9.1e16 AS DOUBLE) WHEN rn % 43 = 0 THEN -1.0 WHEN rn % 109 = 0 THEN NULL ELSE value * 1.25 END AS total_amount,
   CAST(CASE WHEN rn % 149 = 0 THEN NULL ELSE 2.5 END AS DOUBLE) AS congestion_surcharge,
   CAST(CASE WHEN rn % 151 = 0 THEN NULL ELSE 0.0 END AS DOUBLE) AS airport_fee
 FROM raw)"""
@@ -60,13 +60,18 @@ _NONFINITE = " OR ".join(
 )
 
 _TOOBIG = " OR ".join(
-    f"COALESCE(abs({c}) >= {'9.2e15' if c == 'trip_distance' else '9.2e16'}, FALSE)"
+    f"COALESCE(abs({c}) >= {'1e6' if c == 'trip_distance' else '1e7'}, FALSE)"
     for c in [
         "trip_distance", "fare_amount", "total_amount", "extra", "mta_tax", "tip_amount",
         "tolls_amount", "improvement_surcharge", "congestion_surcharge", "airport_fee",
     ]
 )
 
+_BADKEY = " OR ".join(
+    f'COALESCE(isnan(CAST("{c}" AS DOUBLE)) OR abs(CAST("{c}" AS DOUBLE)) > 2147483647, FALSE)'
+    for c in ["VendorID", "RatecodeID", "PULocationID", "DOLocationID", "payment_type", "passenger_count"]
+)
+
 RULES = f"""
 rules AS (
   SELECT t.*,
@@ -84,14 +89,15 @@ rules AS (
     COALESCE(tpep_pickup_datetime IS NOT NULL AND tpep_dropoff_datetime >= {WINDOW_END}, FALSE)
       AS r_dropoff_after_window,
     ({_NONFINITE}) AS r_non_finite_number,
-    NOT ({_NONFINITE}) AND ({_TOOBIG}) AS r_value_out_of_range
+    NOT ({_NONFINITE}) AND ({_TOOBIG}) AS r_value_out_of_range,
+    ({_BADKEY}) AS r_key_out_of_range
   FROM trips t),
 classified AS (
   SELECT r.*,
     (r_missing_pickup OR r_missing_dropoff OR r_missing_distance OR r_non_positive_distance
      OR r_missing_fare OR r_negative_fare OR r_missing_total OR r_negative_total
      OR r_pickup_before_month OR r_pickup_after_month OR r_dropoff_before_pickup
-     OR r_dropoff_after_window OR r_non_finite_number OR r_value_out_of_range) AS is_rejected,
+     OR r_dropoff_after_window OR r_non_finite_number OR r_value_out_of_range OR r_key_out_of_range) AS is_rejected,
     COALESCE("VendorID" NOT IN (0, 1, 2), TRUE) AS f_unknown_vendor,
     COALESCE(payment_type NOT IN (0, 1, 2, 3, 4, 5, 6), TRUE) AS f_unknown_payment,
     COALESCE("RatecodeID" NOT IN (0, 1, 2, 3, 4, 5, 6), TRUE) AS f_unknown_rate,
@@ -149,9 +155,7 @@ bounds AS (
     CAST(quantile_disc(CASE WHEN distance_millimiles > 0 AND distance_millimiles < 1000000 THEN distance_millimiles END, 0.999) AS BIGINT) AS dist_hi
   FROM converted),
 gated AS (
-  SELECT CASE WHEN n > 100 THEN dur_lo END AS dur_lo, CASE WHEN n > 100 THEN dur_hi END AS dur_hi,
-         CASE WHEN n > 100 THEN dist_lo END AS dist_lo, CASE WHEN n > 100 THEN dist_hi END AS dist_hi
-  FROM bounds),
+  SELECT dur_lo, dur_hi, dist_lo, dist_hi FROM bounds),
 accepted AS (
   SELECT c.*,
     (COALESCE(duration_seconds < g.dur_lo, FALSE) OR COALESCE(duration_seconds > g.dur_hi, FALSE)
@@ -287,6 +291,7 @@ REJECT_RULES = [
     ("DROPOFF_AFTER_WINDOW", "r_dropoff_after_window"),
     ("NON_FINITE_NUMBER", "r_non_finite_number"),
     ("VALUE_OUT_OF_RANGE", "r_value_out_of_range"),
+    ("KEY_OUT_OF_RANGE", "r_key_out_of_range"),
 ]
 FLAG_RULES = [
     ("UNKNOWN_VENDOR", "f_unknown_vendor"),
@@ -366,14 +371,16 @@ ORACLES["duplicate_check"] = q("""
 SELECT source_month, CAST(count(*) - count(DISTINCT (pickup_date_key, source_row_number)) AS BIGINT) AS duplicate_rows
 FROM facts GROUP BY source_month""")
 
-ORACLES["dim_date_month"] = q("""
+ORACLES["dim_date_month"] = """
+WITH months AS (SELECT DISTINCT date_trunc('month', o_orderdate) AS m FROM orders WHERE o_orderdate IS NOT NULL),
+days AS (SELECT DISTINCT CAST(unnest(range(m, m + INTERVAL 1 MONTH + INTERVAL 1 DAY, INTERVAL 1 DAY)) AS DATE) AS d FROM months)
 SELECT CAST(year(d) * 10000 + month(d) * 100 + day(d) AS INTEGER) AS date_key,
-  CAST(d AS DATE) AS calendar_date, CAST(year(d) AS INTEGER) AS year, CAST(quarter(d) AS INTEGER) AS quarter,
+  d AS calendar_date, CAST(year(d) AS INTEGER) AS year, CAST(quarter(d) AS INTEGER) AS quarter,
   CAST(month(d) AS INTEGER) AS month, monthname(d) AS month_name, CAST(week(d) AS INTEGER) AS iso_week,
   CAST(isoyear(d) AS INTEGER) AS iso_year, CAST(day(d) AS INTEGER) AS day_of_month,
   CAST(dayofyear(d) AS INTEGER) AS day_of_year, CAST(isodow(d) AS INTEGER) AS weekday_number,
   dayname(d) AS weekday_name, isodow(d) IN (6, 7) AS is_weekend
-FROM range(DATE '2024-01-01', DATE '2024-02-02', INTERVAL 1 DAY) t(d)""")
+FROM days"""
 
 ORACLES["hourly_mart"] = q("SELECT * FROM mart")
 
@@ -582,12 +589,13 @@ FROM issues GROUP BY source_month, issue_code""")
 _SECRET = r"(?i)\b(password|secret|token|authorization|cookie|credential|api[-_]?key)\s*[:=]\s*[^\s,;}]+"
 
 ORACLES["redacted_payloads"] = f"""
-SELECT doc_id,
-  substring(regexp_replace(text, '{_SECRET}', '\\1=[REDACTED]', 'g'), 1, 4000) AS event,
-  substring(regexp_replace(source, '{_SECRET}', '\\1=[REDACTED]', 'g'), 1, 4000) AS service,
-  '[REDACTED]' AS api_key,
-  '[OMITTED]' AS note
-FROM documents"""
+WITH m AS (
+  SELECT *, regexp_replace(text, '{_SECRET}', '\\1=[REDACTED]', 'g') AS t,
+    regexp_replace(source, '{_SECRET}', '\\1=[REDACTED]', 'g') AS s FROM documents)
+SELECT doc_id, t AS event, s AS service, '[REDACTED]' AS api_key, '[OMITTED]' AS note,
+  '{{"password":"[REDACTED]","pod":' || to_json(s) || ',"owner":"[OMITTED]"}}' AS labels,
+  '["{{\\"token\\":\\"[REDACTED]\\",\\"status\\":' || replace(to_json(s), '"', '\\"') || '}}","secret=[REDACTED]"]' AS alerts
+FROM m"""
 
 ZONE_SNAPSHOTS = """
 za AS (
@@ -688,5 +696,16 @@ ORACLES["month_partition_replace"] = """
 SELECT strftime(l_shipdate, '%Y-%m') AS source_month, CAST(count(*) AS BIGINT) AS row_count,
   CAST(sum(l_linenumber) AS BIGINT) AS linenumber_sum
 FROM lineitem
-WHERE strftime(l_shipdate, '%Y-%m') < (SELECT max(strftime(l_shipdate, '%Y-%m')) FROM lineitem)
 GROUP BY 1"""
+
+ORACLES["published_versions"] = q("""
+SELECT '2024-01' AS source_month, CAST((SELECT count(*) FROM facts) AS BIGINT) AS fact_rows,
+  CAST((SELECT sum(trip_count) FROM mart) AS BIGINT) AS mart_trips,
+  CAST((SELECT count(*) FROM classified WHERE is_rejected) AS BIGINT) AS quarantined_rows,
+  CAST((SELECT sum(CAST(f_unknown_vendor AS INT) + CAST(f_unknown_payment AS INT) + CAST(f_unknown_rate AS INT)
+    + CAST(f_invalid_passenger_count AS INT) + CAST(f_null_extra AS INT) + CAST(f_null_mta_tax AS INT)
+    + CAST(f_null_tip AS INT) + CAST(f_null_tolls AS INT) + CAST(f_null_improvement AS INT)
+    + CAST(f_null_congestion AS INT) + CAST(f_null_airport_fee AS INT)) FROM flagged) AS BIGINT) AS issue_rows""")
+
+ORACLES["stream_progress"] = """
+SELECT CAST(count(*) AS BIGINT) AS input_rows, CAST(0 AS BIGINT) AS rows_dropped_by_watermark FROM events"""

@@ -1,22 +1,7 @@
-"""Join helpers: broadcast only behind a size check."""
+"""Which join sides are small by construction."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-# A dimension side larger than this is joined by shuffle (sort-merge) instead of broadcast.
-MAX_BROADCAST_ROWS = 1_000_000
-
-
-def is_bounded(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (stops counting at max_rows + 1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` only when it has at most ``max_rows`` rows; otherwise leave the choice to
-    Catalyst/AQE (shuffle join, runtime re-plan). The probe is ``limit(max_rows + 1).count()``,
-    so it stops early on a large side and costs one small job on a dimension."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+#: Dimensions that cannot grow with the data: fixed lookups and the minutes of a day. Every other side
+#: is left to Spark, which broadcasts by bytes (``autoBroadcastJoinThreshold``, AQE).
+FIXED_DIMENSIONS = {"payment", "vendor", "rate", "time"}

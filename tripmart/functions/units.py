@@ -44,12 +44,6 @@ def percent_delta(current: Column | str, prior: Column | str) -> Column:
     return F.when(pri.isNotNull() & (pri != 0.0), F.lit(100.0) * (cur - pri) / pri)
 
 
-def is_stale(published_at: Column | str, now: Column, stale_hours: int = 36) -> Column:
-    """H7: null or older than ``stale_hours`` relative to a passed-in ``now``."""
-    ts = _c(published_at)
-    return ts.isNull() | ((now - ts) > F.expr(f"INTERVAL {int(stale_hours)} HOURS"))
-
-
 def safe_ratio(numerator: Column, denominator: Column, scale: float = 1.0) -> Column:
     """``scale * num / NULLIF(den, 0)`` in double, operation order kept fixed."""
     den = denominator.cast("double")

@@ -185,7 +185,7 @@ def zone_candidates_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     borough and service zone = region name."""
     nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
     region = spark.read.parquet(f"{sf_dir}/region.parquet")
-    return nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey).select(
+    return nation.join(region, nation.n_regionkey == region.r_regionkey).select(
         (F.col("n_nationkey") + 1).cast("int").alias("business_key"),
         F.col("n_name").alias("label"),
         zone_attributes(F.col("r_name"), F.col("r_name")).alias("attributes"),
@@ -209,7 +209,7 @@ def zone_demand_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce(F.col("customers"), F.lit(0)).alias("customers"),
     )
     busy = per_zone.withColumn("_avg", F.avg("customers").over(Window.partitionBy())).join(
-        F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey")
+        region, F.col("n_regionkey") == F.col("r_regionkey")
     )
     service = F.when(F.col("customers") > F.col("_avg"), F.lit("High demand")).otherwise(F.col("r_name"))
     attrs = busy.select("business_key", zone_attributes(F.col("r_name"), service).alias("_attrs"))
@@ -316,13 +316,6 @@ def scd2_merge(dim: DataFrame, snapshot: DataFrame, observed_at: Column) -> Data
     return _number_new_rows(history.unionByName(kept).unionByName(opened))
 
 
-def successor_bounds(versions: DataFrame) -> DataFrame:
-    """Derive ``observed_to`` from the next version's ``observed_from`` per business key."""
-    w = Window.partitionBy("business_key").orderBy("observed_from")
-    nxt = F.lead("observed_from").over(w)
-    return versions.withColumn("observed_to", nxt).withColumn("is_current", nxt.isNull())
-
-
 def asof_lookup(facts: DataFrame, dim: DataFrame, key_col: str, time_col: str, prefix: str) -> DataFrame:
     """Pin each fact to the dimension version valid at ``time_col``:
     equi join on business key, then ``observed_from <= t < observed_to`` (open end = current).
@@ -344,7 +337,4 @@ def asof_lookup(facts: DataFrame, dim: DataFrame, key_col: str, time_col: str, p
         & (F.col(f"_{prefix}_from") <= t)
         & (F.col(f"_{prefix}_to").isNull() | (t < F.col(f"_{prefix}_to")))
     )
-    from tripmart.functions.joins import bounded_broadcast
-
-    side = bounded_broadcast(d)
-    return facts.join(side, cond, "left").drop(f"_{prefix}_bk", f"_{prefix}_from", f"_{prefix}_to")
+    return facts.join(d, cond, "left").drop(f"_{prefix}_bk", f"_{prefix}_from", f"_{prefix}_to")

@@ -46,7 +46,7 @@ def explorer_page(view: DataFrame, filters: DashboardFilters, explorer: Explorer
     ``has_more``; the page itself is the first ``page_size`` rows in ascending order.
     """
     if direction not in ("next", "previous"):
-        raise ValueError("explorer direction must be 'next' or 'previous'")
+        raise ValueError(f"no page in direction {direction!r}")
     cond = explorer_where(filters, explorer)
     t, k = F.col("pickup_at_local"), F.col("trip_key")
     if cursor is not None:

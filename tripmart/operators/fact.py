@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.functions.joins import is_bounded
+from tripmart.functions.joins import FIXED_DIMENSIONS
 from tripmart.operators.convert import CENT_COLUMNS
 from tripmart.operators.dims import current_keys
 from tripmart.operators.rules import date_key, time_key
@@ -15,12 +15,7 @@ from tripmart.operators.rules import date_key, time_key
 
 @dataclass
 class Dimensions:
-    """The reference dimensions of one job.
-
-    ``small`` records, per dimension, whether it may be broadcast. Dimensions whose size is
-    bounded by construction (fixed lookups, 1,440 minutes, the days of the job's months) are
-    marked when built; any other one is probed once (``bounded_broadcast``) on first use.
-    """
+    """The reference dimensions of one job."""
 
     zone: DataFrame
     payment: DataFrame
@@ -28,16 +23,10 @@ class Dimensions:
     rate: DataFrame
     date: DataFrame | None = None
     time: DataFrame | None = None
-    small: dict = field(default_factory=dict)
-
-    def is_small(self, name: str) -> bool:
-        if name not in self.small:
-            self.small[name] = is_bounded(getattr(self, name))
-        return self.small[name]
 
     def side(self, name: str, projected: DataFrame) -> DataFrame:
-        """A join side derived from dimension ``name``: broadcast when that dimension is small."""
-        return F.broadcast(projected) if self.is_small(name) else projected
+        """A join side derived from dimension ``name``, with a broadcast hint if its size is fixed."""
+        return F.broadcast(projected) if name in FIXED_DIMENSIONS else projected
 
 
 FACT_KEYS = [
@@ -70,8 +59,8 @@ def _surrogate(df: DataFrame, dims: Dimensions, name: str, business_col: str, ou
 def build_facts(accepted: DataFrame, dims: Dimensions, source_asset_id=None, source_version=None) -> DataFrame:
     """P25: one fact row per accepted trip, keyed (source_version, source_row_number).
 
-    The five lookups are broadcast hash joins against current dimension rows (each side
-    size-checked); the fact side is never shuffled here.
+    The five lookups join current dimension rows; Spark broadcasts those that are small in bytes, so that
+    the fact side is shuffled only beside a large zone dimension.
     """
     df = accepted
     df = _surrogate(df, dims, "zone", "pickup_location_id", "pickup_zone_key")
@@ -135,10 +124,10 @@ def orphan_counts(facts: DataFrame, dims: Dimensions, extra: dict | None = None)
     return counts.unpivot([], [fk for fk, _, _ in checks] + list(extra), "foreign_key", "orphan_rows")
 
 
-def null_key_counts(facts: DataFrame) -> DataFrame:
-    """NOT NULL check of the fact keys and flags in one pass."""
+def null_key_counts() -> dict:
+    """NOT NULL checks of the fact keys and flags, as aggregates for ``orphan_counts``."""
     cols = FACT_KEYS + ["pickup_at_local", "dropoff_at_local", "has_statistical_outlier", "has_quality_issue"]
-    return facts.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
+    return {f"null_{c}": F.count_if(F.col(c).isNull()) for c in cols}
 
 
 def duplicate_identities(facts: DataFrame) -> DataFrame:

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripmart.schema import (
-    REDACTED_TEXT_LIMIT,
     SAFE_ALERT_FIELDS,
     SENSITIVE_KEY_PATTERN,
     SENSITIVE_VALUE_PATTERN,
@@ -33,13 +32,11 @@ def publication_state(runs: DataFrame, assets: DataFrame) -> DataFrame:
     """M3: latest run per month, synthetic-source flag (EXISTS on month + hash, J6) and the
     warehouse version (J7: the one-row max over all runs, carried by a window over the run
     table instead of a join)."""
-    everything = Window.partitionBy()
-    versioned = runs.withColumn(
-        "warehouse_version",
-        F.coalesce(F.max(F.when(F.col("status") == "success", F.col("id"))).over(everything).cast("string"),
-                   F.lit("0")),
-    )
-    latest = latest_per(versioned, "source_month", [F.col("id").desc()])
+    # one run per month is left before the one-row maximum is attached
+    per_month = runs.groupBy("source_month").agg(
+        F.max_by(F.struct(*runs.columns), "id").alias("r"), F.max(F.when(F.col("status") == "success", F.col("id"))).alias("_ok"))
+    newest = F.max("_ok").over(Window.partitionBy()).cast("string")
+    latest = per_month.select("r.*", F.coalesce(newest, F.lit("0")).alias("warehouse_version"))
     synthetic = (
         assets.filter(F.col("is_synthetic"))
         .select(F.col("source_month").alias("_m"), F.col("sha256").alias("_h"))
@@ -104,7 +101,7 @@ def alerts(runs: DataFrame, limit: int = 20) -> DataFrame:
             F.col("status").alias("severity"),
             F.concat_ws(" / ", "dag_id", "run_id").alias("event_summary"),
         )
-        .orderBy(F.col("occurred_at").desc())
+        .orderBy(F.col("occurred_at").desc(), F.col("event_summary"))
         .limit(limit)
     )
 
@@ -124,46 +121,51 @@ def date_coverage(view: DataFrame) -> DataFrame:
 
 def filter_options(view: DataFrame) -> DataFrame:
     """Distinct (key, label) options per dimension and the non-null boroughs, as one long
-    frame (option_kind, option_key, option_label). Each branch is a distinct over the mart view."""
-    parts = []
-    for kind, key, label in (
-        ("zone", "pickup_zone_key", "pickup_zone_label"),
-        ("payment", "payment_type_key", "payment_type_label"),
-        ("vendor", "vendor_key", "vendor_label"),
-        ("rate", "rate_code_key", "rate_code_label"),
-    ):
-        parts.append(
-            view.select(F.lit(kind).alias("option_kind"), F.col(key).cast("int").alias("option_key"),
-                        F.col(label).alias("option_label")).distinct()
-        )
-    parts.append(
-        view.filter(F.col("pickup_borough").isNotNull())
-        .select(F.lit("borough").alias("option_kind"), F.lit(None).cast("int").alias("option_key"),
-                F.col("pickup_borough").alias("option_label"))
-        .distinct()
-    )
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    frame (option_kind, option_key, option_label), in one pass over the mart view."""
+    kinds = [("zone", "pickup_zone_key", "pickup_zone_label"), ("payment", "payment_type_key", "payment_type_label"),
+             ("vendor", "vendor_key", "vendor_label"), ("rate", "rate_code_key", "rate_code_label")]
+    option = [F.struct(F.lit(kind).alias("option_kind"), F.col(key).cast("int").alias("option_key"),
+                       F.col(label).alias("option_label")) for kind, key, label in kinds]
+    option.append(F.struct(F.lit("borough").alias("option_kind"), F.lit(None).cast("int").alias("option_key"),
+                           F.col("pickup_borough").alias("option_label")))
+    rows = view.select(F.inline(F.array(*option))).distinct()
+    return rows.filter((F.col("option_kind") != "borough") | F.col("option_label").isNotNull())
 
 
 # --- H4 redaction ----------------------------------------------------------------------------
 
 
-def redact_payload(payload: Column) -> Column:
-    """H4 over a JSON object string: sensitive key -> '[REDACTED]', key outside the safe list ->
-    '[OMITTED]', safe string values get ``key=value`` secrets masked and are cut to 4,000
-    characters. Returns ``map<string,string>``; top level only (nested values stay JSON text)."""
-    m = F.from_json(payload, "map<string,string>")
+#: Levels of nested objects and lists that are looked into; what lies deeper is omitted.
+REDACTION_DEPTH = 4
+
+
+def _redacted(value: Column, depth: int) -> Column:
+    """The text of a JSON value of a safe field: objects by key, lists by element, other values masked."""
+    masked = F.regexp_replace(value, SENSITIVE_VALUE_PATTERN, "$1=[REDACTED]")
+    if depth == 0:
+        return F.when(value.rlike(r"^\s*[\[{]"), F.lit("[OMITTED]")).otherwise(masked)
+    fields = F.from_json(value, "map<string,string>")
+    items = F.from_json(value, "array<string>")
+    return (
+        F.when(value.startswith("{") & fields.isNotNull(), F.to_json(_redacted_fields(fields, depth - 1)))
+        .when(value.startswith("[") & items.isNotNull(), F.to_json(F.transform(items, lambda v: _redacted(v, depth - 1))))
+        .otherwise(masked)
+    )
+
+
+def _redacted_fields(fields: Column, depth: int) -> Column:
     safe = F.array(*[F.lit(k) for k in SAFE_ALERT_FIELDS])
+    return F.transform_values(
+        fields,
+        lambda k, v: F.when(k.rlike(SENSITIVE_KEY_PATTERN), F.lit("[REDACTED]"))
+        .when(F.array_contains(safe, k), _redacted(v, depth))
+        .otherwise(F.lit("[OMITTED]")),
+    )
 
-    def one(k: Column, v: Column) -> Column:
-        masked = F.regexp_replace(v, SENSITIVE_VALUE_PATTERN, "$1=[REDACTED]")
-        return (
-            F.when(k.rlike(SENSITIVE_KEY_PATTERN), F.lit("[REDACTED]"))
-            .when(F.array_contains(safe, k), F.substring(masked, 1, REDACTED_TEXT_LIMIT))
-            .otherwise(F.lit("[OMITTED]"))
-        )
 
-    return F.transform_values(m, one)
+def redact_payload(payload: Column, depth: int = REDACTION_DEPTH) -> Column:
+    """H4 over a JSON object string: a sensitive key's value becomes '[REDACTED]', a key outside the safe
+    list '[OMITTED]', and ``key=value`` secrets in the whole text of safe values are masked. Objects and
+    lists in safe fields are treated the same way, ``depth`` levels down. Returns
+    ``map<string,string>``; nested values are JSON text, their numbers and booleans as strings."""
+    return _redacted_fields(F.from_json(payload, "map<string,string>"), depth)

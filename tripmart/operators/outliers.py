@@ -2,10 +2,10 @@
 
 Two bound methods, both one grouped aggregate per month:
 
-* ``exact``: ``percentile_disc`` over the integer metric. Its buffer is a value->count
-  map, so memory is bounded by the metric's domain (< 86,400 seconds, < 1,000,000
-  millimiles) however many rows a month holds, and it combines map-side before the
-  shuffle. Deterministic, so it is the default and the one oracle-checked.
+* ``exact``: a histogram of the integer metric (month, metric, value -> count), combined
+  map-side and spread over all tasks by value, then a running sum over at most the metric's
+  domain (< 86,400 seconds, < 1,000,000 millimiles) per month. Deterministic, so it is the
+  default and the one oracle-checked.
 * ``kll``: Spark's mergeable KLL sketch (``kll_sketch_agg_float``, k = 4096), one binary
   sketch per month that can be stored and merged across months (calibration).
 
@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripmart.schema import (
@@ -25,7 +25,6 @@ from tripmart.schema import (
     DURATION_RANGE,
     HIGH_QUANTILE,
     LOW_QUANTILE,
-    MIN_SKETCH_ROWS,
     SKETCH_K,
 )
 
@@ -41,24 +40,21 @@ def _in_range(metric: str) -> Column:
     return (c > lo) & (c < hi)
 
 
-def exact_bounds(converted: DataFrame, low: float = LOW_QUANTILE, high: float = HIGH_QUANTILE,
-                 min_rows: int = MIN_SKETCH_ROWS) -> DataFrame:
-    """Exact inclusive quantile bounds per month; null bounds when the month has <= ``min_rows``
-    candidate rows (the gate counts candidates, not in-range values)."""
-    aggs = [F.count(F.lit(1)).alias("_n")]
-    for metric in METRICS:
-        aggs.append(F.expr(f"percentile_disc({low}) WITHIN GROUP (ORDER BY _v_{metric})").alias(f"{metric}_low"))
-        aggs.append(F.expr(f"percentile_disc({high}) WITHIN GROUP (ORDER BY _v_{metric})").alias(f"{metric}_high"))
-    staged = converted.select(
-        "source_month", *[F.when(_in_range(m), F.col(m)).alias(f"_v_{m}") for m in METRICS]
-    )
-    agg = staged.groupBy("source_month").agg(*aggs)
-    gated = [
-        F.when(F.col("_n") > min_rows, F.col(f"{m}_{side}").cast("bigint")).alias(f"{m}_{side}")
-        for m in METRICS
-        for side in ("low", "high")
-    ]
-    return agg.select("source_month", *gated)
+def exact_bounds(converted: DataFrame, low: float = LOW_QUANTILE, high: float = HIGH_QUANTILE) -> DataFrame:
+    """Exact inclusive quantile bounds per month (the smallest value with at least that share at or
+    below it); null bounds only when a month has no value in range."""
+    values = F.array(*[F.struct(F.lit(m).alias("metric"), F.when(_in_range(m), F.col(m).cast("bigint")).alias("value")) for m in METRICS])
+    counted = converted.select("source_month", F.inline(values)).groupBy("source_month", "metric", "value").agg(F.count(F.lit(1)).alias("n"))
+    each = Window.partitionBy("source_month", "metric")  # at most the metric's domain
+    known = F.when(F.col("value").isNotNull(), F.col("n"))
+    ranked = counted.select("*", F.sum(known).over(each.orderBy("value")).alias("upto"), F.sum(known).over(each).alias("total"))
+
+    def at(metric: str, share: float) -> Column:
+        reached = F.col("upto") >= F.ceil(F.lit(share) * F.col("total"))
+        return F.min(F.when((F.col("metric") == metric) & reached, F.col("value")))
+
+    bounds = [at(m, share).alias(f"{m}_{side}") for m in METRICS for side, share in (("low", low), ("high", high))]
+    return ranked.groupBy("source_month").agg(*bounds)
 
 
 def month_sketches(values: DataFrame, k: int = SKETCH_K) -> DataFrame:
@@ -84,24 +80,21 @@ def merge_sketches(sketches: DataFrame, group: list[str] | None = None) -> DataF
     return sketches.groupBy(*group).agg(*aggs) if group else sketches.agg(*aggs)
 
 
-def sketch_bounds(sketches: DataFrame, low: float = LOW_QUANTILE, high: float = HIGH_QUANTILE,
-                  min_rows: int = MIN_SKETCH_ROWS) -> DataFrame:
+def sketch_bounds(sketches: DataFrame, low: float = LOW_QUANTILE, high: float = HIGH_QUANTILE) -> DataFrame:
     """Quantile bounds and sketch size from serialized sketches.
 
-    An empty sketch cannot be queried, so the getter is guarded on n > 0 and on the
-    candidate-row gate.
+    An empty sketch cannot be queried, so the getter is guarded on n > 0.
     """
     out = [c for c in sketches.columns if not c.endswith("_sketch")]
     cols = [F.col(c) for c in out]
     for metric in METRICS:
         sk = F.col(f"{metric}_sketch")
         n = F.call_function("kll_sketch_get_n_float", sk)
-        usable = (F.col("candidate_rows") > min_rows) & (n > 0)
         q = F.call_function("kll_sketch_get_quantile_float", sk, F.array(F.lit(low), F.lit(high)))
         cols += [
             n.alias(f"{metric}_n"),
-            F.when(usable, F.round(q[0]).cast("bigint")).alias(f"{metric}_low"),
-            F.when(usable, F.round(q[1]).cast("bigint")).alias(f"{metric}_high"),
+            F.when(n > 0, F.round(q[0]).cast("bigint")).alias(f"{metric}_low"),
+            F.when(n > 0, F.round(q[1]).cast("bigint")).alias(f"{metric}_high"),
         ]
     return sketches.select(*cols)
 
@@ -113,14 +106,15 @@ def kll_bounds(converted: DataFrame, k: int = SKETCH_K, **kw) -> DataFrame:
     )
 
 
-def outlier_flag(bounds_prefix: str = "") -> Column:
-    """Strictly outside either bound of either metric; equal is inside; null bound = no test."""
-    tests = []
-    for metric in METRICS:
-        v = F.col(metric)
-        lo, hi = F.col(f"{bounds_prefix}{metric}_low"), F.col(f"{bounds_prefix}{metric}_high")
-        tests.append(F.coalesce(v < lo, F.lit(False)) | F.coalesce(v > hi, F.lit(False)))
-    return reduce(lambda a, b: a | b, tests)
+def outside(metric: str) -> Column:
+    """Strictly outside either bound; equal is inside; a null bound tests nothing."""
+    value, low, high = F.col(metric), F.col(f"{metric}_low"), F.col(f"{metric}_high")
+    return F.coalesce(value < low, F.lit(False)) | F.coalesce(value > high, F.lit(False))
+
+
+def outlier_flag() -> Column:
+    """Outside the bounds of any metric."""
+    return reduce(lambda a, b: a | b, map(outside, METRICS))
 
 
 def mark_outliers(converted: DataFrame, bounds: DataFrame) -> DataFrame:
@@ -132,28 +126,6 @@ def mark_outliers(converted: DataFrame, bounds: DataFrame) -> DataFrame:
     )
 
 
-def mark_outliers_pinned(converted: DataFrame, bounds: DataFrame) -> DataFrame:
-    """P22 with bounds read once (one row per month, four numbers each) and applied as literals.
-
-    No join: the predicate is a CASE over the job's months, constant-folded per month. Reading
-    the bounds once also pins them, so a sketch-based bound cannot differ between two branches
-    of one plan. Use when ``source_month`` is a literal (a single file), where a join on it
-    would fold into a nested-loop join.
-    """
-    rows = bounds.collect()  # one row per month of the job
-    names = [f"{m}_{side}" for m in METRICS for side in ("low", "high")]
-    flag = F.lit(False)
-    for r in reversed(rows):
-        lit_bounds = {n: F.lit(r[n]).cast("bigint") for n in names}
-        tests = []
-        for metric in METRICS:
-            v = F.col(metric)
-            lo, hi = lit_bounds[f"{metric}_low"], lit_bounds[f"{metric}_high"]
-            tests.append(F.coalesce(v < lo, F.lit(False)) | F.coalesce(v > hi, F.lit(False)))
-        flag = F.when(F.col("source_month") == F.lit(r["source_month"]), reduce(lambda a, b: a | b, tests)).otherwise(flag)
-    return converted.withColumn("has_statistical_outlier", flag)
-
-
 def calibrate(converted_months: DataFrame, k: int = SKETCH_K, version_id: str | None = None) -> DataFrame:
     """Baseline calibration over several months into one threshold version (long form:
     one row per metric). Sketches are built per month, merged, then read once."""
@@ -190,7 +162,7 @@ def outlier_issue_rows(converted: DataFrame, bounds: DataFrame) -> DataFrame:
     for metric, code in OUTLIER_CODES.items():
         lo, hi, v = F.col(f"{metric}_low"), F.col(f"{metric}_high"), F.col(metric)
         parts.append(
-            F.when(F.coalesce(v < lo, F.lit(False)) | F.coalesce(v > hi, F.lit(False)),
+            F.when(outside(metric),
                    F.struct(F.lit(code).alias("issue_code"), v.cast("bigint").alias("metric_value"),
                             lo.alias("low_bound"), hi.alias("high_bound")))
         )
@@ -209,12 +181,10 @@ def derived_metric_sketch_bounds(converted: DataFrame, k: int = SKETCH_K, low: f
         F.call_function("kll_sketch_agg_double", speed, F.lit(k)).alias("speed_mph_sketch"),
         F.call_function("kll_sketch_agg_double", fpm, F.lit(k)).alias("fare_per_mile_sketch"),
     )
-    cols = ["source_month"]
     out = [F.col("source_month")]
     for m in ("speed_mph", "fare_per_mile"):
         sk = F.col(f"{m}_sketch")
         n = F.call_function("kll_sketch_get_n_double", sk)
         q = F.call_function("kll_sketch_get_quantile_double", sk, F.array(F.lit(low), F.lit(high)))
         out += [n.alias(f"{m}_n"), F.when(n > 0, q[0]).alias(f"{m}_low"), F.when(n > 0, q[1]).alias(f"{m}_high")]
-    del cols
     return g.select(*out)

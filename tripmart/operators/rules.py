@@ -15,7 +15,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripmart.schema import (
+    KEY_COLUMNS,
     MAX_DOLLARS,
+    MAX_KEY,
     MAX_MILES,
     MONTH_WINDOW_HOURS,
     NON_FINITE_COLUMNS,
@@ -68,9 +70,12 @@ def reject_masks(columns: list[str] | None = None) -> list[tuple[str, Column]]:
     window_end = end + F.expr(f"INTERVAL {MONTH_WINDOW_HOURS} HOURS")
     present = [c for c in NON_FINITE_COLUMNS if columns is None or c in columns]
     non_finite = reduce(or_, [_non_finite(c) for c in present]) if present else F.lit(False)
-    # A finite value whose integer unit would overflow bigint (an ANSI cast would fail the job).
+    # Values that do not fit the warehouse's integers, alone or summed (an ANSI cast or sum would
+    # end the job), and ids or counts that are no 32-bit integer.
     too_big = [F.abs(F.col(c)) >= (MAX_MILES if c == "trip_distance" else MAX_DOLLARS) for c in present]
     out_of_range = reduce(or_, too_big) & ~non_finite if too_big else F.lit(False)
+    keys = [F.col(c).cast("double") for c in KEY_COLUMNS if columns is None or c in columns]
+    bad_key = reduce(or_, [F.isnan(k) | (F.abs(k) > MAX_KEY) for k in keys]) if keys else F.lit(False)
     masks = [
         ("MISSING_PICKUP", pickup.isNull()),
         ("MISSING_DROPOFF", dropoff.isNull()),
@@ -86,6 +91,7 @@ def reject_masks(columns: list[str] | None = None) -> list[tuple[str, Column]]:
         ("DROPOFF_AFTER_WINDOW", both & (dropoff >= window_end)),
         ("NON_FINITE_NUMBER", non_finite),
         ("VALUE_OUT_OF_RANGE", out_of_range),
+        ("KEY_OUT_OF_RANGE", bad_key),
     ]
     return [(code, F.coalesce(mask, F.lit(False))) for code, mask in masks]
 
@@ -214,9 +220,9 @@ def gate_reconciliation(counts, warn_reject_percent: float | None = None,
 
 def zone_issue_rows(accepted: DataFrame, zone_keys: DataFrame) -> DataFrame:
     """UNKNOWN_PICKUP_ZONE / UNKNOWN_DROPOFF_ZONE issue rows for accepted trips whose
-    location id is not a current zone (the fact maps them to key 0). ``zone_keys`` is the small
-    set of current zone business keys; both lookups are broadcast left joins, no shuffle."""
-    keys = F.broadcast(zone_keys.select(F.col("business_key").alias("_zk")).distinct())
+    location id is not a current zone (the fact maps them to key 0). ``zone_keys`` are the current
+    zone business keys; Spark broadcasts them by their size in bytes."""
+    keys = zone_keys.select(F.col("business_key").alias("_zk")).distinct()
     pu = accepted.join(keys, F.col("pickup_location_id") == F.col("_zk"), "left").withColumn(
         "_pu_unknown", F.col("_zk").isNull()).drop("_zk")
     both = pu.join(keys, F.col("dropoff_location_id") == F.col("_zk"), "left").withColumn(

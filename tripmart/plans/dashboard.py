@@ -61,24 +61,34 @@ def release_checks(wh: Warehouse) -> DataFrame:
     )
 
 
+class DashboardData(dict):
+    """The frames by name; ``release`` frees what they share."""
+
+    def __init__(self, frames: dict[str, DataFrame], shared: DataFrame | None):
+        super().__init__(frames)
+        self._shared = shared
+
+    def release(self) -> None:
+        if self._shared is not None:
+            self._shared.unpersist()
+
+
 def load_dashboard_data(wh: Warehouse, filters: M.DashboardFilters,
-                        comparison: M.DashboardFilters | None = None, persist: bool = False) -> dict[str, DataFrame]:
+                        comparison: M.DashboardFilters | None = None, persist: bool = False) -> DashboardData:
     """M1: the 19 frames of one dashboard load for a current and a comparison range.
 
-    With ``persist`` the filtered metrics rows (shared by ten frames) are cached once, the
-    Spark counterpart of the reference's short result cache; the cache is recomputable from
-    lineage if an executor is lost.
+    With ``persist`` the filtered metrics rows (shared by ten frames) are cached until
+    ``release`` of the result; the cache is recomputable from lineage if an executor is lost.
     """
     comparison = comparison or C.prior_filters(filters)
     view = wh.metrics
     if persist:
-        lo = min(filters.start_date, comparison.start_date)
-        hi = max(filters.end_date, comparison.end_date)
-        view = view.filter(M.metric_where(M.DashboardFilters(lo, hi))).persist()
+        ends = [d for f in (filters, comparison) for d in (f.start_date, f.end_date)]
+        view = view.filter(M.metric_where(M.DashboardFilters(min(ends), max(ends), max_days=None))).persist()
     month_lo, month_hi = filters.start_date.strftime("%Y-%m"), filters.end_date.strftime("%Y-%m")
     in_months = F.col("source_month").between(month_lo, month_hi)
     runs, assets = wh.runs, wh.assets
-    return {
+    frames = {
         "kpis": M.kpis(view, filters),
         "comparison_kpis": M.kpis(view, comparison),
         "daily": M.daily(view, filters),
@@ -99,6 +109,7 @@ def load_dashboard_data(wh: Warehouse, filters: M.DashboardFilters,
         "thresholds": O.thresholds(runs),
         "alerts": O.alerts(runs),
     }
+    return DashboardData(frames, view if persist else None)
 
 
 def filter_options_and_coverage(wh: Warehouse) -> tuple[DataFrame, DataFrame]:

@@ -10,7 +10,6 @@ from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tripmart.operators import dims as D
 from tripmart.operators import outliers, rules
@@ -32,8 +31,8 @@ class TripModel:
 
     @cached_property
     def accepted(self) -> DataFrame:
-        """Converted rows with the outlier flag; bounds are read once (one row per month)."""
-        return outliers.mark_outliers_pinned(self.converted, self.bounds)
+        """Converted rows with the outlier flag."""
+        return outliers.mark_outliers(self.converted, self.bounds)
 
     @cached_property
     def rejected(self) -> DataFrame:
@@ -74,8 +73,6 @@ def reference_dimensions(spark: SparkSession, sf_dir: str, months: list[str]) ->
         rate=D.rate_dimension(spark),
         date=D.calendar_for_months(month_df),
         time=D.time_dimension(spark),
-        # Bounded by construction: fixed lookups, 1,440 minutes, <= 32 days per month of the job.
-        small={"payment": True, "vendor": True, "rate": True, "time": True, "date": True},
     )
 
 
@@ -113,8 +110,3 @@ def build_model(
         source_asset_id=source_asset_id,
         source_version=source_version,
     )
-
-
-def source_identity(month: str, sha256: str, name: str = "yellow_tripdata") -> tuple:
-    """Asset id ``name_month:hash12`` and version = full hash, as Columns."""
-    return F.lit(f"{name}_{month}:{sha256[:12]}"), F.lit(sha256)

@@ -7,10 +7,11 @@ Execution shape (per job, any number of months):
    (source_month, is_rejected): every later output reads that stage with partition pruning
    instead of re-running the rules, and the written stage cuts the lineage;
 2. outlier bounds: one tiny aggregate per month, written (pinned) and joined back;
-3. facts: broadcast lookups of the (size-checked) dimensions, no shuffle of the fact side,
-   sorted by pickup time within files for min/max skipping, swapped in per month;
-4. mart and gates read the written facts;
-5. the run record is appended last: readers treat a month as published through it.
+3. facts: lookups of the small dimensions, gathered by month and sorted by pickup time within files
+   for min/max skipping, written as a new publication beside the published one;
+4. mart and gates read the written facts of that publication;
+5. the run record is appended last: it names the publication, so that one append switches all tables
+   of the month, and a publish that fails before or in its gates changes nothing for readers.
 """
 
 from __future__ import annotations
@@ -19,17 +20,18 @@ import datetime as _dt
 import logging
 import os
 import time
+import uuid
 from contextlib import contextmanager
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripmart.operators import dims as D
 from tripmart.operators import outliers, rules
 from tripmart.operators.convert import convert_accepted
-from tripmart.operators.fact import Dimensions, build_facts, duplicate_identities, orphan_counts
+from tripmart.operators.fact import Dimensions, build_facts, duplicate_identities, null_key_counts, orphan_counts
 from tripmart.operators.mart import hourly_mart
 from tripmart.schema import PAYMENT_TYPE_LOOKUP, RATE_CODE_LOOKUP, RAW_TRIP, VENDOR_LOOKUP
 from tripmart.sources.store import TableStore
@@ -58,9 +60,12 @@ RUN_SCHEMA = T.StructType(
         T.StructField("source_version", T.StringType()),
         T.StructField("threshold_version_id", T.StringType()),
         T.StructField("reference_snapshot_id", T.StringType()),
+        T.StructField("publication", T.StringType()),
     ]
 )
 
+VERSIONED = ["quarantine_rejected", "outlier_bounds", "fact_trips", "trip_quality_issue", "quality_result_summary", "trip_metrics_hourly"]
+
 ASSET_SCHEMA = T.StructType(
     [
         T.StructField("id", T.StringType()),
@@ -152,7 +157,7 @@ def publish_dimensions(spark: SparkSession, store: TableStore, zone_candidates:
 
 def read_dimensions(store: TableStore) -> Dimensions:
     """Published dimensions. Vendor/payment/rate/time are bounded by construction (written only
-    from fixed lookups / 1,440 minutes); zone and date are size-probed on first use."""
+    from fixed lookups / 1,440 minutes)."""
     return Dimensions(
         zone=store.read("dim_taxi_zone"),
         payment=store.read("dim_payment_type"),
@@ -160,7 +165,6 @@ def read_dimensions(store: TableStore) -> Dimensions:
         rate=store.read("dim_rate_code"),
         date=store.read("dim_date"),
         time=store.read("dim_time"),
-        small={"payment": True, "vendor": True, "rate": True, "time": True},
     )
 
 
@@ -207,87 +211,112 @@ def publish(
 
     months = sorted(a.source_month for a in assets)
     started = _dt.datetime.now(_dt.timezone.utc)
+    publication = f"{started:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:12]}"
     timings: dict = {}
     with _step("dimensions", timings):
         publish_dimensions(spark, store, zone_candidates, months)
         dims = read_dimensions(store)
-
-    # 1. classify once into a month x outcome partitioned stage (cuts lineage, pruned reads)
-    stage_path = f"{store.root}/_work/stage-{started.strftime('%Y%m%d%H%M%S%f')}"
-    with _step("stage", timings):
-        staged = rules.classify(raw).select(*STAGE_COLUMNS)
-        staged.write.partitionBy("source_month", "is_rejected").parquet(stage_path)
-        stage = spark.read.schema(staged.schema).parquet(stage_path)
-    with _step("counts", timings):
-        counts = [r.asDict() for r in rules.reconciliation_counts(stage).collect()]  # one row per month
-        warnings = rules.gate_reconciliation(counts, warn_reject_percent, fail_reject_percent)
-
-    # 2. quarantine (K1): rejected rows with their reason codes, month replace
-    with _step("quarantine", timings):
-        rejected = stage.filter(F.col("is_rejected")).drop("is_rejected", "has_quality_issue", "issue_codes")
-        store.replace_partitions("quarantine_rejected", rejected, months)
-
-    # 3. bounds, pinned per month, then facts
-    accepted_stage = stage.filter(~F.col("is_rejected"))
-    converted = convert_accepted(accepted_stage)
-    with _step("bounds", timings):
-        if bounds_method == "version":
-            threshold_version_id = threshold_version_id or TH.active_version_id(store)
-            if threshold_version_id is None:
-                raise ValueError("bounds_method='version' needs a saved, activated threshold version")
-            bounds = TH.version_bounds_for_months(spark, store, threshold_version_id, months)
-        elif bounds_method == "kll":
-            bounds = outliers.kll_bounds(converted)
-        else:
-            bounds = outliers.exact_bounds(converted)
-        store.replace_partitions("outlier_bounds", bounds, months)
-        pinned = store.read("outlier_bounds").filter(F.col("source_month").isin(months))
-    with _step("facts", timings):
-        accepted = outliers.mark_outliers(converted, pinned)
-        ident = spark.createDataFrame(
-            [(a.source_month, a.source_asset_id, a.source_version) for a in assets],
-            "source_month string, _asset string, _version string",
-        )
-        with_ident = accepted.join(F.broadcast(ident), "source_month", "left")  # one row per month
-        facts = build_facts(with_ident, dims, F.col("_asset"), F.col("_version"))
-        store.replace_partitions("fact_trips", facts, months, sort_within=["pickup_at_local", "source_row_number"])
-
-    # 4. issues (K8) and their summary (K7)
-    with _step("issues", timings):
-        issues = rules.issue_rows(accepted_stage).withColumn("severity", F.lit("warning"))
-        store.replace_partitions("trip_quality_issue", issues, months)
-        written_issues = store.read("trip_quality_issue").filter(F.col("source_month").isin(months))
-        store.replace_partitions("quality_result_summary", rules.issue_summary(written_issues), months)
-
-    # 5. mart (K9) from the written facts
-    with _step("mart", timings):
-        written = store.read("fact_trips").filter(F.col("source_month").isin(months))
-        store.replace_partitions("trip_metrics_hourly", hourly_mart(written), months)
-
-    # 6. gates on what was written: month bounds (K4), orphans (G5) in one pass; duplicates
-    with _step("gates", timings):
-        gate = publish_gates(written, dims)
-        status = "success" if not any(gate.values()) else "failed"
-
-    # 7. source assets (K6 upsert) and run records (K10), last
-    with _step("records", timings):
-        upsert_assets(spark, store, assets, counts)
-        snapshot = TH.reference_snapshot_id(dims.zone).first()[0]  # one hash over dimension rows
-        run_ids = record_runs(spark, store, counts, assets, status, started, dag_id,
-                              threshold_version_id=threshold_version_id, reference_snapshot_id=snapshot)
+    stage_path = f"{store.root}/_work/stage-{publication}"
+    try:
+        # 1. classify once into a month x outcome partitioned stage (cuts lineage, pruned reads);
+        # the rows that reach it are counted on the way
+        with _step("stage", timings):
+            seen = Observation()
+            staged = rules.classify(raw).select(*STAGE_COLUMNS).observe(seen, F.count(F.lit(1)).alias("rows"))
+            staged.write.partitionBy("source_month", "is_rejected").parquet(stage_path)
+            stage = spark.read.schema(staged.schema).parquet(stage_path)
+        with _step("counts", timings):
+            counts = [r.asDict() for r in rules.reconciliation_counts(stage).collect()]  # one row per month
+            if unlisted := sorted({c["source_month"] for c in counts} - set(months)):
+                raise ValueError(f"rows of months without an asset: {', '.join(unlisted)}")
+            warnings = rules.gate_reconciliation(counts, warn_reject_percent, fail_reject_percent)
+
+        # 2. quarantine (K1): rejected rows with their reason codes
+        with _step("quarantine", timings):
+            rejected = stage.filter(F.col("is_rejected")).drop("is_rejected", "has_quality_issue", "issue_codes")
+            store.write_version("quarantine_rejected", rejected, publication)
+
+        # 3. bounds, pinned per month, then facts
+        accepted_stage = stage.filter(~F.col("is_rejected"))
+        converted = convert_accepted(accepted_stage)
+        with _step("bounds", timings):
+            if bounds_method == "version":
+                threshold_version_id = threshold_version_id or TH.active_version_id(store)
+                if threshold_version_id is None:
+                    raise ValueError("bounds_method='version' needs a saved, activated threshold version")
+                bounds = TH.version_bounds_for_months(spark, store, threshold_version_id, months)
+            elif bounds_method == "kll":
+                bounds = outliers.kll_bounds(converted)
+            else:
+                bounds = outliers.exact_bounds(converted)
+            store.write_version("outlier_bounds", bounds, publication)
+            pinned = store.read_version("outlier_bounds", publication)
+        with _step("facts", timings):
+            accepted = outliers.mark_outliers(converted, pinned)
+            ident = spark.createDataFrame(
+                [(a.source_month, a.source_asset_id, a.source_version) for a in assets],
+                "source_month string, _asset string, _version string",
+            )
+            with_ident = accepted.join(F.broadcast(ident), "source_month", "left")  # one row per month
+            facts = build_facts(with_ident, dims, F.col("_asset"), F.col("_version"))
+            store.write_version("fact_trips", facts, publication, sort_within=["pickup_at_local", "source_row_number"])
+
+        # 4. issues (K8) and their summary (K7)
+        with _step("issues", timings):
+            issues = rules.issue_rows(accepted_stage).withColumn("severity", F.lit("warning"))
+            store.write_version("trip_quality_issue", issues, publication)
+            written_issues = store.read_version("trip_quality_issue", publication)
+            store.write_version("quality_result_summary", rules.issue_summary(written_issues), publication)
+
+        # 5. mart (K9) from the written facts
+        with _step("mart", timings):
+            written = store.read_version("fact_trips", publication)
+            store.write_version("trip_metrics_hourly", hourly_mart(written), publication)
+
+        # 6. gates on what was written, before readers can see it: month bounds (K4), orphans and null
+        # keys (G5), duplicates (G3), written = accepted and rejected
+        with _step("gates", timings):
+            gate = publish_gates(written, dims)
+            gate |= written_gates(written, store.read_version("quarantine_rejected", publication), counts, seen.get["rows"])
+            status = "success" if not any(gate.values()) else "failed"
+
+        # 7. source assets (K6 upsert) and run records (K10): this append publishes
+        with _step("records", timings):
+            if status == "success":
+                upsert_assets(spark, store, assets, counts)
+            snapshot = TH.reference_snapshot_id(dims.zone).first()[0]  # one hash over dimension rows
+            run_ids = record_runs(spark, store, counts, assets, status, started, dag_id,
+                                  threshold_version_id=threshold_version_id, reference_snapshot_id=snapshot,
+                                  publication=publication)
+        if status != "success":
+            raise RuntimeError(f"publish gates failed: {gate}")
+    except BaseException:
+        for table in VERSIONED:
+            store.drop_version(table, publication, months)
+        raise
+    finally:
         store.delete_path(stage_path)
-    if status != "success":
-        raise RuntimeError(f"publish gates failed: {gate}")
     return PublishResult(run_ids=run_ids, counts=counts, warnings=warnings, timings=timings)
 
 
+def written_gates(facts: DataFrame, quarantine: DataFrame, counts: list[dict], source_rows: int) -> dict:
+    """Rows that were written, against the rows that were read and classified. Per month; the
+    collected frames have one row per month."""
+    rows = {}
+    for name, df in (("accepted_rows", facts), ("rejected_rows", quarantine)):
+        rows[name] = {r["source_month"]: r["count"] for r in df.groupBy("source_month").count().collect()}
+    wrong = {f"written_{name}": sum(abs(c[name] - by.get(c["source_month"], 0)) for c in counts) for name, by in rows.items()}
+    return wrong | {"source_rows": abs(source_rows - sum(sum(by.values()) for by in rows.values()))}
+
+
 def publish_gates(written: DataFrame, dims: Dimensions) -> dict:
     """K4 + G5 + G3 on the written facts. Month bounds and the nine foreign keys are checked in
     one pass (orphan joins are broadcast, no shuffle); duplicate identities need one distinct
     aggregate. Returns the violation counts (all zero on success)."""
     lo, hi = rules.month_key_bounds("source_month")
     flagged = written.withColumn("_out_of_month", (F.col("pickup_date_key") < lo) | (F.col("pickup_date_key") >= hi))
-    orphan_row = orphan_counts(flagged, dims, extra={"out_of_month": F.count_if(F.col("_out_of_month"))})
+    extra = {"out_of_month": F.count_if(F.col("_out_of_month"))} | null_key_counts()
+    orphan_row = orphan_counts(flagged, dims, extra=extra)
     result = {r.foreign_key: int(r.orphan_rows) for r in orphan_row.collect()}  # one row per check
     result["duplicates"] = int(duplicate_identities(written).agg(F.coalesce(F.sum("duplicate_rows"), F.lit(0))).first()[0])
     return result
@@ -327,7 +356,7 @@ def upsert_assets(spark: SparkSession, store: TableStore, assets: list[SourceAss
 
 def record_runs(spark: SparkSession, store: TableStore, counts: list[dict], assets: list[SourceAsset],
                 status: str, started: _dt.datetime, dag_id: str = "local", threshold_version_id: str | None = None,
-                reference_snapshot_id: str | None = None) -> dict:
+                reference_snapshot_id: str | None = None, publication: str | None = None) -> dict:
     """Append one run row per month (ids continue after the current maximum)."""
     finished = _dt.datetime.now(_dt.timezone.utc)
     first = _next_run_id(store)
@@ -342,7 +371,8 @@ def record_runs(spark: SparkSession, store: TableStore, counts: list[dict], asse
                 a.source_month, status, started, finished, (finished - started).total_seconds(),
                 c.get("source_rows", 0), c.get("accepted_rows", 0), c.get("rejected_rows", 0),
                 c.get("flagged_rows", 0), a.source_version, threshold_version_id, reference_snapshot_id,
+                publication,
             )
         )
-    store.append("pipeline_run", spark.createDataFrame(rows, RUN_SCHEMA))
+    store.append("pipeline_run", spark.createDataFrame(rows, RUN_SCHEMA).coalesce(1))  # one file: one commit
     return ids

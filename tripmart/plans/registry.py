@@ -16,6 +16,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date, datetime
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,14 +40,9 @@ SECOND_HALF = M.DashboardFilters(date(2024, 1, 16), date(2024, 1, 31))
 EXPLORER = M.ExplorerFilters(minimum_distance_miles=1.0, maximum_total_dollars=100.0)
 CURSOR = Cursor(datetime(2024, 1, 15, 12, 0, 0), 0)
 
-_MODELS: dict = {}
-
-
 def model(spark: SparkSession, sf_dir: str) -> TripModel:
-    key = (id(spark.sparkContext._jsc), sf_dir.rstrip("/"))
-    if key not in _MODELS:
-        _MODELS[key] = build_model(spark, sf_dir)
-    return _MODELS[key]
+    """A new lazy chain for every query: nothing is kept between calls."""
+    return build_model(spark, sf_dir)
 
 
 def wh(spark: SparkSession, sf_dir: str) -> Warehouse:
@@ -93,9 +89,9 @@ def calibration_thresholds(spark, sf_dir):
 
 def source_fingerprint(spark, sf_dir):
     """SHA-256 and size of the source file (rows-only: file bytes are not in the views)."""
-    from tripmart.sources.fingerprint import file_fingerprints, source_identity
+    from tripmart.sources.fingerprint import source_fingerprint_of, source_identity
 
-    return source_identity(file_fingerprints(spark, f"{sf_dir}/events.parquet"), "2024-01", "events")
+    return source_identity(source_fingerprint_of(spark, f"{sf_dir}/events.parquet"), "2024-01", "events")
 
 
 # --- warehouse: facts, integrity, dimensions ------------------------------------------------------
@@ -116,7 +112,12 @@ def duplicate_check(spark, sf_dir):
 
 
 def dim_date_month(spark, sf_dir):
-    return wh(spark, sf_dir).dims.date
+    """The calendar of every month with an order (each month and the day after it)."""
+    from tripmart.operators.dims import calendar_for_months
+
+    month = F.date_format("o_orderdate", "yyyy-MM").alias("source_month")
+    months = spark.read.parquet(f"{sf_dir}/orders.parquet").select(month).where("source_month is not null").distinct()
+    return calendar_for_months(months).distinct()
 
 
 def hourly_mart(spark, sf_dir):
@@ -240,25 +241,23 @@ def quality_summary(spark, sf_dir):
 
 
 def redacted_payloads(spark, sf_dir):
-    """H4 over alert-style payloads built from whole documents: text in a safe field (masked,
-    capped), a sensitive key, and a field outside the safe list."""
+    """H4 over alert-style payloads built from whole documents: text in a safe field, a sensitive key, a
+    field outside the safe list, a nested object and a list of objects and strings."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    source, lang = F.col("source"), F.col("lang")
+    alert = F.to_json(F.struct(lang.alias("token"), source.alias("status")))
     payload = F.to_json(
         F.struct(
             F.col("text").alias("event"),
-            F.col("source").alias("service"),
-            F.col("lang").alias("api_key"),
+            source.alias("service"),
+            lang.alias("api_key"),
             F.col("text").alias("note"),
+            F.struct(lang.alias("password"), source.alias("pod"), lang.alias("owner")).alias("labels"),
+            F.array(alert, F.concat(F.lit("secret="), source)).alias("alerts"),
         )
     )
     red = O.redact_payload(payload)
-    return docs.select(
-        "doc_id",
-        red["event"].alias("event"),
-        red["service"].alias("service"),
-        red["api_key"].alias("api_key"),
-        red["note"].alias("note"),
-    )
+    return docs.select("doc_id", *[red[name].alias(name) for name in ("event", "service", "api_key", "note", "labels", "alerts")])
 
 
 # SCD2: first snapshot at the month start, demand-based snapshot mid-month.
@@ -308,6 +307,31 @@ def sliding_window_events(spark, sf_dir):
     return store.read("trip_windows").drop("window_date")
 
 
+def stream_progress(spark, sf_dir):
+    """What a run to completion read, and how many late rows it dropped (none), from its metrics table."""
+    from tripmart.session import scratch_path
+    from tripmart.streaming.trips import run_sliding_windows
+
+    store, _ = run_sliding_windows(spark, sf_dir, scratch_path(spark, "stream", unique=True))
+    return store.read("stream_progress").agg(
+        F.sum("input_rows").alias("input_rows"), F.sum("rows_dropped_by_watermark").alias("rows_dropped_by_watermark"))
+
+
+def published_versions(spark, sf_dir):
+    """Rows per published month of every table that a publish switches at once."""
+    w = wh(spark, sf_dir)
+    parts = {
+        "fact_rows": w.facts.groupBy("source_month").agg(F.count(F.lit(1)).alias("n")),
+        "mart_trips": w.mart.groupBy("source_month").agg(F.sum("trip_count").cast("bigint").alias("n")),
+        "quarantined_rows": w.table("quarantine_rejected").groupBy("source_month").agg(F.count(F.lit(1)).alias("n")),
+        "issue_rows": w.table("trip_quality_issue").groupBy("source_month").agg(F.count(F.lit(1)).alias("n")),
+    }
+    out = w.store.pointers().select("source_month")
+    for name, df in parts.items():
+        out = out.join(df.withColumnRenamed("n", name), "source_month", "left")
+    return out.na.fill(0, list(parts))
+
+
 def unknown_zone_issues(spark, sf_dir):
     """Accepted trips whose pickup / dropoff location is not a known zone, per code."""
     from tripmart.operators.dims import current_keys
@@ -354,19 +378,18 @@ def release_checks(spark, sf_dir):
 
 
 def month_partition_replace(spark, sf_dir):
-    """K3 at table scale on ``lineitem`` (ship month as the partition): every month written,
-    rewritten again (idempotent rerun, no duplicates), then the latest month replaced by an empty
-    delivery (its partition disappears). Reads back rows per month."""
+    """K3 at table scale on ``lineitem`` (ship month as the partition): every month written and written
+    again (a rerun leaves no duplicates). Reads back rows per month."""
     from tripmart.session import scratch_path
     from tripmart.sources.store import TableStore
 
     store = TableStore(spark, scratch_path(spark, "month-replace", unique=True))
     li = spark.read.parquet(f"{sf_dir}/lineitem.parquet").withColumn(
         "source_month", F.date_format("l_shipdate", "yyyy-MM"))
-    months = sorted(r.source_month for r in li.select("source_month").distinct().collect())  # ~100 months
+    ends = li.agg(F.min("source_month").alias("a"), F.max("source_month").alias("b")).first()
+    months = [str(m) for m in pd.period_range(ends.a, ends.b, freq="M")] if ends.a else []
     store.replace_partitions("lineitem_by_month", li, months)
     store.replace_partitions("lineitem_by_month", li, months)
-    store.replace_partitions("lineitem_by_month", li.filter(F.lit(False)), months[-1:])
     return store.read("lineitem_by_month").groupBy("source_month").agg(
         F.count(F.lit(1)).alias("row_count"), F.sum("l_linenumber").cast("bigint").alias("linenumber_sum"))
 
@@ -414,6 +437,8 @@ QUERIES: dict[str, Query] = {
     "scd2_zone_history": scd2_zone_history,
     "asof_zone_join": asof_zone_join,
     "sliding_window_events": sliding_window_events,
+    "stream_progress": stream_progress,
+    "published_versions": published_versions,
     "unknown_zone_issues": unknown_zone_issues,
     "outlier_issue_rows": outlier_issue_rows,
     "derived_metric_bounds": derived_metric_bounds,

@@ -14,7 +14,7 @@ from tripmart.operators import dims as D
 from tripmart.operators.mart import explorer_view, metrics_view
 from tripmart.plans.publish import SourceAsset, publish, read_dimensions
 from tripmart.session import scratch_path
-from tripmart.sources.fingerprint import file_fingerprints, schema_fingerprint
+from tripmart.sources.fingerprint import schema_fingerprint, source_fingerprint_of
 from tripmart.sources.store import TableStore
 from tripmart.sources.trips import EVENTS_MONTH, events_trip_view
 
@@ -101,7 +101,7 @@ def is_published(store: TableStore, months: list[str]) -> bool:
 def publish_events_month(spark: SparkSession, store: TableStore, sf_dir: str) -> None:
     """Publish the driver-table trip view as month 2024-01 (fingerprint of the events file)."""
     raw = events_trip_view(spark, sf_dir)
-    fp = file_fingerprints(spark, f"{sf_dir}/events.parquet").first()
+    fp = source_fingerprint_of(spark, f"{sf_dir}/events.parquet").first()
     asset = SourceAsset(
         source_month=EVENTS_MONTH,
         source_asset_id=f"events_{EVENTS_MONTH}:{fp.sha256[:12]}",
@@ -117,7 +117,7 @@ def warehouse_for(spark: SparkSession, sf_dir: str) -> Warehouse:
     """The warehouse published from ``sf_dir`` in the session's shared folder, published on
     first use and reused by every later query of the session."""
     key = (sf_dir.rstrip("/"), _input_signature(spark, sf_dir), _code_version())
-    sid = id(spark.sparkContext._jsc)
+    sid = spark.sparkContext.applicationId
     if (sid, key) in _CACHE:
         return _CACHE[(sid, key)]
     digest = hashlib.sha256(repr(key).encode()).hexdigest()[:16]

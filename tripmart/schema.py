@@ -57,41 +57,6 @@ RATE_CODE_LOOKUP = {
     6: "Group ride",
 }
 
-# Reject codes, one per hard rule.
-REJECT_CODES = [
-    "MISSING_PICKUP",
-    "MISSING_DROPOFF",
-    "MISSING_DISTANCE",
-    "MISSING_FARE",
-    "MISSING_TOTAL",
-    "NON_POSITIVE_DISTANCE",
-    "NEGATIVE_FARE",
-    "NEGATIVE_TOTAL",
-    "PICKUP_BEFORE_MONTH",
-    "PICKUP_AFTER_MONTH",
-    "DROPOFF_BEFORE_PICKUP",
-    "DROPOFF_AFTER_WINDOW",
-    "NON_FINITE_NUMBER",
-    "VALUE_OUT_OF_RANGE",
-]
-
-# Quality flag codes written as issue rows, in issue order.
-FLAG_CODES = [
-    "UNKNOWN_VENDOR",
-    "UNKNOWN_PAYMENT",
-    "UNKNOWN_RATE",
-    "INVALID_PASSENGER_COUNT",
-    "NULL_FARE",
-    "NULL_EXTRA",
-    "NULL_MTA_TAX",
-    "NULL_TIP",
-    "NULL_TOLLS",
-    "NULL_IMPROVEMENT",
-    "NULL_TOTAL",
-    "NULL_CONGESTION",
-    "NULL_AIRPORT_FEE",
-]
-
 # Optional money columns and the flag raised when one is null, in flag order.
 NULLABLE_MONEY_FLAGS = [
     ("fare_amount", "NULL_FARE"),
@@ -119,9 +84,12 @@ NON_FINITE_COLUMNS = [
     "airport_fee",
 ]
 
-# Largest magnitude whose integer unit (cents = x100, millimiles = x1000) still fits a bigint.
-MAX_DOLLARS = 9.2e16
-MAX_MILES = 9.2e15
+# Largest plausible magnitudes; sums of 9e9 such rows in cents or millimiles still fit a bigint.
+MAX_DOLLARS = 1e7
+MAX_MILES = 1e6
+# Ids and counts are integers of 32 bits in the warehouse.
+KEY_COLUMNS = ["VendorID", "RatecodeID", "PULocationID", "DOLocationID", "payment_type", "passenger_count"]
+MAX_KEY = 2**31 - 1
 
 # Dropoff may fall this many hours after the month end.
 MONTH_WINDOW_HOURS = 24
@@ -132,7 +100,6 @@ LOW_QUANTILE = 0.001
 HIGH_QUANTILE = 0.999
 DURATION_RANGE = (0, 86400)
 DISTANCE_RANGE = (0, 1_000_000)
-MIN_SKETCH_ROWS = 100
 
 # Dashboard explorer page size.
 PAGE_SIZE = 100
@@ -170,7 +137,6 @@ SAFE_ALERT_FIELDS = [
     "truncatedAlerts",
     "try_number",
 ]
-REDACTED_TEXT_LIMIT = 4000
 
 # ---------------------------------------------------------------------------
 # Declared Spark schemas.

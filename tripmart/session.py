@@ -43,7 +43,7 @@ def ensure_shared_dir(spark: SparkSession) -> str:
     """Return the cluster's shared folder (``spark.checkpoint.dir``).
 
     On a cluster this is set by the operator and points at shared storage; it is only
-    read here. Where it is unset (local tests, the driver's smoke run) a private folder
+    read here; a cluster session without it is an error. Where a local session lacks it a private folder
     is created and registered, so ``DataFrame.checkpoint()`` and written tables work.
     """
     sc = spark.sparkContext
@@ -52,6 +52,8 @@ def ensure_shared_dir(spark: SparkSession) -> str:
         if sc.getCheckpointDir() is None:
             sc.setCheckpointDir(current)
         return current.rstrip("/")
+    if not sc.master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     base = tempfile.mkdtemp(prefix="tripmart-")
     spark.conf.set("spark.checkpoint.dir", base)
     if sc.getCheckpointDir() is None:

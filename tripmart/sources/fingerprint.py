@@ -1,8 +1,8 @@
 """Source fingerprint (S4, S5) and schema fingerprint.
 
-The hash is computed by executors (``binaryFile`` + ``sha2``), one row per file, and equals
-``sha256sum`` of the file. A file is held in one task's memory while hashed (limit near
-2 GB per file); monthly trip files are far below that.
+The hash of a file is computed by executors (``binaryFile`` + ``sha2``) and equals ``sha256sum``; a
+file is held in one task's memory while hashed, up to Spark's limit of 2 GB per file, beyond which the
+read fails. A source of several files has one identity over all of them.
 """
 
 from __future__ import annotations
@@ -21,6 +21,18 @@ def file_fingerprints(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def source_fingerprint_of(spark: SparkSession, path: str) -> DataFrame:
+    """One row for a file or a folder of files: total size, and the file's SHA-256 or, of several files, the
+    SHA-256 over their names, sizes and hashes in name order."""
+    name = F.element_at(F.split("path", "/"), -1)
+    files = file_fingerprints(spark, path).select(name.alias("name"), "byte_size", "sha256")
+    # one small row per file; the order makes the identity independent of how they were listed
+    listed = files.agg(F.sort_array(F.collect_list(F.struct("name", "byte_size", "sha256"))).alias("f"), F.sum("byte_size").alias("byte_size"))
+    lines = F.transform("f", lambda x: F.concat_ws(" ", x["sha256"], x["byte_size"].cast("string"), x["name"]))
+    whole = F.when(F.size("f") == 1, F.col("f")[0]["sha256"]).otherwise(F.sha2(F.array_join(lines, "\n"), 256))
+    return listed.select(F.lit(path).alias("path"), "byte_size", whole.alias("sha256"))
+
+
 def source_identity(fingerprints: DataFrame, source_month: str, name: str = "yellow_tripdata") -> DataFrame:
     """Asset id ``name_month:hash12``; version = full hash."""
     return fingerprints.select(

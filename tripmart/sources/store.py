@@ -1,11 +1,15 @@
-"""Table storage in the shared folder: month-partitioned Parquet tables with
-staging-then-swap replacement (K1, K3, K7-K9), appends (K10) and whole-table rewrites (K5, K6).
-
-Data is always written by executors (``DataFrame.write``); the driver only renames and
-deletes directories through the Hadoop FileSystem API. A failed write leaves the previous
-partition in place because the swap happens only after the staging write succeeded.
-Without a table format, a multi-table publish is not atomic; readers resolve what is
-published through the run table that the publish job appends last.
+"""Table storage in the shared folder.
+
+* *Versioned month tables* (K3, K7-K9, K11): a publish writes its rows beside the published ones, under
+  ``table/source_month=M/publication=P``, where ``P`` is new for every attempt. Readers see the
+  publication that the latest successful run record of each month names, so that one append to the run
+  table switches all tables of a publish at once, and a failed or lost publish is never visible.
+* *Replaced partitions* (K16): staging, then checked renames; the old partition is set aside and put back
+  if the new one cannot take its place.
+* Appends (K10) and whole-table rewrites (K5, K6).
+
+Data is always written by executors (``DataFrame.write``); the driver only renames and deletes
+directories through the Hadoop FileSystem API.
 """
 
 from __future__ import annotations
@@ -14,8 +18,12 @@ import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+PUBLICATION = "publication"
+RUN_TABLE = "pipeline_run"
+
 
 class TableStore:
     def __init__(self, spark: SparkSession, root: str):
@@ -61,10 +69,28 @@ class TableStore:
         return T.StructType.fromJson(json.loads("".join(text)))
 
     # -- reads -------------------------------------------------------------------------------
+    def _all_versions(self, table: str) -> DataFrame:
+        return self.spark.read.schema(self.schema(table)).parquet(self.path(table))
+
+    def pointers(self) -> DataFrame:
+        """V4: (source_month, publication, run_id) that readers see: the latest successful run of each month."""
+        runs = self._all_versions(RUN_TABLE).where((F.col("status") == "success") & F.col(PUBLICATION).isNotNull())
+        return runs.groupBy("source_month").agg(F.max_by(PUBLICATION, "id").alias(PUBLICATION), F.max("id").alias("run_id"))
+
     def read(self, table: str) -> DataFrame:
-        """Read a table with its recorded schema; an empty table reads as an empty frame."""
-        schema = self.schema(table)
-        return self.spark.read.schema(schema).parquet(self.path(table))
+        """Read a table with its recorded schema; of a versioned table, the published rows only."""
+        df = self._all_versions(table)
+        if table == RUN_TABLE or PUBLICATION not in df.columns:
+            return df
+        if not self.exists(RUN_TABLE):
+            return df.limit(0).drop(PUBLICATION)
+        # one row per published month; as literals, so that the scan lists published folders only
+        seen = [f"{r.source_month}/{r.publication}" for r in self.pointers().collect()]
+        return df.where(F.concat_ws("/", "source_month", PUBLICATION).isin(seen)).drop(PUBLICATION)
+
+    def read_version(self, table: str, publication: str) -> DataFrame:
+        """The rows of one publication, published or not."""
+        return self._all_versions(table).where(F.col(PUBLICATION) == publication).drop(PUBLICATION)
 
     # -- writes ------------------------------------------------------------------------------
     def _partition_dirs(self, base: str, column: str) -> dict[str, str]:
@@ -78,43 +104,67 @@ class TableStore:
                 out[name.split("=", 1)[1]] = st.getPath().toString()
         return out
 
-    def replace_partitions(self, table: str, df: DataFrame, values: list[str], column: str = "source_month",
-                           sort_within: list[str] | None = None) -> None:
+    def _move(self, source: str, target: str) -> None:
+        if not self._fs.rename(self._p(source), self._p(target)):
+            raise OSError(f"could not rename {source} to {target}")
+
+    def _swap(self, fresh: str | None, target: str) -> None:
+        """Put ``fresh`` (nothing: remove) in the place of ``target``; on failure the old one is put back."""
+        aside = f"{self.root}/_staging/old-{uuid.uuid4().hex}"
+        had = self._fs.exists(self._p(target))
+        self._fs.mkdirs(self._p(f"{self.root}/_staging"))
+        if had:
+            self._move(target, aside)
+        try:
+            if fresh is not None:
+                self._move(fresh, target)
+        except OSError:
+            if had:
+                self._move(aside, target)
+            raise
+        if had:
+            self._fs.delete(self._p(aside), True)
+
+    def write_version(self, table: str, df: DataFrame, publication: str, sort_within: list[str] | None = None) -> None:
+        """Add a publication of a month table. Rows are gathered by month first (Spark splits months that are
+        too large for one task), so that a month has a few large files, not one per task."""
+        out = df.withColumn(PUBLICATION, F.lit(publication)).hint("rebalance", "source_month")
+        if sort_within:
+            out = out.sortWithinPartitions("source_month", PUBLICATION, *sort_within)
+        out.write.mode("append").partitionBy("source_month", PUBLICATION).parquet(self.path(table))
+        self._write_schema(table, T.StructType([*df.schema.fields, T.StructField(PUBLICATION, T.StringType())]))
+
+    def drop_version(self, table: str, publication: str, months: list[str]) -> None:
+        """Remove an unpublished publication's files."""
+        for month in months:
+            self.delete_path(f"{self.path(table)}/source_month={month}/{PUBLICATION}={publication}")
+
+    def replace_partitions(self, table: str, df: DataFrame, values: list[str], column: str = "source_month") -> None:
         """Replace the ``column`` partitions listed in ``values`` with the rows of ``df``.
 
-        A value with no rows removes the old partition (an empty month is a real outcome,
-        not a no-op). Rows are written by executors into a staging directory first; only
-        after that write succeeds are the old partition directories swapped out.
+        A value with no rows removes the old partition (an empty month is a real outcome, not a no-op);
+        rows of any other value are an error, before anything is replaced.
         """
         stage = self._staging(table)
-        out = df
-        if sort_within:
-            # Leading with the partition column satisfies the writer's own required ordering,
-            # so the write needs one sort, not two.
-            out = out.sortWithinPartitions(column, *sort_within)
-        out.write.mode("overwrite").partitionBy(column).parquet(stage)
-        fresh = self._partition_dirs(stage, column)
-        base = self.path(table)
-        self._fs.mkdirs(self._p(base))
-        for value in values:
-            target = self._p(f"{base}/{column}={value}")
-            if self._fs.exists(target):
-                self._fs.delete(target, True)
-            if value in fresh:
-                self._fs.rename(self._p(fresh[value]), target)
-        self._fs.delete(self._p(stage), True)
+        try:
+            df.hint("rebalance", column).write.mode("overwrite").partitionBy(column).parquet(stage)
+            fresh = self._partition_dirs(stage, column)
+            if unlisted := sorted(set(fresh) - set(values)):
+                raise ValueError(f"rows of unlisted {column}: {', '.join(unlisted)}")
+            self._fs.mkdirs(self._p(self.path(table)))
+            for value in values:
+                self._swap(fresh.get(value), f"{self.path(table)}/{column}={value}")
+        finally:
+            self.delete_path(stage)
         # Partition column stays in the recorded schema (it is appended by discovery).
         self._write_schema(table, df.schema)
 
     def overwrite(self, table: str, df: DataFrame) -> None:
         """Whole-table rewrite via staging then swap (safe when ``df`` reads ``table`` itself)."""
         stage = self._staging(table)
-        df.write.mode("overwrite").parquet(stage)
-        base = self._p(self.path(table))
         schema = df.schema
-        if self._fs.exists(base):
-            self._fs.delete(base, True)
-        self._fs.rename(self._p(stage), base)
+        df.write.mode("overwrite").parquet(stage)
+        self._swap(stage, self.path(table))
         self._write_schema(table, schema)
 
     def overwrite_many(self, tables: dict[str, DataFrame]) -> None:
@@ -124,21 +174,14 @@ class TableStore:
             return
         from functools import reduce
 
-        from pyspark.sql import functions as F
-
         frames = [df.withColumn("_table", F.lit(name)) for name, df in tables.items()]
         union = reduce(lambda a, b: a.unionByName(b), frames)
         stage = self._staging("many")
         union.write.mode("overwrite").partitionBy("_table").parquet(stage)
         fresh = self._partition_dirs(stage, "_table")
         for name, df in tables.items():
-            base = self._p(self.path(name))
-            if self._fs.exists(base):
-                self._fs.delete(base, True)
-            if name in fresh:
-                self._fs.rename(self._p(fresh[name]), base)
-            else:
-                self._fs.mkdirs(base)
+            self._swap(fresh.get(name), self.path(name))
+            self._fs.mkdirs(self._p(self.path(name)))
             self._write_schema(name, df.schema)
         self._fs.delete(self._p(stage), True)
 

@@ -11,7 +11,7 @@ import re
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tripmart.schema import CONTRACT_FAMILIES, RAW_TRIP, REQUIRED_COLUMNS
@@ -110,10 +110,11 @@ def cast_to_raw(df: DataFrame) -> DataFrame:
 
 
 def read_month(spark: SparkSession, path: str, source_month: str, validate: bool = True) -> DataFrame:
-    """Read one raw month with the file's own schema, check the contract, cast.
+    """Read one raw month with its own schema, check the contract, cast.
 
-    ``source_row_number`` is the physical row index inside the file plus one, which is
-    stable across reruns (never ``monotonically_increasing_id``).
+    ``source_row_number`` numbers the rows of the whole month from 1: files in the order of their
+    paths, rows in their physical order inside a file. It is the same at every read of the same files
+    (never ``monotonically_increasing_id``).
     """
     check_month(source_month)
     df = spark.read.parquet(path)
@@ -121,10 +122,15 @@ def read_month(spark: SparkSession, path: str, source_month: str, validate: bool
         contract = check_contract(df)
         if not contract.is_valid:
             raise ValueError(f"source contract failed for {source_month}: {contract}")
-    df = df.withColumn("source_row_number", F.col("_metadata.row_index") + F.lit(1)).withColumn(
-        "source_month", F.lit(source_month)
-    )
-    return cast_to_raw(df)
+    number = F.col("_metadata.row_index") + F.lit(1)
+    if len(df.inputFiles()) > 1:
+        # rows of the files before: one row per file, so the window over all of them is small
+        before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+        files = df.groupBy(F.col("_metadata.file_path").alias("_file")).agg(F.count(F.lit(1)).alias("_n"))
+        files = files.select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+        df = df.select("*", F.col("_metadata.file_path").alias("_file"), number.alias("_index")).join(files, "_file")
+        number = F.col("_before") + F.col("_index")
+    return cast_to_raw(df.withColumn("source_row_number", number).withColumn("source_month", F.lit(source_month)))
 
 
 def read_months(spark: SparkSession, paths_by_month: dict[str, str]) -> DataFrame:
@@ -193,7 +199,8 @@ def trips_from_events(ev: DataFrame, source_month: str = EVENTS_MONTH) -> DataFr
         F.when(_every(rn, 83), F.lit(9)).otherwise(F.lit(1) + user % 2).cast("bigint").alias("VendorID"),
         pickup.alias("tpep_pickup_datetime"),
         dropoff.alias("tpep_dropoff_datetime"),
-        F.when(_every(rn, 71), null_d)
+        F.when(_every(rn, 2909), F.lit(float("nan")))
+        .when(_every(rn, 71), null_d)
         .when(_every(rn, 73), F.lit(-1.0))
         .otherwise(k % 7)
         .cast("double")
@@ -203,9 +210,12 @@ def trips_from_events(ev: DataFrame, source_month: str = EVENTS_MONTH) -> DataFr
         .when(_every(rn, 103), F.lit(float("nan")))
         .otherwise(value / 10.0)
         .alias("trip_distance"),
-        F.when(_every(rn, 79), F.lit(99)).otherwise(F.lit(1) + k % 6).cast("double").alias("RatecodeID"),
+        F.when(_every(rn, 2503), F.lit(float("nan")))
+        .when(_every(rn, 79), F.lit(99.0))
+        .otherwise((F.lit(1) + k % 6).cast("double"))
+        .alias("RatecodeID"),
         F.lit("N").alias("store_and_fwd_flag"),
-        (F.lit(1) + user % 27).cast("bigint").alias("PULocationID"),
+        F.when(_every(rn, 2707), F.lit(3_000_000_000)).otherwise(F.lit(1) + user % 27).cast("bigint").alias("PULocationID"),
         (F.lit(1) + k % 27).cast("bigint").alias("DOLocationID"),
         F.when(F.col("event_type") == "purchase", 1)
         .when(F.col("event_type") == "view", 2)
@@ -224,7 +234,8 @@ def trips_from_events(ev: DataFrame, source_month: str = EVENTS_MONTH) -> DataFr
         .otherwise(F.lit(0.0))
         .alias("tolls_amount"),
         F.when(_every(rn, 139), null_d).otherwise(F.lit(0.3)).alias("improvement_surcharge"),
-        F.when(_every(rn, 43), F.lit(-1.0))
+        F.when(_every(rn, 3001), F.lit(9.1e16))
+        .when(_every(rn, 43), F.lit(-1.0))
         .when(_every(rn, 109), null_d)
         .otherwise(value * 1.25)
         .alias("total_amount"),

@@ -22,14 +22,17 @@ WINDOW_KEYS = ["window_start", "window_end", "payment_type_id"]
 
 
 def event_stream(spark: SparkSession, source_dir: str, glob: str = "events.parquet",
-                 max_files_per_trigger: int = 1) -> DataFrame:
-    """A file stream of trip events with a declared schema (no inference)."""
-    return (
-        spark.readStream.schema(EVENTS)
-        .option("pathGlobFilter", glob)
-        .option("maxFilesPerTrigger", max_files_per_trigger)
-        .parquet(source_dir)
-    )
+                 max_files_per_trigger: int | None = 1) -> DataFrame:
+    """A file stream of trip events with a declared schema (no inference). ``glob`` names a file of
+    ``source_dir``, a pattern of files, or a folder of part files."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{source_dir}/{glob}")
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(path) and fs.getFileStatus(path).isDirectory():
+        source_dir, glob = f"{source_dir}/{glob}", "*.parquet"
+    reader = spark.readStream.schema(EVENTS).option("pathGlobFilter", glob)
+    if max_files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.parquet(source_dir)
 
 
 def accepted_stream(events: DataFrame, source_month: str = EVENTS_MONTH, watermark: str = "2 hours") -> DataFrame:
@@ -41,7 +44,7 @@ def accepted_stream(events: DataFrame, source_month: str = EVENTS_MONTH, waterma
     trips = trips_from_events(events, source_month)
     accepted = convert_accepted(rules.candidate_rows(rules.classify(trips)))
     timed = accepted.withColumn("event_time", F.col("pickup_at_local").cast("timestamp"))
-    return timed.withWatermark("event_time", watermark).dropDuplicatesWithinWatermark(["source_row_number"])
+    return timed.withWatermark("event_time", watermark).dropDuplicatesWithinWatermark(["source_month", "source_row_number"])
 
 
 def sliding_window_aggregates(accepted: DataFrame, size: str = "1 hour", slide: str = "15 minutes") -> DataFrame:
@@ -68,6 +71,13 @@ def upsert_batch(store: TableStore, table: str):
     table's. The touched-date list is tiny (dates of one trigger)."""
 
     def merge(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()  # its dates and its rows are read apart
+        try:
+            apply(batch)
+        finally:
+            batch.unpersist()
+
+    def apply(batch: DataFrame) -> None:
         keyed = batch.withColumn("window_date", F.to_date("window_start").cast("string"))
         dates = [r.window_date for r in keyed.select("window_date").distinct().collect()]
         if not dates:
@@ -134,9 +144,15 @@ def progress_frame(spark: SparkSession, query: StreamingQuery) -> DataFrame:
 
 def run_sliding_windows(spark: SparkSession, source_dir: str, root: str, table: str = "trip_windows",
                         glob: str = "events.parquet") -> tuple[TableStore, StreamingQuery]:
-    """Run the window upsert to completion over what is available now (tests, backfills)."""
+    """Run the window upsert to completion over what is available now (backfills, tests).
+
+    All available files form one micro-batch: the watermark moves between batches only, so that files
+    in any order and number give the same, complete windows. What was read and dropped is written to
+    ``stream_progress`` (R5, R7).
+    """
     store = TableStore(spark, root)
-    agg = sliding_window_aggregates(accepted_stream(event_stream(spark, source_dir, glob)))
+    agg = sliding_window_aggregates(accepted_stream(event_stream(spark, source_dir, glob, None)))
     q = start_window_upsert(agg, store, table, f"{root}/_checkpoints/{table}")
     q.awaitTermination()
+    store.append("stream_progress", progress_frame(spark, q))
     return store, q

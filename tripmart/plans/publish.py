@@ -32,7 +32,7 @@ from tripmart.operators import dims as D
 from tripmart.operators import outliers, rules
 from tripmart.operators.convert import convert_accepted
 from tripmart.operators.fact import Dimensions, build_facts, duplicate_identities, null_key_counts, orphan_counts
-from tripmart.operators.mart import hourly_mart
+from tripmart.operators.mart import hourly_mart, metrics_view
 from tripmart.schema import PAYMENT_TYPE_LOOKUP, RATE_CODE_LOOKUP, RAW_TRIP, VENDOR_LOOKUP
 from tripmart.sources.store import TableStore
 
@@ -64,7 +64,7 @@ RUN_SCHEMA = T.StructType(
     ]
 )
 
-VERSIONED = ["quarantine_rejected", "outlier_bounds", "fact_trips", "trip_quality_issue", "quality_result_summary", "trip_metrics_hourly"]
+VERSIONED = ["quarantine_rejected", "outlier_bounds", "fact_trips", "trip_quality_issue", "quality_result_summary", "trip_metrics_hourly", "trip_metrics_view"]
 
 ASSET_SCHEMA = T.StructType(
     [
@@ -249,7 +249,7 @@ def publish(
                 bounds = outliers.kll_bounds(converted)
             else:
                 bounds = outliers.exact_bounds(converted)
-            store.write_version("outlier_bounds", bounds, publication)
+            store.write_version("outlier_bounds", bounds, publication, gather=False)
             pinned = store.read_version("outlier_bounds", publication)
         with _step("facts", timings):
             accepted = outliers.mark_outliers(converted, pinned)
@@ -266,12 +266,15 @@ def publish(
             issues = rules.issue_rows(accepted_stage).withColumn("severity", F.lit("warning"))
             store.write_version("trip_quality_issue", issues, publication)
             written_issues = store.read_version("trip_quality_issue", publication)
-            store.write_version("quality_result_summary", rules.issue_summary(written_issues), publication)
+            store.write_version("quality_result_summary", rules.issue_summary(written_issues), publication, gather=False)
 
         # 5. mart (K9) from the written facts
         with _step("mart", timings):
             written = store.read_version("fact_trips", publication)
-            store.write_version("trip_metrics_hourly", hourly_mart(written), publication)
+            store.write_version("trip_metrics_hourly", hourly_mart(written), publication, gather=False)
+            # J4 once per publish: dashboards read labelled rows instead of joining five dimensions per frame
+            labelled = metrics_view(store.read_version("trip_metrics_hourly", publication), dims)
+            store.write_version("trip_metrics_view", labelled, publication, gather=False)
 
         # 6. gates on what was written, before readers can see it: month bounds (K4), orphans and null
         # keys (G5), duplicates (G3), written = accepted and rejected

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.operators import dims as D
-from tripmart.operators.mart import explorer_view, metrics_view
+from tripmart.operators.mart import explorer_view
 from tripmart.plans.publish import SourceAsset, publish, read_dimensions
 from tripmart.session import scratch_path
 from tripmart.sources.fingerprint import schema_fingerprint, source_fingerprint_of
@@ -20,14 +20,19 @@ from tripmart.sources.trips import EVENTS_MONTH, events_trip_view
 
 
 class Warehouse:
-    """Published tables plus the dashboard views over them (all lazy)."""
+    """Published tables plus the dashboard views over them (all lazy). All month tables are read as of
+    the first read, so that a publish in between never mixes two publications of a month."""
 
     def __init__(self, store: TableStore):
         self.store = store
         self.spark = store.spark
 
+    @cached_property
+    def snapshot(self) -> list[str]:
+        return self.store.snapshot()
+
     def table(self, name: str) -> DataFrame:
-        return self.store.read(name)
+        return self.store.read(name, self.snapshot)
 
     @cached_property
     def dims(self):
@@ -43,7 +48,7 @@ class Warehouse:
 
     @cached_property
     def metrics(self) -> DataFrame:
-        return metrics_view(self.mart, self.dims)
+        return self.table("trip_metrics_view")
 
     @cached_property
     def explorer(self) -> DataFrame:

@@ -77,15 +77,20 @@ class TableStore:
         runs = self._all_versions(RUN_TABLE).where((F.col("status") == "success") & F.col(PUBLICATION).isNotNull())
         return runs.groupBy("source_month").agg(F.max_by(PUBLICATION, "id").alias(PUBLICATION), F.max("id").alias("run_id"))
 
-    def read(self, table: str) -> DataFrame:
-        """Read a table with its recorded schema; of a versioned table, the published rows only."""
+    def snapshot(self) -> list[str]:
+        """The published folders at this moment, one per month, to read several tables alike."""
+        if not self.exists(RUN_TABLE):
+            return []
+        return [f"{r.source_month}/{r.publication}" for r in self.pointers().collect()]
+
+    def read(self, table: str, snapshot: list[str] | None = None) -> DataFrame:
+        """Read a table with its recorded schema; of a versioned table, the published rows only (those
+        of ``snapshot``, or of now)."""
         df = self._all_versions(table)
         if table == RUN_TABLE or PUBLICATION not in df.columns:
             return df
-        if not self.exists(RUN_TABLE):
-            return df.limit(0).drop(PUBLICATION)
-        # one row per published month; as literals, so that the scan lists published folders only
-        seen = [f"{r.source_month}/{r.publication}" for r in self.pointers().collect()]
+        # as literals, so that the scan lists published folders only
+        seen = self.snapshot() if snapshot is None else snapshot
         return df.where(F.concat_ws("/", "source_month", PUBLICATION).isin(seen)).drop(PUBLICATION)
 
     def read_version(self, table: str, publication: str) -> DataFrame:
@@ -125,10 +130,14 @@ class TableStore:
         if had:
             self._fs.delete(self._p(aside), True)
 
-    def write_version(self, table: str, df: DataFrame, publication: str, sort_within: list[str] | None = None) -> None:
+    def write_version(self, table: str, df: DataFrame, publication: str, sort_within: list[str] | None = None,
+                      gather: bool = True) -> None:
         """Add a publication of a month table. Rows are gathered by month first (Spark splits months that are
-        too large for one task), so that a month has a few large files, not one per task."""
-        out = df.withColumn(PUBLICATION, F.lit(publication)).hint("rebalance", "source_month")
+        too large for one task), so that a month has a few large files, not one per task; tables that are
+        aggregates already need no ``gather``."""
+        out = df.withColumn(PUBLICATION, F.lit(publication))
+        if gather:
+            out = out.hint("rebalance", "source_month")
         if sort_within:
             out = out.sortWithinPartitions("source_month", PUBLICATION, *sort_within)
         out.write.mode("append").partitionBy("source_month", PUBLICATION).parquet(self.path(table))

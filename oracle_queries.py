@@ -709,3 +709,64 @@ SELECT '2024-01' AS source_month, CAST((SELECT count(*) FROM facts) AS BIGINT) A
 
 ORACLES["stream_progress"] = """
 SELECT CAST(count(*) AS BIGINT) AS input_rows, CAST(0 AS BIGINT) AS rows_dropped_by_watermark FROM events"""
+
+_IN_RANGE = {"duration_seconds": (0, 86400), "distance_millimiles": (0, 1000000)}
+
+ORACLES["kll_bounds"] = q(" UNION ALL ".join(
+    f"SELECT '2024-01' AS source_month, '{m}' AS metric, count(*) AS n, TRUE AS low_rank_ok, TRUE AS high_rank_ok "
+    f"FROM converted WHERE {m} > {lo} AND {m} < {hi}" for m, (lo, hi) in _IN_RANGE.items()))
+
+ORACLES["derived_metric_bounds"] = q("""
+SELECT '2024-01' AS source_month, 'speed_mph' AS metric, count(*) AS n, TRUE AS low_rank_ok, TRUE AS high_rank_ok
+FROM converted WHERE duration_seconds > 0
+UNION ALL
+SELECT '2024-01', 'fare_per_mile', count(*), TRUE, TRUE FROM converted WHERE distance_millimiles > 0""")
+
+# The second carrier: one trip per lineitem row, in the month of its ship date.
+_LINEITEM_TRIPS = """
+li AS (
+  SELECT *, l_orderkey * 10 + l_linenumber AS rn, strftime(l_shipdate, '%Y-%m') AS source_month
+  FROM lineitem WHERE l_shipdate IS NOT NULL),
+li_trips AS (
+  SELECT source_month, rn, l_shipdate + to_minutes(CAST(rn % 1440 AS INT)) AS pickup,
+    60 + l_partkey % 100 * 30 AS duration_seconds,
+    CAST(round_even(l_quantity / 10.0 * 1000.0, 0) AS BIGINT) AS distance_millimiles,
+    CAST(round_even(l_extendedprice / 100.0 * 100.0, 0) AS BIGINT) AS fare_cents,
+    CAST(round_even(l_extendedprice / 100.0 * 1.25 * 100.0, 0) AS BIGINT) AS total_cents,
+    rn % 89 = 0 OR rn % 31 = 0 OR rn % 41 = 0 OR l_quantity <= 0 OR l_extendedprice < 0 AS is_rejected
+  FROM li),
+li_ok AS (SELECT * FROM li_trips WHERE NOT is_rejected)"""
+
+ORACLES["monthly_reject_counts"] = f"""
+WITH {_LINEITEM_TRIPS}
+SELECT source_month, count(*) AS source_rows, count(*) FILTER (NOT is_rejected) AS accepted_rows,
+  count(*) FILTER (is_rejected) AS rejected_rows, CAST(0 AS BIGINT) AS flagged_rows, CAST(0 AS BIGINT) AS issue_rows
+FROM li_trips GROUP BY source_month"""
+
+ORACLES["monthly_bounds"] = f"""
+WITH {_LINEITEM_TRIPS}
+SELECT source_month, """ + ", ".join(
+    f"CAST(quantile_disc(CASE WHEN {m} > {lo} AND {m} < {hi} THEN {m} END, {share}) AS BIGINT) AS {m}_{side}"
+    for m, (lo, hi) in _IN_RANGE.items() for side, share in (("low", 0.001), ("high", 0.999))) + """
+FROM li_ok GROUP BY source_month"""
+
+ORACLES["calibration_thresholds"] = f"WITH {_LINEITEM_TRIPS} " + " UNION ALL ".join(
+    f"SELECT '{m}' AS metric, count(*) FILTER ({m} > {lo} AND {m} < {hi}) AS n, TRUE AS low_rank_ok, TRUE AS high_rank_ok, "
+    f"CAST(count(DISTINCT source_month) AS INT) AS months, CAST(4096 AS INT) AS k FROM li_ok" for m, (lo, hi) in _IN_RANGE.items())
+
+
+
+def _month_kpis(month: str, period: str) -> str:
+    return f"""(SELECT count(*) AS trips_{period}, CAST(COALESCE(sum(total_cents), 0) AS DOUBLE) / 100.0 AS revenue_{period},
+      10.0 * CAST(sum(fare_cents) AS DOUBLE) / NULLIF(CAST(sum(distance_millimiles) AS DOUBLE), 0) AS per_mile_{period}
+      FROM li_ok WHERE source_month = '{month}') k_{period}"""
+
+
+ORACLES["full_month_comparison"] = f"""
+WITH {_LINEITEM_TRIPS}
+SELECT CAST(trips_current AS BIGINT) AS trip_count_current, revenue_current AS gross_revenue_dollars_current,
+  per_mile_current AS fare_per_mile_dollars_current, CAST(trips_prior AS BIGINT) AS trip_count_prior,
+  revenue_prior AS gross_revenue_dollars_prior, per_mile_prior AS fare_per_mile_dollars_prior,
+  100.0 * (CAST(trips_current AS DOUBLE) - trips_prior) / NULLIF(CAST(trips_prior AS DOUBLE), 0) AS trip_count_delta_percent,
+  100.0 * (revenue_current - revenue_prior) / NULLIF(revenue_prior, 0) AS gross_revenue_delta_percent
+FROM {_month_kpis('1995-03', 'current')}, {_month_kpis('1995-02', 'prior')}"""

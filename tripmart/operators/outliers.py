@@ -174,9 +174,7 @@ def derived_metric_sketch_bounds(converted: DataFrame, k: int = SKETCH_K, low: f
                                  high: float = HIGH_QUANTILE) -> DataFrame:
     """KLL bounds of speed (mph) and fare per mile (dollars) per month. These metrics are
     continuous, so a value->count map would not be bounded: the sketch is the scalable form."""
-    speed = F.when(F.col("duration_seconds") > 0,
-                   F.col("distance_millimiles") * 3.6 / F.col("duration_seconds"))
-    fpm = F.when(F.col("distance_millimiles") > 0, F.col("fare_amount_cents") * 10.0 / F.col("distance_millimiles"))
+    speed, fpm = (value() for value in DERIVED.values())
     g = converted.groupBy("source_month").agg(
         F.call_function("kll_sketch_agg_double", speed, F.lit(k)).alias("speed_mph_sketch"),
         F.call_function("kll_sketch_agg_double", fpm, F.lit(k)).alias("fare_per_mile_sketch"),
@@ -188,3 +186,46 @@ def derived_metric_sketch_bounds(converted: DataFrame, k: int = SKETCH_K, low: f
         q = F.call_function("kll_sketch_get_quantile_double", sk, F.array(F.lit(low), F.lit(high)))
         out += [n.alias(f"{m}_n"), F.when(n > 0, q[0]).alias(f"{m}_low"), F.when(n > 0, q[1]).alias(f"{m}_high")]
     return g.select(*out)
+
+
+#: Normalised rank error allowed to the sketches (k = 4096 gives well under 0.001 with high confidence).
+RANK_ERROR = 0.002
+
+
+def rank_checks(values: DataFrame, bounds: DataFrame, keys: list[str], low: float = LOW_QUANTILE,
+                high: float = HIGH_QUANTILE, error: float = RANK_ERROR) -> DataFrame:
+    """Per ``keys``, the exact number of values and whether each bound's true rank lies within
+    ``error`` of its quantile. ``values`` has the keys and ``value``; ``bounds`` the keys, ``low`` and ``high``."""
+    both = values.join(bounds, keys)
+    n = F.count(F.lit(1))
+
+    def near(bound: str, share: float) -> Column:
+        below = F.count_if(F.col("value") < F.col(bound)) / n
+        upto = F.count_if(F.col("value") <= F.col(bound)) / n
+        return (below - error <= share) & (share <= upto + error)
+
+    return both.groupBy(*keys).agg(n.alias("n"), near("low", low).alias("low_rank_ok"), near("high", high).alias("high_rank_ok"))
+
+
+def in_range_values(converted: DataFrame) -> DataFrame:
+    """(source_month, metric, value) of every value that the bounds are drawn from."""
+    pairs = F.array(*[F.struct(F.lit(m).alias("metric"), F.when(_in_range(m), F.col(m).cast("double")).alias("value")) for m in METRICS])
+    return converted.select("source_month", F.inline(pairs)).where("value is not null")
+
+
+def long_bounds(bounds: DataFrame, metrics: list[str], keep: list[str]) -> DataFrame:
+    """Wide bounds (``<metric>_low``, ``<metric>_high``) as one row per metric."""
+    rows = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(f"{m}_low").cast("double").alias("low"), F.col(f"{m}_high").cast("double").alias("high")) for m in metrics])
+    return bounds.select(*keep, F.inline(rows))
+
+
+DERIVED = {
+    "speed_mph": lambda: F.when(F.col("duration_seconds") > 0, F.col("distance_millimiles") * 3.6 / F.col("duration_seconds")),
+    "fare_per_mile": lambda: F.when(F.col("distance_millimiles") > 0, F.col("fare_amount_cents") * 10.0 / F.col("distance_millimiles")),
+}
+
+
+def derived_values(converted: DataFrame) -> DataFrame:
+    """(source_month, metric, value) of the derived metrics."""
+    pairs = F.array(*[F.struct(F.lit(m).alias("metric"), value().alias("value")) for m, value in DERIVED.items()])
+    return converted.select("source_month", F.inline(pairs)).where("value is not null")

@@ -16,7 +16,6 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date, datetime
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,6 +28,7 @@ from tripmart.operators.fact import duplicate_identities, facts_with_business_ke
 from tripmart.operators.mart import MART_KEYS, MART_MEASURES
 from tripmart.plans.model import TripModel, build_model
 from tripmart.plans.warehouse import Warehouse, warehouse_for
+from tripmart.sources.trips import lineitem_trip_view, months_between
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -78,13 +78,43 @@ def exact_bounds(spark, sf_dir):
 
 
 def kll_bounds(spark, sf_dir):
-    """KLL sketch bounds (approximate; rows-only check)."""
-    return outliers.kll_bounds(model(spark, sf_dir).converted)
+    """Per-month sketch bounds, checked against the exact ranks of the same values."""
+    converted = model(spark, sf_dir).converted
+    bounds = outliers.long_bounds(outliers.kll_bounds(converted), list(outliers.METRICS), ["source_month"])
+    return outliers.rank_checks(outliers.in_range_values(converted), bounds, ["source_month", "metric"])
 
 
 def calibration_thresholds(spark, sf_dir):
-    """Threshold version from merged month sketches (rows-only check)."""
-    return outliers.calibrate(model(spark, sf_dir).converted)
+    """One threshold version from the merged sketches of all ship months, checked against the exact
+    ranks over all of them."""
+    converted = monthly_model(spark, sf_dir).converted
+    version = outliers.calibrate(converted)
+    bounds = version.select("metric", F.size("baseline_months").alias("months"), "k", F.col("low_bound").cast("double").alias("low"), F.col("high_bound").cast("double").alias("high"))
+    checked = outliers.rank_checks(outliers.in_range_values(converted), bounds.select("metric", "low", "high"), ["metric"])
+    return checked.join(bounds.select("metric", "months", "k"), "metric")
+
+
+def monthly_model(spark, sf_dir) -> TripModel:
+    """The lazy chain over the trips of all ship months."""
+    raw = lineitem_trip_view(spark, sf_dir)
+    ends = raw.agg(F.min("source_month").alias("a"), F.max("source_month").alias("b")).first()
+    return build_model(spark, sf_dir, raw=raw, months=months_between(ends.a, ends.b) if ends.a else [])
+
+
+def monthly_reject_counts(spark, sf_dir):
+    """Reconciliation counts of every ship month."""
+    return monthly_model(spark, sf_dir).counts
+
+
+def monthly_bounds(spark, sf_dir):
+    """A23 over many months: exact bounds of every ship month."""
+    return monthly_model(spark, sf_dir).bounds
+
+
+def full_month_comparison(spark, sf_dir):
+    """H6: a whole month against the calendar month before it, over the trips of all ship months."""
+    march = M.DashboardFilters(date(1995, 3, 1), date(1995, 3, 31), include_outliers=True)
+    return C.kpi_comparison(monthly_model(spark, sf_dir).metrics, march)
 
 
 def source_fingerprint(spark, sf_dir):
@@ -348,8 +378,10 @@ def outlier_issue_rows(spark, sf_dir):
 
 
 def derived_metric_bounds(spark, sf_dir):
-    """KLL bounds of speed and fare per mile (approximate; rows-only check)."""
-    return outliers.derived_metric_sketch_bounds(model(spark, sf_dir).converted)
+    """Sketch bounds of speed and fare per mile, checked against the exact ranks."""
+    converted = model(spark, sf_dir).converted
+    bounds = outliers.long_bounds(outliers.derived_metric_sketch_bounds(converted), list(outliers.DERIVED), ["source_month"])
+    return outliers.rank_checks(outliers.derived_values(converted), bounds, ["source_month", "metric"])
 
 
 def top_zones(spark, sf_dir):
@@ -387,7 +419,7 @@ def month_partition_replace(spark, sf_dir):
     li = spark.read.parquet(f"{sf_dir}/lineitem.parquet").withColumn(
         "source_month", F.date_format("l_shipdate", "yyyy-MM"))
     ends = li.agg(F.min("source_month").alias("a"), F.max("source_month").alias("b")).first()
-    months = [str(m) for m in pd.period_range(ends.a, ends.b, freq="M")] if ends.a else []
+    months = months_between(ends.a, ends.b) if ends.a else []
     store.replace_partitions("lineitem_by_month", li, months)
     store.replace_partitions("lineitem_by_month", li, months)
     return store.read("lineitem_by_month").groupBy("source_month").agg(
@@ -402,6 +434,9 @@ QUERIES: dict[str, Query] = {
     "exact_bounds": exact_bounds,
     "kll_bounds": kll_bounds,
     "calibration_thresholds": calibration_thresholds,
+    "monthly_reject_counts": monthly_reject_counts,
+    "monthly_bounds": monthly_bounds,
+    "full_month_comparison": full_month_comparison,
     "source_fingerprint": source_fingerprint,
     "fact_trips": fact_trips,
     "orphan_check": orphan_check,

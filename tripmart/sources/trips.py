@@ -11,6 +11,7 @@ import re
 from dataclasses import dataclass, field
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -243,3 +244,41 @@ def trips_from_events(ev: DataFrame, source_month: str = EVENTS_MONTH) -> DataFr
         F.when(_every(rn, 151), null_d).otherwise(F.lit(0.0)).alias("airport_fee"),
     )
     return cast_to_raw(trips.withColumn("source_month", F.lit(check_month(source_month))))
+
+
+def lineitem_trip_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One trip per ``lineitem`` row: the second test carrier, of many months (the month of the ship date)."""
+    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet").where("l_shipdate is not null")
+    rn = F.col("l_orderkey") * 10 + F.col("l_linenumber")
+    base = li.select("*", rn.alias("rn"), _plus_seconds(F.col("l_shipdate"), rn % 1440 * 60).alias("pickup"))
+    rn, fare = F.col("rn"), F.col("l_extendedprice") / 100.0
+    ride = _plus_seconds(F.col("pickup"), F.lit(60) + F.col("l_partkey") % 100 * 30)
+    trips = base.select(
+        rn.alias("source_row_number"),
+        (F.lit(1) + F.col("l_suppkey") % 2).alias("VendorID"),
+        F.col("pickup").alias("tpep_pickup_datetime"),
+        F.when(_every(rn, 89), F.lit(None).cast("timestamp_ntz")).otherwise(ride).alias("tpep_dropoff_datetime"),
+        F.col("l_linenumber").cast("double").alias("passenger_count"),
+        F.when(_every(rn, 31), F.lit(0.0)).otherwise(F.col("l_quantity") / 10.0).alias("trip_distance"),
+        (F.lit(1) + F.col("l_linenumber") % 6).cast("double").alias("RatecodeID"),
+        F.lit("N").alias("store_and_fwd_flag"),
+        (F.lit(1) + F.col("l_suppkey") % 27).alias("PULocationID"),
+        (F.lit(1) + F.col("l_partkey") % 27).alias("DOLocationID"),
+        (F.lit(1) + F.col("l_linenumber") % 6).cast("bigint").alias("payment_type"),
+        F.when(_every(rn, 41), -fare).otherwise(fare).alias("fare_amount"),
+        F.lit(0.5).alias("extra"),
+        F.lit(0.5).alias("mta_tax"),
+        (fare * 0.2).alias("tip_amount"),
+        F.lit(0.0).alias("tolls_amount"),
+        F.lit(0.3).alias("improvement_surcharge"),
+        (fare * 1.25).alias("total_amount"),
+        F.lit(2.5).alias("congestion_surcharge"),
+        F.lit(0.0).alias("airport_fee"),
+        F.date_format("l_shipdate", "yyyy-MM").alias("source_month"),
+    )
+    return cast_to_raw(trips)
+
+
+def months_between(first: str, last: str) -> list[str]:
+    """All months from one to another, as YYYY-MM."""
+    return [str(m) for m in pd.period_range(check_month(first), check_month(last), freq="M")]

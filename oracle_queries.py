@@ -636,13 +636,14 @@ FROM facts f LEFT JOIN hist h
 GROUP BY f.pickup_zone_key, h.attributes""")
 
 ORACLES["sliding_window_events"] = qx("""
-wb AS (SELECT payment_type_id, total_amount_cents, distance_millimiles,
-         epoch_us(pickup_at_local) // 900000000 * 900000000 AS b FROM converted),
-wx AS (SELECT payment_type_id, total_amount_cents, distance_millimiles, b - k * 900000000 AS s
+wb AS (SELECT payment_type_id, total_amount_cents, distance_millimiles, has_statistical_outlier,
+         epoch_us(pickup_at_local) // 900000000 * 900000000 AS b FROM accepted),
+wx AS (SELECT payment_type_id, total_amount_cents, distance_millimiles, has_statistical_outlier, b - k * 900000000 AS s
        FROM wb, (VALUES (CAST(0 AS BIGINT)), (1), (2), (3)) t(k))""", """
 SELECT make_timestamp(s) AS window_start, make_timestamp(s + 3600000000) AS window_end, payment_type_id,
   CAST(count(*) AS BIGINT) AS trip_count, CAST(sum(total_amount_cents) AS BIGINT) AS total_amount_cents_sum,
-  CAST(sum(distance_millimiles) AS BIGINT) AS distance_millimiles_sum
+  CAST(sum(distance_millimiles) AS BIGINT) AS distance_millimiles_sum,
+  count(*) FILTER (has_statistical_outlier) AS outlier_count
 FROM wx GROUP BY s, payment_type_id""")
 
 ORACLES["unknown_zone_issues"] = q("""

@@ -333,7 +333,8 @@ def sliding_window_events(spark, sf_dir):
     from tripmart.session import scratch_path
     from tripmart.streaming.trips import run_sliding_windows
 
-    store, _ = run_sliding_windows(spark, sf_dir, scratch_path(spark, "stream", unique=True))
+    bounds = wh(spark, sf_dir).table("outlier_bounds")
+    store, _ = run_sliding_windows(spark, sf_dir, scratch_path(spark, "stream", unique=True), bounds=bounds)
     return store.read("trip_windows").drop("window_date")
 
 

@@ -14,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tripmart.operators import rules
 from tripmart.operators.convert import convert_accepted
+from tripmart.operators.outliers import mark_outliers
 from tripmart.schema import EVENTS
 from tripmart.sources.store import TableStore
 from tripmart.sources.trips import EVENTS_MONTH, trips_from_events
@@ -35,15 +36,18 @@ def event_stream(spark: SparkSession, source_dir: str, glob: str = "events.parqu
     return reader.parquet(source_dir)
 
 
-def accepted_stream(events: DataFrame, source_month: str = EVENTS_MONTH, watermark: str = "2 hours") -> DataFrame:
-    """R9 + R8: the batch rules on the stream, then de-duplication on the source identity.
+def accepted_stream(events: DataFrame, source_month: str = EVENTS_MONTH, watermark: str = "2 hours",
+                    bounds: DataFrame | None = None) -> DataFrame:
+    """R9 + R8: the batch rules on the stream, the outlier flag from the published ``bounds`` (one row per
+    month; no flag without them), and de-duplication on the source identity.
 
     Event time is the pickup instant as TIMESTAMP (session zone UTC): watermarks need
     TIMESTAMP, batch tables keep TIMESTAMP_NTZ.
     """
     trips = trips_from_events(events, source_month)
     accepted = convert_accepted(rules.candidate_rows(rules.classify(trips)))
-    timed = accepted.withColumn("event_time", F.col("pickup_at_local").cast("timestamp"))
+    flagged = accepted.withColumn("has_statistical_outlier", F.lit(False)) if bounds is None else mark_outliers(accepted, bounds)
+    timed = flagged.withColumn("event_time", F.col("pickup_at_local").cast("timestamp"))
     return timed.withWatermark("event_time", watermark).dropDuplicatesWithinWatermark(["source_month", "source_row_number"])
 
 
@@ -54,6 +58,7 @@ def sliding_window_aggregates(accepted: DataFrame, size: str = "1 hour", slide:
         F.count(F.lit(1)).alias("trip_count"),
         F.sum("total_amount_cents").cast("bigint").alias("total_amount_cents_sum"),
         F.sum("distance_millimiles").cast("bigint").alias("distance_millimiles_sum"),
+        F.count_if("has_statistical_outlier").alias("outlier_count"),
     )
     return g.select(
         F.col("window.start").cast("timestamp_ntz").alias("window_start"),
@@ -62,6 +67,7 @@ def sliding_window_aggregates(accepted: DataFrame, size: str = "1 hour", slide:
         "trip_count",
         "total_amount_cents_sum",
         "distance_millimiles_sum",
+        "outlier_count",
     )
 
 
@@ -143,7 +149,7 @@ def progress_frame(spark: SparkSession, query: StreamingQuery) -> DataFrame:
 
 
 def run_sliding_windows(spark: SparkSession, source_dir: str, root: str, table: str = "trip_windows",
-                        glob: str = "events.parquet") -> tuple[TableStore, StreamingQuery]:
+                        glob: str = "events.parquet", bounds: DataFrame | None = None) -> tuple[TableStore, StreamingQuery]:
     """Run the window upsert to completion over what is available now (backfills, tests).
 
     All available files form one micro-batch: the watermark moves between batches only, so that files
@@ -151,7 +157,7 @@ def run_sliding_windows(spark: SparkSession, source_dir: str, root: str, table:
     ``stream_progress`` (R5, R7).
     """
     store = TableStore(spark, root)
-    agg = sliding_window_aggregates(accepted_stream(event_stream(spark, source_dir, glob, None)))
+    agg = sliding_window_aggregates(accepted_stream(event_stream(spark, source_dir, glob, None), bounds=bounds))
     q = start_window_upsert(agg, store, table, f"{root}/_checkpoints/{table}")
     q.awaitTermination()
     store.append("stream_progress", progress_frame(spark, q))

@@ -167,9 +167,13 @@ def read_records(index: DataFrame, folder: str, payloads: bool = True) -> DataFr
         if file is not None:
             file.close()
 
+    # the index is small, the reads behind it are not: partitions follow the archived bytes
+    total = index.agg(F.sum("length").alias("n")).first()["n"] or 0
+    least = int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(least, -(-total // (4 * READ_BYTES)))
     stretch = (F.col("offset") / F.lit(READ_BYTES)).cast("long")
     placed = index.select("archive", "offset", "length", stretch.alias("stretch"))
-    return placed.repartition("archive", "stretch").sortWithinPartitions("archive", "offset").select("archive", "offset", "length").mapInArrow(run, RECORD)
+    return placed.repartition(parts, "archive", "stretch").sortWithinPartitions("archive", "offset").select("archive", "offset", "length").mapInArrow(run, RECORD)
 
 
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

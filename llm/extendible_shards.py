@@ -13,9 +13,13 @@ marked ``over_limit``; an empty table has no shards; other columns are ignored.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from llm.shared import shared_path
+
 HASH_BITS = 60
 STEP = 12
 MAX_DEPTH = 48
@@ -53,10 +57,19 @@ def directory(rows: DataFrame, limit: int, max_depth: int = MAX_DEPTH, step: int
     return out
 
 
+def _written(docs: DataFrame, limit: int, id_col: str, text_col: str, max_depth: int = MAX_DEPTH) -> tuple[DataFrame, DataFrame]:
+    """Hashes and sizes of all rows, and the directory, both written once: texts are read a single time."""
+    spark = docs.sparkSession
+    base = shared_path(spark, f"shards/{uuid.uuid4().hex}")
+    _hashed(docs, id_col, text_col).write.parquet(f"{base}/rows")
+    rows = spark.read.parquet(f"{base}/rows")
+    directory(rows.select("h", "n_bytes"), limit, max_depth).write.parquet(f"{base}/directory")
+    return rows, spark.read.parquet(f"{base}/directory")
+
+
 def assign(docs: DataFrame, limit: int = SHARD_BYTES, id_col: str = "doc_id", text_col: str = "text", max_depth: int = MAX_DEPTH) -> DataFrame:
     """Per row: ``doc_id, n_bytes, depth, shard, shard_bytes, over_limit``."""
-    rows = _hashed(docs, id_col, text_col)
-    shards = directory(rows.select("h", "n_bytes"), limit, max_depth)
+    rows, shards = _written(docs, limit, id_col, text_col, max_depth)
     depths = [r["depth"] for r in shards.select("depth").distinct().collect()]  # at most max_depth + 1
     near = F.array(*[F.struct(F.lit(d).alias("depth"), F.shiftright("h", HASH_BITS - d).alias("shard")) for d in sorted(depths)] or [F.struct(F.lit(0).alias("depth"), F.lit(0).cast("long").alias("shard"))])
     # one of a row's prefixes is in the directory; the sums per shard tell which, from the same join
@@ -68,7 +81,7 @@ def assign(docs: DataFrame, limit: int = SHARD_BYTES, id_col: str = "doc_id", te
 def write_shards(docs: DataFrame, path: str, limit: int = SHARD_BYTES, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Write the rows as Parquet, one folder and one file per shard."""
     rows = docs.withColumn("_h", F.conv(F.substring(F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit(""))), 1, HASH_BITS // 4), 16, 10).cast("long"))
-    shards = directory(_hashed(docs, id_col, text_col).select("h", "n_bytes"), limit)
+    _, shards = _written(docs, limit, id_col, text_col)
     named = shards.withColumn("_name", F.concat_ws("-", "depth", "shard"))
     depths = [r["depth"] for r in shards.select("depth").distinct().collect()]
     if not depths:

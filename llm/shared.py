@@ -15,7 +15,8 @@ def shared_path(spark: SparkSession, name: str) -> str:
     """A path in the folder named by ``spark.checkpoint.dir``; a private one only for local sessions."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
-        if not spark.sparkContext.master.startswith("local["):
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = _private.setdefault("root", f"file://{tempfile.mkdtemp(prefix='llm-')}")
     return f"{root.rstrip('/')}/{name}"

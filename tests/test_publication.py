@@ -151,3 +151,25 @@ def test_long_comparison_span(spark):
 
     f = DashboardFilters(date(2023, 1, 1), date(2023, 10, 1))
     assert _span_filter(f, prior_filters(f)) is not None
+
+
+def test_publish_checks_the_contract(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path))
+    with pytest.raises(ValueError, match="contract"):
+        publish(spark, store, make_raw(spark, f2_rows()).drop("fare_amount"), [ASSET], zones(spark))
+
+
+def test_overlaps_past_the_next_version(spark):
+    from tripmart.operators.dims import overlapping_versions
+
+    t = [datetime(2024, 1, d) for d in range(1, 9)]
+    rows = [(1, 1, t[0], t[7]), (1, 2, t[1], t[2]), (1, 3, t[3], t[4]), (2, 4, t[0], t[1]), (2, 5, t[1], None)]
+    dim = spark.createDataFrame(rows, "business_key int, surrogate_key int, observed_from timestamp, observed_to timestamp")
+    assert sorted(r.surrogate_key for r in overlapping_versions(dim).collect()) == [2, 3]
+
+
+def test_coverage_of_nothing_is_an_error(spark):
+    from tripmart.operators.ops import date_coverage
+
+    with pytest.raises(Exception, match="no published metrics"):
+        date_coverage(spark.createDataFrame([], "pickup_date date")).collect()

@@ -255,11 +255,11 @@ def multiple_current_rows(dim: DataFrame) -> DataFrame:
 def overlapping_versions(dim: DataFrame) -> DataFrame:
     """Versions of one business key whose validity intervals overlap (must be empty).
 
-    Versions sorted by ``observed_from`` per key overlap exactly when a version starts
-    before its predecessor ends, so one ``lag`` window replaces the self-join.
+    A version overlaps an earlier one exactly when it starts before the latest end of all that started
+    before it, so one running maximum replaces the self-join.
     """
-    w = Window.partitionBy("business_key").orderBy("observed_from", "surrogate_key")
-    prev_to = F.lag(F.coalesce(F.col("observed_to"), F.to_timestamp(F.lit("9999-12-31")))).over(w)
+    before = Window.partitionBy("business_key").orderBy("observed_from", "surrogate_key").rowsBetween(Window.unboundedPreceding, -1)
+    prev_to = F.max(F.coalesce(F.col("observed_to"), F.to_timestamp(F.lit("9999-12-31")))).over(before)
     return (
         dim.select("business_key", "surrogate_key", "observed_from", "observed_to", prev_to.alias("_prev_to"))
         .filter(F.col("_prev_to").isNotNull() & (F.col("observed_from") < F.col("_prev_to")))

@@ -115,8 +115,9 @@ def is_stale_column(published_at: Column, now: Column, hours: int = 36) -> Colum
 
 
 def date_coverage(view: DataFrame) -> DataFrame:
-    """First and last pickup date of the published metrics."""
-    return view.agg(F.min("pickup_date").alias("minimum_date"), F.max("pickup_date").alias("maximum_date"))
+    """First and last pickup date of the published metrics; an error when nothing is published."""
+    empty = F.raise_error(F.lit("no published metrics")).cast("date")
+    return view.agg(F.coalesce(F.min("pickup_date"), empty).alias("minimum_date"), F.max("pickup_date").alias("maximum_date"))
 
 
 def filter_options(view: DataFrame) -> DataFrame:

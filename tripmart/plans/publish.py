@@ -35,6 +35,7 @@ from tripmart.operators.fact import Dimensions, build_facts, duplicate_identitie
 from tripmart.operators.mart import hourly_mart, metrics_view
 from tripmart.schema import PAYMENT_TYPE_LOOKUP, RATE_CODE_LOOKUP, RAW_TRIP, VENDOR_LOOKUP
 from tripmart.sources.store import TableStore
+from tripmart.sources.trips import check_contract
 
 REF_TABLES = {
     "dim_vendor": VENDOR_LOOKUP,
@@ -209,6 +210,9 @@ def publish(
     """
     from tripmart.plans import thresholds as TH
 
+    contract = check_contract(raw, check_rows=False)  # G2, whoever read the frame
+    if not contract.is_valid:
+        raise ValueError(f"source contract failed: {contract}")
     months = sorted(a.source_month for a in assets)
     started = _dt.datetime.now(_dt.timezone.utc)
     publication = f"{started:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:12]}"

@@ -52,7 +52,7 @@ def ensure_shared_dir(spark: SparkSession) -> str:
         if sc.getCheckpointDir() is None:
             sc.setCheckpointDir(current)
         return current.rstrip("/")
-    if not sc.master.startswith("local["):
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     base = tempfile.mkdtemp(prefix="tripmart-")
     spark.conf.set("spark.checkpoint.dir", base)

@@ -771,3 +771,26 @@ SELECT CAST(trips_current AS BIGINT) AS trip_count_current, revenue_current AS g
   100.0 * (CAST(trips_current AS DOUBLE) - trips_prior) / NULLIF(CAST(trips_prior AS DOUBLE), 0) AS trip_count_delta_percent,
   100.0 * (revenue_current - revenue_prior) / NULLIF(revenue_prior, 0) AS gross_revenue_delta_percent
 FROM {_month_kpis('1995-03', 'current')}, {_month_kpis('1995-02', 'prior')}"""
+
+ORACLES["latest_fingerprints"] = "SELECT '2024-01' AS source_month, CAST(count(*) AS BIGINT) AS row_count, TRUE AS is_synthetic FROM events"
+
+ORACLES["latest_thresholds"] = "SELECT '2024-01' AS source_month, CAST(NULL AS VARCHAR) AS threshold_version_id, TRUE AS has_snapshot"
+
+# Rows of the dashboard's frames: distinct group keys of the mart in each period (16th to 31st, and the 16 days before).
+_NOW, _BEFORE = "pickup_date_key BETWEEN 20240116 AND 20240131", "pickup_date_key BETWEEN 20231231 AND 20240115"
+_FIN = "NOT has_statistical_outlier"
+_FRAMES = {
+    "kpis": "1", "comparison_kpis": "1", "components": "1", "publications": "1", "fingerprints": "1", "thresholds": "1", "alerts": "0",
+    "daily": f"(SELECT count(DISTINCT pickup_date_key) FROM mv WHERE {_NOW})",
+    "hourly": f"(SELECT count(DISTINCT pickup_hour) FROM mv WHERE {_NOW})",
+    "heatmap": f"(SELECT count(DISTINCT (weekday_number, pickup_hour)) FROM mv WHERE {_NOW})",
+    "quality": "(SELECT " + " + ".join(f"CAST(bool_or({f}) AS INT)" for f in (
+        "f_unknown_vendor", "f_unknown_payment", "f_unknown_rate", "f_invalid_passenger_count", "f_null_extra", "f_null_mta_tax", "f_null_tip",
+        "f_null_tolls", "f_null_improvement", "f_null_congestion", "f_null_airport_fee")) + " FROM flagged)",
+}
+for _period, _prefix in ((_NOW, ""), (_BEFORE, "comparison_")):
+    _FRAMES[f"{_prefix}zones"] = f"(SELECT count(DISTINCT pickup_zone_key) FROM mv WHERE {_period})"
+    for _name, _key in (("payments", "payment_type_key"), ("vendors", "vendor_key"), ("rates", "rate_code_key")):
+        _FRAMES[f"{_prefix}{_name}"] = f"(SELECT count(DISTINCT {_key}) FROM mv WHERE {_period} AND {_FIN})"
+
+ORACLES["dashboard_frames"] = q(" UNION ALL ".join(f"SELECT '{name}' AS frame, CAST({count} AS BIGINT) AS n_rows" for name, count in _FRAMES.items()))

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -348,6 +349,26 @@ def stream_progress(spark, sf_dir):
         F.sum("input_rows").alias("input_rows"), F.sum("rows_dropped_by_watermark").alias("rows_dropped_by_watermark"))
 
 
+def dashboard_frames(spark, sf_dir):
+    """M1: rows of each of the 19 frames of one dashboard load."""
+    from tripmart.plans.dashboard import load_dashboard_data
+
+    frames = load_dashboard_data(wh(spark, sf_dir), SECOND_HALF)
+    counted = [df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("frame"), "n_rows") for name, df in frames.items()]
+    return reduce(DataFrame.unionByName, counted)
+
+
+def latest_fingerprints(spark, sf_dir):
+    """The newest source asset of each month (hash and time left out: file bytes are not in the views)."""
+    return O.fingerprints(wh(spark, sf_dir).assets).select("source_month", "row_count", "is_synthetic")
+
+
+def latest_thresholds(spark, sf_dir):
+    """Threshold version of the latest successful run of each month, and whether a snapshot was recorded (V2)."""
+    return O.thresholds(wh(spark, sf_dir).runs).select(
+        "source_month", "threshold_version_id", F.col("reference_snapshot_id").isNotNull().alias("has_snapshot"))
+
+
 def published_versions(spark, sf_dir):
     """Rows per published month of every table that a publish switches at once."""
     w = wh(spark, sf_dir)
@@ -475,6 +496,9 @@ QUERIES: dict[str, Query] = {
     "sliding_window_events": sliding_window_events,
     "stream_progress": stream_progress,
     "published_versions": published_versions,
+    "dashboard_frames": dashboard_frames,
+    "latest_fingerprints": latest_fingerprints,
+    "latest_thresholds": latest_thresholds,
     "unknown_zone_issues": unknown_zone_issues,
     "outlier_issue_rows": outlier_issue_rows,
     "derived_metric_bounds": derived_metric_bounds,

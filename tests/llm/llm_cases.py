@@ -5,6 +5,8 @@ from __future__ import annotations
 import random
 import re
 
+import pytest
+
 WORDS = ["alpha", "beta", "gamma", "delta", "omega", "sigma", "kappa", "lambda", "théta", "zeta", "iota", "rho", "tau", "phi", "chi", "psi"]
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint, _key string, id string, grp string"
 
@@ -30,3 +32,24 @@ def awkward(seed: int = 5) -> list[tuple]:
     rows = [(i * 3 + 1, t) for i, t in enumerate(texts)]
     rows += [rows[2], rows[2], (None, base[4]), (None, None)]
     return [(i, t, rng.choice(["en", "de", None]), rng.choice(["a", None]), None, "k", "i", "g") for i, t in rows]
+
+
+@pytest.fixture(scope="session")
+def docs_rows():
+    return awkward()
+
+
+@pytest.fixture(scope="session")
+def docs(spark, docs_rows):
+    from llm.shared import ship
+
+    ship(spark)
+    return spark.createDataFrame(docs_rows, DOCS).repartition(3)
+
+
+@pytest.fixture(scope="session")
+def no_docs(spark):
+    from llm.shared import ship
+
+    ship(spark)
+    return spark.createDataFrame([], DOCS)

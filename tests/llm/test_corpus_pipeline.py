@@ -12,7 +12,7 @@ import pytest
 import corpus_pipeline
 from llm import line_templates
 from llm.shared import ship
-from llm_cases import words
+from llm_cases import docs, docs_rows, words  # noqa: F401
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, _id_key string"

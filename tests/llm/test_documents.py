@@ -13,7 +13,7 @@ import pytest
 from llm import bpe_automaton, extendible_shards, line_templates, lsh_forest, pairwise_quality, perplexity_rules, template_decontamination
 from llm.components import connected
 
-from llm_cases import DOCS, prose, words
+from llm_cases import DOCS, docs, docs_rows, no_docs, prose, words  # noqa: F401
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")

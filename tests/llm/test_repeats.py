@@ -6,7 +6,7 @@ import pytest
 
 from llm import substring_dedup, suffix_dedup
 
-from llm_cases import words
+from llm_cases import docs, docs_rows, no_docs, words  # noqa: F401
 
 LOW = -(1 << 63)
 

@@ -69,8 +69,8 @@ def trip_issue_rows(spark, sf_dir):
 
 
 def accepted_trips(spark, sf_dir):
-    """Accepted rows in integer units with the outlier flag."""
-    return model(spark, sf_dir).accepted
+    """Accepted rows in integer units with the outlier flag, from the published bounds (one scan)."""
+    return outliers.mark_outliers(model(spark, sf_dir).converted, wh(spark, sf_dir).table("outlier_bounds"))
 
 
 def exact_bounds(spark, sf_dir):
@@ -395,8 +395,7 @@ def unknown_zone_issues(spark, sf_dir):
 
 def outlier_issue_rows(spark, sf_dir):
     """Per-metric outlier issue rows with the value and the bounds."""
-    m = model(spark, sf_dir)
-    return outliers.outlier_issue_rows(m.converted, m.bounds)
+    return outliers.outlier_issue_rows(model(spark, sf_dir).converted, wh(spark, sf_dir).table("outlier_bounds"))
 
 
 def derived_metric_bounds(spark, sf_dir):

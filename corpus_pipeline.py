@@ -1,7 +1,8 @@
 """The corpus pipeline: five stages over ``documents``, each written as Parquet and reread by the next.
 
-Rows are documents; rows that share a ``doc_id`` count as one document, and a null id is an id like any
-other. A stage's decisions are joined back to its rows by id, so that texts take part in one shuffle.
+Rows are documents. A stage's decisions are joined back to its rows by a hash of id and text (and language),
+so that texts take part in one shuffle and rows without an id, or with the same id and other texts, are
+judged one by one. Only near dedup drops repeated rows: those with the same id and the same text.
 """
 
 from __future__ import annotations
@@ -11,29 +12,33 @@ import uuid
 import public_tokenizers
 from llm.bpe_automaton import encode_decode
 from llm.line_templates import drop_recurring
-from llm.lsh_forest import near_duplicates
+from llm.lsh_forest import near_groups, row_key
 from llm.perplexity_rules import quality_rules
 from llm.shared import shared_path, shipped
 from llm.template_decontamination import contaminated
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_NULL_ID = -(1 << 63)
 #: A line template in so many documents is boilerplate.
 BOILERPLATE_DOCS = 20
 
 
-def _by_id(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
-    """The rows of ``docs`` whose id is (``left_semi``) or is not (``left_anti``) among ``ids (doc_id)``."""
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL_ID))
-    return docs.withColumn("_id_key", key).join(ids.select(key.alias("_id_key")).distinct(), "_id_key", how)
+def _keyed(docs: DataFrame, key: Column) -> DataFrame:
+    """(row_key, row): the rows of ``docs`` as structs, with their keys."""
+    return docs.select(key.alias("row_key"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+
+
+def _by_key(docs: DataFrame, key: Column, keys: DataFrame, how: str) -> DataFrame:
+    """The keyed rows of ``docs`` whose key is (``left_semi``) or is not (``left_anti``) among ``keys (row_key)``."""
+    return _keyed(docs, key).join(keys.distinct(), "row_key", how)
 
 
 @shipped
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules and the perplexity bands keep."""
-    kept = quality_rules(spark, docs).where("kept").select("doc_id")
-    return _by_id(docs, kept, "left_semi").select(*docs.columns)
+    key = F.xxhash64("doc_id", "text", "lang")
+    kept = quality_rules(spark, docs.select(key.alias("row_key"), "text", "lang"), id_col="row_key").where("kept")
+    return _by_key(docs, key, kept.select(F.col("doc_id").alias("row_key")), "left_semi").select("row.*")
 
 
 @shipped
@@ -51,16 +56,19 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @shipped
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: the one with the smallest id."""
-    kept = near_duplicates(spark, docs).where("kept").select("doc_id")
-    return _by_id(docs, kept, "left_semi").dropDuplicates(["_id_key"]).select(*docs.columns)
+    """One document of each group of near duplicates: the one with the smallest id (a null id comes last)."""
+    rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_key")
+    first = near_groups(spark, docs).groupBy(F.col("set_id") == 0, "group").agg(F.min(rank).alias("first"))
+    kept = _by_key(docs, row_key(F.col("doc_id"), F.col("text")), first.select("first.row_key"), "left_semi")
+    return kept.dropDuplicates(["row_key"]).select("row.*")
 
 
 @shipped
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    hit = contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select("doc_id")
-    return _by_id(docs, hit, "left_anti").select(*docs.columns)
+    key = row_key(F.col("doc_id"), F.col("text"))
+    hit = contaminated(docs.select(key.alias("row_key"), "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col="row_key")
+    return _by_key(docs, key, hit.select(F.col("doc_id").alias("row_key")), "left_anti").select("row.*")
 
 
 @shipped

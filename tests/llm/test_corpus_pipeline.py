@@ -112,3 +112,23 @@ def test_near_dedup_keeps_one_row_of_a_repeated_id(spark):
     rows = [(1, sentence(random.Random(1), 60)), (1, sentence(random.Random(1), 60)), (2, sentence(random.Random(1), 60)), (3, None), (4, "")]
     out = corpus_pipeline.near_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
     assert sorted(r.doc_id for r in out.collect()) == [1, 3, 4]
+
+
+def test_rows_without_an_id_are_judged_one_by_one(spark, tmp_path):
+    texts = [sentence(random.Random(k), 80) for k in range(5)]
+    item = " ".join(f"w{k}" for k in "abcdefghijklmnopq")
+    schema = "doc_id long, text string, lang string, _id_key string"
+    rows = [(None, texts[0]), (None, texts[1]), (None, texts[1]), (None, texts[1] + " end"), (7, texts[2]), (7, texts[3]), (7, texts[3] + " end"), (None, "short"), (7, "short"), (None, texts[4] + " " + item), (7, texts[4] + " " + item)]
+    docs = spark.createDataFrame([(*r, "en", "k") for r in rows], schema).repartition(4)
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"file://{tmp_path}/benchmark.parquet")
+
+    def left(stage):
+        out = stage(spark, docs, f"file://{tmp_path}")
+        assert out.columns == docs.columns and {r._id_key for r in out.collect()} == {"k"}
+        return sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
+
+    assert left(corpus_pipeline.quality) == sorted((r for r in rows if r[1] != "short"), key=str)
+    assert left(corpus_pipeline.decontaminate) == sorted((r for r in rows if item not in r[1]), key=str)
+    got = left(corpus_pipeline.near_dedup)
+    assert [len([r for r in got if r[1].startswith(t)]) for t in texts] == [1] * 5 and len(got) == 6
+    assert (7, texts[4] + " " + item) in got and (7, "short") in got

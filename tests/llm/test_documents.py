@@ -297,3 +297,16 @@ def test_empty_tables(spark, no_docs):
     assert lsh_forest.near_duplicates(spark, no_docs).count() == 0
     assert extendible_shards.assign(no_docs).count() == 0
     assert DOCS.startswith("doc_id")
+
+
+def test_pairs_of_two_parts_are_confirmed(spark):
+    """Pairs of near copies under a common frame: one family, split into many parts."""
+    rng = random.Random(12)
+    frame = [f"frame{k}" for k in range(175)]
+    texts = []
+    for k in range(40):
+        own = [f"own{k}x{rng.randrange(10**6)}" for _ in range(25)]
+        texts += [" ".join(frame + own), " ".join([*frame, *own[:-1], "changed"])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in lsh_forest.near_duplicates(spark, docs, family=4).collect()}
+    assert got == {k: k // 2 * 2 for k in range(80)}

@@ -11,7 +11,7 @@ import uuid
 
 import public_tokenizers
 from llm.bpe_automaton import encode_decode
-from llm.line_templates import drop_recurring
+from llm.line_templates import MIN_DOCS, drop_recurring
 from llm.lsh_forest import near_groups, row_key
 from llm.perplexity_rules import quality_rules
 from llm.shared import shared_path, shipped
@@ -19,8 +19,8 @@ from llm.template_decontamination import contaminated
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: A line template in so many documents is boilerplate.
-BOILERPLATE_DOCS = 20
+#: A line template in so many documents stays in the first of them only, as in operator 1.
+BOILERPLATE_DOCS = MIN_DOCS
 
 
 def _keyed(docs: DataFrame, key: Column) -> DataFrame:
@@ -43,11 +43,13 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @shipped
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without boilerplate lines; a document that loses every line it had goes.
+    """Texts without the lines of earlier documents; a document that loses every line it had goes.
 
-    Lines of a few copies stay for the next stage, which compares whole documents.
+    A whole copy loses every line, so it goes here. Each text without an id is a document of its own, before all
+    that have an id.
     """
-    cut = drop_recurring(docs, min_docs=BOILERPLATE_DOCS)
+    no_id = F.lit(-(1 << 62)) - F.pmod(F.xxhash64("text"), F.lit(1 << 62))
+    cut = drop_recurring(docs, min_docs=BOILERPLATE_DOCS, key=F.coalesce(F.col("doc_id").cast("long"), no_id))
     emptied = (F.col("n_dropped") > 0) & (F.trim(F.col("text"), F.lit(" \t\r\n")) == "")
     left = cut.where(~F.coalesce(emptied, F.lit(False)))
     own = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}

@@ -132,3 +132,12 @@ def test_rows_without_an_id_are_judged_one_by_one(spark, tmp_path):
     got = left(corpus_pipeline.near_dedup)
     assert [len([r for r in got if r[1].startswith(t)]) for t in texts] == [1] * 5 and len(got) == 6
     assert (7, texts[4] + " " + item) in got and (7, "short") in got
+
+
+def test_line_dedup_keeps_a_line_of_two_documents_once(spark):
+    line = sentence(random.Random(3), 60)
+    rows = [(1, line + "\nown a"), (2, "own b\n" + line), (3, line), (None, "own c\nfree"), (None, "own d\nfree"), (4, "free\nown e")]
+    out = corpus_pipeline.line_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()
+    assert {(r.doc_id, r.text) for r in out if r.doc_id} == {(1, line + "\nown a"), (2, "own b"), (4, "own e")}
+    texts = [r.text for r in out if r.doc_id is None]
+    assert sorted(t.split("\n")[0] for t in texts) == ["own c", "own d"] and sum("free" in t for t in texts) == 1

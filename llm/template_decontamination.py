@@ -9,10 +9,12 @@ question keeps its template.
    any copied stretch of ``step + WINDOW - 1`` tokens must meet. Documents without a hit are done.
 2. *Windows.* All windows of the documents with a hit are joined by hash with the items' windows.
 3. *Slots.* Where both sides of a window hold placeholders, the item's values and the document's are
-   paired; a value that stands for several others in the same document is inconsistent.
+   paired; a value that stands for several others in the same occurrence is inconsistent.
 
-An item contaminates a document if at least ``SIMILARITY`` of its windows are found and at least as
-large a share of its slot values is consistent. A document that holds a frequent window costs one row per
+An occurrence is the windows of one aligned offset (place in the document less place in the item), those of
+a run of near offsets (words were put in or left out), or all of the document. An item contaminates a document
+if, in one occurrence, at least ``SIMILARITY`` of its windows are found and at least as large a share of its slot
+values is consistent. A document that holds a frequent window costs three rows per
 window found; no pairs of documents arise. The index is broadcast only below ``MAX_BROADCAST`` windows,
 by count; beyond that the joins shuffle.
 
@@ -23,7 +25,7 @@ extra columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 WINDOW = 5
@@ -49,7 +51,7 @@ def _sided(rows: DataFrame) -> DataFrame:
 
 
 def windows(rows: DataFrame, step: int, slots: bool, window: int = WINDOW) -> DataFrame:
-    """(id, key[, slot values]) of every ``step``-th window of ``rows (id, canon[, raw])``."""
+    """(id, key[, slot values, place]) of every ``step``-th window of ``rows (id, canon[, raw])``."""
     starts = F.when(F.size("canon") >= window, F.sequence(F.lit(1), F.size("canon") - (window - 1), F.lit(step))).otherwise(F.array().cast("array<int>"))
 
     def one(at: Column) -> Column:
@@ -58,7 +60,7 @@ def windows(rows: DataFrame, step: int, slots: bool, window: int = WINDOW) -> Da
         if slots:
             pairs = F.arrays_zip(own.alias("c"), F.slice("raw", at, window).alias("r"))
             held = F.filter(pairs, lambda p: p["c"].contains("<num>") | p["c"].contains("<name>") | p["c"].contains("<unit>"))
-            fields.append(F.transform(held, lambda p: F.lower(p["r"])).alias("held"))
+            fields += [F.transform(held, lambda p: F.lower(p["r"])).alias("held"), at.alias("at")]
         return F.struct(*fields)
 
     return rows.select("id", F.inline(F.transform(starts, one)))
@@ -71,7 +73,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     size = items.where(F.size("canon") >= window).agg(F.min(F.size("canon")).alias("least"), F.sum(F.size("canon")).alias("n")).first()
     step = max(1, min(window, (size["least"] or 1) - window + 1))
     small = (size["n"] or 0) <= MAX_BROADCAST
-    index = windows(items, 1, True, window).select(F.col("id").alias("item_id"), "key", F.col("held").alias("item_held"))
+    index = windows(items, 1, True, window).select(F.col("id").alias("item_id"), "key", F.col("held").alias("item_held"), F.col("at").alias("item_at"))
     total = index.groupBy("item_id").agg(F.countDistinct("key").alias("n_windows"))
     keys = index.select("key").distinct()
 
@@ -82,14 +84,25 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     plain = rows.select("id", _tokens(canonical(F.col("text"))).alias("canon"))
     anchored = windows(plain, step, False, window).join(near(keys), "key", "left_semi").select(F.col("id").alias("_id")).distinct()
     full = windows(_sided(rows.join(anchored, F.col("id").eqNullSafe(F.col("_id")), "left_semi")), 1, True, window)
-    found = full.join(near(index), "key").select(F.col("id").alias("doc_id"), "item_id", "key", F.arrays_zip("item_held", "held").alias("slots"))
-    hits = found.groupBy("doc_id", "item_id").agg(F.countDistinct("key").alias("n_found"))
-    values = found.select("doc_id", "item_id", F.explode("slots").alias("slot")).groupBy("doc_id", "item_id", F.col("slot.item_held").alias("value")).agg((F.min("slot.held") == F.max("slot.held")).alias("same"))
-    slots = values.groupBy("doc_id", "item_id").agg(F.count("*").alias("n_slots"), F.sum(F.col("same").cast("long")).alias("n_consistent"))
-    slots = slots.select(F.col("doc_id").alias("_doc"), F.col("item_id").alias("_item"), "n_slots", "n_consistent")
-    scored = hits.join(total, "item_id").join(slots, F.col("doc_id").eqNullSafe(F.col("_doc")) & F.col("item_id").eqNullSafe(F.col("_item")), "left").na.fill(0, ["n_slots", "n_consistent"])
+    found = full.join(near(index), "key").join(near(total), "item_id").select(F.col("id").alias("doc_id"), "item_id", "n_windows", "key", (F.col("at") - F.col("item_at")).alias("offset"), F.arrays_zip("item_held", "held").alias("slots"))
+    along = Window.partitionBy("doc_id", "item_id").orderBy("offset")
+    far = F.coalesce(F.col("offset") - F.lag("offset").over(along) > F.col("n_windows") / 2, F.lit(False))
+    runs = found.withColumn("far", far.cast("int")).withColumn("run", F.sum("far").over(along))
+    # kind 0: the whole document, 1: a run of near offsets, 2: one offset
+    kinds = F.array(*[F.struct(F.lit(k).alias("kind"), place.cast("long").alias("place")) for k, place in enumerate([F.lit(0), F.col("run"), F.col("offset")])])
+    placed = runs.select("doc_id", "item_id", "n_windows", "key", "slots", F.inline(kinds))
+    pair = ["doc_id", "item_id", "kind", "place"]
+    hits = placed.groupBy(*pair, "n_windows").agg(F.countDistinct("key").alias("n_found"))
+    values = placed.select(*pair, F.explode("slots").alias("slot")).groupBy(*pair, F.col("slot.item_held").alias("value")).agg((F.min("slot.held") == F.max("slot.held")).alias("same"))
+    slots = values.groupBy(*pair).agg(F.count("*").alias("n_slots"), F.sum(F.col("same").cast("long")).alias("n_consistent"))
+    slots = slots.select(*[F.col(c).alias(f"_{c}") for c in pair], "n_slots", "n_consistent")
+    same = F.lit(True)
+    for c in pair:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    scored = hits.join(slots, same, "left").na.fill(0, ["n_slots", "n_consistent"])
     enough = (F.col("n_found") >= similarity * F.col("n_windows")) & (F.col("n_consistent") >= similarity * F.col("n_slots"))
-    return scored.where(enough).select("doc_id", "item_id", "n_found", "n_windows", "n_slots", "n_consistent")
+    best = F.max(F.struct(F.col("kind") == 0, "n_found", "n_windows", "n_slots", "n_consistent")).alias("best")
+    return scored.where(enough).groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "best.n_found", "best.n_windows", "best.n_slots", "best.n_consistent")
 
 
 def op4_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

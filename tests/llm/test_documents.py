@@ -310,3 +310,16 @@ def test_pairs_of_two_parts_are_confirmed(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r.doc_id: r.component_id for r in lsh_forest.near_duplicates(spark, docs, family=4).collect()}
     assert got == {k: k // 2 * 2 for k in range(80)}
+
+
+def test_slots_are_judged_per_occurrence(spark):
+    """A verbatim item beside the same question with other numbers, and the question twice with others."""
+    item = "a train leaves at 9 with 12 km per hour and walks for 30 minutes where do the 12 km end and why"
+    other = [item.replace("9", a).replace("12", b).replace("30", c) for a, b, c in (("7", "55", "10"), ("8", "66", "20"))]
+    put_in = [t.replace("where do", "where then do") for t in other]
+    between = " so much for that one and now for something else entirely "
+    docs = spark.createDataFrame([(1, item + between + other[0]), (2, between.join(other)), (3, between.join(put_in)), (None, other[0] + between + other[1])], "doc_id long, text string")
+    benchmark = spark.createDataFrame([(1, item)], "item_id long, text string")
+    got = {r.doc_id: r for r in template_decontamination.contaminated(docs, benchmark, similarity=0.6).collect()}
+    assert {1, 2, 3, None} <= set(got)
+    assert all(got[k].n_slots == got[k].n_consistent > 0 for k in (1, 2, None))

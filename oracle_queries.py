@@ -794,3 +794,76 @@ for _period, _prefix in ((_NOW, ""), (_BEFORE, "comparison_")):
         _FRAMES[f"{_prefix}{_name}"] = f"(SELECT count(DISTINCT {_key}) FROM mv WHERE {_period} AND {_FIN})"
 
 ORACLES["dashboard_frames"] = q(" UNION ALL ".join(f"SELECT '{name}' AS frame, CAST({count} AS BIGINT) AS n_rows" for name, count in _FRAMES.items()))
+
+# --- observation history, as-of joins, contracts per file, bounded backfills, positions -----------------
+
+_STATES = """
+obs AS (
+  SELECT c_custkey AS business_key, c_mktsegment AS label, 'nation=' || c_nationkey AS attributes, 1 AS i FROM customer
+  UNION ALL
+  SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 THEN 'MOVED' ELSE c_mktsegment END, 'nation=' || c_nationkey, 2
+  FROM customer WHERE c_custkey % 11 <> 0
+  UNION ALL
+  SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 AND c_custkey % 10 <> 0 THEN 'MOVED' ELSE c_mktsegment END,
+    'nation=' || (CASE WHEN c_custkey % 3 = 0 THEN c_nationkey + 100 ELSE c_nationkey END), 3
+  FROM customer WHERE c_custkey % 13 <> 0),
+taken(i, seen_at) AS (VALUES (1, TIMESTAMP '2024-01-01'), (2, TIMESTAMP '2024-02-01'), (3, TIMESTAMP '2024-03-01'))"""
+
+ORACLES["scd2_customer_history"] = f"""
+WITH {_STATES},
+opened AS (
+  SELECT o.*, t.seen_at FROM obs o JOIN taken t USING (i)
+  QUALIFY lag(label || '/' || attributes) OVER (PARTITION BY business_key ORDER BY i) IS DISTINCT FROM label || '/' || attributes)
+SELECT business_key, label, attributes, seen_at AS observed_from,
+  lead(seen_at) OVER (PARTITION BY business_key ORDER BY i) AS observed_to,
+  lead(seen_at) OVER (PARTITION BY business_key ORDER BY i) IS NULL AS is_current
+FROM opened WHERE business_key <> 0"""
+
+ORACLES["scd2_customer_gaps"] = f"""
+WITH {_STATES},
+grid AS (
+  SELECT k.business_key, t.i, t.seen_at, o.label, o.attributes
+  FROM (SELECT DISTINCT business_key FROM obs WHERE business_key <> 0) k CROSS JOIN taken t
+  LEFT JOIN obs o ON o.business_key = k.business_key AND o.i = t.i),
+turns AS (
+  SELECT * FROM grid
+  QUALIFY i = 1 OR lag(label || '/' || attributes) OVER (PARTITION BY business_key ORDER BY i) IS DISTINCT FROM label || '/' || attributes),
+ends AS (SELECT *, lead(seen_at) OVER (PARTITION BY business_key ORDER BY i) AS until FROM turns)
+SELECT business_key, label, attributes, seen_at AS observed_from, until AS observed_to, until IS NULL AS is_current
+FROM ends WHERE label IS NOT NULL"""
+
+ORACLES["asof_event_versions"] = """
+WITH bought AS (SELECT user_id, ts, arg_max(value, event_id) AS value FROM events WHERE event_type = 'purchase' GROUP BY user_id, ts)
+SELECT e.event_id, e.user_id, b.value AS bought_value, b.ts AS bought_at
+FROM events e ASOF LEFT JOIN bought b ON e.user_id = b.user_id AND e.ts >= b.ts"""
+
+ORACLES["source_contract_files"] = """
+WITH parts AS (SELECT (event_id + 1) % 4 AS part, count(*) AS n FROM events GROUP BY 1),
+files(file, part, status, missing_required, extra_columns, incompatible_columns, drifted_columns) AS (VALUES
+  ('a', 0, 'VALID', '', '', '', ''), ('b', 1, 'VALID', '', 'zone_note', '', 'VendorID,zone_note'),
+  ('c', 2, 'MISSING_COLUMNS', 'tip_amount', '', '', ''), ('d', 3, 'INCOMPATIBLE_TYPES', '', '', 'fare_amount', 'fare_amount'),
+  ('e', -1, 'ZERO_ROWS', '', '', '', ''))
+SELECT '2024-01' AS source_month, file, status, missing_required, extra_columns, incompatible_columns, drifted_columns,
+  CAST(coalesce(n, 0) AS BIGINT) AS row_count
+FROM files LEFT JOIN parts USING (part)"""
+
+ORACLES["backfill_windows"] = ORACLES["sliding_window_events"]
+
+ORACLES["backfill_progress"] = q("""
+SELECT CAST(5 AS BIGINT) AS batches, CAST(5 AS BIGINT) AS batch_ids,
+  (SELECT CAST(count(*) + count(*) FILTER (event_id % 4 = 0) AS BIGINT) FROM events) AS input_rows,
+  CAST(count(*) + count(*) FILTER ((source_row_number - 1) % 4 = 0) AS BIGINT) AS accepted_rows,
+  CAST(5 AS BIGINT) AS lagging_batches
+FROM accepted""")
+
+ORACLES["ranked_orders"] = """
+WITH r AS (
+  SELECT o_orderkey, o_totalprice, row_number() OVER (ORDER BY o_totalprice, o_orderkey) - 1 AS price_position, count(*) OVER () AS n FROM orders),
+cuts AS (SELECT list(o_totalprice) AS cut FROM r JOIN (VALUES (1), (2), (3), (4)) t(i) ON price_position = least(n - 1, n * i // 5))
+SELECT o_orderkey, CAST(price_position AS BIGINT) AS price_position,
+  CAST(least(4, len(list_filter(cut, lambda c: c <= o_totalprice))) AS INT) AS price_class FROM r, cuts"""
+
+ORACLES["redacted_deep_payloads"] = f"""
+SELECT doc_id, regexp_replace(text, '{_SECRET}', '\\1=[REDACTED]', 'g') AS event,
+  CASE WHEN lang IS NOT NULL THEN '[REDACTED]' END AS token, CASE WHEN source IS NOT NULL THEN '[OMITTED]' END AS owner
+FROM documents WHERE text IS NOT NULL"""

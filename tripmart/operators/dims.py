@@ -282,7 +282,8 @@ def scd2_merge(dim: DataFrame, snapshot: DataFrame, observed_at: Column) -> Data
     Changed keys: the current row is closed at ``observed_at`` and a successor is opened.
     New keys: inserted. Unchanged keys and keys missing from the snapshot: kept as they are.
     One full-outer join on business key over current rows; history rows pass through.
-    New surrogates continue after the current maximum, numbered by business key.
+    New surrogates continue after the current maximum, numbered by business key. A snapshot that changes
+    a row observed after it is an error: ``history.history`` takes late snapshots, from their log.
     """
     cols = ["business_key", "label", "attributes"]
     cur = dim.filter("is_current").select(
@@ -301,7 +302,8 @@ def scd2_merge(dim: DataFrame, snapshot: DataFrame, observed_at: Column) -> Data
         "label",
         "attributes",
         "observed_from",
-        F.when(changed, observed_at).otherwise(F.col("observed_to")).alias("observed_to"),
+        F.when(changed & (observed_at.cast("timestamp") <= F.col("observed_from")), F.raise_error(F.lit("late snapshot: rebuild the history from the observation log")).cast("timestamp"))
+        .when(changed, observed_at).otherwise(F.col("observed_to")).alias("observed_to"),
         F.when(changed, F.lit(False)).otherwise(F.col("is_current")).alias("is_current"),
     )
     opened = j.filter(changed | new_key).select(

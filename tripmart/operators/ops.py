@@ -4,8 +4,10 @@ staleness (H7) and alert-payload redaction (H4)."""
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tripmart.schema import (
     SAFE_ALERT_FIELDS,
@@ -136,15 +138,17 @@ def filter_options(view: DataFrame) -> DataFrame:
 # --- H4 redaction ----------------------------------------------------------------------------
 
 
-#: Levels of nested objects and lists that are looked into; what lies deeper is omitted.
+#: Levels of nested objects and lists that Column expressions look into; rows that go deeper are
+#: redacted by ``_deep_redactor``.
 REDACTION_DEPTH = 4
+_DEEPER = "\ue000deeper\ue000"
 
 
 def _redacted(value: Column, depth: int) -> Column:
     """The text of a JSON value of a safe field: objects by key, lists by element, other values masked."""
     masked = F.regexp_replace(value, SENSITIVE_VALUE_PATTERN, "$1=[REDACTED]")
     if depth == 0:
-        return F.when(value.rlike(r"^\s*[\[{]"), F.lit("[OMITTED]")).otherwise(masked)
+        return F.when(value.rlike(r"^[\[{]"), F.lit(_DEEPER)).otherwise(masked)
     fields = F.from_json(value, "map<string,string>")
     items = F.from_json(value, "array<string>")
     return (
@@ -164,9 +168,47 @@ def _redacted_fields(fields: Column, depth: int) -> Column:
     )
 
 
+def _deep_redactor():
+    """An Arrow function with the same rules and no limit of depth; rows that need none come as null. All it
+    uses is local, so that workers need not import this package."""
+    safe, secret_key, secret = frozenset(SAFE_ALERT_FIELDS), SENSITIVE_KEY_PATTERN, SENSITIVE_VALUE_PATTERN
+
+    def redact(column: pd.Series) -> pd.Series:
+        import json
+        import re
+        import sys
+
+        sys.setrecursionlimit(max(sys.getrecursionlimit(), 20_000))
+
+        def text(value):
+            """A parsed JSON value as ``from_json`` gives it in a map of strings."""
+            return value if value is None or isinstance(value, str) else json.dumps(value, separators=(",", ":"), ensure_ascii=False)
+
+        def fields(found):
+            return {k: "[REDACTED]" if re.search(secret_key, k) else masked(text(v)) if k in safe else "[OMITTED]" for k, v in found.items()}
+
+        def masked(value):
+            if value is None:
+                return None
+            if value[:1] in ("{", "["):
+                try:
+                    found = json.loads(value)
+                    return text(fields(found) if isinstance(found, dict) else [masked(text(v)) for v in found])
+                except ValueError:
+                    pass  # not JSON: masked as text
+            return re.sub(secret, r"\1=[REDACTED]", value, flags=re.ASCII)
+
+        return column.map(lambda p: None if p is None else fields(json.loads(p)))
+
+    return F.pandas_udf(redact, T.MapType(T.StringType(), T.StringType()))
+
+
 def redact_payload(payload: Column, depth: int = REDACTION_DEPTH) -> Column:
     """H4 over a JSON object string: a sensitive key's value becomes '[REDACTED]', a key outside the safe
     list '[OMITTED]', and ``key=value`` secrets in the whole text of safe values are masked. Objects and
-    lists in safe fields are treated the same way, ``depth`` levels down. Returns
-    ``map<string,string>``; nested values are JSON text, their numbers and booleans as strings."""
-    return _redacted_fields(F.from_json(payload, "map<string,string>"), depth)
+    lists in safe fields are treated the same way, at any depth: ``depth`` levels by Column expressions,
+    the rows that go deeper by an Arrow function. Returns ``map<string,string>``; nested values are JSON
+    text, their numbers and booleans as strings."""
+    found = _redacted_fields(F.from_json(payload, "map<string,string>"), depth)
+    deeper = F.coalesce(F.exists(F.map_values(found), lambda v: F.coalesce(v.contains(_DEEPER), F.lit(False))), F.lit(False))
+    return F.when(deeper, _deep_redactor()(F.when(deeper, payload))).otherwise(found)

@@ -27,6 +27,7 @@ from tripmart.operators import outliers, rules
 from tripmart.operators.explorer import Cursor, explorer_page
 from tripmart.operators.fact import duplicate_identities, facts_with_business_keys, orphan_counts
 from tripmart.operators.mart import MART_KEYS, MART_MEASURES
+from tripmart.plans.log_queries import LOG_QUERIES
 from tripmart.plans.model import TripModel, build_model
 from tripmart.plans.warehouse import Warehouse, warehouse_for
 from tripmart.sources.trips import lineitem_trip_view, months_between
@@ -506,4 +507,4 @@ QUERIES: dict[str, Query] = {
     "reconciliation_bars": reconciliation_bars,
     "release_checks": release_checks,
     "month_partition_replace": month_partition_replace,
-}
+} | LOG_QUERIES

@@ -8,12 +8,14 @@ Every reader returns a lazy DataFrame with the RAW_TRIP columns plus
 from __future__ import annotations
 
 import re
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tripmart.schema import CONTRACT_FAMILIES, RAW_TRIP, REQUIRED_COLUMNS
 
@@ -44,9 +46,9 @@ class SourceContract:
         return self.status == "VALID"
 
 
-def _normalized_names(df: DataFrame) -> dict[str, str]:
+def _normalized_names(columns: list[str]) -> dict[str, str]:
     """Map contract names to file names; S2: the drifted ``Airport_fee`` spelling resolves to ``airport_fee``."""
-    names = {c: c for c in df.columns}
+    names = {c: c for c in columns}
     if "airport_fee" not in names and "Airport_fee" in names:
         names["airport_fee"] = names.pop("Airport_fee")
     return names
@@ -57,7 +59,15 @@ def check_contract(df: DataFrame, check_rows: bool = True) -> SourceContract:
 
     Only the schema is inspected, except for one ``limit(1)`` probe: no full scan.
     """
-    names = _normalized_names(df)
+    contract = check_schema(df.schema)
+    if contract.is_valid and check_rows and df.limit(1).count() == 0:
+        contract.status = "ZERO_ROWS"
+    return contract
+
+
+def check_schema(schema: T.StructType) -> SourceContract:
+    """Missing and extra columns and type families of one physical schema."""
+    names = _normalized_names(schema.names)
     present = set(names)
     contract = SourceContract(extra_columns=sorted(present - set(REQUIRED_COLUMNS)))
     missing = sorted(set(REQUIRED_COLUMNS) - present)
@@ -65,7 +75,7 @@ def check_contract(df: DataFrame, check_rows: bool = True) -> SourceContract:
         contract.missing_required = missing
         contract.status = "MISSING_COLUMNS"
         return contract
-    types = {f.name: f.dataType for f in df.schema.fields}
+    types = {f.name: f.dataType for f in schema.fields}
     for col, families in CONTRACT_FAMILIES.items():
         actual = types[names[col]]
         if families is None or type(actual).__name__ == "NullType":
@@ -74,9 +84,6 @@ def check_contract(df: DataFrame, check_rows: bool = True) -> SourceContract:
             contract.incompatible_types[col] = actual.simpleString()
     if contract.incompatible_types:
         contract.status = "INCOMPATIBLE_TYPES"
-        return contract
-    if check_rows and df.limit(1).count() == 0:
-        contract.status = "ZERO_ROWS"
     return contract
 
 
@@ -99,7 +106,7 @@ def contract_frame(spark: SparkSession, source_month: str, contract: SourceContr
 
 def cast_to_raw(df: DataFrame) -> DataFrame:
     """Project the contract columns in declared order and cast to RAW_TRIP (lenient casts)."""
-    names = _normalized_names(df)
+    names = _normalized_names(df.columns)
     cols = [F.col(f"`{names[f.name]}`").try_cast(f.dataType).alias(f.name) for f in RAW_TRIP.fields]
     extras = [c for c in df.columns if c in ("source_row_number", "source_month")]
     return df.select(*cols, *[F.col(c) for c in extras])
@@ -110,28 +117,103 @@ def cast_to_raw(df: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 
+#: Footers that are read at a time.
+FOOTER_READERS = 8
+
+
+def month_files(spark: SparkSession, path: str) -> list[str]:
+    """The Parquet files of a month (a file, or a folder at any depth), in the order of their paths."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    root = hadoop.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.getFileStatus(root).isFile():
+        return [fs.getFileStatus(root).getPath().toString()]
+    found, files = fs.listFiles(root, True), []
+    while found.hasNext():
+        file = found.next().getPath()
+        if not any(part.startswith(("_", ".")) for part in file.toString().removeprefix(root.toString()).split("/")):
+            files.append(file.toString())
+    return sorted(files)
+
+
+def file_schemas(spark: SparkSession, files: list[str]) -> dict[str, T.StructType]:
+    """The physical schema of every file: Spark reads each footer in a task, some files at a time."""
+    with ThreadPoolExecutor(FOOTER_READERS) as pool:
+        return dict(zip(files, pool.map(lambda f: spark.read.parquet(f).schema, files), strict=True))
+
+
+def contract_files(spark: SparkSession, path: str, source_month: str) -> DataFrame:
+    """The contract outcome of every file of a month, one row per file.
+
+    ``drift`` are the columns whose type differs from the month's first file, or that the first file
+    lacks, with their types; ``row_count`` is read from the footers. A month is valid if all its
+    files are and any has a row; an empty file beside others is no fault.
+    """
+    check_month(source_month)
+    schemas = file_schemas(spark, month_files(spark, path))
+    first = {f.name: f.dataType.simpleString() for f in next(iter(schemas.values())).fields} if schemas else {}
+    rows = []
+    for file, schema in schemas.items():
+        c = check_schema(schema)
+        drift = {f.name: f.dataType.simpleString() for f in schema.fields if first.get(f.name) != f.dataType.simpleString()}
+        rows.append((source_month, file, c.status, c.missing_required, c.extra_columns, c.incompatible_types, drift))
+    table = spark.createDataFrame(
+        rows, "source_month string, file string, status string, missing_required array<string>, extra_columns array<string>, "
+        "incompatible_types map<string,string>, drift map<string,string>")
+    if not schemas:
+        return table.withColumn("row_count", F.lit(0).cast("bigint"))
+    # without columns Spark counts rows from the footers; local paths are listed with one slash
+    scan = spark.read.schema(T.StructType([])).parquet(*schemas)
+    name = F.regexp_replace(F.col("_metadata.file_path"), "^file:///", "file:/")
+    counts = scan.groupBy(name.alias("file")).agg(F.count(F.lit(1)).alias("row_count"))
+    return table.join(counts, "file", "left").select(
+        *table.columns[:2],
+        F.when((F.col("status") == "VALID") & F.col("row_count").isNull(), F.lit("ZERO_ROWS")).otherwise(F.col("status")).alias("status"),
+        *table.columns[3:], F.coalesce("row_count", F.lit(0)).cast("bigint").alias("row_count"))
+
+
+def month_faults(schemas: dict[str, T.StructType]) -> dict[str, SourceContract]:
+    """The files whose schema breaks the contract."""
+    checked = {file: check_schema(schema) for file, schema in schemas.items()}
+    return {file: c for file, c in checked.items() if not c.is_valid}
+
+
 def read_month(spark: SparkSession, path: str, source_month: str, validate: bool = True) -> DataFrame:
-    """Read one raw month with its own schema, check the contract, cast.
+    """Read one raw month, every file by its own schema, check the contract of all files, cast.
 
     ``source_row_number`` numbers the rows of the whole month from 1: files in the order of their
     paths, rows in their physical order inside a file. It is the same at every read of the same files
-    (never ``monotonically_increasing_id``).
+    (never ``monotonically_increasing_id``). Files that agree in their schema are one scan.
     """
     check_month(source_month)
-    df = spark.read.parquet(path)
-    if validate:
-        contract = check_contract(df)
-        if not contract.is_valid:
-            raise ValueError(f"source contract failed for {source_month}: {contract}")
-    number = F.col("_metadata.row_index") + F.lit(1)
-    if len(df.inputFiles()) > 1:
-        # rows of the files before: one row per file, so the window over all of them is small
-        before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
-        files = df.groupBy(F.col("_metadata.file_path").alias("_file")).agg(F.count(F.lit(1)).alias("_n"))
-        files = files.select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-        df = df.select("*", F.col("_metadata.file_path").alias("_file"), number.alias("_index")).join(files, "_file")
-        number = F.col("_before") + F.col("_index")
-    return cast_to_raw(df.withColumn("source_row_number", number).withColumn("source_month", F.lit(source_month)))
+    schemas = file_schemas(spark, month_files(spark, path))
+    if not schemas:
+        raise ValueError(f"no files for {source_month}: {path}")
+    if validate and (faults := month_faults(schemas)):
+        raise ValueError(f"source contract failed for {source_month}: {faults}")
+    alike: dict[str, list[str]] = {}
+    for file, schema in schemas.items():
+        alike.setdefault(schema.json(), []).append(file)
+    index = F.col("_metadata.row_index") + F.lit(1)
+    if len(schemas) == 1:
+        df = spark.read.parquet(*schemas)
+        if validate and df.limit(1).count() == 0:
+            raise ValueError(f"source contract failed for {source_month}: {SourceContract('ZERO_ROWS')}")
+        return cast_to_raw(df.withColumn("source_row_number", index).withColumn("source_month", F.lit(source_month)))
+    scans = [spark.read.schema(schemas[files[0]]).parquet(*files) for files in alike.values()]
+    files = reduce(lambda a, b: a.unionByName(b), [
+        s.groupBy(F.col("_metadata.file_path").alias("_file")).agg(F.count(F.lit(1)).alias("_n")) for s in scans])
+    if validate and files.limit(1).count() == 0:
+        raise ValueError(f"source contract failed for {source_month}: {SourceContract('ZERO_ROWS')}")
+    # rows of the files before: one row per file, so the window over all of them is small
+    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    files = files.select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+
+    def numbered(scan: DataFrame) -> DataFrame:
+        rows = scan.select("*", F.col("_metadata.file_path").alias("_file"), index.alias("_index")).join(files, "_file")
+        return cast_to_raw(rows.withColumn("source_row_number", F.col("_before") + F.col("_index")).withColumn("source_month", F.lit(source_month)))
+
+    return reduce(lambda a, b: a.unionByName(b), [numbered(s) for s in scans])
 
 
 def read_months(spark: SparkSession, paths_by_month: dict[str, str]) -> DataFrame:

@@ -36,18 +36,23 @@ def event_stream(spark: SparkSession, source_dir: str, glob: str = "events.parqu
     return reader.parquet(source_dir)
 
 
+def accepted_rows(events: DataFrame, source_month: str = EVENTS_MONTH, bounds: DataFrame | None = None) -> DataFrame:
+    """The batch rules on the stream, and the outlier flag from the published ``bounds`` (one row per
+    month; no flag without them). ``event_time`` is the pickup instant."""
+    trips = trips_from_events(events, source_month)
+    accepted = convert_accepted(rules.candidate_rows(rules.classify(trips)))
+    flagged = accepted.withColumn("has_statistical_outlier", F.lit(False)) if bounds is None else mark_outliers(accepted, bounds)
+    return flagged.withColumn("event_time", F.col("pickup_at_local").cast("timestamp"))
+
+
 def accepted_stream(events: DataFrame, source_month: str = EVENTS_MONTH, watermark: str = "2 hours",
                     bounds: DataFrame | None = None) -> DataFrame:
-    """R9 + R8: the batch rules on the stream, the outlier flag from the published ``bounds`` (one row per
-    month; no flag without them), and de-duplication on the source identity.
+    """R9 + R8: accepted rows, de-duplicated on the source identity within the watermark.
 
     Event time is the pickup instant as TIMESTAMP (session zone UTC): watermarks need
     TIMESTAMP, batch tables keep TIMESTAMP_NTZ.
     """
-    trips = trips_from_events(events, source_month)
-    accepted = convert_accepted(rules.candidate_rows(rules.classify(trips)))
-    flagged = accepted.withColumn("has_statistical_outlier", F.lit(False)) if bounds is None else mark_outliers(accepted, bounds)
-    timed = flagged.withColumn("event_time", F.col("pickup_at_local").cast("timestamp"))
+    timed = accepted_rows(events, source_month, bounds)
     return timed.withWatermark("event_time", watermark).dropDuplicatesWithinWatermark(["source_month", "source_row_number"])
 
 

@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.listener import StreamingQueryListener
 
-from tripmart.streaming.trips import WINDOW_KEYS, accepted_rows, event_stream, sliding_window_aggregates
+from tripmart.streaming.trips import WINDOW_KEYS, accepted_rows, event_stream, plain_constraints, sliding_window_aggregates
 
 IDENTITY = ["source_month", "source_row_number"]
 MEASURES = ["trip_count", "total_amount_cents_sum", "distance_millimiles_sum", "outlier_count"]
@@ -183,7 +183,9 @@ def run_bounded(spark: SparkSession, source_dir: str, glob: str, root: str, boun
     accepted = ProgressLog.observed(accepted_rows(event_stream(spark, source_dir, glob, files_per_trigger), bounds=bounds))
     spark.streams.addListener(progress)
     try:
-        log.start(accepted, f"{root}/_checkpoints/{table}").awaitTermination()
+        with plain_constraints(spark):
+            query = log.start(accepted, f"{root}/_checkpoints/{table}")
+        query.awaitTermination()
         spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()  # the last batch's progress event
     finally:
         spark.streams.removeListener(progress)

@@ -4,16 +4,17 @@
 2. *Counting.* Spark counts the byte n-grams of every document that reads as prose (base rules, few
    symbols, not mostly capitals), per language. A task sends each distinct n-gram once, with its count.
 3. *Model.* Interpolated modified Kneser-Ney (three discounts per order from the counts of counts,
-   continuation counts below the highest order). Each order is a sorted array of packed n-grams with
-   log probabilities, and one of contexts with log backoff weights.
+   continuation counts below the highest order), as Spark aggregates and joins over all counted n-grams. It is
+   written in key order, a folder per language: packed n-grams with log probabilities, and contexts with log backoff weights.
 4. *Bands.* Every document, whether counted or not, gets the perplexity per byte of its whole text
    under its language's model. A document is kept if it lies between ``lower`` and ``upper`` times
    the median perplexity of its language's counted documents.
 
-The counts are sums with map-side combination, so that a hot source or language is no hot task. What
-is broadcast is the model, never more than ``MAX_GRAMS`` n-grams: if the corpus has more, the rarest
-n-grams of the highest order are left to the backoff until it fits. Scores are written to the shared
-folder once; the medians are read from there.
+The counts are sums with map-side combination, so that a hot source or language is no hot task; a
+context has at most 256 successors, so that no join has a hot key. Nothing of the model passes through the
+driver, and no n-gram is left out. A scoring task reads the sorted arrays of the languages that
+it meets from the shared folder (16 bytes per n-gram, at most ``HELD`` languages at a time). Scores
+are written to the shared folder once; the medians are read from there.
 
 Defined cases: words are ``[^\\x20\\x09-\\x0D]+``; null or empty text has no words and fails the base
 rules; a null ``lang`` is a language of its own, and a language without counted documents rejects
@@ -25,17 +26,20 @@ from __future__ import annotations
 import math
 import uuid
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow.parquet as pq
+from pyarrow import fs
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from llm import textcore as tc
 from llm.shared import shared_path
 
 ORDER = 4
-MAX_GRAMS = 4_000_000
+HELD = 8
 SLICE_BYTES = 1 << 20
 #: A document is counted if it has at most this many symbols and capital letters per hundred.
 MAX_SYMBOLS_PER_100_WORDS = 5
@@ -149,40 +153,70 @@ def count_grams(docs: DataFrame, text_col: str, lang_col: str, order: int) -> Da
     return plain.mapInArrow(run, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
+def _clipped(value: Column, high: float) -> Column:
+    return F.least(F.greatest(value, F.lit(0.05)), F.lit(high))
+
+
+def write_model(spark: SparkSession, counts: DataFrame, order: int, base: str) -> str:
+    """Smooth ``counts (lang, gram, n)`` into sorted ``kind, k, key, value`` rows, a folder per language; their folder.
+
+    Kind 0 holds the log probability of every packed ``k``-gram, kind 1 the log backoff weight of every
+    context of ``k - 1`` bytes.
+    """
+
+    def stored(table: DataFrame, name: str) -> DataFrame:
+        table.write.parquet(f"{base}/{name}")
+        return spark.read.parquet(f"{base}/{name}")
+
+    levels = [counts.select(model_name(F.col("lang")).alias("model"), F.lit(order).alias("k"), "gram", "n")]
+    for k in range(order - 1, 0, -1):  # continuation counts: the distinct longer n-grams that end so
+        low = F.col("gram").bitwiseAND(F.lit((1 << 8 * k) - 1))
+        levels.append(stored(levels[-1].groupBy("model", F.lit(k).alias("k"), low.alias("gram")).agg(F.count("*").alias("n")), f"level{k}"))
+    every = levels[0]
+    for level in levels[1:]:
+        every = every.unionByName(level)
+    n1, n2, n3, n4 = (F.greatest(F.count_if(F.col("n") == c), F.lit(1)) for c in (1, 2, 3, 4))
+    y = n1 / (n1 + 2 * n2)
+    # one row per language and order
+    discounts = every.groupBy("model", "k").agg(_clipped(1 - 2 * y * n2 / n1, 0.95).alias("d1"), _clipped(2 - 3 * y * n3 / n2, 1.9).alias("d2"), _clipped(3 - 4 * y * n4 / n3, 2.9).alias("d3"))
+    discount = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
+    less = every.join(discounts, ["model", "k"]).select("model", "k", "gram", F.shiftright("gram", 8).alias("context"), "n", discount.alias("discount"))
+    context = stored(less.groupBy("model", "k", "context").agg(F.sum("n").alias("total"), (F.sum("discount") / F.sum("n")).alias("weight")), "contexts")
+    terms = less.join(context, ["model", "k", "context"])
+    terms = stored(terms.select("model", "k", "gram", ((F.col("n") - F.col("discount")) / F.col("total")).alias("own"), "weight"), "terms")
+    lower, rows = None, context.select("model", F.lit(1).alias("kind"), "k", F.col("context").alias("key"), F.log(F.greatest("weight", F.lit(1e-12))).alias("value"))
+    for k in range(1, order + 1):
+        term = terms.where(F.col("k") == k)
+        if lower is None:
+            own = term.select("model", "gram", (F.col("own") + F.col("weight") / 256).alias("p"))
+        else:  # the shorter n-gram of a counted one is counted
+            suffix = term.withColumn("suffix", F.col("gram").bitwiseAND(F.lit((1 << 8 * (k - 1)) - 1)))
+            own = suffix.join(lower.select("model", F.col("gram").alias("suffix"), "p"), ["model", "suffix"]).select("model", "gram", (F.col("own") + F.col("weight") * F.col("p")).alias("p"))
+        lower = stored(own, f"p{k}")
+        rows = rows.unionByName(lower.select("model", F.lit(0).alias("kind"), F.lit(k).alias("k"), F.col("gram").alias("key"), F.log("p").alias("value")))
+    keys = ["model", "kind", "k", "key"]
+    rows.repartitionByRange(*keys).sortWithinPartitions(*keys).write.partitionBy("model").parquet(f"{base}/model")
+    return f"{base}/model"
+
+
+def model_name(lang: Column) -> Column:
+    """The folder of a language's model (null is one as well)."""
+    return F.lower(F.hex(F.xxhash64(F.coalesce(F.concat(F.lit("="), lang), F.lit("")))))
+
+
 class KneserNey:
     """One language's model: per order the sorted grams with log probabilities, and contexts with backoffs."""
 
-    def __init__(self, keys: np.ndarray, counts: np.ndarray, order: int, min_count: int = 1):
+    def __init__(self, table: pa.Table, order: int):
         self.order = order
-        levels: list[tuple[np.ndarray, np.ndarray]] = [(keys, counts)]
-        for k in range(order - 1, 0, -1):
-            low, n = _distinct(levels[0][0] & tc.U64((1 << 8 * k) - 1))
-            levels.insert(0, (low, n))
-        self.grams: list[np.ndarray] = [np.zeros(1, tc.U64)]
-        self.logp: list[np.ndarray] = [np.full(1, -math.log(256))]
-        self.contexts: list[np.ndarray] = []
-        self.backoff: list[np.ndarray] = []
-        for k, (gram, n) in enumerate(levels, start=1):
-            discount = self._discounts(n)[np.minimum(n, 3)]
-            context = gram >> tc.U64(8)
-            head = np.flatnonzero(tc.heads(context))
-            run = np.cumsum(tc.heads(context)) - 1
-            total = np.add.reduceat(n, head)
-            if k == order:  # grams that are left out give their mass to the backoff
-                discount = np.where(n < min_count, n, discount)
-            weight = np.add.reduceat(discount, head) / total
-            lower = np.exp(self._log(k - 1, gram & tc.U64((1 << 8 * (k - 1)) - 1)))
-            stay = slice(None) if k < order or min_count <= 1 else n >= min_count
-            self.grams.append(gram[stay])
-            self.logp.append(np.log((n - discount) / total[run] + weight[run] * lower)[stay])
-            self.contexts.append(context[head])
-            self.backoff.append(np.log(np.maximum(weight, 1e-12)))
-
-    @staticmethod
-    def _discounts(n: np.ndarray) -> np.ndarray:
-        n1, n2, n3, n4 = (max(1, int((n == c).sum())) for c in (1, 2, 3, 4))
-        y = n1 / (n1 + 2 * n2)
-        return np.clip([0.0, 1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3], [0, 0.05, 0.05, 0.05], [0, 0.95, 1.9, 2.9])
+        kind, k, key, value = (table.column(c).to_numpy() for c in ("kind", "k", "key", "value"))
+        by = np.lexsort((key, k, kind)) if len(key) and (np.diff(key) < 0).sum() > 2 * order else slice(None)
+        kind, k, key, value = kind[by], k[by], key[by].astype(tc.U64), value[by]
+        part = lambda a, b: slice(*np.searchsorted(kind * (order + 1) + k, [a * (order + 1) + b, a * (order + 1) + b + 1]))
+        self.grams = [np.zeros(1, tc.U64), *(key[part(0, n)] for n in range(1, order + 1))]
+        self.logp = [np.full(1, -math.log(256)), *(value[part(0, n)] for n in range(1, order + 1))]
+        self.contexts = [key[part(1, n)] for n in range(1, order + 1)]
+        self.backoff = [value[part(1, n)] for n in range(1, order + 1)]
 
     def _log(self, k: int, gram: np.ndarray) -> np.ndarray:
         """Log probability of the last byte of packed ``k``-grams, backing off where one is unknown."""
@@ -206,39 +240,30 @@ class KneserNey:
         return (total[off[1:]] - total[off[:-1]]) / np.maximum(np.diff(off), 1)
 
 
-def build(counts: DataFrame, order: int, max_grams: int = MAX_GRAMS) -> dict:
-    """The models by language, from counted n-grams; at most ``max_grams`` rows reach the driver."""
-    low = 1
-    by_count = counts.groupBy(F.least("n", F.lit(1000)).alias("n")).agg(F.count("*").alias("grams"))
-    kept = {r["n"]: r["grams"] for r in by_count.collect()}  # at most 1,000 rows
-    while sum(g for n, g in kept.items() if n >= low) > max_grams and low < 1000:
-        low += 1
-    table = counts.where(F.col("n") >= low).toArrow()
-    names, index = _languages(table.column("lang").combine_chunks()) if table.num_rows else ([], np.zeros(0, int))
-    gram, n = table.column("gram").to_numpy().astype(tc.U64), table.column("n").to_numpy()
-    models = {}
-    for k, name in enumerate(names):
-        keys, own = gram[index == k], n[index == k]
-        by = np.argsort(keys)
-        models[name] = KneserNey(keys[by], own[by], order, low)
-    return models
-
-
-def score(spark: SparkSession, docs: DataFrame, models: dict, id_col: str, text_col: str, lang_col: str) -> DataFrame:
+@lru_cache(HELD)
+def load_model(folder: str, name: str, order: int) -> KneserNey | None:
+    """A language's model from its files, in the order of their names; None if it has none."""
+    system, root = fs.FileSystem.from_uri(folder)
+    files = system.get_file_info(fs.FileSelector(f"{root}/model={name}", allow_not_found=True))
+    paths = sorted(f.path for f in files if f.base_name.startswith("part-"))
+    tables = [pq.ParquetFile(system.open_input_file(p)).read(["kind", "k", "key", "value"]) for p in paths]
+    return KneserNey(pa.concat_tables(tables), order) if tables else None
+
+
+def score(docs: DataFrame, folder: str, order: int, id_col: str, text_col: str, lang_col: str) -> DataFrame:
     """Per row: ``doc_id, lang``, the columns of ``BASE`` and ``loss`` (null without a model)."""
-    shipped = spark.sparkContext.broadcast(models)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names, index = _languages(batch.column(1))
+            names, index = _languages(batch.column(3))
             buf, off = tc.flat(batch.column(2))
             for lo, hi in tc.slices(off, SLICE_BYTES):
                 part, rel = buf[off[lo] : off[hi]], off[lo : hi + 1] - off[lo]
                 loss = np.full(hi - lo, np.nan)
                 for k, name in enumerate(names):
                     rows = np.flatnonzero(index[lo:hi] == k)
-                    model = shipped.value.get(name)
-                    if model is not None and len(rows):
+                    model = load_model(folder, name, order) if len(rows) else None
+                    if model is not None:
                         size = np.diff(rel)[rows]
                         own = part[tc.expand(rel[rows], rel[rows] + size)]
                         loss[rows] = model.mean_loss(own, np.append(0, np.cumsum(size)))
@@ -246,16 +271,17 @@ def score(spark: SparkSession, docs: DataFrame, models: dict, id_col: str, text_
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo), *columns, pa.array(loss, mask=np.isnan(loss))], schema=out)
 
     out = pa.schema([("doc_id", pa.int64()), ("lang", pa.string()), *((c, pa.int64()) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")), ("base_failed", pa.bool_()), ("prose", pa.bool_()), ("loss", pa.float64())])
-    plain = docs.select(F.col(id_col).cast("long").alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
+    plain = docs.select(F.col(id_col).cast("long").alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"), model_name(F.col(lang_col).cast("string")).alias("model"))
     return plain.mapInArrow(run, f"doc_id bigint, lang string, {BASE}, loss double")
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", order: int = ORDER, lower: float = LOWER, upper: float = UPPER) -> DataFrame:
     """Per row: ``doc_id, lang``, base measures, ``perplexity, low, high, kept``."""
-    counts_path, scores_path = (shared_path(spark, f"perplexity/{uuid.uuid4().hex}/{x}") for x in ("counts", "scores"))
+    base = shared_path(spark, f"perplexity/{uuid.uuid4().hex}")
+    counts_path, scores_path = f"{base}/counts", f"{base}/scores"
     count_grams(docs, text_col, lang_col, order).write.parquet(counts_path)
-    models = build(spark.read.parquet(counts_path), order)
-    score(spark, docs, models, id_col, text_col, lang_col).write.parquet(scores_path)
+    folder = write_model(spark, spark.read.parquet(counts_path), order, base)
+    score(docs, folder, order, id_col, text_col, lang_col).write.parquet(scores_path)
     scores = spark.read.parquet(scores_path)
     middle = scores.where("prose").groupBy(F.col("lang").alias("_lang")).agg(F.percentile_approx("loss", 0.5, 10_000).alias("_middle"))
     # one row per language that has a model

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 import re
 import zlib
@@ -136,16 +137,18 @@ def test_base_rules(spark, docs, docs_rows):
     assert not any(r.kept and r.base_failed for r in got)
 
 
-def test_kneser_ney_sums_to_one():
+def test_kneser_ney_sums_to_one(spark, tmp_path):
     rng = np.random.default_rng(1)
     buf = rng.choice(np.frombuffer(b"abcd ", np.uint8), 4000, p=[0.5, 0.2, 0.1, 0.1, 0.1])
     off = np.array([0, 1500, 4000])
     keys, n = perplexity_rules._distinct(perplexity_rules.grams(buf, off, 3))
-    for low in (1, 2):
-        model = perplexity_rules.KneserNey(keys, n, 3, low)
-        for context in (b"ab", b"d ", b"zz", b"\0\0"):
-            packed = np.uint64(int.from_bytes(context, "big")) << np.uint64(8) | np.arange(256, dtype=np.uint64)
-            assert abs(np.exp(model._log(3, packed)).sum() - 1) < 1e-6
+    counts = spark.createDataFrame([("en", int(k), int(c)) for k, c in zip(keys, n, strict=True)], "lang string, gram long, n long")
+    folder = perplexity_rules.write_model(spark, counts, 3, f"file://{tmp_path}/m")
+    model = perplexity_rules.load_model(folder, counts.select(perplexity_rules.model_name(counts.lang)).first()[0], 3)
+    assert len(model.grams[3]) == len(keys) and perplexity_rules.load_model(folder, "none", 3) is None
+    for context in (b"ab", b"d ", b"zz", b"\0\0"):
+        packed = np.uint64(int.from_bytes(context, "big")) << np.uint64(8) | np.arange(256, dtype=np.uint64)
+        assert abs(np.exp(model._log(3, packed)).sum() - 1) < 1e-6
 
 
 def test_perplexity_rejects_noise(spark):
@@ -157,9 +160,55 @@ def test_perplexity_rejects_noise(spark):
     assert 100 not in kept and len(kept) >= 55
 
 
-def test_model_is_pruned_to_its_bound(spark):
-    counts = spark.createDataFrame([("en", 97 + 256 * k, k % 3 + 1) for k in range(90)], "lang string, gram long, n long")
-    assert len(perplexity_rules.build(counts, 2, max_grams=40)["en"].grams[2]) <= 40
+def slow_kneser_ney(texts, order):
+    """Interpolated modified Kneser-Ney of byte strings by dictionaries; the log probability of a byte after a context."""
+    counts = Counter(bytes(order - 1)[: max(0, order - 1 - k)] + t[max(0, k - order + 1) : k + 1] for t in texts for k in range(len(t)))
+    levels = {order: counts}
+    for k in range(order - 1, 0, -1):
+        levels[k] = Counter(g[1:] for g in levels[k + 1])
+    rules = {}
+    for k, level in levels.items():
+        n1, n2, n3, n4 = (max(1, sum(v == c for v in level.values())) for c in (1, 2, 3, 4))
+        y = n1 / (n1 + 2 * n2)
+        clip = lambda v, hi: min(max(v, 0.05), hi)
+        rules[k] = [0, clip(1 - 2 * y * n2 / n1, 0.95), clip(2 - 3 * y * n3 / n2, 1.9), clip(3 - 4 * y * n4 / n3, 2.9)]
+
+    def p(gram):
+        k = len(gram)
+        if k == 0:
+            return 1 / 256
+        after = [v for g, v in levels[k].items() if g[:-1] == gram[:-1]]
+        if not after:
+            return p(gram[1:])
+        off = [rules[k][min(v, 3)] for v in after]
+        own = levels[k].get(gram, 0)
+        return (own - (rules[k][min(own, 3)] if own else 0)) / sum(after) + sum(off) / sum(after) * p(gram[1:])
+
+    return p
+
+
+def test_perplexity_equals_a_slow_model_in_two_languages(spark):
+    rng = random.Random(6)
+    vocabulary = {"en": ["the", "cat", "sat", "mat", "dogs"], "fr": ["été", "le", "chat", "où", "très"], None: ["ja", "nein"]}
+    rows = [(i, " ".join(rng.choice(vocabulary[lang]) + str(rng.randrange(90)) for _ in range(60)), lang) for i, lang in enumerate(["en", "fr", None] * 5)]
+    rows += [(90, "zzz qqq " * 30, "en"), (91, "the cat", "fr"), (92, " ".join(f"x{k}" for k in range(60)), "de"), (93, None, "en")]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    order = 3
+    got = {r.doc_id: r for r in perplexity_rules.quality_rules(spark, table, order=order).collect()}
+    assert len(got) == len(rows)
+    for lang in ("en", "fr", "de", None):
+        own = [(i, (t or "").encode()) for i, t, x in rows if x == lang]
+        counted = [t for i, t in own if not got[i].base_failed]
+        p = slow_kneser_ney(counted, order)
+        known = {}
+        score = {}
+        for i, t in own:
+            padded = bytes(order - 1) + t
+            loss = [-math.log(known.setdefault(g, p(g)) if g not in known else known[g]) for g in (padded[k : k + order] for k in range(len(t)))]
+            score[i] = math.exp(sum(loss) / max(1, len(t)))
+            assert math.isclose(got[i].perplexity, score[i], rel_tol=1e-6), (i, lang)
+        for i, _ in own:
+            assert got[i].kept == (not got[i].base_failed and got[i].low <= score[i] <= got[i].high)
 
 
 # near duplicates

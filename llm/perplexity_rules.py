@@ -177,10 +177,10 @@ def write_model(spark: SparkSession, counts: DataFrame, order: int, base: str) -
         every = every.unionByName(level)
     n1, n2, n3, n4 = (F.greatest(F.count_if(F.col("n") == c), F.lit(1)) for c in (1, 2, 3, 4))
     y = n1 / (n1 + 2 * n2)
-    # one row per language and order
     discounts = every.groupBy("model", "k").agg(_clipped(1 - 2 * y * n2 / n1, 0.95).alias("d1"), _clipped(2 - 3 * y * n3 / n2, 1.9).alias("d2"), _clipped(3 - 4 * y * n4 / n3, 2.9).alias("d3"))
     discount = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
-    less = every.join(discounts, ["model", "k"]).select("model", "k", "gram", F.shiftright("gram", 8).alias("context"), "n", discount.alias("discount"))
+    # one row per language and order: no exchange of the n-grams by so few keys
+    less = every.join(F.broadcast(discounts), ["model", "k"]).select("model", "k", "gram", F.shiftright("gram", 8).alias("context"), "n", discount.alias("discount"))
     context = stored(less.groupBy("model", "k", "context").agg(F.sum("n").alias("total"), (F.sum("discount") / F.sum("n")).alias("weight")), "contexts")
     terms = less.join(context, ["model", "k", "context"])
     terms = stored(terms.select("model", "k", "gram", ((F.col("n") - F.col("discount")) / F.col("total")).alias("own"), "weight"), "terms")

@@ -1,20 +1,24 @@
-"""Operator 1, line dedup by masked templates, in DataFrame functions only.
+"""Operator 1, line dedup by a log-template tree, in DataFrame functions only.
+
+A line is parsed by a tree of fixed depth. Tokens with a digit or an ``@`` (numbers, dates, ids, addresses) become
+``<*>`` first. The line then descends by its token count and its first ``LEADING`` tokens to a branch. Over the distinct
+lines of a branch, a position is constant if one token holds at least ``DOMINANT`` percent of them, else it varies. A branch of two
+lines or more in which at least ``CONSTANT`` percent of the positions are constant (leading tokens counted) has a template: its constant tokens, with ``<*>`` for the others. Lines that
+agree with all constant tokens share that leaf; every other line, and every line under ``MIN_TOKENS`` tokens, is a leaf of its own (its masked text).
+The branch statistics take all lines of all documents, so the result does not depend on the order of rows.
 
-A line's template is the line with every token that has a digit or an ``@`` (numbers, dates, ids, addresses)
-masked as ``<*>``. Its name hashes the token count, the first ``LEADING`` tokens and the template; the template
-alone decides, there is no tree that learns variable positions. Lines that differ in a word never share one.
 A template that occurs in ``min_docs`` or more documents (two at least) recurs: only the document with the smallest id keeps its
-lines, in all others they are dropped, in order and wholly. A path is carried as one 64-bit name.
+lines, in all others they are dropped, in order and wholly.
 
-Whether a template recurs needs only the smallest and largest id and a count per name, combined before
-the shuffle; a boilerplate line in a third of all documents is one row per task. The names that a document loses
-come back through a join that is salted by document, and are collected per document (no more than its
-lines), so that each text is shuffled once.
+Scale: a line is one row per distinct masked text after a map-side combine, with its smallest and largest id and a count, so a
+boilerplate line in a third of all documents is one row per task. Statistics are counts per (branch, position, token), combined
+before their shuffle, and only for branches of two distinct lines or more. A template is joined back to the distinct lines of its branch salted by line, and the names that a
+document loses to the documents salted by document. They return as line numbers, so that cutting a text takes time in its length.
 
-Defined cases: lines end at ``\\n``; blank lines are no templates and stay; null text stays null, and
-empty text empty; rows with equal ``doc_id`` never make a template recur by themselves, but each counts
+Defined cases: lines end at ``\\n``; tokens are split at single spaces; blank lines are no templates and stay; null text stays null, and
+empty text empty; rows with equal ``doc_id`` never make a template recur by themselves, but each distinct masked line of each row counts
 towards a ``min_docs`` above two; a null ``doc_id`` counts as smaller
-than any; a line's repeats within its first document stay; other columns are ignored.
+than any; a template's repeats within its first document stay; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -23,6 +27,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 LEADING = 3
+MIN_TOKENS = 6
+DOMINANT = 80
+CONSTANT = 60
 VARIABLE = r"[^ \t\r]*[0-9@][^ \t\r]*"
 PLACEHOLDER = "<*>"
 SALTS = 16
@@ -30,33 +37,86 @@ MIN_DOCS = 2
 _NULL_ID = -(1 << 63)
 
 
-def template(line: Column) -> Column:
-    """The line with its variable fields generalised."""
+def _mask(line: Column) -> Column:
     return F.when(line.rlike("[0-9@]"), F.regexp_replace(line, VARIABLE, PLACEHOLDER)).otherwise(line)
 
 
-def node(line: Column) -> Column:
-    """Name of the line's leaf; null for a blank line."""
-    text = template(line)
-    tokens = F.length(text) - F.length(F.replace(text, F.lit(" "))) + 1
-    leaf = F.xxhash64(tokens, F.substring_index(text, " ", LEADING), text)
-    return F.when(F.trim(line, F.lit(" \t\r")) == "", None).otherwise(leaf)
+def masked(line: Column) -> Column:
+    """The line with its typed fields masked; null for a blank line."""
+    return F.when(F.trim(line, F.lit(" \t\r")) != "", _mask(line))
+
+
+def line_name(line: Column) -> Column:
+    """64-bit name of the masked line; null for a blank line."""
+    return F.when(F.trim(line, F.lit(" \t\r")) != "", F.xxhash64(_mask(line)))
+
+
+def _tokens(text: Column) -> Column:
+    return F.length(text) - F.length(F.replace(text, F.lit(" "))) + 1
+
+
+def _salts() -> Column:
+    return F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+
+
+def _salt(key: str) -> Column:
+    return F.pmod(F.col(key), F.lit(SALTS)).cast("int")
+
+
+def templates(lines: DataFrame) -> DataFrame:
+    """(branch, salt, constants): the template of each branch that has one, from distinct ``lines (branch, n_tokens, text)``.
+
+    ``constants`` holds (position, token) of the constant tokens after the leading ones.
+    """
+    lively = lines.groupBy("branch").agg(F.count("*").alias("n_lines"), F.first("n_tokens").alias("n_tokens")).where("n_lines > 1")
+    inside = lines.select("branch", "text").join(lively.select("branch"), "branch", "left_semi")
+    tokens = inside.select("branch", F.posexplode(F.split("text", " ")).alias("position", "token")).where(F.col("position") >= LEADING)
+    held = tokens.groupBy("branch", "position", "token").agg(F.count("*").alias("n"))
+    top = held.groupBy("branch", "position").agg(F.max(F.struct("n", "token")).alias("top"))
+    constant = top.join(lively, "branch").where(F.col("top.n") * 100 >= F.col("n_lines") * DOMINANT)
+    found = constant.groupBy("branch", "n_tokens").agg(F.collect_list(F.struct("position", F.col("top.token").alias("token"))).alias("constants"))
+    kept = found.where((F.size("constants") + LEADING) * 100 >= F.col("n_tokens") * CONSTANT)
+    return kept.select("branch", "constants", _salts().alias("salt"))
+
+
+def leaves(lines: DataFrame) -> DataFrame:
+    """``lines (line, branch, n_tokens, text, ...)``, distinct by ``line``, with their ``leaf``."""
+    deep = lines.where("branch is not null")
+    spread = lines.withColumn("salt", F.when(F.col("branch").isNotNull(), _salt("line")))
+    joined = spread.join(templates(deep), ["branch", "salt"], "left")
+    tokens = F.split("text", " ")
+    agrees = F.forall("constants", lambda c: F.get(tokens, c["position"]) == c["token"])
+    leaf = F.when(F.col("constants").isNotNull() & agrees, F.xxhash64(F.lit("template"), "branch")).otherwise(F.col("line"))
+    return joined.withColumn("leaf", leaf).drop("constants", "salt")
 
 
 def drop_recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS, key: Column | None = None) -> DataFrame:
     """Per row: ``doc_id, n_lines, n_dropped, text`` (the remaining lines), ``row`` (the other input columns); ``key`` (long) tells documents apart, by default the id."""
     key = F.coalesce(F.col(id_col).cast("long"), F.lit(_NULL_ID)) if key is None else key
     rows = docs.select(F.col(id_col).alias("doc_id"), key.alias("_key"), F.col(text_col).cast("string").alias("text"), F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col] or [F.lit(0).alias("none")]).alias("row"))
-    nodes = rows.select("_key", F.explode(F.array_distinct(F.transform(F.split("text", "\n"), node))).alias("node")).where("node is not null")
-    shared = nodes.groupBy("node").agg(F.min("_key").alias("first"), F.max("_key").alias("last"), F.count("*").alias("n")).where((F.col("first") != F.col("last")) & (F.col("n") >= min_docs))
-    salt = F.sequence(F.lit(0), F.lit(SALTS - 1))
-    spread = shared.select("node", "first", F.explode(salt).alias("salt"))
-    salted = nodes.withColumn("salt", F.pmod(F.col("_key"), F.lit(SALTS)).cast("int"))
-    lost = salted.join(spread, ["node", "salt"]).where("_key <> first").groupBy("_key").agg(F.collect_set("node").alias("lost"))
-    joined = rows.join(lost, "_key", "left")
+    rows = rows.withColumn("_text", F.xxhash64("text"))
+
+    every = rows.select("_key", F.explode(F.array_distinct(F.transform(F.split("text", "\n"), masked))).alias("text")).where("text is not null")
+    sized = every.select("_key", F.xxhash64("text").alias("line"), _tokens(F.col("text")).alias("n_tokens"), "text")
+    deep = F.col("n_tokens") >= MIN_TOKENS
+    branch = F.when(deep, F.xxhash64("n_tokens", F.substring_index("text", " ", LEADING)))
+    distinct = sized.select("_key", "line", "n_tokens", F.when(deep, F.col("text")).alias("text"), branch.alias("branch")).groupBy("line", "branch", "n_tokens", "text").agg(
+        F.min("_key").alias("first"), F.max("_key").alias("last"), F.count("*").alias("n")
+    )
+    named = leaves(distinct).select("line", "leaf", "first", "last", "n")
+    recurs = named.groupBy("leaf").agg(F.min("first").alias("first"), F.max("last").alias("last"), F.sum("n").alias("n")).where((F.col("first") != F.col("last")) & (F.col("n") >= min_docs))
+    spread = recurs.select("leaf", F.col("first").alias("keeper"), _salts().alias("salt"))
+    shared = named.withColumn("salt", _salt("line")).join(spread, ["leaf", "salt"]).select("line", "keeper")
+
+    numbered = rows.select("_key", "_text", F.posexplode(F.transform(F.split("text", "\n"), line_name)).alias("at", "line")).where("line is not null")
+    spread = shared.select("line", "keeper", _salts().alias("salt"))
+    lost = numbered.withColumn("salt", _salt("_key")).join(spread, ["line", "salt"]).where("_key <> keeper").groupBy("_key", "_text").agg(F.collect_set("at").alias("lost"))
+
+    joined = rows.join(lost, ["_key", "_text"], "left")
     lines = F.split("text", "\n")
-    stay = F.when(F.col("lost").isNull(), lines).otherwise(F.filter(lines, lambda line: ~F.coalesce(F.array_contains(F.col("lost"), node(line)), F.lit(False))))
-    cut = joined.select("doc_id", "row", "text", lines.alias("lines"), stay.alias("stay"))
+    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("lost"))
+    stay = F.when(F.col("lost").isNull(), lines).otherwise(F.transform(kept, lambda at: F.get(F.col("lines"), at)))
+    cut = joined.withColumn("lines", lines).select("doc_id", "row", "text", "lines", stay.alias("stay"))
     size = F.coalesce(F.size("lines"), F.lit(0)).cast("long")
     return cut.select(
         "doc_id",
@@ -78,12 +138,32 @@ WITH lines AS (
   FROM documents d, LATERAL (SELECT unnest(range(1, len(string_split(d.text, chr(10))) + 1)) AS k) u),
 named AS (
   SELECT *, CASE WHEN trim(line, ' ' || chr(9) || chr(13)) = '' THEN NULL
-                 ELSE regexp_replace(line, '{VARIABLE}', '{PLACEHOLDER}', 'g') END AS template FROM lines),
+                 ELSE regexp_replace(line, '{VARIABLE}', '{PLACEHOLDER}', 'g') END AS masked FROM lines),
+parsed AS (
+  SELECT masked, string_split(masked, ' ') AS tokens FROM (SELECT DISTINCT masked FROM named WHERE masked IS NOT NULL)),
+deep AS (
+  SELECT masked, tokens, len(tokens) AS n_tokens, tokens[1:{LEADING}] AS head FROM parsed WHERE len(tokens) >= {MIN_TOKENS}),
+branches AS (SELECT n_tokens, head, count(*) AS n_lines FROM deep GROUP BY ALL HAVING count(*) > 1),
+places AS (
+  SELECT n_tokens, head, n_lines, masked, unnest(range({LEADING + 1}, n_tokens + 1)) AS place, unnest(tokens[{LEADING + 1}:]) AS token
+  FROM deep JOIN branches USING (n_tokens, head)),
+constants AS (
+  SELECT n_tokens, head, place, token FROM places GROUP BY n_tokens, head, n_lines, place, token HAVING 100 * count(*) >= {DOMINANT} * n_lines),
+patterns AS (
+  SELECT n_tokens, head, count(*) AS n_constant FROM constants
+  GROUP BY n_tokens, head HAVING 100 * (count(*) + {LEADING}) >= {CONSTANT} * n_tokens),
+followers AS (
+  SELECT masked, n_tokens, head FROM places JOIN patterns USING (n_tokens, head) JOIN constants USING (n_tokens, head, place, token)
+  GROUP BY masked, n_tokens, head, n_constant HAVING count(*) = n_constant),
+leaf AS (
+  SELECT p.masked, CASE WHEN f.masked IS NULL THEN 'line ' || p.masked
+                        ELSE 'template ' || f.n_tokens || ' ' || array_to_string(f.head, ' ') END AS leaf
+  FROM parsed p LEFT JOIN followers f USING (masked)),
 shared AS (
-  SELECT template, min(doc_id) AS first FROM named WHERE template IS NOT NULL
-  GROUP BY template HAVING min(doc_id) <> max(doc_id)),
+  SELECT leaf, min(doc_id) AS first FROM named JOIN leaf USING (masked) GROUP BY leaf HAVING min(doc_id) <> max(doc_id)),
 marked AS (
-  SELECT n.*, s.first IS NOT NULL AND s.first <> n.doc_id AS gone FROM named n LEFT JOIN shared s USING (template))
+  SELECT n.*, s.first IS NOT NULL AND s.first <> n.doc_id AS gone
+  FROM named n LEFT JOIN leaf USING (masked) LEFT JOIN shared s USING (leaf))
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
        coalesce(string_agg(line, chr(10) ORDER BY k) FILTER (NOT gone), '') AS text
 FROM marked GROUP BY doc_id

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+from collections import Counter
 
 import pytest
 
@@ -15,6 +16,29 @@ def words(text: str | None) -> list[str]:
     return re.findall(r"[^\x20\x09-\x0D]+", text or "")
 
 
+def line_leaves(lines) -> dict[str, str]:
+    """Leaf of each masked line in the template tree, by plain loops."""
+    from llm import line_templates as T
+
+    tree: dict[tuple, list[list[str]]] = {}
+    for line in set(lines):
+        tokens = line.split(" ")
+        tree.setdefault((len(tokens), *tokens[: T.LEADING]), []).append(tokens)
+    leaf = {}
+    for (n, *_), members in tree.items():
+        constant = {}
+        for p in range(n):
+            top, n_top = Counter(m[p] for m in members).most_common(1)[0]
+            if 100 * n_top >= T.DOMINANT * len(members):
+                constant[p] = top
+        general = len(members) > 1 and n >= T.MIN_TOKENS and 100 * len(constant) >= T.CONSTANT * n
+        pattern = " ".join(constant.get(p, "\0") for p in range(n))
+        for m in members:
+            follows = general and all(m[p] == t for p, t in constant.items())
+            leaf[" ".join(m)] = pattern if follows else " ".join(m)
+    return leaf
+
+
 def prose(rng: random.Random, n: int, per_line: int = 12) -> str:
     out = [rng.choice(WORDS) + rng.choice(["", "s", "ing", "ed"]) + str(rng.randrange(400)) * (rng.random() < 0.6) for _ in range(n)]
     return "\n".join(" ".join(out[k : k + per_line]) for k in range(0, n, per_line))

@@ -12,7 +12,7 @@ import pytest
 import corpus_pipeline
 from llm import line_templates
 from llm.shared import ship
-from llm_cases import docs, docs_rows, words  # noqa: F401
+from llm_cases import docs, docs_rows, line_leaves, words  # noqa: F401
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, _id_key string"
@@ -55,14 +55,18 @@ def expected(rows, noise, item):
 
     left = {r[0]: r[1] for r in rows if not base_failed(r[1]) and r[1] not in noise}
     key = {i: -(1 << 63) if i is None else i for i in left}
+    def masked(line):
+        return re.sub(line_templates.VARIABLE, "<*>", line)
+
+    leaf = line_leaves(masked(line) for t in left.values() for line in t.split("\n"))
     seen: dict[str, list] = {}
     for i, t in left.items():
         for line in set(t.split("\n")):
-            seen.setdefault(re.sub(line_templates.VARIABLE, "<*>", line), []).append(key[i])
+            seen.setdefault(leaf[masked(line)], []).append(key[i])
     shared = {t: min(v) for t, v in seen.items() if t.strip() and len(v) >= corpus_pipeline.BOILERPLATE_DOCS}
     cut = {}
     for i, t in left.items():
-        lines = [x for x in t.split("\n") if shared.get(re.sub(line_templates.VARIABLE, "<*>", x), key[i]) == key[i]]
+        lines = [x for x in t.split("\n") if shared.get(leaf[masked(x)], key[i]) == key[i]]
         if "\n".join(lines).strip():
             cut[i] = "\n".join(lines)
     sets = {i: {tuple(words(t.lower())[k : k + 3]) for k in range(len(words(t)) - 2)} for i, t in cut.items()}

@@ -14,7 +14,7 @@ import pytest
 from llm import bpe_automaton, extendible_shards, line_templates, lsh_forest, pairwise_quality, perplexity_rules, template_decontamination
 from llm.components import connected
 
-from llm_cases import DOCS, docs, docs_rows, no_docs, prose, words  # noqa: F401
+from llm_cases import DOCS, WORDS, docs, docs_rows, line_leaves, no_docs, prose, words  # noqa: F401
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -28,11 +28,11 @@ def expected_lines(rows, min_docs=2):
     def name(line):
         return None if not line.strip(" \t\r") else re.sub(line_templates.VARIABLE, "<*>", line)
 
+    counted = [(LOW if r[0] is None else r[0], t) for r in rows if r[1] is not None for t in {name(line) for line in r[1].split("\n")} - {None}]
+    leaf = line_leaves(t for _, t in counted)
     ids: dict[str, list[int]] = {}
-    for r in rows:
-        for t in {name(line) for line in r[1].split("\n")} if r[1] is not None else ():
-            ids.setdefault(t, []).append(LOW if r[0] is None else r[0])
-    ids.pop(None, None)
+    for i, t in counted:
+        ids.setdefault(leaf[t], []).append(i)
     shared = {t: min(v) for t, v in ids.items() if min(v) != max(v) and len(v) >= min_docs}
     out = []
     for r in rows:
@@ -40,7 +40,7 @@ def expected_lines(rows, min_docs=2):
             out.append((r[0], 0, 0, None))
             continue
         lines = r[1].split("\n")
-        stay = [x for x in lines if shared.get(name(x), LOW if r[0] is None else r[0]) == (LOW if r[0] is None else r[0])]
+        stay = [x for x in lines if shared.get(leaf.get(name(x)), LOW if r[0] is None else r[0]) == (LOW if r[0] is None else r[0])]
         out.append((r[0], len(lines), len(lines) - len(stay), "\n".join(stay)))
     return sorted(out, key=str)
 
@@ -58,6 +58,33 @@ def test_line_templates_generalise(spark):
     assert got == {1: rows[0][1], 2: "other text", 3: "\n"}
 
 
+def test_line_templates_learn_word_fields(spark):
+    rng = random.Random(8)
+    first, last = ["Alice", "Bob", "Carol", "Dan"], ["Smith", "Jones", "Brown"]
+    heads = ["Posted in Sports by", "Filed under the tag", "We met them in town and saw"]
+    rows = []
+    for i in range(60):
+        lines = [f"{rng.choice(heads)} {rng.choice(first)} {rng.choice(last)}" for _ in range(rng.randrange(4))]
+        lines += [" ".join(rng.choice(WORDS) for _ in range(rng.randrange(1, 9))) for _ in range(3)] + ["We met them" + " x" * 3 + " y" * rng.randrange(3)]
+        rows.append((i, "\n".join(lines)))
+    got = line_templates.drop_recurring(spark.createDataFrame(rows, "doc_id long, text string").repartition(5))
+    assert sorted(((r.doc_id, r.n_lines, r.n_dropped, r.text) for r in got.collect()), key=str) == expected_lines(rows)
+    two = [(1, "Posted in Sports by Alice Smith\nHe went to the store"), (2, "Posted in Sports by Bob Jones\nHe went to the bank"), (3, "Posted in Sports")]
+    cut = {r.doc_id: r.text for r in line_templates.drop_recurring(spark.createDataFrame(two, "doc_id long, text string")).collect()}
+    assert cut == {1: two[0][1], 2: "He went to the bank", 3: "Posted in Sports"}
+
+
+def test_line_templates_of_a_very_long_text(spark):
+    import time
+
+    text = "\n".join(f"{'abcdefghij'[k % 10]}{'klmnopqrst'[k // 10 % 10]}{'uvwxyzabcd'[k // 100 % 10]}{'efghijklmn'[k // 1000 % 10]}{'opqrstuvwx'[k // 10000]}" for k in range(40000))
+    docs = spark.createDataFrame([(1, text), (2, text + "\nown"), (3, "alone")], "doc_id long, text string")
+    start = time.perf_counter()
+    got = {r.doc_id: (r.n_dropped, r.text) for r in line_templates.drop_recurring(docs).collect()}
+    assert got == {1: (0, text), 2: (40000, "own"), 3: (0, "alone")}
+    assert time.perf_counter() - start < 30
+
+
 # bpe
 
 

@@ -10,9 +10,10 @@ The branch statistics take all lines of all documents, so the result does not de
 A template that occurs in ``min_docs`` or more documents (two at least) recurs: only the document with the smallest id keeps its
 lines, in all others they are dropped, in order and wholly.
 
-Scale: a line is one row per distinct masked text after a map-side combine, with its smallest and largest id and a count, so a
-boilerplate line in a third of all documents is one row per task. Statistics are counts per (branch, position, token), combined
-before their shuffle, and only for branches of two distinct lines or more. A template is joined back to the distinct lines of its branch salted by line, and the names that a
+Scale: texts are parsed once to 64-bit names, written to the shared folder. A name is one row with its smallest and largest
+id and a count after a map-side combine, so a boilerplate line in a third of all documents is one row per task. Texts are shuffled
+only for branches of two distinct lines or more; statistics are counts per (branch, position, token), combined before their shuffle. A template is joined back to the
+distinct lines of its branch salted by line, and the names that a
 document loses to the documents salted by document. They return as line numbers, so that cutting a text takes time in its length.
 
 Defined cases: lines end at ``\\n``; tokens are split at single spaces; blank lines are no templates and stay; null text stays null, and
@@ -23,6 +24,9 @@ than any; a template's repeats within its first document stay; other columns are
 
 from __future__ import annotations
 
+import uuid
+
+from llm.shared import shared_path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,18 +41,10 @@ MIN_DOCS = 2
 _NULL_ID = -(1 << 63)
 
 
-def _mask(line: Column) -> Column:
-    return F.when(line.rlike("[0-9@]"), F.regexp_replace(line, VARIABLE, PLACEHOLDER)).otherwise(line)
-
-
 def masked(line: Column) -> Column:
     """The line with its typed fields masked; null for a blank line."""
-    return F.when(F.trim(line, F.lit(" \t\r")) != "", _mask(line))
-
-
-def line_name(line: Column) -> Column:
-    """64-bit name of the masked line; null for a blank line."""
-    return F.when(F.trim(line, F.lit(" \t\r")) != "", F.xxhash64(_mask(line)))
+    text = F.when(line.rlike("[0-9@]"), F.regexp_replace(line, VARIABLE, PLACEHOLDER)).otherwise(line)
+    return F.when(F.trim(line, F.lit(" \t\r")) != "", text)
 
 
 def _tokens(text: Column) -> Column:
@@ -68,47 +64,58 @@ def templates(lines: DataFrame) -> DataFrame:
 
     ``constants`` holds (position, token) of the constant tokens after the leading ones.
     """
-    lively = lines.groupBy("branch").agg(F.count("*").alias("n_lines"), F.first("n_tokens").alias("n_tokens")).where("n_lines > 1")
-    inside = lines.select("branch", "text").join(lively.select("branch"), "branch", "left_semi")
-    tokens = inside.select("branch", F.posexplode(F.split("text", " ")).alias("position", "token")).where(F.col("position") >= LEADING)
+    size = lines.groupBy("branch").agg(F.count("*").alias("n_lines"), F.first("n_tokens").alias("n_tokens")).where("n_lines > 1")
+    tokens = lines.select("branch", F.posexplode(F.split("text", " ")).alias("position", "token")).where(F.col("position") >= LEADING)
     held = tokens.groupBy("branch", "position", "token").agg(F.count("*").alias("n"))
     top = held.groupBy("branch", "position").agg(F.max(F.struct("n", "token")).alias("top"))
-    constant = top.join(lively, "branch").where(F.col("top.n") * 100 >= F.col("n_lines") * DOMINANT)
+    constant = top.join(size, "branch").where(F.col("top.n") * 100 >= F.col("n_lines") * DOMINANT)
     found = constant.groupBy("branch", "n_tokens").agg(F.collect_list(F.struct("position", F.col("top.token").alias("token"))).alias("constants"))
     kept = found.where((F.size("constants") + LEADING) * 100 >= F.col("n_tokens") * CONSTANT)
     return kept.select("branch", "constants", _salts().alias("salt"))
 
 
-def leaves(lines: DataFrame) -> DataFrame:
-    """``lines (line, branch, n_tokens, text, ...)``, distinct by ``line``, with their ``leaf``."""
-    deep = lines.where("branch is not null")
-    spread = lines.withColumn("salt", F.when(F.col("branch").isNotNull(), _salt("line")))
-    joined = spread.join(templates(deep), ["branch", "salt"], "left")
+def followers(lines: DataFrame) -> DataFrame:
+    """(line, leaf): those of the distinct ``lines (line, branch, n_tokens, text)`` that agree with the template of their branch."""
+    joined = lines.withColumn("salt", _salt("line")).join(templates(lines), ["branch", "salt"])
     tokens = F.split("text", " ")
     agrees = F.forall("constants", lambda c: F.get(tokens, c["position"]) == c["token"])
-    leaf = F.when(F.col("constants").isNotNull() & agrees, F.xxhash64(F.lit("template"), "branch")).otherwise(F.col("line"))
-    return joined.withColumn("leaf", leaf).drop("constants", "salt")
+    return joined.where(agrees).select("line", F.xxhash64(F.lit("template"), "branch").alias("leaf"))
+
+
+def _parsed(line: Column) -> Column:
+    """(line, branch, n_tokens) of a masked line: its name, and its branch if it has ``MIN_TOKENS``."""
+    n = _tokens(line)
+    branch = F.when(n >= MIN_TOKENS, F.xxhash64(n, F.substring_index(line, " ", LEADING)))
+    return F.when(line.isNotNull(), F.struct(F.xxhash64(line).alias("line"), branch.alias("branch"), n.alias("n_tokens")))
 
 
 def drop_recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS, key: Column | None = None) -> DataFrame:
     """Per row: ``doc_id, n_lines, n_dropped, text`` (the remaining lines), ``row`` (the other input columns); ``key`` (long) tells documents apart, by default the id."""
+    spark = docs.sparkSession
     key = F.coalesce(F.col(id_col).cast("long"), F.lit(_NULL_ID)) if key is None else key
     rows = docs.select(F.col(id_col).alias("doc_id"), key.alias("_key"), F.col(text_col).cast("string").alias("text"), F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col] or [F.lit(0).alias("none")]).alias("row"))
     rows = rows.withColumn("_text", F.xxhash64("text"))
-
-    every = rows.select("_key", F.explode(F.array_distinct(F.transform(F.split("text", "\n"), masked))).alias("text")).where("text is not null")
-    sized = every.select("_key", F.xxhash64("text").alias("line"), _tokens(F.col("text")).alias("n_tokens"), "text")
-    deep = F.col("n_tokens") >= MIN_TOKENS
-    branch = F.when(deep, F.xxhash64("n_tokens", F.substring_index("text", " ", LEADING)))
-    distinct = sized.select("_key", "line", "n_tokens", F.when(deep, F.col("text")).alias("text"), branch.alias("branch")).groupBy("line", "branch", "n_tokens", "text").agg(
-        F.min("_key").alias("first"), F.max("_key").alias("last"), F.count("*").alias("n")
-    )
-    named = leaves(distinct).select("line", "leaf", "first", "last", "n")
-    recurs = named.groupBy("leaf").agg(F.min("first").alias("first"), F.max("last").alias("last"), F.sum("n").alias("n")).where((F.col("first") != F.col("last")) & (F.col("n") >= min_docs))
+    base = shared_path(spark, f"line-templates/{uuid.uuid4().hex}")
+
+    def written(name: str, table: DataFrame) -> DataFrame:
+        table.write.parquet(f"{base}/{name}")
+        return spark.read.schema(table.schema).parquet(f"{base}/{name}")
+
+    masks = F.transform(F.split("text", "\n"), masked)
+    parsed = written("parsed", rows.where("text is not null").select("_key", "_text", F.transform(masks, _parsed).alias("lines")))
+    named = parsed.select("_key", F.explode(F.array_distinct("lines.line")).alias("line")).where("line is not null")
+    lively = parsed.select(F.explode("lines").alias("l")).select("l.*").where("branch is not null").groupBy("branch").agg(F.min("line").alias("a"), F.max("line").alias("b")).where("a <> b")
+    lively = written("branches", lively.select("branch"))
+    texts = rows.select(F.explode(F.array_distinct(masks)).alias("text")).select("text", _parsed(F.col("text")).alias("l")).select("l.*", "text")
+    inside = written("inside", texts.where("branch is not null").join(lively, "branch", "left_semi").select("line", "branch", "n_tokens", "text").distinct())
+
+    once = named.groupBy("line").agg(F.min("_key").alias("first"), F.max("_key").alias("last"), F.count("*").alias("n"))
+    leaves = once.join(followers(inside), "line", "left").withColumn("leaf", F.coalesce("leaf", "line"))
+    recurs = leaves.groupBy("leaf").agg(F.min("first").alias("first"), F.max("last").alias("last"), F.sum("n").alias("n")).where((F.col("first") != F.col("last")) & (F.col("n") >= min_docs))
     spread = recurs.select("leaf", F.col("first").alias("keeper"), _salts().alias("salt"))
-    shared = named.withColumn("salt", _salt("line")).join(spread, ["leaf", "salt"]).select("line", "keeper")
+    shared = written("shared", leaves.withColumn("salt", _salt("line")).join(spread, ["leaf", "salt"]).select("line", "keeper"))
 
-    numbered = rows.select("_key", "_text", F.posexplode(F.transform(F.split("text", "\n"), line_name)).alias("at", "line")).where("line is not null")
+    numbered = parsed.select("_key", "_text", F.posexplode("lines.line").alias("at", "line")).where("line is not null")
     spread = shared.select("line", "keeper", _salts().alias("salt"))
     lost = numbered.withColumn("salt", _salt("_key")).join(spread, ["line", "salt"]).where("_key <> keeper").groupBy("_key", "_text").agg(F.collect_set("at").alias("lost"))
 

@@ -11,8 +11,9 @@ A template that occurs in ``min_docs`` or more documents (two at least) recurs:
 lines, in all others they are dropped, in order and wholly.
 
 Scale: texts are parsed once to 64-bit names, written to the shared folder. A name is one row with its smallest and largest
-id and a count after a map-side combine, so a boilerplate line in a third of all documents is one row per task. Texts are shuffled
-only for branches of two distinct lines or more; statistics are counts per (branch, position, token), combined before their shuffle. A template is joined back to the
+id and a count after a map-side combine, so a boilerplate line in a third of all documents is one row per task. The texts of a
+branch of two distinct lines or more are read once more; the names of these branches are broadcast if they are few, else lines meet them by a shuffle.
+Only lines that follow a template are joined with the keeper of their leaf. Statistics are counts per (branch, position, token), combined before their shuffle. A template is joined back to the
 distinct lines of its branch salted by line, and the names that a
 document loses to the documents salted by document. They return as line numbers, so that cutting a text takes time in its length.
 
@@ -37,6 +38,8 @@ CONSTANT = 60
 VARIABLE = r"[^ \t\r]*[0-9@][^ \t\r]*"
 PLACEHOLDER = "<*>"
 SALTS = 16
+#: So many branch names (16 MiB) may be broadcast; beyond that the lines are shuffled to them.
+BROADCAST = 1 << 21
 MIN_DOCS = 2
 _NULL_ID = -(1 << 63)
 
@@ -106,14 +109,19 @@ def drop_recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     named = parsed.select("_key", F.explode(F.array_distinct("lines.line")).alias("line")).where("line is not null")
     lively = parsed.select(F.explode("lines").alias("l")).select("l.*").where("branch is not null").groupBy("branch").agg(F.min("line").alias("a"), F.max("line").alias("b")).where("a <> b")
     lively = written("branches", lively.select("branch"))
+    small = lively.limit(BROADCAST + 1).count() <= BROADCAST
     texts = rows.select(F.explode(F.array_distinct(masks)).alias("text")).select("text", _parsed(F.col("text")).alias("l")).select("l.*", "text")
-    inside = written("inside", texts.where("branch is not null").join(lively, "branch", "left_semi").select("line", "branch", "n_tokens", "text").distinct())
+    inside = texts.where("branch is not null").join(F.broadcast(lively) if small else lively, "branch", "left_semi")
+    following = written("following", followers(written("inside", inside.select("line", "branch", "n_tokens", "text").distinct())))
 
     once = named.groupBy("line").agg(F.min("_key").alias("first"), F.max("_key").alias("last"), F.count("*").alias("n"))
-    leaves = once.join(followers(inside), "line", "left").withColumn("leaf", F.coalesce("leaf", "line"))
-    recurs = leaves.groupBy("leaf").agg(F.min("first").alias("first"), F.max("last").alias("last"), F.sum("n").alias("n")).where((F.col("first") != F.col("last")) & (F.col("n") >= min_docs))
+    once = written("once", once.join(following, "line", "left"))
+    recurring = (F.col("first") != F.col("last")) & (F.col("n") >= min_docs)
+    alone = once.where(F.col("leaf").isNull() & recurring).select("line", F.col("first").alias("keeper"))
+    merged = once.where("leaf is not null")
+    recurs = merged.groupBy("leaf").agg(F.min("first").alias("first"), F.max("last").alias("last"), F.sum("n").alias("n")).where(recurring)
     spread = recurs.select("leaf", F.col("first").alias("keeper"), _salts().alias("salt"))
-    shared = written("shared", leaves.withColumn("salt", _salt("line")).join(spread, ["leaf", "salt"]).select("line", "keeper"))
+    shared = alone.unionByName(merged.withColumn("salt", _salt("line")).join(spread, ["leaf", "salt"]).select("line", "keeper"))
 
     numbered = parsed.select("_key", "_text", F.posexplode("lines.line").alias("at", "line")).where("line is not null")
     spread = shared.select("line", "keeper", _salts().alias("salt"))

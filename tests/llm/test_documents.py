@@ -58,7 +58,9 @@ def test_line_templates_generalise(spark):
     assert got == {1: rows[0][1], 2: "other text", 3: "\n"}
 
 
-def test_line_templates_learn_word_fields(spark):
+@pytest.mark.parametrize("broadcast", [0, line_templates.BROADCAST])
+def test_line_templates_learn_word_fields(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(line_templates, "BROADCAST", broadcast)
     rng = random.Random(8)
     first, last = ["Alice", "Bob", "Carol", "Dan"], ["Smith", "Jones", "Brown"]
     heads = ["Posted in Sports by", "Filed under the tag", "We met them in town and saw"]

@@ -520,6 +520,8 @@ ranked AS (SELECT *, row_number() OVER (ORDER BY pickup_at_local {order}, trip_k
 
 ORACLES["explorer_page_next"] = _page(">", "ASC")
 ORACLES["explorer_page_previous"] = _page("<", "DESC")
+ORACLES["explorer_file_page_next"] = ORACLES["explorer_page_next"]
+ORACLES["explorer_file_page_previous"] = ORACLES["explorer_page_previous"]
 
 CUR = "pickup_date_key BETWEEN 20240116 AND 20240131"
 PRI = "pickup_date_key BETWEEN 20231231 AND 20240115"

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import f2_rows, make_raw
-from tripmart.plans.publish import SourceAsset, publish
+from tripmart.plans.publish import SourceAsset, publish, read_dimensions, sweep_publications
 from tripmart.plans.warehouse import Warehouse
 from tripmart.sources.store import TableStore
 from tripmart.sources.trips import read_month
@@ -173,3 +173,153 @@ def test_coverage_of_nothing_is_an_error(spark):
 
     with pytest.raises(Exception, match="no published metrics"):
         date_coverage(spark.createDataFrame([], "pickup_date date")).collect()
+
+
+def month_rows(month):
+    """The fixture's rows moved to the 2nd to 5th of another month."""
+    moved = []
+    for k, r in enumerate(f2_rows()):
+        at = datetime(2023, month, 2 + k % 4, 8, k)
+        moved.append(r | {"tpep_pickup_datetime": at, "tpep_dropoff_datetime": at + timedelta(minutes=10)})
+    return moved
+
+
+def month_asset(month):
+    return SourceAsset(f"2023-{month:02d}", f"yellow_tripdata_2023-{month:02d}:x", f"{month:064x}", 1, True)
+
+
+def versions(tmp_path, table):
+    return sorted(p.name for p in tmp_path.glob(f"{table}/publication=*"))
+
+
+def test_failed_publish_leaves_dimensions(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path))
+    raw = make_raw(spark, f2_rows())
+    publish(spark, store, raw, [ASSET], zones(spark))
+    before = {t: versions(tmp_path, t) for t in store.head().tables}
+    state = store.head().tables
+    more = zones(spark).unionAll(spark.createDataFrame([(2, "Queens", None)], "business_key int, label string, attributes string"))
+    with pytest.raises(RuntimeError, match="gates failed"):
+        publish(spark, store, raw.filter("source_row_number = 1").unionAll(raw), [ASSET], more)
+    assert store.head().tables == state and {t: versions(tmp_path, t) for t in state} == before
+    assert store.read("dim_taxi_zone").count() == 2 and store.read("source_asset").count() == 1
+
+
+def test_a_first_publish_that_fails_leaves_nothing(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path))
+    raw = make_raw(spark, f2_rows())
+    with pytest.raises(RuntimeError, match="gates failed"):
+        publish(spark, store, raw.unionAll(raw), [ASSET], zones(spark))
+    assert store.head().tables == {} and not list(tmp_path.glob("*/publication=*"))
+    assert store.read("dim_taxi_zone").isEmpty() and store.read("fact_trips").isEmpty()
+    publish(spark, store, raw, [ASSET], zones(spark))
+    assert seen(store) == (4, 4, 2)
+
+
+def test_two_publishers(spark, tmp_path):
+    """Two threads publish: of one month one result stays, of two months both, with distinct run ids."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    store = TableStore(spark, str(tmp_path))
+    jobs = [(1, ASSET, f2_rows()), (1, ASSET, f2_rows()), (2, month_asset(2), month_rows(2))]
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        done = list(pool.map(lambda j: publish(spark, store, make_raw(spark, j[2], month=f"2023-{j[0]:02d}"), [j[1]], zones(spark)), jobs))
+    ids = sorted(i for d in done for i in d.run_ids.values())
+    assert ids == [1, 2, 3]
+    runs = store.read("pipeline_run").collect()
+    assert sorted(r.id for r in runs) == ids and {r.status for r in runs} == {"success"}
+    assert store.head().number == 3
+    wh = Warehouse(store)
+    assert {r.source_month: r["count"] for r in wh.facts.groupBy("source_month").count().collect()} == {"2023-01": 4, "2023-02": 4}
+    dims = read_dimensions(store)
+    assert dims.zone.select("surrogate_key").distinct().count() == dims.zone.count() == 2
+    assert dims.date.select("date_key").distinct().count() == dims.date.count() == 31 + 28 + 1
+    assert wh.assets.count() == 2
+    from tripmart.operators.fact import orphan_counts
+
+    assert orphan_counts(wh.facts, dims).agg(F.sum("orphan_rows")).first()[0] == 0
+
+
+def test_commit_numbers_are_taken_once(spark, tmp_path):
+    from tripmart.plans.publish import PublishConflict, _references
+    from tripmart.sources.store import Head
+
+    store = TableStore(spark, str(tmp_path))
+    publish(spark, store, make_raw(spark, f2_rows()), [ASSET], zones(spark))
+    head = store.head()
+    assert (head.number, head.next_id) == (1, 2)
+    rows = store.read("pipeline_run")
+    assert not store.commit(rows, 1) and store.commit(rows, 2)
+    # a publisher that began before the first commit and gave out zone keys of its own must start again
+    with pytest.raises(PublishConflict, match="dim_taxi_zone"):
+        _references(spark, store, [ASSET], [], Head(), head, {"dim_taxi_zone": "P"}, "P", "P-1")
+
+
+def test_sweep_keeps_what_readers_may_have(spark, tmp_path):
+    from datetime import timezone
+
+    store = TableStore(spark, str(tmp_path))
+    raw = make_raw(spark, f2_rows())
+    for _ in range(2):
+        publish(spark, store, raw, [ASSET], zones(spark))
+    facts = "fact_trips/source_month=2023-01"
+    assert len(versions(tmp_path, facts)) == 2
+    assert sweep_publications(store) == []  # superseded a moment ago
+    before = seen(store)
+    later = datetime.now(timezone.utc) + timedelta(days=2)
+    gone = sweep_publications(store, now=later)
+    assert len(versions(tmp_path, facts)) == 1 and any("fact_trips" in g for g in gone)
+    assert len(versions(tmp_path, "dim_taxi_zone")) == len(versions(tmp_path, "source_asset")) == 1
+    assert seen(store) == before and store.read("source_asset").count() == 1
+    assert sweep_publications(store, now=later) == []
+
+
+def test_pages_open_a_constant_number_of_files(spark, tmp_path):
+    from datetime import date
+
+    from tripmart.operators.explorer import Cursor, explorer_page
+    from tripmart.operators.metrics import DashboardFilters, ExplorerFilters
+    from tripmart.plans.pages import page_over_files
+
+    store = TableStore(spark, str(tmp_path))
+    year = DashboardFilters(date(2023, 1, 1), date(2023, 12, 31), include_outliers=True)
+    opened = []
+    for month in (1, 2, 3):
+        rows = f2_rows() if month == 1 else month_rows(month)
+        asset = ASSET if month == 1 else month_asset(month)
+        publish(spark, store, make_raw(spark, rows, month=f"2023-{month:02d}"), [asset], zones(spark))
+        wh = Warehouse(store)
+        page = page_over_files(wh, year, ExplorerFilters(), page_size=2, first_files=1)
+        opened.append(page.files)
+    assert opened == [1, 1, 1] and wh.table("fact_files").count() >= 3
+    assert wh.table("fact_files").agg(F.sum("trip_rows")).first()[0] == wh.facts.count()
+    # a walk in both directions meets the rows of the scan
+    for direction, pick in (("next", -1), ("previous", 0)):
+        cursor = None
+        for _ in range(20):
+            want = explorer_page(wh.explorer, year, ExplorerFilters(), cursor, direction, 3).collect()
+            got = page_over_files(wh, year, ExplorerFilters(), cursor, direction, 3, first_files=1)
+            assert got.rows.orderBy("pickup_at_local", "trip_key").collect() == want
+            if not want or not want[0].has_more:
+                break
+            cursor = Cursor(want[pick].pickup_at_local, want[pick].trip_key)
+        else:
+            raise AssertionError("the walk does not end")
+    rare = page_over_files(wh, year, ExplorerFilters(minimum_total_dollars=1e6), page_size=2, first_files=1)
+    assert rare.rows.isEmpty() and rare.files == wh.table("fact_files").count()
+
+
+def test_fingerprint_of_a_file_past_two_gigabytes(spark, tmp_path):
+    import hashlib
+
+    from tripmart.sources.fingerprint import PIECE, source_fingerprint_of
+
+    size = (2 << 30) + 12345
+    path = tmp_path / "a month %20 x.bin"
+    with open(path, "wb") as f:
+        f.truncate(size)  # a sparse file takes no disk
+    want, zeros = hashlib.sha256(), bytes(PIECE)
+    for at in range(0, size, PIECE):
+        want.update(zeros[: min(PIECE, size - at)])
+    got = source_fingerprint_of(spark, str(tmp_path)).first()
+    assert got.byte_size == size and got.sha256 == want.hexdigest()

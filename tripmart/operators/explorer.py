@@ -1,9 +1,10 @@
-"""Trip explorer keyset paging (L1-L3) over the explorer view."""
+"""Trip explorer keyset paging (L1-L3) over the explorer view (J5, P27, P30), and the pickup ranges of fact files
+by which a page knows the files it needs."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -69,3 +70,23 @@ def page_cursors(page: DataFrame) -> DataFrame:
     """L3: cursors of the first and last row of a page (min/max of the row value)."""
     key = F.struct(F.col("pickup_at_local"), F.col("trip_key"))
     return page.agg(F.min(key).alias("first"), F.max(key).alias("last"))
+
+
+def file_ranges(facts: DataFrame) -> DataFrame:
+    """Per file of a written fact table: rows and pickup range (partial aggregates of one timestamp column; one
+    small row per file)."""
+    at = F.col("pickup_at_local")
+    return facts.groupBy("source_month", F.col("_metadata.file_name").alias("file_name")).agg(
+        F.count(F.lit(1)).alias("trip_rows"), F.min(at).alias("first_pickup"), F.max(at).alias("last_pickup"))
+
+
+def files_in_order(ranges: DataFrame, filters: DashboardFilters, cursor: Cursor | None = None, direction: str = "next") -> DataFrame:
+    """The files that may hold rows of a page, in the order in which the page meets them."""
+    first, last = F.col("first_pickup"), F.col("last_pickup")
+    start, end = (F.lit(str(d)).cast("timestamp_ntz") for d in (filters.start_date, filters.end_date + timedelta(days=1)))
+    cond = F.col("source_month").between(f"{filters.start_date:%Y-%m}", f"{filters.end_date:%Y-%m}") & (last >= start) & (first < end)
+    if cursor is not None:
+        at = F.lit(cursor.pickup_at_local.isoformat(sep=" ")).cast("timestamp_ntz")
+        cond = cond & ((last >= at) if direction == "next" else (first <= at))
+    order = first.asc() if direction == "next" else last.desc()
+    return ranges.filter(cond).orderBy(order, "source_month", "file_name")

@@ -29,6 +29,7 @@ from tripmart.operators.fact import duplicate_identities, facts_with_business_ke
 from tripmart.operators.mart import MART_KEYS, MART_MEASURES
 from tripmart.plans.log_queries import LOG_QUERIES
 from tripmart.plans.model import TripModel, build_model
+from tripmart.plans.pages import page_over_files
 from tripmart.plans.warehouse import Warehouse, warehouse_for
 from tripmart.sources.trips import lineitem_trip_view, months_between
 
@@ -242,6 +243,16 @@ def explorer_page_previous(spark, sf_dir):
     return explorer_page(wh(spark, sf_dir).explorer, FULL_MONTH, EXPLORER, CURSOR, "previous")
 
 
+def explorer_file_page_next(spark, sf_dir):
+    """L1 over the file manifest: the same page from the files that settle it."""
+    return page_over_files(wh(spark, sf_dir), FULL_MONTH, EXPLORER, CURSOR, "next", first_files=1).rows
+
+
+def explorer_file_page_previous(spark, sf_dir):
+    """L2 over the file manifest."""
+    return page_over_files(wh(spark, sf_dir), FULL_MONTH, EXPLORER, CURSOR, "previous", first_files=1).rows
+
+
 def zone_movers(spark, sf_dir):
     return C.zone_movers(wh(spark, sf_dir).metrics, SECOND_HALF)
 
@@ -484,6 +495,8 @@ QUERIES: dict[str, Query] = {
     "date_coverage": date_coverage,
     "explorer_page_next": explorer_page_next,
     "explorer_page_previous": explorer_page_previous,
+    "explorer_file_page_next": explorer_file_page_next,
+    "explorer_file_page_previous": explorer_file_page_previous,
     "zone_movers": zone_movers,
     "payment_movers": payment_movers,
     "kpi_comparison": kpi_comparison,

@@ -36,6 +36,8 @@ class Warehouse:
 
     @cached_property
     def dims(self):
+        # after the snapshot: dimensions only gain members, so later versions hold every key of its facts
+        _ = self.snapshot
         return read_dimensions(self.store)
 
     @cached_property

@@ -1,8 +1,9 @@
 """Source fingerprint (S4, S5) and schema fingerprint.
 
-The hash of a file is computed by executors (``binaryFile`` + ``sha2``) and equals ``sha256sum``; a
-file is held in one task's memory while hashed, up to Spark's limit of 2 GB per file, beyond which the
-read fails. A source of several files has one identity over all of them.
+The hash of a file is computed by executors and equals ``sha256sum``. A task reads a file in pieces with a
+running digest, so that files of any size take constant memory. On stores that only Spark's readers reach, a
+file is held whole in one task's memory, up to Spark's limit of 2 GB per file, beyond which the read fails. A
+source of several files has one identity over all of them.
 """
 
 from __future__ import annotations
@@ -10,15 +11,51 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Bytes that a task holds of a file at a time.
+PIECE = 8 << 20
+
+#: Schemes that tasks open by themselves.
+STREAMED_SCHEMES = ("file", "hdfs")
+
+
+def _open(path: str):
+    """A stream of a listed path, which is not percent-encoded."""
+    from urllib.parse import quote
+
+    from pyarrow import fs
+
+    if path.startswith("file:"):
+        return fs.LocalFileSystem().open_input_stream("/" + path[len("file:"):].lstrip("/"))
+    store, name = fs.FileSystem.from_uri(quote(path, safe=":/"))
+    return store.open_input_stream(name)
+
+
+def _digests(batches):
+    import hashlib
+
+    import pyarrow as pa
+
+    for batch in batches:
+        hashes = []
+        for path in batch.column("path").to_pylist():
+            digest = hashlib.sha256()
+            with _open(path) as source:
+                while piece := source.read(PIECE):
+                    digest.update(piece)
+            hashes.append(digest.hexdigest())
+        yield pa.RecordBatch.from_arrays([batch.column("path"), batch.column("byte_size"), pa.array(hashes, pa.string())],
+                                         names=["path", "byte_size", "sha256"])
+
 
 def file_fingerprints(spark: SparkSession, path: str) -> DataFrame:
     """One row per file: path, byte size, SHA-256 hex."""
     files = spark.read.format("binaryFile").load(path)
-    return files.select(
-        F.col("path"),
-        F.col("length").alias("byte_size"),
-        F.sha2(F.col("content"), 256).alias("sha256"),
-    )
+    listed = files.select("path", F.col("length").alias("byte_size"))
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    scheme = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getUri().getScheme()
+    if scheme not in STREAMED_SCHEMES:
+        return files.select("path", F.col("length").alias("byte_size"), F.sha2(F.col("content"), 256).alias("sha256"))
+    return listed.mapInArrow(_digests, "path string, byte_size long, sha256 string")  # the listing reads no content
 
 
 def source_fingerprint_of(spark: SparkSession, path: str) -> DataFrame:

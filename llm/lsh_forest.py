@@ -3,21 +3,21 @@
 1. *Signatures.* Each text's set of word shingles gives ``TREES * DEPTH`` MinHash values, ``DEPTH``
    per tree, and one 64-bit name of the whole set. Texts with equal sets form a class.
 2. *Forest.* A tree orders all classes by its ``DEPTH`` values. A region is a run of classes with a
-   common prefix; it starts at ``START`` values and, where more than ``REGION`` classes share them, is
-   deepened value by value (adaptive depth). Counts per prefix decide this before any region is
-   gathered. In a region, sorted by its values, candidates are the neighbours with the longest common
-   prefix, the most similar other class, and the region's medoid, by estimated similarity. Classes
-   that agree in all values of a tree and are too many for a region become candidates of the smallest.
+   common prefix of ``START`` values. In a region all pairs are estimated; its candidates span the components
+   of the pairs whose estimate could reach the threshold. Counts per prefix decide before any region is
+   gathered: where more than ``REGION`` classes share a prefix, they are cut by size and hash into blocks of
+   half a region, and every two blocks whose sizes allow a link meet, so that no pair of a region is left out.
 3. *Families.* Candidates are not links: their connected components only say which full sets must meet.
-   Every class of a family is sent once, as text. A family of more than ``FAMILY`` classes is split;
+   Every class of a family is sent once, as text. A family of more than ``FAMILY`` classes is split into parts;
    each part also gets the family's hubs (classes with the most candidates).
 4. *Links.* In a family (part) every pair whose estimate could reach the threshold is confirmed on the
-   full sets, the likeliest first, until its classes are already connected. Candidate pairs whose classes lie
-   in different parts and are not yet connected are confirmed in groups of pairs. Components of all confirmed
-   links are the groups.
+   full sets, the likeliest first, until its classes are already connected. Then every two parts of a split
+   family meet: first the signatures of its classes, which name those with an estimate that could reach the
+   threshold and no connection yet, then the texts of these. Components of all confirmed links are the groups.
 
 At similarity 0.85 a pair misses all of 16 trees at depth 4 with a probability of 1e-5. No pairs of copies
-are emitted: a class counts once, and a region emits at most three candidates per class.
+are emitted: a class counts once, and a region emits fewer candidates than it has classes. Regions and
+families of n classes above their limits cost n * n estimates, in groups of bounded size.
 
 Defined cases: words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased; texts with fewer words than a
 shingle have one shingle, the whole sequence; null, empty and blank texts have an empty set and stay
@@ -27,6 +27,7 @@ separate texts with the same id; other columns are ignored.
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Iterator
 
@@ -43,8 +44,6 @@ TREES, DEPTH, START = 16, 8, 4
 REGION = 2000
 FAMILY = 1500
 HUBS = 8
-#: Candidate pairs between parts that one group confirms, on average.
-PAIRS = 500
 #: Standard errors of the estimate below the threshold that a pair may have and still be confirmed.
 MARGIN = 4.0
 SLICE_BYTES = 1 << 19
@@ -120,24 +119,27 @@ def prefix_keys(classes: DataFrame, depth: int) -> DataFrame:
     return classes.select("set_id", F.inline(prefix))
 
 
-def regions(spark: SparkSession, classes: DataFrame, region: int, base: str) -> tuple[DataFrame, DataFrame]:
-    """((set_id, tree, key) of regions of 2 to ``region`` classes, candidates (a, b) of the larger ones).
+def regions(classes: DataFrame, region: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """((set_id, key) of regions of 2 to ``region`` classes, (set_id, key) of every two blocks of the larger ones).
 
-    Each depth is written, so that the next one starts from rows and not from all plans before it.
+    ``classes (set_id, sig, n_shingles)``. Linked sets differ by less than one step of ``size``, so that they lie
+    in one block or in blocks of the same or the next size.
     """
-    rows, fits, rest = prefix_keys(classes, START), None, None
-    for depth in range(START, DEPTH + 1):
-        if depth > START:  # deepen what is left
-            rows = rest.select("set_id", "tree").join(prefix_keys(classes, depth), ["set_id", "tree"])
-        size = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("set_id").alias("first")).where("n > 1")
-        rows.join(size, "key").write.parquet(f"{base}/depth{depth}")
-        sized = spark.read.parquet(f"{base}/depth{depth}")
-        own = sized.where(F.col("n") <= region).select("set_id", "tree", "key")
-        fits = own if fits is None else fits.unionByName(own)
-        rest = sized.where(F.col("n") > region)
-        if rest.isEmpty():
-            break
-    return fits, rest.where("set_id <> first").select(F.col("set_id").alias("a"), F.col("first").alias("b"))
+    rows = prefix_keys(classes, START).select("set_id", "key")
+    sized = rows.join(rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "key")
+    step = 1.001 * math.log(max(100 / percent, 1.000001))
+    size = F.floor(F.log("n_shingles") / F.lit(step)).cast("int").alias("size")
+    large = sized.where(F.col("n") > region).select("set_id", "key").join(classes.select("set_id", size), "set_id")
+    counted = large.groupBy("key", "size").agg(F.ceil(F.count("*") / F.lit(max(region // 2, 1))).cast("int").alias("blocks"))
+    block = F.pmod(F.xxhash64("set_id", F.lit("block")), F.col("blocks")).cast("int").alias("block")
+    placed = large.join(counted, ["key", "size"]).select("key", "size", block, "set_id")
+    each = counted.select("key", "size", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+    other = each.select("key", F.col("size").alias("size2"), F.col("block").alias("block2"))
+    meet = each.join(other, "key").where("(size2 = size and block2 >= block) or size2 = size + 1")
+    name = F.xxhash64("key", "size", "block", "size2", "block2").alias("group")
+    ends = F.array(F.struct("size", "block"), F.struct(F.col("size2").alias("size"), F.col("block2").alias("block")))
+    groups = meet.select("key", name, F.explode(F.array_distinct(ends)).alias("end")).select("key", "end.size", "end.block", "group")
+    return sized.where(F.col("n") <= region).select("set_id", "key"), placed.join(groups, ["key", "size", "block"]).select("set_id", F.col("group").alias("key"))
 
 
 def estimate_floor(threshold: float) -> float:
@@ -153,33 +155,39 @@ def _matches(sig: np.ndarray, rows: slice) -> np.ndarray:
     return out
 
 
+def _unite(root: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """The smallest node of each node's component, after the edges (i, j) are added."""
+    while True:
+        a, b = root[i], root[j]
+        apart = a != b
+        if not apart.any():
+            return root
+        i, j, a, b = i[apart], j[apart], a[apart], b[apart]
+        np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
+        while (root[root] != root).any():
+            root = root[root]
+
+
 def candidates(rows: DataFrame, floor: float) -> DataFrame:
-    """(a, b): candidates inside each region of ``rows (set_id, tree, key, sig)``."""
+    """(a, b): pairs that span the components of all pairs of ``floor`` inside each region of ``rows (set_id, key, sig)``.
+
+    A component's pairs are those of its medoid, the class that is most similar to all of the region."""
     need = int(np.ceil(floor * TREES * DEPTH))
 
     def run(table: pa.Table) -> pa.Table:
         name = table.column("set_id").to_numpy()
-        value = np.frombuffer(b"".join(table.column("sig").to_pylist()), "<u4").reshape(len(name), -1)
-        tree = table.column("tree")[0].as_py()
-        label = value[:, tree * DEPTH : (tree + 1) * DEPTH]
-        order = np.lexsort((name, *label.T[::-1]))
-        name, short = name[order], value[order].astype(np.uint8)
-        n = len(name)
-        best, total = np.zeros(n, np.int64), np.zeros(n, np.int64)
-        score, near = np.zeros(n, np.int64), np.zeros(n, np.int64)
-        for lo in range(0, n, 256):
+        short = np.frombuffer(b"".join(table.column("sig").to_pylist()), "<u4").reshape(len(name), -1).astype(np.uint8)
+        order = np.argsort(name)
+        name, short = name[order], short[order]
+        root, total = np.arange(len(name)), np.zeros(len(name), np.int64)
+        for lo in range(0, len(name), 256):
             equal = _matches(short, slice(lo, lo + 256))
-            i = np.arange(len(equal))
             total[lo : lo + 256] = equal.sum(axis=1, dtype=np.int64)
-            near[lo : lo + 256] = equal[i, np.minimum(lo + i + 1, n - 1)]
-            equal[i, lo + i] = 0
-            best[lo : lo + 256] = equal.argmax(axis=1)
-            score[lo : lo + 256] = equal.max(axis=1)
-        medoid = int(total.argmax())
-        to_medoid = _matches(short, slice(medoid, medoid + 1))[0]
-        a = [np.flatnonzero(score >= need), np.flatnonzero(to_medoid >= need), np.flatnonzero(near[:-1] >= need)]
-        b = [best[a[0]], np.full(len(a[1]), medoid), a[2] + 1]
-        left, right = name[np.concatenate(a)], name[np.concatenate(b)]
+            i, j = np.nonzero(equal >= need)
+            root = _unite(root, i + lo, j)
+        best = np.lexsort((-total, root))
+        middle = best[np.searchsorted(root[best], root)]
+        left, right = name, name[middle]
         keep = left != right
         return pa.table({"a": np.minimum(left, right)[keep], "b": np.maximum(left, right)[keep]})
 
@@ -209,18 +217,29 @@ def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(x) + len(y) - both)
 
 
+def _open_pairs(short: np.ndarray, size: np.ndarray, lo: int, need: int, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(score, i, j), i < j: pairs of the rows from ``lo`` on whose estimate and sizes allow a link."""
+    equal = _matches(short, slice(lo, lo + 256))
+    i, j = np.nonzero(equal >= need)
+    score = equal[i, j].astype(np.int64)
+    i = i + lo
+    fits = (i < j) & (100 * np.minimum(size[i], size[j]) >= percent * np.maximum(size[i], size[j]))
+    return score[fits], i[fits], j[fits]
+
+
 def confirm(members: DataFrame, width: int, percent: int, floor: float) -> DataFrame:
-    """(a, b): spanning links of each part of ``members (family, part, set_id, sig, text)``, on full sets."""
+    """(a, b): spanning links of each part of ``members (family, part, set_id, sig, root, text)``, on full sets;
+    classes of one ``root`` are connected already."""
     need = int(np.ceil(floor * TREES * DEPTH))
 
     def run(table: pa.Table) -> pa.Table:
         sets = _full_sets(table, width)
-        sigs = dict(zip(table.column("set_id").to_pylist(), table.column("sig").to_pylist(), strict=True))
-        sig = {k: sigs[k] for k in sets}
+        of_class = {k: (sig, root) for k, sig, root in zip(*(table.column(c).to_pylist() for c in ("set_id", "sig", "root")), strict=True)}
         node = sorted(sets)
-        short = np.frombuffer(b"".join(sig[k] for k in node), "<u4").reshape(len(node), -1).astype(np.uint8) if node else np.zeros((0, 1), np.uint8)
+        short = np.frombuffer(b"".join(of_class[k][0] for k in node), "<u4").reshape(len(node), -1).astype(np.uint8) if node else np.zeros((0, 1), np.uint8)
         size = np.array([len(sets[k]) for k in node], np.int64)
-        root = list(range(len(node)))
+        first: dict[int, int] = {}
+        root = [first.setdefault(of_class[k][1], i) for i, k in enumerate(node)]
 
         def find(i: int) -> int:
             while root[i] != i:
@@ -228,14 +247,7 @@ def confirm(members: DataFrame, width: int, percent: int, floor: float) -> DataF
                 i = root[i]
             return i
 
-        pairs = []
-        for lo in range(0, len(node), 256):
-            equal = _matches(short, slice(lo, lo + 256))
-            i, j = np.nonzero(equal >= need)
-            score = equal[i, j]
-            i = i + lo
-            fits = (i < j) & (100 * np.minimum(size[i], size[j]) >= percent * np.maximum(size[i], size[j]))
-            pairs.append(np.stack([score[fits].astype(np.int64), i[fits], j[fits]]))
+        pairs = [np.stack(_open_pairs(short, size, lo, need, percent)) for lo in range(0, len(node), 256)]
         every = np.concatenate(pairs, axis=1) if pairs else np.zeros((3, 0), np.int64)
         links = []
         for k in np.argsort(-every[0], kind="stable"):
@@ -251,36 +263,30 @@ def confirm(members: DataFrame, width: int, percent: int, floor: float) -> DataF
     return members.groupBy("family", "part").applyInArrow(run, "a bigint, b bigint")
 
 
-def across(pairs: DataFrame, inside: DataFrame, hubs: DataFrame, classes: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
-    """(a, b): candidate pairs of two parts that no part compared and no link has joined.
-
-    ``inside`` and ``hubs`` (set_id, part) are those of split families. A pair of a hub met in the other's part.
-    """
-    where = inside.join(hubs.select("set_id").distinct().withColumn("hub", F.lit(True)), "set_id", "left").join(classes.select("set_id", "n_shingles"), "set_id")
-    where = where.join(groups.select(F.col("node").alias("set_id"), "root"), "set_id", "left").select("set_id", "part", "hub", "n_shingles", F.coalesce("root", "set_id").alias("root"))
-
-    def end(side: str) -> DataFrame:
-        return where.select(F.col("set_id").alias(side), *[F.col(c).alias(f"{side}_{c}") for c in ("part", "hub", "n_shingles", "root")])
-
-    apart = pairs.join(end("a"), "a").join(end("b"), "b").where("a_part <> b_part and a_root <> b_root and a_hub is null and b_hub is null")
-    return apart.where(100 * F.least("a_n_shingles", "b_n_shingles") >= percent * F.greatest("a_n_shingles", "b_n_shingles")).select("a", "b")
+def meetings(split: DataFrame) -> DataFrame:
+    """The rows of ``split (family, parts, part, ...)`` once for every other part of the family that they meet, as ``part`` (part * parts + other)."""
+    other = F.explode(F.filter(F.sequence(F.lit(0), F.col("parts") - 1), lambda o: o != F.col("part"))).alias("other")
+    both = split.select("*", other)
+    return both.withColumn("part", F.least("part", "other").cast("long") * F.col("parts") + F.greatest("part", "other")).drop("other", "parts")
 
 
-def confirm_pairs(pairs: DataFrame, texts: DataFrame, width: int, percent: int, blocks: int) -> DataFrame:
-    """(a, b): the links among ``pairs (a, b)``, on full sets from ``texts (set_id, text)``; pairs are dealt to ``blocks`` groups."""
-    dealt = pairs.select(F.pmod(F.xxhash64("a", "b"), F.lit(blocks)).alias("block"), "a", "b")
-    ends = dealt.select("block", F.explode(F.array("a", "b")).alias("set_id")).distinct()
-    both = ends.join(texts, "set_id").select("block", "set_id", "text", F.lit(None).cast("long").alias("b"))
-    rows = both.unionByName(dealt.select("block", F.col("a").alias("set_id"), F.lit(None).cast("string").alias("text"), "b"))
+def unconnected(rows: DataFrame, percent: int, floor: float) -> DataFrame:
+    """(family, part, set_id): the classes of ``rows (family, part, set_id, n_shingles, sig, root)`` with a pair in
+    their part whose estimate and sizes allow a link and whose roots differ."""
+    need = int(np.ceil(floor * TREES * DEPTH))
 
     def run(table: pa.Table) -> pa.Table:
-        is_pair = table.column("b").is_valid()
-        sets = _full_sets(table.filter(table.column("b").is_null()), width)
-        asked = table.filter(is_pair)
-        links = [(a, b) for a, b in zip(asked.column("set_id").to_pylist(), asked.column("b").to_pylist(), strict=True) if _similar(sets[a], sets[b], percent)]
-        return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
+        root, size = table.column("root").to_numpy(), table.column("n_shingles").to_numpy()
+        wanted = np.zeros(len(root), bool)
+        if (root != root[0]).any():
+            short = np.frombuffer(b"".join(table.column("sig").to_pylist()), "<u4").reshape(len(root), -1).astype(np.uint8)
+            for lo in range(0, len(root), 256):
+                _, i, j = _open_pairs(short, size, lo, need, percent)
+                apart = root[i] != root[j]
+                wanted[i[apart]] = wanted[j[apart]] = True
+        return table.select(["family", "part", "set_id"]).filter(pa.array(wanted))
 
-    return rows.groupBy("block").applyInArrow(run, "a bigint, b bigint")
+    return rows.groupBy("family", "part").applyInArrow(run, "family bigint, part bigint, set_id bigint")
 
 
 def _names(sets: np.ndarray, bounds: np.ndarray) -> tuple[None, np.ndarray]:
@@ -306,29 +312,32 @@ def near_groups(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", te
     signed = spark.read.parquet(f"{base}/signed")
     signed.where("set_id <> 0").groupBy("set_id").agg(F.min("doc_id").alias("rep"), F.min("row_key").alias("text_key"), F.min("n_shingles").alias("n_shingles"), F.min("sig").alias("sig")).write.parquet(f"{base}/classes")
     classes = spark.read.parquet(f"{base}/classes")
-    fits, large = regions(spark, classes.select("set_id", "sig"), region, base)
-    rows = fits.join(classes.select("set_id", "sig"), "set_id")
-    candidates(rows, floor).unionByName(large).write.parquet(f"{base}/candidates")
+    fits, blocks = regions(classes.select("set_id", "sig", "n_shingles"), region, percent)
+    rows = fits.unionByName(blocks).join(classes.select("set_id", "sig"), "set_id")
+    candidates(rows, floor).write.parquet(f"{base}/candidates")
     pairs = spark.read.parquet(f"{base}/candidates")
     found = connected(spark, pairs)
     degree = pairs.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("degree"))
     sized = found.groupBy("root").agg(F.count("*").alias("n"))
-    node = found.join(degree, "node").join(sized, "root").withColumn("parts", F.ceil(F.col("n") / family).cast("int"))
-    inside = node.select(F.col("root").alias("family"), F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part"), F.col("node").alias("set_id"))
+    # two parts of a split family meet in one group
+    parts = F.when(F.col("n") > family, F.ceil(2 * F.col("n") / family)).otherwise(1).cast("int")
+    node = found.join(degree, "node").join(sized, "root").withColumn("parts", parts)
+    placed = node.select(F.col("root").alias("family"), "parts", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part"), F.col("node").alias("set_id"))
+    inside = placed.drop("parts")
     hub = node.where("parts > 1").groupBy("root", "parts", F.pmod(F.hash("node"), F.lit(HUBS)).alias("slot")).agg(F.max(F.struct("degree", "node")).alias("top"))
     hubs = hub.select(F.col("root").alias("family"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("top.node").alias("set_id"))
     wanted = inside.unionByName(hubs).distinct().join(classes, "set_id")
     texts = docs.select(row_key(F.col(id_col), F.col(text_col)).alias("text_key"), F.col(text_col).cast("string").alias("text"))
-    members = wanted.join(texts, "text_key").select("family", "part", "set_id", "sig", "text")
+    members = wanted.join(texts, "text_key").select("family", "part", "set_id", "sig", F.col("set_id").alias("root"), "text")
     confirm(members, width, percent, floor).write.parquet(f"{base}/links")
     links = spark.read.parquet(f"{base}/links")
     groups = connected(spark, links)
-    split = node.where("parts > 1").select(F.col("root").alias("family"), F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part"), F.col("node").alias("set_id"))
-    across(pairs, split, hubs, classes, groups, percent).write.parquet(f"{base}/across")
-    apart = spark.read.parquet(f"{base}/across")
-    if n := apart.count():
-        of_class_text = classes.select("set_id", "text_key").join(texts, "text_key").select("set_id", "text")
-        confirm_pairs(apart, of_class_text, width, percent, -(-n // PAIRS)).write.parquet(f"{base}/more_links")
+    split = placed.where("parts > 1")
+    if not split.isEmpty():
+        rooted = classes.join(groups.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
+        unconnected(meetings(split).join(rooted, "set_id"), percent, floor).write.parquet(f"{base}/unconnected")
+        apart = spark.read.parquet(f"{base}/unconnected").join(rooted, "set_id").join(texts, "text_key").select("family", "part", "set_id", "sig", "root", "text")
+        confirm(apart, width, percent, floor).write.parquet(f"{base}/more_links")
         groups = connected(spark, links.unionByName(spark.read.parquet(f"{base}/more_links")))
     of_class = classes.select("set_id", "rep").join(groups.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
     smallest = of_class.groupBy("root").agg(F.min("rep").alias("component_id"))

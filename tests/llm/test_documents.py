@@ -390,6 +390,25 @@ def test_pairs_of_two_parts_are_confirmed(spark):
     assert got == {k: k // 2 * 2 for k in range(80)}
 
 
+def test_no_partner_is_dropped_for_likelier_ones(spark):
+    """Under a common frame, two sets of very near copies each, which only the first texts of the sets link."""
+    rng = random.Random(21)
+    frame = [f"frame{k}" for k in range(175)]
+
+    def changed(text, places):
+        return [f"new{rng.randrange(10**9)}" if i in places else w for i, w in enumerate(text)]
+
+    texts = []
+    for k in range(10):
+        first = frame + [f"own{k}x{i}" for i in range(25)]
+        places = rng.sample(range(1, 198, 4), 5 + 24)
+        second = changed(first, places[:5])
+        texts += [first, *[changed(first, [p]) for p in places[5:17]], second, *[changed(second, [p]) for p in places[17:]]]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in lsh_forest.near_duplicates(spark, docs, region=20, family=40).collect()}
+    assert got == {i: i // 26 * 26 for i in range(260)}
+
+
 def test_slots_are_judged_per_occurrence(spark):
     """A verbatim item beside the same question with other numbers, and the question twice with others."""
     item = "a train leaves at 9 with 12 km per hour and walks for 30 minutes where do the 12 km end and why"

@@ -76,3 +76,21 @@ def test_dashboard_composite_and_export(spark, tmp_path):
     export_csv(data["daily"], str(tmp_path / "daily_csv"), single_file=True)
     back = spark.read.option("header", True).csv(str(tmp_path / "daily_csv"))
     assert back.count() == 3 and "trip_count" in back.columns
+
+
+def test_deep_redaction_goes_in_pieces():
+    """A batch of nested payloads is never held as Python values in whole; the results are those of each row."""
+    import json
+
+    import pyarrow as pa
+
+    from tripmart.operators import ops
+
+    deep = json.dumps({"labels": {"labels": {"labels": {"labels": {"labels": {"event": "password=x y", "token": "t"}}}}}})
+    batch = pa.array([deep, None] * 200)
+    pieces = list(ops._deep_redactor().func(iter([batch])))
+    assert [len(p) for p in pieces][:-1] == [ops.REDACTION_ROWS] * (len(batch) // ops.REDACTION_ROWS)
+    rows = [r for p in pieces for r in p.to_pylist()]
+    assert len(rows) == 400 and rows[1::2] == [None] * 200
+    text = dict(rows[0])["labels"]
+    assert "password=[REDACTED]" in text and "\"t\"" not in text and rows[0::2] == [rows[0]] * 200

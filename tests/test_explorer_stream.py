@@ -80,3 +80,10 @@ def test_stream_windows_match_batch(spark, tmp_path):
     assert got.agg(F.sum("trip_count")).first()[0] == 4 * accepted.count()
     assert got.groupBy("window_start", "payment_type_id").count().filter("count > 1").count() == 0
     assert q.recentProgress[0]["numInputRows"] == 39
+
+
+def test_the_events_of_one_file_are_dealt_to_all_tasks(spark, tmp_path):
+    from tripmart.streaming.trips import event_stream
+
+    plan = event_stream(spark, str(tmp_path), "*.parquet")._jdf.queryExecution().analyzed().toString()
+    assert "RepartitionByExpression" in plan

@@ -82,3 +82,18 @@ def test_asset_upsert_and_views_on_rerun(spark, tmp_path):
     assert len(th) == 1 and th[0].reference_snapshot_id is not None
     st = O.publication_state(store.read("pipeline_run"), store.read("source_asset")).first()
     assert st.warehouse_version == "2" and st.is_synthetic is True
+
+
+def test_trip_columns_are_computed_once(spark):
+    """The reject rules name a column many times; its expression is in the plan once."""
+    from tripmart.operators import rules
+    from tripmart.operators.convert import convert_accepted
+    from tripmart.sources.trips import trips_from_events
+
+    events = spark.createDataFrame(
+        [(k, datetime(2024, 1, 1 + k % 28), 7, "view", 10.0, f'{{"k": {k}}}') for k in range(40)],
+        "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string")
+    accepted = convert_accepted(rules.candidate_rows(rules.classify(trips_from_events(events))))
+    plan = accepted._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert plan.count("timestampadd") == 2
+    assert accepted.columns[0] == "source_month" and accepted.count() > 0

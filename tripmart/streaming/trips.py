@@ -35,7 +35,8 @@ def event_stream(spark: SparkSession, source_dir: str, glob: str = "events.parqu
     reader = spark.readStream.schema(EVENTS).option("pathGlobFilter", glob)
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.parquet(source_dir)
+    events = reader.parquet(source_dir)
+    return events.repartition(F.xxhash64(*events.columns))  # a file of one row group is one task's until here
 
 
 def accepted_rows(events: DataFrame, source_month: str = EVENTS_MONTH, bounds: DataFrame | None = None) -> DataFrame:
